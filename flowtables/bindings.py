@@ -127,3 +127,133 @@ def bipartite_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .distinct()
     )
+
+
+# --------------------------------------------------------------------------
+# Run-state tables.
+
+RUN_STATE = {"F": "failed", "O": "success", "P": "running"}
+
+
+def _case(col: str, mapping: dict) -> Column:
+    out = None
+    for k, v in mapping.items():
+        out = (F.when(F.col(col) == k, F.lit(v)) if out is None else out.when(F.col(col) == k, F.lit(v)))
+    return out
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders → ``(pipeline_id, run_id, execution_ts, state)``."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("pipeline_id"),
+        F.col("o_orderkey").alias("run_id"),
+        F.col("o_orderdate").alias("execution_ts"),
+        _case("o_orderstatus", RUN_STATE).alias("state"),
+    )
+
+
+def task_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem → ``(run_id, task_id, ts, state)``; repeated keys are attempts."""
+    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
+    state = (
+        F.when(rf == "R", "failed")
+        .when(rf == "A", "success")
+        .when((rf == "N") & (ls == "O"), "running")
+        .when((rf == "N") & (ls == "F"), "skipped")
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("run_id"),
+        F.col("l_linenumber").alias("task_id"),
+        F.col("l_shipdate").alias("ts"),
+        state.alias("state"),
+    )
+
+
+EVENT_STATE = {"error": "failed", "purchase": "success", "signup": "skipped", "view": "running", "click": "running"}
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events → ``(run_id, ts, state, event_id)``."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run_id"), "ts", _case("event_type", EVENT_STATE).alias("state"), "event_id"
+    )
+
+
+def kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events → keyed hand-off ``(run_id, key, value, ts)``."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run_id"), F.col("event_type").alias("key"), F.col("props").alias("value"), "ts"
+    )
+
+
+def nation_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders ⋈ customer → distinct ``(pipeline_id = nation, run_ts)`` with
+    the run's state (failed if any order failed, else running if any runs,
+    else success) and finish time (12 hours per order)."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    joined = o.join(c, o.o_custkey == c.c_custkey)
+    return joined.groupBy(F.col("c_nationkey").alias("pipeline_id"), F.col("o_orderdate").alias("run_ts")).agg(
+        F.when(F.bool_or(F.col("o_orderstatus") == "F"), "failed")
+        .when(F.bool_or(F.col("o_orderstatus") == "P"), "running")
+        .otherwise("success")
+        .alias("state"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=F.count(F.lit(1)) * 12)).alias("finished_ts"),
+    ).withColumn("task_id", F.lit(None).cast("string"))
+
+
+def nation_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation → one upstream dependency each: the next nation, one day
+    earlier, default wait of 1440 minutes; existence checked except for
+    every fifth nation."""
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("pipeline_id"),
+        ((F.col("n_nationkey") + 1) % 25).cast("int").alias("up_pipeline_id"),
+        F.lit(None).cast("string").alias("up_task_id"),
+        (F.col("n_nationkey") % 5 != 0).alias("check_existence"),
+        F.lit(1440).alias("execution_delta_min"),
+        F.lit(1440).alias("timeout_min"),
+    )
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents → ``(dag_id, tags ARRAY<STRUCT<name>>)``: ``lang:``,
+    ``source:`` (dropped on every third row) and, on even rows, a mirror
+    ``source:mirror-<lang>``."""
+    d = table(spark, sf_dir, "documents")
+    tag = lambda c: F.struct(c.alias("name"))
+    tags = F.filter(
+        F.array(
+            tag(F.concat(F.lit("lang:"), F.col("lang"))),
+            F.when(F.col("doc_id") % 3 != 0, tag(F.concat(F.lit("source:"), F.col("source")))),
+            F.when(F.col("doc_id") % 2 == 0, tag(F.concat(F.lit("source:mirror-"), F.col("lang")))),
+        ),
+        lambda t: t.isNotNull(),
+    )
+    return d.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("dag_id"), tags.alias("tags"))
+
+
+def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer → ``(c_custkey, c_mktsegment, c_nationkey, conf MAP)``:
+    ``experiment_name`` = c_name; ``run_name`` = c_mktsegment, absent when
+    c_custkey % 3 = 0 and null when = 1; ``acctbal`` in cents."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 3
+    entries = F.filter(
+        F.array(
+            F.struct(F.lit("experiment_name").alias("key"), F.col("c_name").alias("value")),
+            F.when(
+                k != 0,
+                F.struct(
+                    F.lit("run_name").alias("key"),
+                    F.when(k == 1, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("value"),
+                ),
+            ),
+            F.struct(
+                F.lit("acctbal").alias("key"),
+                F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string").alias("value"),
+            ),
+        ),
+        lambda e: e.isNotNull(),
+    )
+    return c.select("c_custkey", "c_mktsegment", "c_nationkey", F.map_from_entries(entries).alias("conf"))

@@ -325,3 +325,7 @@ def g4_dag_levels(spark, sf_dir):
     g = group_pipeline(nodes, io, cat, grouped=True)
     groups = g.groups.select("pipeline", F.col("group_name").alias("group")).distinct()
     return graph.dag_levels(g.group_edges, groups)
+
+
+# Other families register themselves on import.
+from . import queries_runs  # noqa: E402,F401
