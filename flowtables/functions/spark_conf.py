@@ -35,6 +35,15 @@ def _key(pattern: str, w: Column) -> Column:
     return F.concat(F.lit(head), w, F.lit(tail))
 
 
+def _prefixed_entry(prefix: str, w: Column):
+    head, tail = prefix.split("{w}")
+
+    def entry(e: Column) -> Column:
+        return F.struct(F.concat(F.lit(head), w, F.lit(tail), e["key"]).alias("k"), e["value"].alias("v"))
+
+    return entry
+
+
 def fan_out_keys(
     df: DataFrame,
     entity_col: str,
@@ -77,13 +86,10 @@ def fan_out_keys(
     for prefix, mcol in ((SECRET_KEY, secrets), (LABEL_KEY, labels)):
         if mcol is None:
             continue
-        head = prefix.split("{w}")
         pairs.append(
             F.transform(
                 F.map_entries(F.coalesce(_c(mcol), F.create_map().cast("map<string,string>"))),
-                lambda e, head=head: F.struct(
-                    F.concat(F.lit(head[0]), w, F.lit(head[1]), e["key"]).alias("k"), e["value"].alias("v")
-                ),
+                _prefixed_entry(prefix, w),
             )
         )
     all_pairs = F.flatten(F.array(*pairs))

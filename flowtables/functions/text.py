@@ -69,7 +69,10 @@ def render_params(m: Column | str) -> Column:
 def parse_params(text: Column | str) -> Column:
     """F5 back: ``k:v`` pairs split on ',' (blank pairs and padding ignored),
     each pair split on its first ':' so values may contain ':'."""
-    pairs = F.filter(F.transform(F.split(_c(text), ","), lambda p: F.trim(p)), lambda p: p != "")
+    pairs = F.filter(
+        F.transform(F.split(_c(text), ","), lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")),
+        lambda p: p != "",
+    )
     return F.map_from_entries(
         F.transform(
             pairs,

@@ -30,8 +30,10 @@ def number_within(
     order: Sequence[str] | str,
     out: str = "rn",
     num_partitions: int | None = None,
+    descending: bool = False,
 ) -> DataFrame:
-    """Add ``out`` = 0-based position of the row inside its key, by ``order``.
+    """Add ``out`` = 0-based position of the row inside its key, by ``order``
+    (largest first with ``descending``).
 
     Rows should be unique on ``keys + order`` (ties are numbered in an
     arbitrary but fixed order).  On distinct values this is ``dense_rank - 1``.
@@ -41,15 +43,16 @@ def number_within(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The partition id must not change if a task is re-run, so the ranged
     # rows are stored once and both branches below read the same files.
+    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     ranged = cut_lineage(
-        df.repartitionByRange(max(n, 1), *keys, *order).withColumn(
+        df.repartitionByRange(max(n, 1), *[F.col(k) for k in keys], *sort).withColumn(
             "_slice", F.spark_partition_id()
         ),
         "ranged",
     )
     local = ranged.withColumn(
         "_local",
-        F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*order)),
+        F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*sort)),
     )
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
