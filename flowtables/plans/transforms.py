@@ -77,17 +77,25 @@ def run_for_date(
     transform: Callable[[DataFrame], DataFrame],
     source: DataFrame,
     ts_col: str,
-    ds: str,
+    ds: str | None,
     sink: str,
 ) -> DataFrame:
-    """Run one scheduled date.  Only that date's rows are read (the
-    filter reaches the scan), the result is written to partition
-    ``ds=<date>`` of ``sink``; a re-run replaces that partition only
-    (dynamic partition overwrite)."""
-    day = source.filter(F.to_date(F.col(ts_col)) == F.lit(ds).cast("date"))
-    out = transform(day).withColumn("ds", F.lit(ds))
+    """Run scheduled dates.  ``ds`` = one date (``yyyy-MM-dd``): only
+    that date's rows are read (the filter reaches the scan) and only
+    partition ``ds=<date>`` of ``sink`` is replaced (dynamic partition
+    overwrite), so a re-run of a date replaces that date alone.
+    ``ds=None`` runs every date of ``source`` in one job, one partition per
+    date.  ``transform`` gets the rows with a ``ds`` column and must keep it.
+    """
+    day = F.date_format(F.col(ts_col), "yyyy-MM-dd")
+    rows = source.withColumn("ds", day)
+    if ds is not None:
+        rows = rows.filter(F.col(ts_col) >= F.lit(ds).cast("timestamp_ntz")).filter(
+            F.col(ts_col) < F.date_add(F.lit(ds).cast("date"), 1).cast("timestamp_ntz")
+        )
     (
-        out.write.mode("overwrite")
+        transform(rows)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ds")
         .parquet(sink)

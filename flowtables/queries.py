@@ -330,3 +330,4 @@ def g4_dag_levels(spark, sf_dir):
 # Other families register themselves on import.
 from . import queries_runs  # noqa: E402,F401
 from . import queries_values  # noqa: E402,F401
+from . import queries_io  # noqa: E402,F401
