@@ -331,3 +331,4 @@ def g4_dag_levels(spark, sf_dir):
 from . import queries_runs  # noqa: E402,F401
 from . import queries_values  # noqa: E402,F401
 from . import queries_io  # noqa: E402,F401
+from . import queries_stream  # noqa: E402,F401
