@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import GROUP_DEFAULT, GROUP_SPARK, SPARK_GROUP_NAME_PREFIX
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_lineage_counting
 from .ranking import dense_number_within
 
 K = ["pipeline", "node"]
@@ -30,58 +30,66 @@ def connected_groups(
     vertices: DataFrame,
     edges: DataFrame,
     max_rounds: int = 200,
+    jumps: int = 2,
 ) -> DataFrame:
     """G1: ``(pipeline, node, group_id)``, group id = smallest node name in
     the component, direction ignored.
 
     ``vertices(pipeline, node)`` are the nodes to group; ``edges(pipeline,
-    parent, child)`` are kept only where both ends are vertices.  Min-label
-    propagation: each round sends the labels that changed in the previous
-    round along the edges and keeps the minimum (a partial aggregate, so a
-    hub node is combined map-side), then jumps every label to its label's
-    label, which halves path lengths.  Labels only fall, so the loop stops
-    when a round changes nothing.
+    parent, child)`` are kept only where both ends are vertices.
+
+    Graph contraction: every node starts with its own label.  Each round,
+    every label hooks to the smallest label it shares an edge with (a
+    partial aggregate, so a hub is combined map-side), the hooks are
+    shortened by pointer jumping, and the edge list is rewritten between
+    the new labels, dropping edges that fell inside one label.  The number
+    of labels with edges falls geometrically, so rounds grow with the log
+    of the component size, and every round works on a smaller edge list.
+    A node's final label is its start label sent through each round's hook
+    table.  Labels only fall and never leave the component, so the last
+    label is the component's smallest node.
     """
-    v = vertices.select(*K).distinct()
-    e = _symmetric(edges)
+    v = cut_lineage(vertices.select(*K).distinct(), "cc-vertices")
     src_in = v.select("pipeline", F.col("node").alias("src"))
     dst_in = v.select("pipeline", F.col("node").alias("dst"))
-    e = cut_lineage(
-        e.join(src_in, ["pipeline", "src"], "left_semi").join(dst_in, ["pipeline", "dst"], "left_semi"),
+    links, seen = cut_lineage_counting(
+        _symmetric(edges).join(src_in, ["pipeline", "src"], "left_semi").join(dst_in, ["pipeline", "dst"], "left_semi"),
         "cc-edges",
+        n=F.count(F.lit(1)),
     )
-
-    labels = cut_lineage(
-        v.withColumn("label", F.col("node")).withColumn("changed", F.lit(True)), "cc-labels"
-    )
-    for _ in range(max_rounds):
-        frontier = labels.filter("changed").select(
-            "pipeline", F.col("node").alias("src"), F.col("label").alias("cand")
-        )
-        sent = e.join(frontier, ["pipeline", "src"]).select(
-            "pipeline", F.col("dst").alias("node"), "cand"
-        )
-        own = labels.select(*K, F.col("label").alias("cand"), F.col("label").alias("old"))
-        merged = (
-            own.unionByName(sent.withColumn("old", F.lit(None).cast("string")))
-            .groupBy(*K)
-            .agg(F.min("cand").alias("label"), F.max("old").alias("old"))
+    hooks: list[DataFrame] = []
+    rounds = 0
+    while seen["n"]:
+        rounds += 1
+        if rounds > max_rounds:  # pragma: no cover - only with absurd graphs
+            raise RuntimeError(f"connected_groups did not converge in {max_rounds} rounds")
+        hook = links.groupBy("pipeline", F.col("src").alias("label")).agg(F.min("dst").alias("_m")).select(
+            "pipeline", "label", F.least("label", "_m").alias("to")
         )
-        hop = merged.select(
-            "pipeline", F.col("node").alias("label"), F.col("label").alias("hop")
+        for _ in range(jumps):
+            hop = hook.select("pipeline", F.col("label").alias("to"), F.col("to").alias("_hop"))
+            hook = hook.join(hop, ["pipeline", "to"], "left").select(
+                "pipeline", "label", F.coalesce("_hop", "to").alias("to")
+            )
+        moved = cut_lineage(hook.filter(F.col("to") != F.col("label")), "cc-hooks")
+        hooks.append(moved)
+        to_src = moved.select("pipeline", F.col("label").alias("src"), F.col("to").alias("_s"))
+        to_dst = moved.select("pipeline", F.col("label").alias("dst"), F.col("to").alias("_d"))
+        relinked = (
+            links.join(to_src, ["pipeline", "src"], "left")
+            .join(to_dst, ["pipeline", "dst"], "left")
+            .select("pipeline", F.coalesce("_s", "src").alias("src"), F.coalesce("_d", "dst").alias("dst"))
+            .filter(F.col("src") != F.col("dst"))
+            .distinct()
         )
-        jumped = (
-            merged.join(hop, ["pipeline", "label"], "left")
-            .select(*K, F.least("label", F.coalesce("hop", "label")).alias("label"), "old")
-            .withColumn("changed", F.col("label") != F.col("old"))
-            .drop("old")
+        links, seen = cut_lineage_counting(relinked, "cc-edges", n=F.count(F.lit(1)))
+    labels = v.withColumn("group_id", F.col("node"))
+    for moved in hooks:
+        step = moved.select("pipeline", F.col("label").alias("group_id"), F.col("to").alias("_to"))
+        labels = labels.join(step, ["pipeline", "group_id"], "left").select(
+            *K, F.coalesce("_to", "group_id").alias("group_id")
         )
-        labels = cut_lineage(jumped, "cc-labels")
-        if labels.filter("changed").limit(1).count() == 0:
-            break
-    else:  # pragma: no cover - only with absurd diameters
-        raise RuntimeError(f"connected_groups did not converge in {max_rounds} rounds")
-    return labels.select(*K, F.col("label").alias("group_id"))
+    return labels
 
 
 def absorb_sandwiched(
@@ -120,17 +128,17 @@ def absorb_sandwiched(
             .join(members.withColumnRenamed("node", "child"), ["pipeline", "child"])
             .select("pipeline", F.col("parent").alias("node"), "group_id")
         )
-        new = cut_lineage(
+        chosen = (
             from_group.join(to_group, [*K, "group_id"], "left_semi")
             .groupBy(*K)
-            .agg(F.min("group_id").alias("group_id")),
-            "absorb-new",
+            .agg(F.min("group_id").alias("group_id"))
         )
-        if new.limit(1).count() == 0:
+        new, seen = cut_lineage_counting(chosen, "absorb-new", n=F.count(F.lit(1)))
+        if not seen["n"]:
             break
         absorbed_parts.append(new)
         members = members.unionByName(new)
-        pending = cut_lineage(pending.join(new, K, "left_anti"), "absorb-pending")
+        pending = pending.join(new, K, "left_anti")
         # Only nodes next to a newly absorbed node can change their answer.
         near = (
             e.join(new.select("pipeline", F.col("node").alias("parent")), ["pipeline", "parent"], "left_semi")
@@ -194,16 +202,25 @@ def dag_levels(group_edges: DataFrame, groups: DataFrame | None = None, max_roun
     e = cut_lineage(e.distinct(), "levels-edges")
     levelled: list[DataFrame] = []
     for level in range(max_rounds):
-        has_parent = e.select("pipeline", F.col("child").alias("group"))
-        peel = cut_lineage(remaining.join(has_parent, ["pipeline", "group"], "left_anti"), "levels-peel")
-        if peel.limit(1).count() == 0:
-            break
-        levelled.append(peel.withColumn("level", F.lit(level)))
-        remaining = cut_lineage(remaining.join(peel, ["pipeline", "group"], "left_anti"), "levels-nodes")
-        e = cut_lineage(
-            e.join(peel.withColumnRenamed("group", "parent"), ["pipeline", "parent"], "left_anti"),
-            "levels-edges",
+        live_parent = remaining.select("pipeline", F.col("group").alias("parent"))
+        has_parent = (
+            e.join(live_parent, ["pipeline", "parent"], "left_semi")
+            .select("pipeline", F.col("child").alias("group"))
+            .distinct()
+            .withColumn("_has_parent", F.lit(True))
+        )
+        flagged = remaining.join(has_parent, ["pipeline", "group"], "left").select(
+            "pipeline", "group", F.col("_has_parent").isNull().alias("peel")
         )
+        flagged, seen = cut_lineage_counting(
+            flagged, "levels", peeled=F.count_if("peel"), left=F.count_if(~F.col("peel"))
+        )
+        if not seen["peeled"]:
+            break
+        levelled.append(flagged.filter("peel").select("pipeline", "group", F.lit(level).alias("level")))
+        remaining = flagged.filter(~F.col("peel")).select("pipeline", "group")
+        if not seen["left"]:
+            break
     spark = group_edges.sparkSession
     out = spark.createDataFrame([], "pipeline string, group string, level int")
     for part in levelled:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from . import bindings as B
 from .operators import classify, edges, graph
 from .plans.grouping import group_pipeline, group_summary
+from .session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,6 +84,13 @@ def _layered(spark: SparkSession, sf_dir: str, marks: str = "sparse"):
     return B.layered_dag(spark, sf_dir, marks)
 
 
+def _marked_edges(spark: SparkSession, sf_dir: str, marks: str):
+    """P1 and J1 on the layered DAG, each stored once for the loops after."""
+    nodes, io, cat = _layered(spark, sf_dir, marks)
+    marked = cut_lineage(classify.mark_spark_nodes(nodes, io, cat).select("pipeline", "node", "is_spark"), "marked")
+    return marked, cut_lineage(edges.dataset_edges(io), "edges")
+
+
 # --------------------------------------------------------------------------
 # Graph family: P1, P5, J1, G1, J3, W2, J4, J7, A1, A2, G2, G3, G4.
 
@@ -174,15 +182,12 @@ SELECT 'layered' AS pipeline, node, group_id FROM comp
 """,
 )
 def g1_connected_groups_layered(spark, sf_dir):
-    nodes, io, cat = _layered(spark, sf_dir, "sparse")
-    marked = classify.mark_spark_nodes(nodes, io, cat).filter("is_spark").select("pipeline", "node")
-    return graph.connected_groups(marked, edges.dataset_edges(io))
+    marked, e = _marked_edges(spark, sf_dir, "sparse")
+    return graph.connected_groups(marked.filter("is_spark").select("pipeline", "node"), e)
 
 
 def _dense_components(spark, sf_dir):
-    nodes, io, cat = _layered(spark, sf_dir, "dense")
-    marked = classify.mark_spark_nodes(nodes, io, cat).select("pipeline", "node", "is_spark")
-    e = edges.dataset_edges(io)
+    marked, e = _marked_edges(spark, sf_dir, "dense")
     spark_nodes = marked.filter("is_spark").select("pipeline", "node")
     comp = graph.connected_groups(spark_nodes, e)
     return marked, e, comp

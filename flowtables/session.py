@@ -111,3 +111,17 @@ def cut_lineage(df: DataFrame, name: str = "round") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage_counting(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` that also returns aggregate ``metrics`` (name →
+    Column) computed while the rows are written: no second job to count."""
+    from pyspark.sql import Observation
+
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    observed = df.observe(obs, *[col.alias(key) for key, col in metrics.items()])
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    observed.write.mode("overwrite").parquet(path)
+    values = obs.get
+    return spark.read.schema(df.schema).parquet(path), {k: values.get(k) for k in metrics}
