@@ -66,12 +66,20 @@ def connected_groups(
         hook = links.groupBy("pipeline", F.col("src").alias("label")).agg(F.min("dst").alias("_m")).select(
             "pipeline", "label", F.least("label", "_m").alias("to")
         )
-        for _ in range(jumps):
+        # Shorten hook chains by pointer jumping until every label points at
+        # a root; a chain of length d needs about log2(d) jumps.
+        while True:
+            for _ in range(jumps):
+                hook = _jump(hook)
             hop = hook.select("pipeline", F.col("label").alias("to"), F.col("to").alias("_hop"))
             hook = hook.join(hop, ["pipeline", "to"], "left").select(
-                "pipeline", "label", F.coalesce("_hop", "to").alias("to")
+                "pipeline", "label", F.coalesce("_hop", "to").alias("to"), (F.coalesce("_hop", "to") != F.col("to")).alias("_moved")
             )
-        moved = cut_lineage(hook.filter(F.col("to") != F.col("label")), "cc-hooks")
+            hook, jumped = cut_lineage_counting(hook, "cc-hooks", moved=F.count_if("_moved"))
+            hook = hook.drop("_moved")
+            if not jumped["moved"]:
+                break
+        moved = hook.filter(F.col("to") != F.col("label"))
         hooks.append(moved)
         to_src = moved.select("pipeline", F.col("label").alias("src"), F.col("to").alias("_s"))
         to_dst = moved.select("pipeline", F.col("label").alias("dst"), F.col("to").alias("_d"))
@@ -84,14 +92,21 @@ def connected_groups(
         )
         links, seen = cut_lineage_counting(relinked, "cc-edges", n=F.count(F.lit(1)))
     labels = v.withColumn("group_id", F.col("node"))
-    for moved in hooks:
+    for i, moved in enumerate(hooks):
         step = moved.select("pipeline", F.col("label").alias("group_id"), F.col("to").alias("_to"))
         labels = labels.join(step, ["pipeline", "group_id"], "left").select(
             *K, F.coalesce("_to", "group_id").alias("group_id")
         )
+        if i % 8 == 7 and i + 1 < len(hooks):
+            labels = cut_lineage(labels, "cc-labels")
     return labels
 
 
+def _jump(hook: DataFrame) -> DataFrame:
+    hop = hook.select("pipeline", F.col("label").alias("to"), F.col("to").alias("_hop"))
+    return hook.join(hop, ["pipeline", "to"], "left").select("pipeline", "label", F.coalesce("_hop", "to").alias("to"))
+
+
 def absorb_sandwiched(
     edges: DataFrame,
     spark_groups: DataFrame,
