@@ -72,8 +72,9 @@ def test_listing_puts_missing_names_last(spark):
          ("d3", [{"name": "generated_with_x:1"}, {"name": "experiment_name:a"}]), ("d4", [{"name": "other"}])],
         "dag_id string, tags array<struct<name:string>>",
     )
-    got = [tuple(r) for r in registry.list_pipelines(reg, "generated_with", "experiment_name").orderBy("position").collect()]
-    assert got == [("a", "d3", 0), ("b", "d1", 1), (None, "d2", 2)] or got == [(0, "a", "d3"), (1, "b", "d1"), (2, None, "d2")]
+    out = registry.list_pipelines(reg, "generated_with", "experiment_name").orderBy("position")
+    got = [(r.position, r.name, r.dag_id) for r in out.collect()]
+    assert got == [(0, "a", "d3"), (1, "b", "d1"), (2, None, "d2")]
 
 
 def test_slugify(spark):
