@@ -137,11 +137,13 @@ def absorb_sandwiched(
             e.join(cand_child, ["pipeline", "child"], "left_semi")
             .join(members.withColumnRenamed("node", "parent"), ["pipeline", "parent"])
             .select("pipeline", F.col("child").alias("node"), "group_id")
+            .distinct()
         )
         to_group = (
             e.join(cand_parent, ["pipeline", "parent"], "left_semi")
             .join(members.withColumnRenamed("node", "child"), ["pipeline", "child"])
             .select("pipeline", F.col("parent").alias("node"), "group_id")
+            .distinct()
         )
         chosen = (
             from_group.join(to_group, [*K, "group_id"], "left_semi")

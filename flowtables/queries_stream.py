@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import bindings as B
 from .queries import register
 from .queries_runs import _poll_starts
-from .session import scratch_path
+from .session import cut_lineage, scratch_path
 from .streaming import sources as SS
 from .streaming import stateful as ST
 
@@ -61,7 +61,8 @@ WHERE s.start_ts + INTERVAL 360 MINUTE < """
 def t1_stream_poll_outcome(spark, sf_dir):
     stream = _event_stream(spark, sf_dir)
     obs = stream.select(F.col("user_id").alias("run_id"), "ts", _state("event_type").alias("state"))
-    starts = _poll_starts(B.observations(spark, sf_dir))
+    # The run table is joined to every micro-batch: store it once.
+    starts = cut_lineage(_poll_starts(B.observations(spark, sf_dir)), "t1-starts")
     out = ST.stream_poll_outcome(obs, starts, 360, WATERMARK)
     sink = scratch_path(spark, "t1-sink")
     SS.run_available_now(
@@ -75,24 +76,23 @@ def t1_stream_poll_outcome(spark, sf_dir):
     """
 WITH c AS (SELECT event_id AS run_event_id, user_id AS key, ts AS run_ts FROM events WHERE event_type = 'click'),
 p AS (SELECT event_id AS up_event_id, user_id AS up_key, ts AS up_ts FROM events WHERE event_type = 'purchase'),
-j AS (SELECT c.run_event_id, c.key, c.run_ts, p.up_event_id FROM c LEFT JOIN p
-      ON p.up_key = c.key AND p.up_ts >= c.run_ts AND p.up_ts <= c.run_ts + INTERVAL 1440 MINUTE)
-SELECT run_event_id, key, CAST(run_ts AS TIMESTAMP) AS run_ts, up_event_id,
+j AS (SELECT c.run_event_id, c.key, c.run_ts, arg_min(p.up_event_id, p.up_ts) AS up_event_id FROM c LEFT JOIN p
+      ON p.up_key = c.key AND p.up_ts >= c.run_ts AND p.up_ts <= c.run_ts + INTERVAL 1440 MINUTE
+      GROUP BY c.run_event_id, c.key, c.run_ts)
+SELECT run_event_id, key, run_ts, up_event_id,
   CASE WHEN up_event_id IS NOT NULL THEN 'ready' ELSE 'timed_out' END AS outcome
 FROM j
 WHERE up_event_id IS NOT NULL
-   OR run_ts + INTERVAL 1440 MINUTE < least((SELECT max(ts) FROM events WHERE event_type = 'click'),
-                                            (SELECT max(ts) FROM events WHERE event_type = 'purchase'))
-                                      - INTERVAL 1 HOUR
+   OR run_ts + INTERVAL 1440 MINUTE
+      < (SELECT max(ts) FROM events WHERE event_type IN ('click', 'purchase')) - INTERVAL 1 HOUR
 """,
 )
 def t2_stream_upstream_ready(spark, sf_dir):
-    ev = B.table(spark, sf_dir, "events")
-    folder = SS.replay_in_slices(ev, "ts", SLICES)
-    clicks = SS.event_stream(spark, folder, ev.schema).filter(F.col("event_type") == "click").select(
+    stream = _event_stream(spark, sf_dir)
+    clicks = stream.filter(F.col("event_type") == "click").select(
         F.col("event_id").alias("run_event_id"), F.col("user_id").alias("key"), F.col("ts").alias("run_ts")
     )
-    purchases = SS.event_stream(spark, folder, ev.schema).filter(F.col("event_type") == "purchase").select(
+    purchases = stream.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("up_event_id"), F.col("user_id").alias("key"), F.col("ts").alias("up_ts")
     )
     out = ST.stream_upstream_ready(clicks, purchases, 1440, WATERMARK)

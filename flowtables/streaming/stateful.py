@@ -7,6 +7,7 @@ watermark has passed the deadline.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -82,6 +83,59 @@ def stream_poll_outcome(
     )
 
 
+READY_OUTPUT = "run_event_id long, key long, run_ts_us long, up_event_id long, outcome string"
+READY_STATE = "run_ids array<long>, run_us array<long>, up_ids array<long>, up_us array<long>"
+
+
+def _ready_step(timeout_us: int):
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Per key: runs still waiting and upstream times that a future run
+        can still use (not older than the watermark).  A run is answered
+        once: ``ready`` with the earliest upstream event in its window, or
+        ``timed_out`` when the watermark has passed its deadline.  Matching
+        is a binary search over the sorted upstream times."""
+        if state.exists:
+            run_ids, run_us, up_ids, up_us = (list(x) for x in state.get)
+        else:
+            run_ids, run_us, up_ids, up_us = [], [], [], []
+        if not state.hasTimedOut:
+            for pdf in batches:
+                runs_part = pdf[pdf["kind"] == "run"]
+                ups_part = pdf[pdf["kind"] == "up"]
+                run_ids += runs_part["event_id"].astype("int64").tolist()
+                run_us += runs_part["ts_us"].astype("int64").tolist()
+                up_ids += ups_part["event_id"].astype("int64").tolist()
+                up_us += ups_part["ts_us"].astype("int64").tolist()
+        wm = state.getCurrentWatermarkMs() * 1000
+        ups = sorted(zip(up_us, up_ids))
+        up_times = [t for t, _ in ups]
+        out, keep_ids, keep_us = [], [], []
+        for rid, t0 in zip(run_ids, run_us):
+            i = bisect.bisect_left(up_times, t0)
+            if i < len(ups) and up_times[i] <= t0 + timeout_us:
+                out.append((rid, key[0], t0, ups[i][1], "ready"))
+            elif t0 + timeout_us < wm:
+                out.append((rid, key[0], t0, None, "timed_out"))
+            else:
+                keep_ids.append(rid)
+                keep_us.append(t0)
+        first_live = bisect.bisect_left(up_times, wm)
+        live = ups[first_live:]
+        if keep_ids or live:
+            state.update((keep_ids, keep_us, [i for _, i in live], [t for t, _ in live]))
+            if keep_us:
+                deadline_ms = (min(keep_us) + timeout_us) // 1000 + 1
+                state.setTimeoutTimestamp(max(deadline_ms, wm // 1000 + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["run_event_id", "key", "run_ts_us", "up_event_id", "outcome"]).astype(
+                {"up_event_id": "Int64"}
+            )
+
+    return step
+
+
 def stream_upstream_ready(
     runs: DataFrame,
     upstream: DataFrame,
@@ -89,24 +143,30 @@ def stream_upstream_ready(
     watermark: str = "1 hour",
 ) -> DataFrame:
     """A run at ``run_ts`` waits for an upstream event of the same key in
-    ``[run_ts, run_ts + timeout]``.  Stream–stream left outer join with
-    watermarks on both sides and the interval as join condition: a match
-    gives ``ready``; no match gives ``timed_out`` once the watermark passes
-    the end of the interval.  State is bounded by the interval and the
-    watermark delay."""
-    r = runs.select("run_event_id", "key", "run_ts").withWatermark("run_ts", watermark).alias("r")
-    u = upstream.select(F.col("key").alias("up_key"), "up_event_id", "up_ts").withWatermark("up_ts", watermark).alias("u")
-    cond = (
-        (F.col("r.key") == F.col("u.up_key"))
-        & (F.col("u.up_ts") >= F.col("r.run_ts"))
-        & (F.col("u.up_ts") <= F.col("r.run_ts") + F.expr(f"INTERVAL {int(timeout_min)} MINUTES"))
+    ``[run_ts, run_ts + timeout]``.  One row per run: ``ready`` with the
+    earliest upstream event of the window, or ``timed_out`` once the
+    watermark has passed the end of the window.
+
+    Keyed state (``applyInPandasWithState``, event-time timeout) instead of a
+    stream–stream join: a join would emit every (run, upstream) pair of a
+    key inside the window.  State per key holds only runs still waiting and
+    upstream times not older than the watermark."""
+    timeout_us = int(timeout_min) * 60_000_000
+    rows = (
+        runs.select(F.lit("run").alias("kind"), F.col("run_event_id").alias("event_id"), "key", F.col("run_ts").alias("ts"))
+        .unionByName(
+            upstream.select(F.lit("up").alias("kind"), F.col("up_event_id").alias("event_id"), "key", F.col("up_ts").alias("ts"))
+        )
+        .withColumn("ts_us", F.unix_micros("ts"))
+        .withWatermark("ts", watermark)
     )
-    return r.join(u, cond, "leftOuter").select(
-        "run_event_id",
-        "key",
-        "run_ts",
-        "up_event_id",
-        F.when(F.col("up_event_id").isNotNull(), "ready").otherwise("timed_out").alias("outcome"),
+    return (
+        rows.groupBy("key")
+        .applyInPandasWithState(
+            _ready_step(timeout_us), READY_OUTPUT, READY_STATE, "append", GroupStateTimeout.EventTimeTimeout
+        )
+        .withColumn("run_ts", F.timestamp_micros("run_ts_us"))
+        .drop("run_ts_us")
     )
 
 
