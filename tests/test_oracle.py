@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle on sf0.001 (the driver
 runs the same comparison at sf0.01)."""
 
+import contextlib
+import io
 import math
 
 import duckdb
@@ -49,6 +51,15 @@ def test_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(want_cols)
     assert len(got) == len(want)
     assert _rows(df.columns, got) == _rows(want_cols, want)
+    plan = explain(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def explain(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
 
 
 def test_every_query_has_a_callable():
