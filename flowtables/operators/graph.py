@@ -49,7 +49,9 @@ def connected_groups(
     table.  Labels only fall and never leave the component, so the last
     label is the component's smallest node.
     """
-    v = cut_lineage(vertices.select(*K).distinct(), "cc-vertices")
+    # Callers pass stored frames (the grouping plan stores its marks), so the
+    # two reads of the vertices below cost a scan each, not a recomputation.
+    v = vertices.select(*K).distinct()
     src_in = v.select("pipeline", F.col("node").alias("src"))
     dst_in = v.select("pipeline", F.col("node").alias("dst"))
     links, seen = cut_lineage_counting(
@@ -125,7 +127,7 @@ def absorb_sandwiched(
     """
     e = edges.select("pipeline", "parent", "child")
     members = spark_groups.select(*K, "group_id")
-    pending = cut_lineage(default_nodes.select(*K).distinct(), "absorb-pending")
+    pending = default_nodes.select(*K).distinct()
     absorbed_parts: list[DataFrame] = []
     candidates = pending
     rounds = 0
