@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .constants import RESOURCES_PREFIX, SPARK_FRAME_CLASS, SPARK_GROUP_TAG
 from .operators.classify import ROLE_IN, ROLE_OUT
+from .session import cut_lineage
 
 LAYERED = "layered"
 BIPARTITE = "bipartite"
@@ -102,6 +103,8 @@ def layered_dag(spark: SparkSession, sf_dir: str, marks: str = "sparse"):
         .unionByName(io(customer, _name("n", "c_nationkey"), _name("dc", "c_custkey"), ROLE_IN))
         .unionByName(io(nation, _name("n", "n_nationkey"), _name("dn", "n_nationkey"), ROLE_OUT))
     )
+    # Marks, edges and the catalog all read node_io: derive it once.
+    node_io = cut_lineage(node_io, "node-io")
     catalog = (
         node_io.filter(F.col("role") == ROLE_OUT)
         .select(

@@ -7,7 +7,6 @@ watermark has passed the deadline.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -84,54 +83,64 @@ def stream_poll_outcome(
 
 
 READY_OUTPUT = "run_event_id long, key long, run_ts_us long, up_event_id long, outcome string"
-READY_STATE = "run_ids array<long>, run_us array<long>, up_ids array<long>, up_us array<long>"
+READY_STATE = (
+    "run_keys array<long>, run_ids array<long>, run_us array<long>, "
+    "up_keys array<long>, up_ids array<long>, up_us array<long>"
+)
 
 
 def _ready_step(timeout_us: int):
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """Per key: runs still waiting and upstream times that a future run
-        can still use (not older than the watermark).  A run is answered
-        once: ``ready`` with the earliest upstream event in its window, or
-        ``timed_out`` when the watermark has passed its deadline.  Matching
-        is a binary search over the sorted upstream times."""
+    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """One state group holds the keys hashed to it: runs still waiting
+        and upstream events a future run can still use (not older than the
+        watermark).  Runs are matched with ``merge_asof`` by key, forward,
+        within the timeout: the earliest upstream event of the window
+        answers ``ready``; a run whose window ended before the watermark
+        answers ``timed_out``; the rest wait."""
+        cols = ["key", "event_id", "ts_us"]
         if state.exists:
-            run_ids, run_us, up_ids, up_us = (list(x) for x in state.get)
+            rk, ri, rt, uk, ui, ut = state.get
+            runs = pd.DataFrame({"key": rk, "event_id": ri, "ts_us": rt}, dtype="int64")
+            ups = pd.DataFrame({"key": uk, "event_id": ui, "ts_us": ut}, dtype="int64")
         else:
-            run_ids, run_us, up_ids, up_us = [], [], [], []
+            runs = pd.DataFrame({c: pd.Series(dtype="int64") for c in cols})
+            ups = pd.DataFrame({c: pd.Series(dtype="int64") for c in cols})
         if not state.hasTimedOut:
+            parts_r, parts_u = [runs], [ups]
             for pdf in batches:
-                runs_part = pdf[pdf["kind"] == "run"]
-                ups_part = pdf[pdf["kind"] == "up"]
-                run_ids += runs_part["event_id"].astype("int64").tolist()
-                run_us += runs_part["ts_us"].astype("int64").tolist()
-                up_ids += ups_part["event_id"].astype("int64").tolist()
-                up_us += ups_part["ts_us"].astype("int64").tolist()
+                parts_r.append(pdf.loc[pdf["kind"] == "run", cols].astype("int64"))
+                parts_u.append(pdf.loc[pdf["kind"] == "up", cols].astype("int64"))
+            runs, ups = pd.concat(parts_r, ignore_index=True), pd.concat(parts_u, ignore_index=True)
         wm = state.getCurrentWatermarkMs() * 1000
-        ups = sorted(zip(up_us, up_ids))
-        up_times = [t for t, _ in ups]
-        out, keep_ids, keep_us = [], [], []
-        for rid, t0 in zip(run_ids, run_us):
-            i = bisect.bisect_left(up_times, t0)
-            if i < len(ups) and up_times[i] <= t0 + timeout_us:
-                out.append((rid, key[0], t0, ups[i][1], "ready"))
-            elif t0 + timeout_us < wm:
-                out.append((rid, key[0], t0, None, "timed_out"))
-            else:
-                keep_ids.append(rid)
-                keep_us.append(t0)
-        first_live = bisect.bisect_left(up_times, wm)
-        live = ups[first_live:]
-        if keep_ids or live:
-            state.update((keep_ids, keep_us, [i for _, i in live], [t for t, _ in live]))
-            if keep_us:
-                deadline_ms = (min(keep_us) + timeout_us) // 1000 + 1
+        runs = runs.sort_values("ts_us", kind="stable")
+        ups = ups.sort_values("ts_us", kind="stable").rename(columns={"event_id": "up_event_id", "ts_us": "up_us"})
+        matched = pd.merge_asof(
+            runs, ups, left_on="ts_us", right_on="up_us", by="key",
+            direction="forward", tolerance=timeout_us, allow_exact_matches=True,
+        )
+        found = matched["up_event_id"].notna()
+        expired = ~found & (matched["ts_us"] + timeout_us < wm)
+        waiting = matched[~found & ~expired]
+        live = ups[ups["up_us"] >= wm]
+        if len(waiting) or len(live):
+            state.update((
+                waiting["key"].tolist(), waiting["event_id"].tolist(), waiting["ts_us"].tolist(),
+                live["key"].tolist(), live["up_event_id"].tolist(), live["up_us"].tolist(),
+            ))
+            if len(waiting):
+                deadline_ms = (int(waiting["ts_us"].min()) + timeout_us) // 1000 + 1
                 state.setTimeoutTimestamp(max(deadline_ms, wm // 1000 + 1))
         elif state.exists:
             state.remove()
-        if out:
-            yield pd.DataFrame(out, columns=["run_event_id", "key", "run_ts_us", "up_event_id", "outcome"]).astype(
-                {"up_event_id": "Int64"}
-            )
+        answered = matched[found | expired]
+        if len(answered):
+            yield pd.DataFrame({
+                "run_event_id": answered["event_id"].astype("int64"),
+                "key": answered["key"].astype("int64"),
+                "run_ts_us": answered["ts_us"].astype("int64"),
+                "up_event_id": answered["up_event_id"].astype("Int64"),
+                "outcome": ["ready" if f else "timed_out" for f in found[found | expired]],
+            })
 
     return step
 
@@ -141,6 +150,7 @@ def stream_upstream_ready(
     upstream: DataFrame,
     timeout_min: int,
     watermark: str = "1 hour",
+    state_groups: int | None = None,
 ) -> DataFrame:
     """A run at ``run_ts`` waits for an upstream event of the same key in
     ``[run_ts, run_ts + timeout]``.  One row per run: ``ready`` with the
@@ -148,9 +158,14 @@ def stream_upstream_ready(
     watermark has passed the end of the window.
 
     Keyed state (``applyInPandasWithState``, event-time timeout) instead of a
-    stream–stream join: a join would emit every (run, upstream) pair of a
-    key inside the window.  State per key holds only runs still waiting and
-    upstream times not older than the watermark."""
+    stream–stream join, which would emit every (run, upstream) pair of a key
+    inside the window.  Keys are hashed into ``state_groups`` groups (default
+    four per shuffle partition) so each micro-batch makes one vectorised
+    call per group, not one per key.  State holds only runs still waiting
+    (at most one timeout window of them) and upstream times not older than
+    the watermark."""
+    spark = runs.sparkSession
+    groups = state_groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     timeout_us = int(timeout_min) * 60_000_000
     rows = (
         runs.select(F.lit("run").alias("kind"), F.col("run_event_id").alias("event_id"), "key", F.col("run_ts").alias("ts"))
@@ -158,10 +173,11 @@ def stream_upstream_ready(
             upstream.select(F.lit("up").alias("kind"), F.col("up_event_id").alias("event_id"), "key", F.col("up_ts").alias("ts"))
         )
         .withColumn("ts_us", F.unix_micros("ts"))
+        .withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)))
         .withWatermark("ts", watermark)
     )
     return (
-        rows.groupBy("key")
+        rows.groupBy("group")
         .applyInPandasWithState(
             _ready_step(timeout_us), READY_OUTPUT, READY_STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
