@@ -39,17 +39,17 @@ def number_within(
     arbitrary but fixed order).  On distinct values this is ``dense_rank - 1``.
     """
     keys, order = _names(keys), _names(order)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The partition id must not change if a task is re-run, so the ranged
-    # rows are stored once and both branches below read the same files.
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    ranged = cut_lineage(
-        df.repartitionByRange(max(n, 1), *[F.col(k) for k in keys], *sort).withColumn(
-            "_slice", F.spark_partition_id()
-        ),
-        "ranged",
-    )
+    range_cols = [*[F.col(k) for k in keys], *sort]
+    # Without a fixed count AQE may merge neighbouring slices; merged slices
+    # are still ordered ranges, which is all the offsets below need.
+    if num_partitions:
+        by_range = df.repartitionByRange(num_partitions, *range_cols)
+    else:
+        by_range = df.repartitionByRange(*range_cols)
+    # The slice id must not change if a task is re-run, so the ranged rows
+    # are stored once and both branches below read the same files.
+    ranged = cut_lineage(by_range.withColumn("_slice", F.spark_partition_id()), "ranged")
     local = ranged.withColumn(
         "_local",
         F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*sort)),
@@ -99,12 +99,8 @@ def previous_within(
     Rows should be unique on ``keys + order``.
     """
     keys = _names(keys)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(
-        df.repartitionByRange(max(n, 1), *keys, order).withColumn("_slice", F.spark_partition_id()),
-        "ranged",
-    )
+    by_range = df.repartitionByRange(num_partitions, *keys, order) if num_partitions else df.repartitionByRange(*keys, order)
+    ranged = cut_lineage(by_range.withColumn("_slice", F.spark_partition_id()), "ranged")
     w = Window.partitionBy("_slice", *keys).orderBy(order)
     local = ranged.withColumn("_prev", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     tails = (

@@ -66,7 +66,7 @@ def t1_stream_poll_outcome(spark, sf_dir):
     out = ST.stream_poll_outcome(obs, starts, 360, WATERMARK)
     sink = scratch_path(spark, "t1-sink")
     SS.run_available_now(
-        out.writeStream.format("parquet").option("path", sink).outputMode("append"), scratch_path(spark, "t1-ckpt")
+        spark, out.writeStream.format("parquet").option("path", sink).outputMode("append"), scratch_path(spark, "t1-ckpt")
     )
     return spark.read.schema(ST.POLL_OUTPUT).parquet(sink)
 
@@ -98,7 +98,7 @@ def t2_stream_upstream_ready(spark, sf_dir):
     out = ST.stream_upstream_ready(clicks, purchases, 1440, WATERMARK)
     sink = scratch_path(spark, "t2-sink")
     SS.run_available_now(
-        out.writeStream.format("parquet").option("path", sink).outputMode("append"), scratch_path(spark, "t2-ckpt")
+        spark, out.writeStream.format("parquet").option("path", sink).outputMode("append"), scratch_path(spark, "t2-ckpt")
     )
     return spark.read.parquet(sink).select(
         "run_event_id", "key", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"), "up_event_id", "outcome"

@@ -125,3 +125,32 @@ def cut_lineage_counting(df: DataFrame, name: str, **metrics) -> tuple[DataFrame
     observed.write.mode("overwrite").parquet(path)
     values = obs.get
     return spark.read.schema(df.schema).parquet(path), {k: values.get(k) for k in metrics}
+
+
+_SHIPPED_KEY = "flowtables.package.shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (operators whose
+    functions run inside tasks need it), once per session: zip it on the
+    driver and register it with ``addPyFile``, which serves it to every
+    executor (``addArtifacts`` on Spark Connect)."""
+    try:
+        if spark.conf.get(_SHIPPED_KEY, None) == "1":
+            return
+    except Exception:
+        pass
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="flowtables-pkg-"), "flowtables"),
+        "zip",
+        root_dir=os.path.dirname(pkg_dir),
+        base_dir=os.path.basename(pkg_dir),
+    )
+    try:
+        spark.sparkContext.addPyFile(archive)
+    except Exception:
+        spark.addArtifacts(archive, pyfile=True)
+    spark.conf.set(_SHIPPED_KEY, "1")

@@ -46,10 +46,30 @@ def event_stream(spark: SparkSession, folder: str, schema: StructType, ts_col: s
     )
 
 
-def run_available_now(stream_writer, checkpoint: str) -> None:
+def run_available_now(
+    spark: SparkSession, stream_writer, checkpoint: str, state_partitions: int | None = None
+) -> None:
     """Start with ``Trigger.AvailableNow`` and wait until every file present
-    at start has been processed."""
-    query = stream_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    at start has been processed.
+
+    Stateful operators keep their state in a fixed number of partitions,
+    set when a checkpoint is first used.  By default that is the total
+    number of executor cores (``defaultParallelism``), a count that grows
+    with the cluster; the session setting is changed only while the query
+    starts and is put back right after.
+    """
+    if state_partitions is None:
+        try:
+            state_partitions = spark.sparkContext.defaultParallelism
+        except Exception:  # pragma: no cover - Connect sessions
+            state_partitions = None
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = stream_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover
         raise query.exception()

@@ -16,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..constants import DEFAULT_FAILURE_MESSAGE
 from ..functions.text import render_message
+from ..session import ship_package
 from .sources import run_available_now
 
 POLL_OUTPUT = "run_id long, outcome string, n_seen long"
@@ -67,6 +68,7 @@ def stream_poll_outcome(
     input are not answered yet (their deadline has not passed in event
     time).  State per run is four values; a run's rows reach the function
     in Arrow batches, never as one whole group."""
+    ship_package(observations.sparkSession)
     s = starts.select("run_id", F.col("start_ts").cast("timestamp").alias("start_ts"))
     deadline = F.col("start_ts") + F.make_dt_interval(mins=F.lit(timeout_min))
     rows = (
@@ -165,6 +167,7 @@ def stream_upstream_ready(
     (at most one timeout window of them) and upstream times not older than
     the watermark."""
     spark = runs.sparkSession
+    ship_package(spark)
     groups = state_groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     timeout_us = int(timeout_min) * 60_000_000
     rows = (
@@ -211,7 +214,7 @@ def stream_failure_alerts(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
 
-    run_available_now(alerts.writeStream.foreachBatch(write_batch), checkpoint)
+    run_available_now(tasks.sparkSession, alerts.writeStream.foreachBatch(write_batch), checkpoint)
 
 
 def incremental_run(
@@ -238,4 +241,6 @@ def incremental_run(
             .parquet(sink)
         )
 
-    run_available_now(transform(stream).writeStream.outputMode("update").foreachBatch(write_batch), checkpoint)
+    run_available_now(
+        stream.sparkSession, transform(stream).writeStream.outputMode("update").foreachBatch(write_batch), checkpoint
+    )
