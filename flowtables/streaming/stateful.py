@@ -71,15 +71,21 @@ def stream_poll_outcome(
     ship_package(observations.sparkSession)
     s = starts.select("run_id", F.col("start_ts").cast("timestamp").alias("start_ts"))
     deadline = F.col("start_ts") + F.make_dt_interval(mins=F.lit(timeout_min))
+    # Rows at or after the deadline cannot change the answer; dropping them
+    # also means no row can bring an answered run back once the watermark
+    # has passed its deadline (anything older than the watermark is late).
+    # The watermark is taken on the whole stream, before that filter: event
+    # time must keep moving even when no row of a batch is kept.
     rows = (
-        observations.join(s, "run_id")
-        .withColumn("inside", (F.col("ts") >= F.col("start_ts")) & (F.col("ts") < deadline) & F.lit(timeout_min > 0))
+        observations.withWatermark("ts", watermark)
+        .join(s, "run_id")
+        .filter(F.col("ts") < deadline)
+        .withColumn("inside", (F.col("ts") >= F.col("start_ts")) & F.lit(timeout_min > 0))
         .withColumn("deadline_ms", F.unix_millis(deadline))
         .select("run_id", "ts", "state", "inside", "deadline_ms")
     )
     return (
-        rows.withWatermark("ts", watermark)
-        .groupBy("run_id")
+        rows.groupBy("run_id")
         .applyInPandasWithState(_poll_step, POLL_OUTPUT, POLL_STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
 
