@@ -20,40 +20,65 @@ from ..session import ship_package
 from .sources import run_available_now
 
 POLL_OUTPUT = "run_id long, outcome string, n_seen long"
-POLL_STATE = "decided_ts timestamp, decided string, n_seen long, deadline_ms long"
+POLL_STATE = (
+    "run_ids array<long>, decided_us array<long>, decided array<string>, "
+    "n_seen array<long>, deadline_ms array<long>"
+)
 
 
-def _poll_step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per run: keep the earliest deciding observation inside the window
-    and the count seen; answer once, when the deadline timer fires."""
-    if state.hasTimedOut:
-        decided_ts, decided, n_seen, _ = state.get
-        state.remove()
-        if decided is not None:
-            outcome = decided
-        elif n_seen > 0:
-            outcome = None
-        else:
-            outcome = "unknown"
-        yield pd.DataFrame({"run_id": [key[0]], "outcome": [outcome], "n_seen": [n_seen]})
-        return
+def _poll_step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One state group holds the runs hashed to it.  Per run: the earliest
+    deciding observation inside the window and the count seen.  A run is
+    answered once, when the watermark has passed its deadline."""
+    cols = {"run_id": "int64", "decided_us": "Int64", "decided": "object", "n_seen": "int64", "deadline_ms": "int64"}
     if state.exists:
-        decided_ts, decided, n_seen, deadline_ms = state.get
+        ids, dus, dst, seen, dl = state.get
+        held = pd.DataFrame({"run_id": ids, "decided_us": dus, "decided": dst, "n_seen": seen, "deadline_ms": dl})
     else:
-        decided_ts, decided, n_seen, deadline_ms = None, None, 0, None
-    for pdf in batches:
-        if deadline_ms is None:
-            deadline_ms = int(pdf["deadline_ms"].iloc[0])
-        inside = pdf[pdf["inside"]]
-        n_seen += len(inside)
-        deciding = inside[inside["state"] != "running"]
-        if len(deciding):
-            first = deciding.loc[deciding["ts"].idxmin()]
-            if decided_ts is None or first["ts"] < decided_ts:
-                decided_ts, decided = first["ts"], first["state"]
-    state.update((decided_ts, decided, int(n_seen), int(deadline_ms)))
-    state.setTimeoutTimestamp(max(int(deadline_ms), state.getCurrentWatermarkMs() + 1))
-    yield from ()
+        held = pd.DataFrame({c: pd.Series(dtype=t) for c, t in cols.items()})
+    parts = [held.astype(cols)]
+    if not state.hasTimedOut:
+        for pdf in batches:
+            inside = pdf["inside"].astype(bool)
+            deciding = inside & (pdf["state"] != "running")
+            parts.append(
+                pd.DataFrame(
+                    {
+                        "run_id": pdf["run_id"].astype("int64"),
+                        "decided_us": pdf["ts_us"].where(deciding).astype("Int64"),
+                        "decided": pdf["state"].where(deciding),
+                        "n_seen": inside.astype("int64"),
+                        "deadline_ms": pdf["deadline_ms"].astype("int64"),
+                    }
+                )
+            )
+    rows = pd.concat(parts, ignore_index=True)
+    first = rows.dropna(subset=["decided_us"]).sort_values("decided_us", kind="stable").drop_duplicates("run_id")
+    runs = rows.groupby("run_id", as_index=False).agg(n_seen=("n_seen", "sum"), deadline_ms=("deadline_ms", "max"))
+    runs = runs.merge(first[["run_id", "decided_us", "decided"]], on="run_id", how="left")
+    wm = state.getCurrentWatermarkMs()
+    due = runs["deadline_ms"] < wm
+    waiting = runs[~due]
+    if len(waiting):
+        state.update((
+            waiting["run_id"].tolist(),
+            [None if pd.isna(x) else int(x) for x in waiting["decided_us"]],
+            [None if pd.isna(x) else x for x in waiting["decided"]],
+            waiting["n_seen"].astype("int64").tolist(),
+            waiting["deadline_ms"].astype("int64").tolist(),
+        ))
+        state.setTimeoutTimestamp(max(int(waiting["deadline_ms"].min()), wm + 1))
+    elif state.exists:
+        state.remove()
+    done = runs[due]
+    if len(done):
+        outcome = [
+            d if isinstance(d, str) else (None if n > 0 else "unknown")
+            for d, n in zip(done["decided"], done["n_seen"])
+        ]
+        yield pd.DataFrame(
+            {"run_id": done["run_id"].astype("int64"), "outcome": outcome, "n_seen": done["n_seen"].astype("int64")}
+        )
 
 
 def stream_poll_outcome(
@@ -61,14 +86,18 @@ def stream_poll_outcome(
     starts: DataFrame,
     timeout_min: int,
     watermark: str = "1 hour",
+    state_groups: int | None = None,
 ) -> DataFrame:
     """Streaming W4.  ``observations(run_id, ts, state)`` is a stream,
     ``starts(run_id, start_ts)`` a table of runs.  One row per run once the
     watermark passes ``start + timeout``; runs still open at the end of the
     input are not answered yet (their deadline has not passed in event
-    time).  State per run is four values; a run's rows reach the function
-    in Arrow batches, never as one whole group."""
-    ship_package(observations.sparkSession)
+    time).  Runs are hashed into ``state_groups`` state groups (default four
+    per shuffle partition): one vectorised call per group and micro-batch,
+    four values of state per run."""
+    spark = observations.sparkSession
+    ship_package(spark)
+    groups = state_groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = starts.select("run_id", F.col("start_ts").cast("timestamp").alias("start_ts"))
     deadline = F.col("start_ts") + F.make_dt_interval(mins=F.lit(timeout_min))
     # Rows at or after the deadline cannot change the answer; dropping them
@@ -82,11 +111,12 @@ def stream_poll_outcome(
         .filter(F.col("ts") < deadline)
         .withColumn("inside", (F.col("ts") >= F.col("start_ts")) & F.lit(timeout_min > 0))
         .withColumn("deadline_ms", F.unix_millis(deadline))
-        .select("run_id", "ts", "state", "inside", "deadline_ms")
+        .withColumn("ts_us", F.unix_micros("ts"))
+        .withColumn("group", F.pmod(F.xxhash64("run_id"), F.lit(groups)))
+        .select("group", "run_id", "ts", "ts_us", "state", "inside", "deadline_ms")
     )
-    return (
-        rows.groupBy("run_id")
-        .applyInPandasWithState(_poll_step, POLL_OUTPUT, POLL_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("group").applyInPandasWithState(
+        _poll_step, POLL_OUTPUT, POLL_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
