@@ -31,7 +31,7 @@ def _no_nulls(*cols: Column) -> Column:
     return F.filter(F.array(*cols), lambda x: x.isNotNull())
 
 
-def layered_dag(spark: SparkSession, sf_dir: str, marks: str = "sparse"):
+def layered_dag(spark: SparkSession, sf_dir: str, marks: str = "sparse", store_io: bool = False):
     """Pipeline ``layered``: part → order → customer → nation.
 
     Returns ``(nodes, node_io, catalog)``.  Spark marks come from all the
@@ -103,8 +103,9 @@ def layered_dag(spark: SparkSession, sf_dir: str, marks: str = "sparse"):
         .unionByName(io(customer, _name("n", "c_nationkey"), _name("dc", "c_custkey"), ROLE_IN))
         .unionByName(io(nation, _name("n", "n_nationkey"), _name("dn", "n_nationkey"), ROLE_OUT))
     )
-    # Marks, edges and the catalog all read node_io: derive it once.
-    node_io = cut_lineage(node_io, "node-io")
+    if store_io:
+        # For plans that read node_io several times (marks, edges, catalog).
+        node_io = cut_lineage(node_io, "node-io")
     catalog = (
         node_io.filter(F.col("role") == ROLE_OUT)
         .select(

@@ -80,13 +80,13 @@ gedges AS (
 )"""
 
 
-def _layered(spark: SparkSession, sf_dir: str, marks: str = "sparse"):
-    return B.layered_dag(spark, sf_dir, marks)
+def _layered(spark: SparkSession, sf_dir: str, marks: str = "sparse", store_io: bool = False):
+    return B.layered_dag(spark, sf_dir, marks, store_io)
 
 
 def _marked_edges(spark: SparkSession, sf_dir: str, marks: str):
     """P1 and J1 on the layered DAG, each stored once for the loops after."""
-    nodes, io, cat = _layered(spark, sf_dir, marks)
+    nodes, io, cat = _layered(spark, sf_dir, marks, store_io=True)
     marked = cut_lineage(classify.mark_spark_nodes(nodes, io, cat).select("pipeline", "node", "is_spark"), "marked")
     return marked, cut_lineage(edges.dataset_edges(io), "edges")
 
@@ -107,7 +107,7 @@ GROUP BY g.group_name, g.group_type, ch.n, pa.n
 )
 def g3_group_pipeline(spark, sf_dir):
     """Flagship: group the layered DAG (sparse marks) and summarise groups."""
-    nodes, io, cat = _layered(spark, sf_dir, "sparse")
+    nodes, io, cat = _layered(spark, sf_dir, "sparse", store_io=True)
     return group_summary(group_pipeline(nodes, io, cat, grouped=True))
 
 
@@ -229,7 +229,7 @@ def w2_renumber_groups(spark, sf_dir):
 
 
 def _sparse_grouping(spark, sf_dir):
-    nodes, io, cat = _layered(spark, sf_dir, "sparse")
+    nodes, io, cat = _layered(spark, sf_dir, "sparse", store_io=True)
     return io, group_pipeline(nodes, io, cat, grouped=True)
 
 
@@ -319,14 +319,14 @@ LEFT JOIN (SELECT child_group, count(*) AS n FROM gedges GROUP BY 1) pa ON pa.ch
 """,
 )
 def g2_singleton_groups(spark, sf_dir):
-    nodes, io, cat = _layered(spark, sf_dir, "sparse")
+    nodes, io, cat = _layered(spark, sf_dir, "sparse", store_io=True)
     return group_summary(group_pipeline(nodes, io, cat, grouped=False))
 
 
 @register("g4_dag_levels")
 def g4_dag_levels(spark, sf_dir):
     """Levels of the grouped dense-marked DAG (contraction makes cycles there)."""
-    nodes, io, cat = _layered(spark, sf_dir, "dense")
+    nodes, io, cat = _layered(spark, sf_dir, "dense", store_io=True)
     g = group_pipeline(nodes, io, cat, grouped=True)
     groups = g.groups.select("pipeline", F.col("group_name").alias("group")).distinct()
     return graph.dag_levels(g.group_edges, groups)
