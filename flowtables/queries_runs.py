@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import bindings as B
+from .constants import SUPPORTED_HANDLER_TYPES
 from .functions import tags as T
 from .operators import classify, registry, runs, sets
 from .queries import register
@@ -312,7 +313,7 @@ def p6_supported_handlers(spark, sf_dir):
     ev = B.table(spark, sf_dir, "events")
     handlers = ev.select(
         F.col("event_id").alias("handler_id"),
-        F.when(F.col("event_type") == "error", "slack").otherwise(F.col("event_type")).alias("type"),
+        F.when(F.col("event_type") == "error", F.lit(SUPPORTED_HANDLER_TYPES[0])).otherwise(F.col("event_type")).alias("type"),
         F.concat(F.lit("conn-"), F.col("user_id").cast("string")).alias("connection_id"),
         F.when(F.col("event_id") % 2 == 0, F.col("props")).alias("message_template"),
     )

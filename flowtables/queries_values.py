@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import bindings as B
+from .constants import VAR_PREFIX
 from .functions import dates as D
 from .functions import settings as S
 from .functions import spark_conf as SC
@@ -273,11 +274,11 @@ def f8_prefixed_vars(spark, sf_dir):
             F.array(
                 F.when(
                     F.col("event_type") == "purchase",
-                    F.struct(F.lit("KEDRO_CONFIG_COMMIT_ID").alias("k"), F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("v")),
+                    F.struct(F.lit(VAR_PREFIX + "COMMIT_ID").alias("k"), F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("v")),
                 ),
-                F.struct(F.lit("KEDRO_CONFIG_K").alias("k"), F.get_json_object("props", "$.k").alias("v")),
+                F.struct(F.lit(VAR_PREFIX + "K").alias("k"), F.get_json_object("props", "$.k").alias("v")),
                 F.struct(F.lit("OTHER_VAR").alias("k"), F.col("event_type").alias("v")),
-                F.struct(F.lit("KEDRO_CONFIG_USER_KEDRO_CONFIG_ID").alias("k"), F.col("user_id").cast("string").alias("v")),
+                F.struct(F.lit(VAR_PREFIX + "USER_" + VAR_PREFIX + "ID").alias("k"), F.col("user_id").cast("string").alias("v")),
             ),
             lambda e: e.isNotNull(),
         )

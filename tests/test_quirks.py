@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from flowtables.constants import VAR_PREFIX
 from flowtables.functions import dates as D
 from flowtables.functions import settings as S
 from flowtables.functions import tags as T
@@ -107,7 +108,8 @@ def test_substitute_placeholders(spark):
 
 
 def test_prefixed_vars(spark):
-    df = spark.createDataFrame([({"KEDRO_CONFIG_COMMIT_ID": "c1", "OTHER": "x", "KEDRO_CONFIG_A_KEDRO_CONFIG_B": "y"},)], "m map<string,string>")
+    env = {VAR_PREFIX + "COMMIT_ID": "c1", "OTHER": "x", VAR_PREFIX + "A_" + VAR_PREFIX + "B": "y"}
+    df = spark.createDataFrame([(env,)], "m map<string,string>")
     got = df.select(X.prefixed_vars("m").alias("v")).first().v
     assert got == {"commit_id": "c1", "branch_name": None, "a_b": "y"}
 
