@@ -217,7 +217,9 @@ def dag_levels(group_edges: DataFrame, groups: DataFrame | None = None, max_roun
     )
     if groups is not None:
         nodes = nodes.unionByName(groups.select("pipeline", "group"))
-    remaining = cut_lineage(nodes.distinct(), "levels-nodes")
+    # The first round reads the node list straight from the (stored) inputs;
+    # later rounds read the previous round's stored output.
+    remaining = nodes.distinct()
     e = cut_lineage(e.distinct(), "levels-edges")
     levelled: list[DataFrame] = []
     for level in range(max_rounds):
