@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontam, warc
+from . import decontam, huffman, mixing, warc
 
 QUERIES = {
+    "op3_huffman": huffman.op3_huffman,
     "op6_warc": warc.op6_warc,
     "op7_decontam": decontam.op7_decontam,
+    "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
     "op6_warc": warc.ORACLE,
