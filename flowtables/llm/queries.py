@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontam, huffman, mixing, warc
+from . import decontam, huffman, mixing, quality, toxicity, warc
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op3_huffman": huffman.op3_huffman,
+    "op4_quality": quality.op4_quality,
     "op6_warc": warc.op6_warc,
     "op7_decontam": decontam.op7_decontam,
     "op10_mixing": mixing.op10_mixing,
