@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, huffman, mixing, quality, toxicity, warc
+from . import decontam, fingerprint, huffman, mixing, quality, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op6_warc": warc.op6_warc,
     "op7_decontam": decontam.op7_decontam,
+    "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
