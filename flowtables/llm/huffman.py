@@ -42,29 +42,44 @@ from pyspark.sql.utils import AnalysisException
 from .common import arrow_map, read_table, scratch_path, ship_package, sum_vectors, vector_rows
 
 END_ID = 2
+VOCABULARY = 49408
 MAX_BITS = 16
 BLOCK_IDS = 1 << 19
 CHECKPOINT_IDS = 256
 SEPARATOR = "\n~~\n"
-#: Known chunks a worker keeps; beyond it the cache starts anew.
-CACHE_CHUNKS = 300_000
+#: Known chunks a worker keeps (of at most ``CACHE_BYTES`` each); beyond it the cache starts anew.
+CACHE_CHUNKS = 700_000
+CACHE_BYTES = 64
 
 # --- tokenizing ---------------------------------------------------------
 
 _STATE: dict = {}
 
 
+def _byte_letters() -> dict[int, int]:
+    """Byte-level models write a byte as a visible character: itself where it
+    is one, and otherwise the next of the characters from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 0x100 + i for i, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class ChunkTokenizer:
     """The library's ids of a text, put together from those of its chunks.
 
     The tokenizer drops white space and never joins characters across it, so a
     text's ids are those of its white-space separated chunks one after the
-    other (and ASCII case is lowered by it anyway).  A full stop or comma
-    after an ASCII letter or digit at a chunk's end is always a piece of its
-    own.  Chunks repeat, so most are looked up.
+    other (and ASCII case is lowered by it anyway).  Signs never share a piece
+    with letters or digits, so a chunk may also be cut where an ASCII sign
+    follows a letter or digit (but for the apostrophe, which some pieces begin
+    with).  Chunks repeat, so most are looked up.
     """
 
-    _TAIL = re.compile(rb"(?<=[a-z0-9])[.,](?=[\x20\x09-\x0D]|\Z)")
+    #: Signs after an ASCII letter or digit, or after a letter of U+00C0 to U+00FF.
+    _SIGNS = re.compile(rb"[!-&(-/:-@\[-`{-~](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -77,19 +92,35 @@ class ChunkTokenizer:
         if not text:
             return b""
         raw = text.encode("utf-8", "surrogatepass")
-        chunks = (raw if b"<|" in raw else self._TAIL.sub(rb" \g<0>", raw.lower())).split()
-        try:
-            return b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
+        # A special token's text must stay whole, and matters by case.
+        chunks = (raw if b"<|" in raw else self._SIGNS.sub(rb" \g<0>", raw.lower())).split()
         known = self.known
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        encoded = self.tok.encode_batch([c.decode("utf-8", "replace") for c in missing], add_special_tokens=False)
-        for c, e in zip(missing, encoded, strict=True):
-            known[c] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, chunks))
+        out = list(map(known.get, chunks))
+        if None in out:
+            holes = [i for i, x in enumerate(out) if x is None]
+            found = self._encode(list(dict.fromkeys([chunks[i] for i in holes])))
+            for i in holes:
+                out[i] = found[chunks[i]]
+            if len(known) > CACHE_CHUNKS:
+                known.clear()
+            known.update((c, x) for c, x in found.items() if len(c) <= CACHE_BYTES)
+        return b"".join(out)
+
+    #: Chunks of lower-case letters up to U+00FF only: normalising leaves them as they are, and they are one piece.
+    _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+    def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        out, rest = {}, []
+        piece, letters = self.tok.model.tokenize, self._LETTERS.fullmatch
+        for c in chunks:
+            if letters(c):
+                out[c] = np.array([t.id for t in piece(c.decode("latin-1").translate(BYTE_LETTERS))], "<u4").tobytes()
+            else:
+                rest.append(c)
+        encoded = self.tok.encode_batch_fast([c.decode("utf-8", "replace") for c in rest], add_special_tokens=False)
+        for c, e in zip(rest, encoded, strict=True):
+            out[c] = np.array(e.ids, "<u4").tobytes()
+        return out
 
 
 def _tokenizer(path: str | None) -> ChunkTokenizer:
@@ -107,30 +138,42 @@ def _tokenizer(path: str | None) -> ChunkTokenizer:
     return _STATE[path]
 
 
-def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """``(doc_id, n, ids)``: the ids of each whole text and the end id, as
-    zstandard-packed little-endian u32 bytes.
+def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, vocabulary: int = VOCABULARY) -> DataFrame:
+    """``(doc_id, n, ids, slice, v)``: per document the ids of its whole text and
+    the end id, as zstandard-packed bytes; and per task, in rows of their own
+    (``slice`` not null), how often it met each id.
 
     ``tokenizer`` is the file on the executors (None: ``word_bpe_49k.json`` of
-    the installed public tokenizers).
+    the installed public tokenizers); all ids are below ``vocabulary``.
     """
     end = struct.pack("<I", end_id)
+    schema = "doc_id long, n long, ids binary, slice int, v binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         tok, pack = _tokenizer(tokenizer), zstandard.ZstdCompressor(level=1).compress
+        total = np.zeros(vocabulary, np.int64)
+        names = ["doc_id", "n", "ids", "slice", "v"]
         for b in batches:
-            n, packed = [], []
+            n, packed, held = [], [], []
             for text in b.column(1).to_pylist():
                 ids = tok.ids(text) + end
                 n.append(len(ids) // 4)
                 a = np.frombuffer(ids, "<u4")
-                packed.append(pack(a.astype("<u2").tobytes() if a.max() < 65536 else b"\0" + ids))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "n", "ids"])
+                held.append(a)
+                packed.append(pack(a.astype("<u2").tobytes() if vocabulary <= 65536 else b"\0" + ids))
+            if held:
+                total += np.bincount(np.concatenate(held), minlength=vocabulary)
+            nothing = [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.binary()), *nothing], names)
+        counts = vector_rows(total)
+        rows = counts.num_rows
+        none = [pa.nulls(rows, t) for t in (pa.int64(), pa.int64(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, *counts.columns], names)
 
     inner = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return arrow_map(inner, run, "doc_id long, n long, ids binary")
+    return arrow_map(inner, run, schema)
 
 
 def unpack_ids(packed: bytes) -> np.ndarray:
@@ -198,17 +241,16 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 def pack_bits(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """``(payload, bit offset of each id)``."""
     bits = lengths[ids].astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(bits)])
+    at = np.cumsum(bits)
     total = int(at[-1])
-    at = at[:-1]
-    byte = at >> 3
-    word = codes[ids].astype(np.uint64) << (np.uint64(40) - bits.astype(np.uint64) - (at & 7).astype(np.uint64))
+    at -= bits
+    byte, shift = at >> 3, at & 7
+    spread = (int(lengths.max()) + 14) // 8  # bytes that a code can touch
+    word = codes[ids].astype(np.uint64) << (8 * spread - bits - shift).astype(np.uint64)
     size = (total + 7) // 8 + 8
     out = np.zeros(size, np.uint8)
-    for i in range(5):
-        part = (word >> np.uint64(32 - 8 * i)) & np.uint64(255)
-        if i >= 3 and not part.any():
-            continue
+    for i in range(spread):
+        part = (word >> np.uint64(8 * (spread - 1 - i))).astype(np.uint8)
         out += np.bincount(byte + i, weights=part, minlength=size).astype(np.uint8)[:size]  # bits do not overlap
     return out.tobytes(), at
 
@@ -274,26 +316,20 @@ def parse_file(raw: bytes) -> Iterator[tuple[int, list, np.ndarray]]:
 
 
 def count_ids(encoded: DataFrame, vocabulary: int) -> np.ndarray:
-    """How often each id occurs, over all documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(vocabulary, np.int64)
-        for b in batches:
-            for x in b.column(0):
-                total += np.bincount(unpack_ids(x.as_py()), minlength=vocabulary)
-        yield vector_rows(total)
-
-    return sum_vectors(arrow_map(encoded.select("ids"), run, "slice int, v binary"), vocabulary)
+    """How often each id occurs, over all documents: the sum of what the tasks counted."""
+    return sum_vectors(encoded.filter("slice IS NOT NULL").select("slice", "v"), vocabulary)
 
 
-def write_ids(encoded: DataFrame, path: str, vocabulary: int = 49408, files: int | None = None, max_bits: int = MAX_BITS, block_ids: int = BLOCK_IDS, step: int = CHECKPOINT_IDS) -> None:
-    """Write ``(doc_id, n, ids)`` below ``path``; ``encoded`` is read twice, so it should be stored."""
+def write_ids(encoded: DataFrame, path: str, vocabulary: int = VOCABULARY, files: int | None = None, max_bits: int = MAX_BITS, block_ids: int = BLOCK_IDS, step: int = CHECKPOINT_IDS) -> None:
+    """Write what ``encode_documents`` made below ``path``; ``encoded`` is read twice, so it should be stored."""
     spark = encoded.sparkSession
     lengths = code_lengths(count_ids(encoded, vocabulary), max_bits)
     shipped = spark.sparkContext.broadcast(lengths)  # one byte per id of the vocabulary
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
-        encoded.withColumn("last", F.col("doc_id").isNull())
+        encoded.filter("slice IS NULL")
+        .select("doc_id", "ids")
+        .withColumn("last", F.col("doc_id").isNull())
         .repartitionByRange(files, "last", "doc_id")
         .sortWithinPartitions("last", "doc_id", "ids")
         .select(F.spark_partition_id().alias("part"), "doc_id", "ids")
