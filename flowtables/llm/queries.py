@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, fingerprint, huffman, mixing, quality, toxicity, warc
+from . import decontam, fingerprint, huffman, mixing, ngram_join, quality, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,10 +10,12 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op6_warc": warc.op6_warc,
     "op7_decontam": decontam.op7_decontam,
+    "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
     "op6_warc": warc.ORACLE,
     "op7_decontam": decontam.ORACLE,
+    "op8_ngram_join": ngram_join.ORACLE,
 }
