@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontam, fingerprint, huffman, mixing, ngram_join, quality, toxicity, warc
+from . import decontam, fingerprint, huffman, lm_score, mixing, ngram_join, quality, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op3_huffman": huffman.op3_huffman,
     "op4_quality": quality.op4_quality,
+    "op5_lm_score": lm_score.op5_lm_score,
     "op6_warc": warc.op6_warc,
     "op7_decontam": decontam.op7_decontam,
     "op8_ngram_join": ngram_join.op8_ngram_join,
