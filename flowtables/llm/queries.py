@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontam, fingerprint, huffman, lm_score, mixing, ngram_join, quality, toxicity, warc
+from . import decontam, fingerprint, huffman, langid, lm_score, mixing, ngram_join, quality, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_langid": langid.op2_langid,
     "op3_huffman": huffman.op3_huffman,
     "op4_quality": quality.op4_quality,
     "op5_lm_score": lm_score.op5_lm_score,
