@@ -7,17 +7,14 @@ defaults of settings), stated once here and used throughout.
 # Dataset classes whose datasets make a node a Spark node.
 SPARK_DATASET_TYPES = ("SparkDataSet", "SparkHiveDataSet", "SparkJDBCDataSet")
 
-# Fixed value: the tag that forces a node into a Spark group.
-SPARK_GROUP_TAG = "kedro-airflow-k8s:group:pyspark"
+# Default tag that forces a node into a Spark group; callers with another tag pass theirs.
+SPARK_GROUP_TAG = "group:pyspark"
 
 # Fixed value: fully qualified class of a Spark DataFrame type hint.
 SPARK_FRAME_CLASS = "pyspark.sql.dataframe.DataFrame"
 
-# Tag prefixes.
+# Fixed value: prefix of the tag that names a node's profile.
 RESOURCES_PREFIX = "resources:"
-TEMPLATE_PREFIX = "k8s_template:"
-EXPERIMENT_PREFIX = "experiment_name:"
-COMMIT_PREFIX = "commit_sha:"
 
 # Group types and group-name prefix.
 GROUP_SPARK = "pyspark"
@@ -31,21 +28,14 @@ DEFAULT_PROFILE = "__default__"
 SUPPORTED_HANDLER_TYPES = ("slack",)
 DEFAULT_FAILURE_MESSAGE = "Task failed!"
 
-# Defaults of an upstream (external pipeline) dependency.
-DEP_CHECK_EXISTENCE = True
-DEP_EXECUTION_DELTA_MIN = 0
-DEP_TIMEOUT_MIN = 60 * 24
-
-# Placeholder variables read from the environment.
-VAR_PREFIX = "KEDRO_CONFIG_"
+# Default prefix of the environment variables that fill placeholders; callers with another prefix pass theirs.
+VAR_PREFIX = "PIPELINE_VAR_"
+# Placeholder variables and their values when unset.
 VAR_DEFAULTS = {"commit_id": None, "branch_name": None}
 
 # Run-parameter keys logged when a tracked run starts.
 RUN_PARAM_KEYS = ("image", "dag_id", "execution_date")
 
-# Macro parameters passed to every step.
-MACRO_PARAMS = ("ds", "prev_ds")
-
 # Worker types that receive Spark settings.
 WORKER_TYPES = ("driver", "executor")
 

@@ -15,9 +15,11 @@ def _c(col: Column | str) -> Column:
 
 def start_date(col: Column | str, as_of: Column | str) -> Column:
     """``YYYYMMDD`` (string or integer) → date; missing or blank → two
-    days before ``as_of`` (passed in, so results repeat)."""
+    days before ``as_of`` (passed in, so results repeat); anything else fails."""
     text = F.nullif(F.trim(_c(col).cast("string")), F.lit(""))
-    return F.coalesce(F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"), F.date_sub(_c(as_of).cast("date"), 2))
+    given = F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date")
+    wrong = F.raise_error(F.concat(F.lit("not a date of the form YYYYMMDD: "), text)).cast("date")
+    return F.when(text.isNull(), F.date_sub(_c(as_of).cast("date"), 2)).when(given.isNull(), wrong).otherwise(given)
 
 
 def run_macros(df: DataFrame, ts_col: str, prev_col: str | None = None) -> DataFrame:
@@ -48,15 +50,29 @@ def _ceil_tick(start: Column, preset: str) -> Column:
     return F.when(floor < start, floor + step).otherwise(floor), step
 
 
-def run_calendar(df: DataFrame, start_col: str, preset: str, as_of: Column | str, out: str = "run_ts") -> DataFrame:
+def run_calendar(df: DataFrame, start_col: str, preset: str | Column | None, as_of: Column | str, out: str = "run_ts") -> DataFrame:
     """one row per scheduled run between the start and ``as_of``.
 
-    Runs start on the first tick at or after the start; a run is listed once
-    its interval has ended (tick + step ≤ as_of).  Rows are generated per
-    input row with ``sequence``, no grouping.
+    ``preset`` is one name for all rows or a column (null: not scheduled, no
+    runs; an unknown name fails).  Runs start on the first tick at or after
+    the start; a run is listed once its interval has ended (tick + step ≤
+    as_of).  Rows are generated per input row with ``sequence``, no grouping.
     """
-    start = _c(start_col).cast("timestamp")
-    first, step = _ceil_tick(start, preset)
-    last = _c(as_of).cast("timestamp") - step
-    ticks = F.when(first <= last, F.sequence(first, last, step)).otherwise(F.array().cast("array<timestamp>"))
-    return df.withColumn(out, F.explode(ticks))
+    start, end = _c(start_col).cast("timestamp"), _c(as_of).cast("timestamp")
+    none = F.array().cast("array<timestamp>")
+
+    def ticks(name: str) -> Column:
+        first, step = _ceil_tick(start, name)
+        last = end - step
+        return F.when(first <= last, F.sequence(first, last, step)).otherwise(none)
+
+    if preset is None:
+        runs = none
+    elif isinstance(preset, Column):
+        runs = F.when(preset.isNull(), none)
+        for name in SCHEDULE_PRESETS:
+            runs = runs.when(preset == name, ticks(name))
+        runs = runs.otherwise(F.raise_error(F.concat(F.lit("unsupported schedule preset "), preset)).cast("array<timestamp>"))
+    else:
+        runs = ticks(preset)
+    return df.withColumn(out, F.explode(runs))

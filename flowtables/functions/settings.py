@@ -75,10 +75,12 @@ def dependent_default(m: Column | str, key: str, other: str, prefix: str = "") -
 
 
 def truthy_or_empty(col: Column | str) -> Column:
-    """P10: null, empty string and numeric zero become ''; other values are
-    returned as strings.  The string '0' is kept."""
+    """P10: null, empty string, numeric zero and false become ''; other values
+    are returned as strings.  The string '0' is kept."""
     c = _c(col)
-    return F.when(c.isNull(), F.lit("")).otherwise(c.cast("string"))
+    text, kind = c.cast("string"), F.typeof(c)
+    zero = (kind != "string") & F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    return F.when(c.isNull() | zero | ((kind == "boolean") & (text == "false")), F.lit("")).otherwise(text)
 
 
 def truthy_or_empty_number(col: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,8 +54,9 @@ def fan_out_keys(
     labels: str | None = None,
 ) -> DataFrame:
     """``(entity, conf_key, conf_value)`` with each setting written once
-    per worker type; unset (null or '') settings are left out; storage keys
-    appear only when both class and size are set.
+    per worker type; unset (null or '') resource settings are left out;
+    storage keys appear only when both class and size are set; every entry of
+    the secrets and labels is written, empty values too.
 
     The two worker types come from ``explode`` of a literal array on each
     row (no join); map settings (secrets, labels) fan out with
@@ -66,7 +67,7 @@ def fan_out_keys(
     pairs: list[Column] = []
     for name, col in resources.items():
         v = _c(col).cast("string")
-        pairs.append(F.array(F.struct(_key(RESOURCE_KEYS[name], w).alias("k"), v.alias("v"))))
+        pairs.append(F.filter(F.array(F.struct(_key(RESOURCE_KEYS[name], w).alias("k"), v.alias("v"))), lambda e: _truthy(e["v"])))
     if storage_class and storage_size:
         cls, size = _c(storage_class).cast("string"), _c(storage_size).cast("string")
         both = _truthy(cls) & _truthy(size)
@@ -99,29 +100,34 @@ def fan_out_keys(
         ])
         .select(entity_col, F.explode(all_pairs).alias("_p"))
         .select(entity_col, F.col("_p.k").alias("conf_key"), F.col("_p.v").alias("conf_value"))
-        .filter(_truthy(F.col("conf_value")))
     )
 
 
-# Fields of a mounted secret and the default deploy type.
+# Fields of a mounted secret, of a toleration, and the default deploy type.
 MOUNT_FIELDS = ("secret", "deploy_type", "deploy_target", "key")
+TOLERATION_FIELDS = ("effect", "key", "operator", "value")
 DEFAULT_DEPLOY_TYPE = "env"
 
 
-def explode_mounts(df: DataFrame, id_col: str, array_col: str) -> DataFrame:
-    """array-of-map settings → one row per element, missing fields null,
-    ``deploy_type`` defaulting to ``env`` when absent.  Rows with an empty
-    or null array are kept once with all fields null."""
+def explode_maps(df: DataFrame, id_col: str, array_col: str, fields: Sequence[str], defaults: Mapping[str, str] | None = None) -> DataFrame:
+    """array-of-map settings → one row per element, missing fields null
+    or their default.  Rows with an empty or null array are kept once with
+    all fields null."""
     e = F.col("_m")
-    fields = []
-    for f in MOUNT_FIELDS:
+    cols = []
+    for f in fields:
         value = F.try_element_at(e, F.lit(f))
-        if f == "deploy_type":
-            value = F.when(e.isNull(), F.lit(None).cast("string")).when(
-                F.map_contains_key(e, f), value
-            ).otherwise(F.lit(DEFAULT_DEPLOY_TYPE))
-        fields.append(value.alias(f))
-    return (
-        df.select(id_col, F.posexplode_outer(array_col).alias("pos", "_m"))
-        .select(id_col, "pos", *fields)
-    )
+        if defaults and f in defaults:
+            value = F.when(e.isNull() | F.map_contains_key(e, f), value).otherwise(F.lit(defaults[f]))
+        cols.append(value.alias(f))
+    return df.select(id_col, F.posexplode_outer(array_col).alias("pos", "_m")).select(id_col, "pos", *cols)
+
+
+def explode_mounts(df: DataFrame, id_col: str, array_col: str) -> DataFrame:
+    """F12 for mounted secrets: ``deploy_type`` is ``env`` when absent."""
+    return explode_maps(df, id_col, array_col, MOUNT_FIELDS, {"deploy_type": DEFAULT_DEPLOY_TYPE})
+
+
+def explode_tolerations(df: DataFrame, id_col: str, array_col: str) -> DataFrame:
+    """F12 for tolerations: effect, key, operator and value, null when absent."""
+    return explode_maps(df, id_col, array_col, TOLERATION_FIELDS)

@@ -46,6 +46,7 @@ def mark_spark_nodes(
     node_io: DataFrame,
     catalog: DataFrame,
     spark_types: Iterable[str] = SPARK_DATASET_TYPES,
+    group_tag: str = SPARK_GROUP_TAG,
 ) -> DataFrame:
     """Add ``is_spark`` to ``nodes``.
 
@@ -67,7 +68,7 @@ def mark_spark_nodes(
     by_hint = (
         _flag(F.array_contains("param_types", SPARK_FRAME_CLASS))
         | _flag(F.col("return_type") == SPARK_FRAME_CLASS)
-        | _flag(F.array_contains("tags", SPARK_GROUP_TAG))
+        | _flag(F.array_contains("tags", group_tag))
     )
     return (
         nodes.join(io_flag, ["pipeline", "node"], "left")
@@ -80,24 +81,18 @@ def select_nodes(
     nodes: DataFrame,
     pipeline: str,
     names: Iterable[str] | DataFrame | None = None,
-    inline_limit: int = 1000,
 ) -> DataFrame:
     """P5: nodes of one pipeline, optionally only the named ones.
 
-    A short name list becomes an ``IN`` predicate (pushed into the scan);
-    a long list or a DataFrame of names becomes a left semi join.
+    The caller chooses the form: a list of names becomes an ``IN`` predicate
+    (pushed into the scan), a DataFrame of names a left semi join.
     """
     out = nodes.filter(F.col("pipeline") == F.lit(pipeline))
     if names is None:
         return out
     if isinstance(names, DataFrame):
         return out.join(names.select(F.col(names.columns[0]).alias("node")), "node", "left_semi")
-    names = list(names)
-    if len(names) <= inline_limit:
-        return out.filter(F.col("node").isin(names))
-    spark = nodes.sparkSession
-    name_df = spark.createDataFrame([(n,) for n in names], "node string")
-    return out.join(name_df, "node", "left_semi")
+    return out.filter(F.col("node").isin(list(names)))
 
 
 def supported_handlers(

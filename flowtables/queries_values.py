@@ -12,7 +12,6 @@ from .functions import settings as S
 from .functions import spark_conf as SC
 from .functions import text as X
 from .operators import lookup
-from .operators.ranking import number_within
 from .queries import register
 
 _SETTINGS_SQL = """
@@ -107,10 +106,15 @@ def p11_first_set(spark, sf_dir):
 # Strings.
 
 def _slug_sql(expr: str) -> str:
-    out = expr
-    for a, b in X.SLUG_LIGATURES:
-        out = f"replace({out}, '{a}', '{b}')"
-    return f"trim(regexp_replace(lower(strip_accents({out})), '[^a-z0-9]+', '-', 'g'), '-')"
+    """Slug in SQL, written from the rule and not from the implementation."""
+    spelled = (
+        f"replace(replace(replace(replace(replace(replace(replace({expr}, 'ß', 'ss'), 'œ', 'oe'), 'Œ', 'oe'),"
+        " 'æ', 'ae'), 'Æ', 'ae'), 'ø', 'o'), 'ł', 'l')"
+    )
+    lowered = f"lower(strip_accents({spelled}))"
+    # Digits lose the comma between them; twice, since a digit can end one match and begin the next.
+    joined = f"regexp_replace(regexp_replace({lowered}, '([0-9]),([0-9])', '\\1\\2', 'g'), '([0-9]),([0-9])', '\\1\\2', 'g')"
+    return f"trim(regexp_replace({joined}, '[^a-z0-9]+', '-', 'g'), '-')"
 
 
 @register("f1_slugify", f"SELECT doc_id, {_slug_sql('text')} AS slug FROM documents")
@@ -138,7 +142,7 @@ _AS_OF_F3 = "2024-06-01"
     "f3_start_date",
     f"""
 SELECT o_orderkey,
-  CASE WHEN o_orderkey % 7 IN (0, 1) THEN DATE '{_AS_OF_F3}' - INTERVAL 2 DAY ELSE CAST(o_orderdate AS DATE) END::DATE
+  CASE WHEN o_orderkey % 7 IN (0, 1, 3) THEN DATE '{_AS_OF_F3}' - INTERVAL 2 DAY ELSE CAST(o_orderdate AS DATE) END::DATE
     AS start_date
 FROM orders
 """,
@@ -150,6 +154,7 @@ def f3_start_date(spark, sf_dir):
         F.when(k == 0, F.lit(None).cast("string"))
         .when(k == 1, F.lit(""))
         .when(k == 2, F.date_format("o_orderdate", "yyyyMMdd").cast("int").cast("string"))
+        .when(k == 3, F.lit("  "))
         .otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
     )
     return o.select("o_orderkey", D.start_date(raw, F.lit(_AS_OF_F3)).alias("start_date"))
@@ -176,11 +181,12 @@ def f4_run_macros(spark, sf_dir):
     """
 WITH p AS (
   SELECT o_orderkey,
-    'ds:' || strftime(o_orderdate, '%Y-%m-%d') || ',priority:' || o_orderpriority || ',status:' || o_orderstatus
+    'ds:' || strftime(o_orderdate, '%Y-%m-%d') || ',priority:' || o_orderpriority || ',status:' || CASE WHEN o_orderkey % 5 = 0 THEN 'None' ELSE o_orderstatus END
       || ',ts:' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS params,
     o_orderpriority, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts_back
   FROM orders)
-SELECT o_orderkey, params, o_orderpriority AS priority_back, ts_back, 4 AS n_pairs FROM p
+SELECT o_orderkey, params, o_orderpriority AS priority_back, regexp_extract(params, 'status:([^,]*)', 1) AS status_back,
+  ts_back, 4 AS n_pairs FROM p
 """,
 )
 def f5_render_params(spark, sf_dir):
@@ -188,17 +194,18 @@ def f5_render_params(spark, sf_dir):
     m = F.create_map(
         F.lit("ds"), F.date_format("o_orderdate", "yyyy-MM-dd"),
         F.lit("priority"), F.col("o_orderpriority"),
-        F.lit("status"), F.col("o_orderstatus"),
+        F.lit("status"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")),
         F.lit("ts"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
     )
     rendered = o.select("o_orderkey", X.render_params(m).alias("params"))
     # The step reads them back from padded text, as a rendered command would hold them.
-    padded = F.concat(F.lit("\n    "), F.regexp_replace("params", ",", ",\n    "), F.lit(",\n  "))
+    padded = F.concat(F.lit("\n    status:earlier,\n    "), F.regexp_replace("params", ",", ",\n    "), F.lit(",\n  "))
     back = rendered.withColumn("_m", X.parse_params(padded))
     return back.select(
         "o_orderkey",
         "params",
         F.col("_m")["priority"].alias("priority_back"),
+        F.col("_m")["status"].alias("status_back"),
         F.col("_m")["ts"].alias("ts_back"),
         F.size("_m").alias("n_pairs"),
     )
@@ -212,9 +219,9 @@ _MESSAGE = "Task {task} in {dag} failed at {execution_time}. Log: {url}"
     """
 SELECT l_orderkey, l_linenumber,
   CASE WHEN l_linenumber % 4 = 0 THEN 'Task failed!'
-       ELSE 'Task task-' || l_linenumber || ' in run-' || l_orderkey || ' failed at '
+       ELSE 'Task task-{dag}-' || l_linenumber || ' in run-' || l_orderkey || ' failed at '
             || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') || '. Log: http://scheduler/log?run=run-' || l_orderkey
-            || '&task=task-' || l_linenumber END AS message
+            || '&task=task-{dag}-' || l_linenumber END AS message
 FROM lineitem WHERE l_returnflag = 'R'
 """,
 )
@@ -222,7 +229,7 @@ def f6_render_message(spark, sf_dir):
     from .constants import DEFAULT_FAILURE_MESSAGE
 
     li = B.table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-    task = F.concat(F.lit("task-"), F.col("l_linenumber").cast("string"))
+    task = F.concat(F.lit("task-{dag}-"), F.col("l_linenumber").cast("string"))
     dag = F.concat(F.lit("run-"), F.col("l_orderkey").cast("string"))
     template = F.when(F.col("l_linenumber") % 4 != 0, F.lit(_MESSAGE))
     fields = {
@@ -238,19 +245,18 @@ def f6_render_message(spark, sf_dir):
     "f7_substitute",
     """
 SELECT p_partkey,
-  'gcr.io/project-image/' || coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_brand END, 'dirty') || '/' || p_type || '/'
-  || coalesce(CASE WHEN p_partkey % 3 = 0 THEN lower(p_type) END, 'local') || '/${unset_var}' AS resolved
+  'store/' || coalesce(CASE WHEN p_partkey % 2 = 0 THEN '${shape}' || p_brand END, 'plain') || '/' || p_type || '/'
+  || coalesce(CASE WHEN p_partkey % 3 = 0 THEN lower(p_type) || '$1' END, 'round') || '/${unset.var}' AS resolved
 FROM part
 """,
 )
 def f7_substitute(spark, sf_dir):
+    """Values hold placeholders and signs of their own, which stay as they are."""
     p = B.table(spark, sf_dir, "part")
-    text = F.concat(
-        F.lit("gcr.io/project-image/${commit_id|dirty}/"), F.col("p_type"), F.lit("/${branch_name|local}/${unset_var}")
-    )
+    text = F.concat(F.lit("store/${colour|plain}/"), F.col("p_type"), F.lit("/${shape|round}/${unset.var}"))
     variables = F.create_map(
-        F.lit("commit_id"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")),
-        F.lit("branch_name"), F.when(F.col("p_partkey") % 3 == 0, F.lower("p_type")),
+        F.lit("colour"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("${shape}"), "p_brand")),
+        F.lit("shape"), F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lower("p_type"), F.lit("$1"))),
     )
     return p.select("p_partkey", X.substitute(text, variables).alias("resolved"))
 
@@ -263,7 +269,7 @@ SELECT event_id,
   CAST(NULL AS VARCHAR) AS branch_name,
   json_extract_string(props, '$.k') AS k,
   CAST(user_id AS VARCHAR) AS user_id,
-  CAST(CASE WHEN event_type = 'purchase' THEN 4 ELSE 4 END AS INTEGER) AS n_vars
+  4 AS n_vars
 FROM events
 """,
 )
@@ -276,7 +282,8 @@ def f8_prefixed_vars(spark, sf_dir):
                     F.col("event_type") == "purchase",
                     F.struct(F.lit(VAR_PREFIX + "COMMIT_ID").alias("k"), F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("v")),
                 ),
-                F.struct(F.lit(VAR_PREFIX + "K").alias("k"), F.get_json_object("props", "$.k").alias("v")),
+                F.struct(F.lit(VAR_PREFIX + "K").alias("k"), F.lit("sorts first, does not count").alias("v")),
+                F.struct(F.lit(VAR_PREFIX + "k").alias("k"), F.get_json_object("props", "$.k").alias("v")),
                 F.struct(F.lit("OTHER_VAR").alias("k"), F.col("event_type").alias("v")),
                 F.struct(F.lit(VAR_PREFIX + "USER_" + VAR_PREFIX + "ID").alias("k"), F.col("user_id").cast("string").alias("v")),
             ),
@@ -305,14 +312,14 @@ WITH s AS (
     CASE WHEN s_suppkey % 5 <> 0 THEN '1' END AS requests_cpu,
     CASE WHEN s_suppkey % 2 = 0 THEN 'standard' END AS storage_class,
     CASE WHEN s_suppkey % 3 = 0 THEN '10Gi' END AS storage_size,
-    CAST(s_nationkey AS VARCHAR) AS nation_label
+    CASE WHEN s_nationkey % 4 = 0 THEN '' ELSE CAST(s_nationkey AS VARCHAR) END AS nation_label,
+    CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE 'secret-' || s_suppkey END AS token
   FROM supplier),
 w AS (SELECT unnest(['driver', 'executor']) AS w),
 kv AS (
   SELECT s_suppkey, 'spark.' || w || '.memory' AS conf_key, limits_memory AS conf_value FROM s, w
   UNION ALL SELECT s_suppkey, 'spark.kubernetes.' || w || '.limit.cores', limits_cpu FROM s, w
   UNION ALL SELECT s_suppkey, 'spark.' || w || '.cores', requests_cpu FROM s, w
-  UNION ALL SELECT s_suppkey, 'spark.kubernetes.' || w || '.label.nation', nation_label FROM s, w
   UNION ALL SELECT s_suppkey, 'spark.kubernetes.' || w || '.volumes.persistentVolumeClaim.spark-local-dir-1' || suffix,
                    CASE suffix WHEN '.options.claimName' THEN 'OnDemand' WHEN '.options.storageClass' THEN storage_class
                                WHEN '.options.sizeLimit' THEN storage_size WHEN '.mount.path' THEN '/storage'
@@ -325,7 +332,9 @@ kv AS (
 
 @register(
     "f10_fan_out_keys",
-    _SUPPLIER_SETTINGS_SQL + "SELECT s_suppkey, conf_key, conf_value FROM kv WHERE conf_value IS NOT NULL AND conf_value <> ''",
+    _SUPPLIER_SETTINGS_SQL + """SELECT s_suppkey, conf_key, conf_value FROM kv WHERE conf_value IS NOT NULL AND conf_value <> ''
+UNION ALL SELECT s_suppkey, 'spark.kubernetes.' || w || '.label.nation', nation_label FROM s, w
+UNION ALL SELECT s_suppkey, 'spark.kubernetes.' || w || '.secrets.token', token FROM s, w""",
 )
 def f10_fan_out_keys(spark, sf_dir):
     s = B.table(spark, sf_dir, "supplier")
@@ -337,10 +346,15 @@ def f10_fan_out_keys(spark, sf_dir):
         F.when(k % 5 != 0, F.lit("1")).alias("requests_cpu"),
         F.when(k % 2 == 0, F.lit("standard")).alias("storage_class"),
         F.when(k % 3 == 0, F.lit("10Gi")).alias("storage_size"),
-        F.create_map(F.lit("nation"), F.col("s_nationkey").cast("string")).alias("labels"),
+        F.create_map(
+            F.lit("nation"), F.when(F.col("s_nationkey") % 4 == 0, F.lit("")).otherwise(F.col("s_nationkey").cast("string"))
+        ).alias("labels"),
+        F.create_map(
+            F.lit("token"), F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("secret-"), k.cast("string")))
+        ).alias("secrets"),
     )
     return SC.fan_out_keys(
-        conf, "s_suppkey", storage_class="storage_class", storage_size="storage_size", labels="labels"
+        conf, "s_suppkey", storage_class="storage_class", storage_size="storage_size", secrets="secrets", labels="labels"
     )
 
 
@@ -351,19 +365,32 @@ _AS_OF_F11 = "2001-09-01 00:00:00"
     "f11_run_calendar",
     f"""
 WITH s AS (SELECT o_custkey AS pipeline_id, min(o_orderdate) AS start FROM orders GROUP BY 1),
-f AS (SELECT pipeline_id,
-        CASE WHEN date_trunc('month', start) < start THEN date_trunc('month', start) + INTERVAL 1 MONTH
-             ELSE date_trunc('month', start) END AS first FROM s)
-SELECT pipeline_id, CAST(unnest(generate_series(first, TIMESTAMP '{_AS_OF_F11}' - INTERVAL 1 MONTH, INTERVAL 1 MONTH))
-  AS TIMESTAMP) AS run_ts
-FROM f
+p AS (SELECT pipeline_id, start, CASE pipeline_id % 3 WHEN 0 THEN '@monthly' WHEN 1 THEN '@weekly' END AS preset FROM s),
+f AS (
+  SELECT pipeline_id, preset,
+    CASE preset
+      WHEN '@monthly' THEN CASE WHEN date_trunc('month', start) < start THEN date_trunc('month', start) + INTERVAL 1 MONTH
+                                ELSE date_trunc('month', start) END
+      ELSE CASE WHEN date_trunc('day', start) - to_days(CAST(dayofweek(start) AS INTEGER)) < start
+                THEN date_trunc('day', start) - to_days(CAST(dayofweek(start) AS INTEGER)) + INTERVAL 7 DAY
+                ELSE date_trunc('day', start) - to_days(CAST(dayofweek(start) AS INTEGER)) END
+    END AS first
+  FROM p WHERE preset IS NOT NULL)
+SELECT pipeline_id, preset, CAST(unnest(generate_series(first, TIMESTAMP '{_AS_OF_F11}' - INTERVAL 1 MONTH, INTERVAL 1 MONTH))
+  AS TIMESTAMP) AS run_ts FROM f WHERE preset = '@monthly'
+UNION ALL
+SELECT pipeline_id, preset, CAST(unnest(generate_series(first, TIMESTAMP '{_AS_OF_F11}' - INTERVAL 7 DAY, INTERVAL 7 DAY))
+  AS TIMESTAMP) FROM f WHERE preset = '@weekly'
 """,
 )
 def f11_run_calendar(spark, sf_dir):
+    """Monthly, weekly and unscheduled pipelines."""
     o = B.table(spark, sf_dir, "orders")
     starts = o.groupBy(F.col("o_custkey").alias("pipeline_id")).agg(F.min("o_orderdate").alias("start"))
-    cal = D.run_calendar(starts, "start", "@monthly", F.lit(_AS_OF_F11))
-    return cal.select("pipeline_id", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"))
+    k = F.col("pipeline_id") % 3
+    starts = starts.withColumn("preset", F.when(k == 0, F.lit("@monthly")).when(k == 1, F.lit("@weekly")))
+    cal = D.run_calendar(starts, "start", F.col("preset"), F.lit(_AS_OF_F11))
+    return cal.select("pipeline_id", "preset", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"))
 
 
 @register(
@@ -402,14 +429,33 @@ def f12_explode_mounts(spark, sf_dir):
     return SC.explode_mounts(rows, "id", "mounts").select("id.conv_id", "id.turn", "pos", *SC.MOUNT_FIELDS)
 
 
+@register(
+    "f12_explode_tolerations",
+    """
+SELECT p_partkey, 0 AS pos, 'NoSchedule' AS effect, p_brand AS key, CASE WHEN p_size % 2 = 0 THEN 'Equal' END AS operator,
+       CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS value FROM part WHERE p_size % 5 <> 0
+UNION ALL
+SELECT p_partkey, NULL, NULL, NULL, NULL, NULL FROM part WHERE p_size % 5 = 0
+""",
+)
+def f12_explode_tolerations(spark, sf_dir):
+    p = B.table(spark, sf_dir, "part")
+    always = F.create_map(F.lit("effect"), F.lit("NoSchedule"), F.lit("key"), F.col("p_brand"))
+    more = F.create_map(F.lit("operator"), F.lit("Equal"), F.lit("value"), F.col("p_size").cast("string"))
+    one = F.when(F.col("p_size") % 2 == 0, F.map_concat(always, more)).otherwise(always)
+    rows = p.select("p_partkey", F.when(F.col("p_size") % 5 != 0, F.array(one)).alias("tolerations"))
+    return SC.explode_tolerations(rows, "p_partkey", "tolerations")
+
+
 # --------------------------------------------------------------------------
 # Profiles and overlays.
 
 def _profiles(spark, sf_dir):
     """Profiles: every part brand but the two that sort last, plus the default."""
     brands = B.table(spark, sf_dir, "part").select(F.col("p_brand").alias("profile")).distinct()
-    from_last = number_within(brands, [], ["profile"], out="_from_last", descending=True)
-    kept = from_last.filter(F.col("_from_last") >= 2).select("profile")
+    last = brands.agg(F.max("profile")).first()[0]
+    second = brands.filter(F.col("profile") < F.lit(last)).agg(F.max("profile")).first()[0]
+    kept = brands.filter(F.col("profile") < F.lit(second))
     num = F.substring_index("profile", "#", -1)
     named = kept.select(
         "profile",
@@ -432,7 +478,10 @@ def _profiles(spark, sf_dir):
 WITH b AS (SELECT DISTINCT p_brand FROM part),
 kept AS (SELECT p_brand FROM b QUALIFY row_number() OVER (ORDER BY p_brand DESC) > 2),
 n AS (SELECT 'p' || p_partkey AS node, CASE WHEN p_size <> 1 THEN p_brand ELSE '__default__' END AS profile_key
-      FROM part)
+      FROM part
+      UNION ALL SELECT 'o' || o_orderkey, '__default__' FROM orders
+      UNION ALL SELECT 'c' || c_custkey, '__default__' FROM customer
+      UNION ALL SELECT 'n' || n_nationkey, '__default__' FROM nation)
 SELECT 'layered' AS pipeline, n.node, n.profile_key,
   CASE WHEN n.profile_key = '__default__' THEN '__default__' WHEN k.p_brand IS NOT NULL THEN k.p_brand END AS profile,
   CASE WHEN n.profile_key = '__default__' THEN '1' WHEN k.p_brand IS NOT NULL THEN split_part(k.p_brand, '#', 2) END
@@ -448,8 +497,7 @@ FROM n LEFT JOIN kept k ON k.p_brand = n.profile_key
 )
 def j2_assign_profile(spark, sf_dir):
     nodes, _, _ = B.layered_dag(spark, sf_dir)
-    parts = nodes.filter(F.col("node").startswith("p"))
-    out = lookup.assign_profile(parts, _profiles(spark, sf_dir))
+    out = lookup.assign_profile(nodes, _profiles(spark, sf_dir))
     return out.select(
         "pipeline",
         "node",
