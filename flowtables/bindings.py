@@ -120,15 +120,15 @@ def layered_dag(spark: SparkSession, sf_dir: str, marks: str = "sparse", store_i
 
 
 def bipartite_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse order–part graph ``(pipeline, parent, child)``."""
+    """Order–part graph ``(pipeline, parent, child)``: of each order the part
+    of its largest line (quantity, then price and line number), so that the graph
+    has many components and every order and line is looked at."""
     li = table(spark, sf_dir, "lineitem")
+    largest = F.max_by("l_partkey", F.struct("l_quantity", "l_extendedprice", "l_linenumber", "l_partkey"))
     return (
-        li.filter((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "R"))
-        .select(
-            F.lit(BIPARTITE).alias("pipeline"),
-            _name("o", "l_orderkey").alias("parent"),
-            _name("p", "l_partkey").alias("child"),
-        )
+        li.groupBy("l_orderkey")
+        .agg(largest.alias("l_partkey"))
+        .select(F.lit(BIPARTITE).alias("pipeline"), _name("o", "l_orderkey").alias("parent"), _name("p", "l_partkey").alias("child"))
         .distinct()
     )
 
@@ -186,7 +186,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events → keyed hand-off ``(run_id, key, value, ts)``."""
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run_id"), F.col("event_type").alias("key"), F.col("props").alias("value"), "ts"
+        F.col("user_id").alias("run_id"), F.col("event_type").alias("key"), F.col("props").alias("value"), "ts", "event_id"
     )
 
 
@@ -206,14 +206,42 @@ def nation_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("task_id", F.lit(None).cast("string"))
 
 
+def nation_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What dependencies look at: the runs, and a task per order priority of
+    each run, in two attempts where it had failed orders (the second one a
+    day later and successful)."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    tasks = o.join(c, o.o_custkey == c.c_custkey).groupBy(
+        F.col("c_nationkey").alias("pipeline_id"), F.col("o_orderdate").alias("run_ts"), F.col("o_orderpriority").alias("task_id")
+    ).agg(F.bool_or(F.col("o_orderstatus") == "F").alias("_failed"))
+    first = tasks.select(
+        "pipeline_id", "run_ts", F.when(F.col("_failed"), "failed").otherwise("success").alias("state"),
+        (F.col("run_ts") + F.make_dt_interval(hours=F.lit(6))).alias("finished_ts"), "task_id",
+    )
+    again = tasks.filter("_failed").select(
+        "pipeline_id", "run_ts", F.lit("success").alias("state"),
+        (F.col("run_ts") + F.make_dt_interval(hours=F.lit(30))).alias("finished_ts"), "task_id",
+    )
+    return nation_runs(spark, sf_dir).unionByName(first).unionByName(again)
+
+
 def nation_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation → one upstream dependency each: the next nation, one day
-    earlier, default wait of 1440 minutes; existence checked except for
+    """nation → upstream dependencies, one day earlier, default wait of 1440
+    minutes: the next nation; its urgent task; and, for every third nation, a
+    pipeline and a task that do not exist.  Existence is checked except for
     every fifth nation."""
-    return table(spark, sf_dir, "nation").select(
+    n = table(spark, sf_dir, "nation")
+    nxt = ((F.col("n_nationkey") + 1) % 25).cast("int")
+    dep = lambda pipeline, task: F.struct(pipeline.alias("p"), task.alias("t"))
+    none = F.lit(None).cast("string")
+    some = F.array(dep(nxt, none), dep(nxt, F.lit("1-URGENT")))
+    more = F.array(dep((F.col("n_nationkey") + 1000).cast("int"), none), dep(nxt, F.lit("no-such-task")))
+    wanted = F.when(F.col("n_nationkey") % 3 == 0, F.concat(some, more)).otherwise(some)
+    return n.select(F.col("n_nationkey"), F.explode(wanted).alias("d")).select(
         F.col("n_nationkey").alias("pipeline_id"),
-        ((F.col("n_nationkey") + 1) % 25).cast("int").alias("up_pipeline_id"),
-        F.lit(None).cast("string").alias("up_task_id"),
+        F.col("d.p").alias("up_pipeline_id"),
+        F.col("d.t").alias("up_task_id"),
         (F.col("n_nationkey") % 5 != 0).alias("check_existence"),
         F.lit(1440).alias("execution_delta_min"),
         F.lit(1440).alias("timeout_min"),

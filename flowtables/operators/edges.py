@@ -8,7 +8,7 @@ read by a very large number of nodes).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .classify import ROLE_IN, ROLE_OUT
@@ -16,7 +16,10 @@ from .ranking import number_within
 
 
 def dataset_links(node_io: DataFrame) -> DataFrame:
-    """``(pipeline, parent, child, dataset)``: ``parent`` writes what ``child`` reads."""
+    """``(pipeline, parent, child, dataset)``: ``parent`` writes what ``child`` reads.
+
+    A dataset has one writer per pipeline, as in any pipeline that can be
+    ordered; a second writer makes an edge of its own to every reader."""
     outs = node_io.filter(F.col("role") == ROLE_OUT).select(
         "pipeline", F.col("node").alias("parent"), "dataset"
     )
@@ -79,16 +82,20 @@ def collect_sorted(
     Values are numbered inside their key (see ``number_within``, which does
     not pull a key into one task) and cut into chunks; a key with more values
     than ``max_per_row`` spans several rows ``(keys, chunk, out)``, so no
-    collected list grows without bound.
+    collected list grows without bound.  ``n_<out>`` counts the key's values,
+    not the chunk's.
     """
     distinct_vals = df.select(*keys, value).distinct()
     numbered = number_within(distinct_vals, keys, value, out="_pos").withColumn(
         "chunk", (F.col("_pos") / F.lit(max_per_row)).cast("long")
     )
-    return numbered.groupBy(*keys, "chunk").agg(
+    chunks = numbered.groupBy(*keys, "chunk").agg(
         F.sort_array(F.collect_list(value)).alias(out),
-        F.count(F.lit(1)).alias(f"n_{out}"),
+        F.max("_pos").alias("_last"),
     )
+    # One row per chunk here: a key's rows are its values divided by max_per_row.
+    total = F.max("_last").over(Window.partitionBy(*keys)) + 1
+    return chunks.withColumn(f"n_{out}", total).drop("_last")
 
 
 def children_of(edges: DataFrame, max_per_row: int = 10000) -> DataFrame:
@@ -105,3 +112,8 @@ def group_members(groups: DataFrame, group_col: str = "group_id", max_per_row: i
     return collect_sorted(groups, ["pipeline", group_col], "node", "members", max_per_row).withColumn(
         "member_list", F.concat_ws(",", "members")
     )
+
+
+def type_members(groups: DataFrame, max_per_row: int = 10000) -> DataFrame:
+    """A2 per group type: ``(pipeline, group_type, chunk, members, n_members, member_list)``."""
+    return group_members(groups, "group_type", max_per_row)

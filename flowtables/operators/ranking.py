@@ -4,10 +4,10 @@
 key into one task.  When one key (one pipeline, one parent) holds a large
 share of the rows that task becomes the job.  Here the rows are range
 partitioned on ``(k, o)`` instead, so a hot key is spread over many
-partitions; each partition numbers its own slice, and the offset of a slice
-is the number of rows of the same key in earlier partitions.  The offsets
-come from a table with one row per (partition, key) pair, which is bounded
-by the number of partitions for any one key.
+partitions and sorted there, so a row's place in its slice is known when it is
+stored; the offset of a slice is the number of rows of the same key in
+earlier slices.  The offsets come from a table with one row per (slice, key)
+pair, which is bounded by the number of slices for any one key.
 """
 
 from __future__ import annotations
@@ -24,6 +24,25 @@ def _names(cols: Sequence[str] | str) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Left join on ``cols`` where null equals null; ``right``'s copies are dropped."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols]
+    return left.join(renamed, on, "left").drop(*[f"_r_{c}" for c in cols])
+
+
+def _in_slices(df: DataFrame, sort: list, num_partitions: int | None) -> DataFrame:
+    """``df`` in range partitions sorted by ``sort``, stored, with ``_slice``
+    (range) and ``_at`` (place in it).  Without a fixed count AQE may merge
+    neighbouring slices; merged slices are still ordered ranges.  Stored, so
+    that neither number changes if a task is run again."""
+    ranged = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
+    numbered = ranged.sortWithinPartitions(*sort).withColumn("_id", F.monotonically_increasing_id())
+    stored = cut_lineage(numbered, "ranged")
+    # The id holds the partition above its lower 33 bits, and the place of the row in it below.
+    return stored.withColumn("_slice", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id")
+
+
 def number_within(
     df: DataFrame,
     keys: Sequence[str] | str,
@@ -33,40 +52,26 @@ def number_within(
     descending: bool = False,
 ) -> DataFrame:
     """Add ``out`` = 0-based position of the row inside its key, by ``order``
-    (largest first with ``descending``).
+    (largest first with ``descending``).  A null key is a key like any other.
 
     Rows should be unique on ``keys + order`` (ties are numbered in an
     arbitrary but fixed order).  On distinct values this is ``dense_rank - 1``.
     """
     keys, order = _names(keys), _names(order)
-    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    range_cols = [*[F.col(k) for k in keys], *sort]
-    # Without a fixed count AQE may merge neighbouring slices; merged slices
-    # are still ordered ranges, which is all the offsets below need.
-    if num_partitions:
-        by_range = df.repartitionByRange(num_partitions, *range_cols)
-    else:
-        by_range = df.repartitionByRange(*range_cols)
-    # The slice id must not change if a task is re-run, so the ranged rows
-    # are stored once and both branches below read the same files.
-    ranged = cut_lineage(by_range.withColumn("_slice", F.spark_partition_id()), "ranged")
-    local = ranged.withColumn(
-        "_local",
-        F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*sort)),
-    )
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
+    sort = [*[F.col(k) for k in keys], *[F.col(c).desc() if descending else F.col(c).asc() for c in order]]
+    ranged = _in_slices(df, sort, num_partitions)
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per slice and key: where the key begins in the slice, and how many of its rows came before.
+    starts = (
         ranged.groupBy("_slice", *keys)
-        .agg(F.count(F.lit(1)).alias("_cnt"))
+        .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_at").alias("_first"))
         .withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
         .drop("_cnt")
     )
     return (
-        local.join(offsets, ["_slice", *keys])
-        .withColumn(out, (F.col("_off") + F.col("_local") - 1).cast("long"))
-        .drop("_slice", "_local", "_off")
+        _null_safe_join(ranged, starts, ["_slice", *keys])
+        .withColumn(out, (F.col("_off") + F.col("_at") - F.col("_first")).cast("long"))
+        .drop("_slice", "_at", "_off", "_first")
     )
 
 
@@ -80,7 +85,7 @@ def dense_number_within(
     keys, order = _names(keys), _names(order)
     distinct_vals = df.select(*keys, *order).distinct()
     numbered = number_within(distinct_vals, keys, order, out=out)
-    return df.join(numbered, [*keys, *order])
+    return _null_safe_join(df, numbered, [*keys, *order])
 
 
 def previous_within(
@@ -91,7 +96,8 @@ def previous_within(
     out: str,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``lag(value)`` inside ``keys`` by ``order`` without a whole key in one task.
+    """``lag(value)`` inside ``keys`` by ``order`` without a whole key in one
+    task.  A null key is a key like any other.
 
     Rows are range partitioned on ``(keys, order)``; each slice takes the lag
     locally, and the first row of a slice takes the last value of the
@@ -99,18 +105,17 @@ def previous_within(
     Rows should be unique on ``keys + order``.
     """
     keys = _names(keys)
-    by_range = df.repartitionByRange(num_partitions, *keys, order) if num_partitions else df.repartitionByRange(*keys, order)
-    ranged = cut_lineage(by_range.withColumn("_slice", F.spark_partition_id()), "ranged")
-    w = Window.partitionBy("_slice", *keys).orderBy(order)
-    local = ranged.withColumn("_prev", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    ranged = _in_slices(df, [*[F.col(k) for k in keys], F.col(order)], num_partitions)
+    w = Window.partitionBy("_slice", *keys).orderBy("_at")
+    local = ranged.withColumn("_prev", F.lag(value).over(w)).withColumn("_begins", F.row_number().over(w) == 1)
     tails = (
         ranged.groupBy("_slice", *keys)
-        .agg(F.max_by(value, order).alias("_tail"))
+        .agg(F.max_by(value, "_at").alias("_tail"))
         .withColumn("_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_slice")))
         .drop("_tail")
     )
     return (
-        local.join(tails, ["_slice", *keys])
-        .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev")))
-        .drop("_slice", "_prev", "_first", "_carry")
+        _null_safe_join(local, tails, ["_slice", *keys])
+        .withColumn(out, F.when(F.col("_begins"), F.col("_carry")).otherwise(F.col("_prev")))
+        .drop("_slice", "_at", "_prev", "_begins", "_carry")
     )

@@ -65,9 +65,55 @@ def trigger_gate(task_states: DataFrame, run_col: str = "run_id", terminal: Sequ
     )
 
 
-def latest_value(kv: DataFrame, keys: Sequence[str] = ("run_id", "key"), ts: str = "ts", value: str = "value") -> DataFrame:
-    """Newest value per ``keys`` (a partial aggregate, no sort)."""
-    return kv.groupBy(*keys).agg(F.max_by(value, ts).alias(value), F.max(ts).alias(ts))
+def task_gates(
+    runs: DataFrame,
+    task_states: DataFrame,
+    edges: DataFrame,
+    rules: DataFrame | str = "all_success",
+    terminal: Sequence[str] = TERMINAL_STATES,
+) -> DataFrame:
+    """A4 over edges: per run and waiting task, may it start?
+
+    ``runs(run_id, pipeline)``; ``task_states(run_id, task_id, state)`` with
+    one row per task; ``edges(pipeline, parent, child)``; ``rules(pipeline,
+    task_id, rule)`` or one rule for all.  ``all_done``: every parent is in a
+    terminal state; ``all_success`` (also of tasks without a rule): every
+    parent succeeded.  A parent without a state in the run has not been
+    reached.  Output ``(run_id, task_id, rule, eligible, n_parents)`` for tasks with parents.
+    """
+    s = F.col("state")
+    waits = runs.select("run_id", "pipeline").join(edges.select("pipeline", "parent", F.col("child").alias("task_id")), "pipeline")
+    states = task_states.select("run_id", F.col("task_id").alias("parent"), "state")
+    seen = (
+        waits.join(states, ["run_id", "parent"], "left")
+        .groupBy("run_id", "pipeline", "task_id")
+        .agg(
+            F.bool_and(F.coalesce(s.isin(list(terminal)), F.lit(False))).alias("_done"),
+            F.bool_and(F.coalesce(s == "success", F.lit(False))).alias("_success"),
+            F.count(F.lit(1)).alias("n_parents"),
+        )
+    )
+    if isinstance(rules, str):
+        seen = seen.withColumn("rule", F.lit(rules))
+    else:
+        seen = seen.join(rules.select("pipeline", "task_id", "rule"), ["pipeline", "task_id"], "left")
+        seen = seen.withColumn("rule", F.coalesce("rule", F.lit("all_success")))
+    eligible = F.when(F.col("rule") == "all_done", F.col("_done")).when(F.col("rule") == "all_success", F.col("_success"))
+    wrong = F.raise_error(F.concat(F.lit("unknown trigger rule "), F.col("rule"))).cast("boolean")
+    return seen.select("run_id", "task_id", "rule", F.coalesce(eligible, wrong).alias("eligible"), "n_parents")
+
+
+def _newest(ts: str, tie: str | None) -> Column:
+    """Order by time, then by ``tie``: no two rows are equal in it if the tie column tells them apart."""
+    return F.struct(F.col(ts), F.col(tie)) if tie else F.col(ts)
+
+
+def latest_value(
+    kv: DataFrame, keys: Sequence[str] = ("run_id", "key"), ts: str = "ts", value: str = "value", tie: str | None = None
+) -> DataFrame:
+    """Newest value per ``keys`` (a partial aggregate, no sort); of equal
+    times that with the largest ``tie``."""
+    return kv.groupBy(*keys).agg(F.max_by(value, _newest(ts, tie)).alias(value), F.max(ts).alias(ts))
 
 
 def previous_run(runs: DataFrame, pipeline_col: str = "pipeline_id", ts_col: str = "execution_ts") -> DataFrame:
@@ -81,11 +127,12 @@ def poll_outcome(
     starts: DataFrame,
     timeout_min: int | Column,
     run_col: str = "run_id",
+    tie: str | None = None,
 ) -> DataFrame:
     """``(run, outcome, n_seen)`` of waiting for a run from its start.
 
     Only observations in ``[start, start + timeout)`` count.  The first one
-    (by time) that is not ``running`` decides.  None deciding: null when
+    (by time, then by ``tie``) that is not ``running`` decides.  None deciding: null when
     something was seen (the run was still running at the deadline),
     ``unknown`` when nothing was seen or the timeout is not positive.
     """
@@ -93,12 +140,12 @@ def poll_outcome(
     s = starts.select(run_col, "start_ts").withColumn("_timeout", timeout)
     deadline = F.col("start_ts") + F.make_dt_interval(mins=F.col("_timeout"))
     seen = (
-        observations.select(run_col, "ts", "state")
+        observations.select(run_col, "ts", "state", *([tie] if tie else []))
         .join(s, run_col)
         .filter((F.col("ts") >= F.col("start_ts")) & (F.col("ts") < deadline) & (F.col("_timeout") > 0))
         .groupBy(run_col)
         .agg(
-            F.min_by("state", F.when(F.col("state") != "running", F.col("ts"))).alias("_decided"),
+            F.min_by("state", F.when(F.col("state") != "running", _newest("ts", tie))).alias("_decided"),
             F.count(F.lit(1)).alias("n_seen"),
         )
     )
@@ -126,35 +173,44 @@ def upstream_ready(
     ``runs(pipeline_id, run_ts)``; ``dependencies(pipeline_id,
     up_pipeline_id, up_task_id, check_existence, execution_delta_min,
     timeout_min)``; ``upstream(pipeline_id, run_ts, task_id, state,
-    finished_ts)`` with ``task_id`` null for a whole run.  The run at ``t``
-    waits for the upstream run at ``t - delta``, at most ``timeout``
-    minutes.  Outcome: ``missing`` (it must exist and does not), ``ready``
-    (succeeded within the wait), ``timed_out`` (deadline before ``as_of``),
+    finished_ts)`` with ``task_id`` null for a whole run; a run may have
+    several rows (attempts).  The run at ``t`` waits for the upstream run, or
+    its task, at ``t - delta``, at most ``timeout`` minutes.
+
+    Outcome: ``missing`` (existence is checked, and the upstream pipeline, or
+    its task, does not occur in ``upstream`` at all), ``ready`` (an attempt
+    succeeded within the wait), ``timed_out`` (deadline before ``as_of``),
     else ``waiting``.
     """
     as_of = _c(as_of)
-    deps = runs.join(dependencies, "pipeline_id").withColumn(
-        "up_run_ts", F.col("run_ts") - F.make_dt_interval(mins=F.col("execution_delta_min"))
-    )
     up = upstream.select(
-        F.col("pipeline_id").alias("up_pipeline_id"),
-        F.col("run_ts").alias("up_run_ts"),
-        F.col("task_id").alias("_up_task"),
-        F.col("state").alias("up_state"),
-        "finished_ts",
+        F.col("pipeline_id").alias("u_pipeline"), F.col("run_ts").alias("u_ts"), F.col("task_id").alias("u_task"), "state", "finished_ts"
+    )
+    # Whether an id exists is a question about dependencies, not about runs.
+    pipelines = up.select("u_pipeline").distinct().withColumn("_has_pipeline", F.lit(True))
+    tasks = up.filter(F.col("u_task").isNotNull()).select("u_pipeline", "u_task").distinct().withColumn("_has_task", F.lit(True))
+    deps = (
+        dependencies.join(pipelines, F.col("up_pipeline_id") == F.col("u_pipeline"), "left")
+        .drop("u_pipeline")
+        .join(tasks, (F.col("up_pipeline_id") == F.col("u_pipeline")) & (F.col("up_task_id") == F.col("u_task")), "left")
+        .drop("u_pipeline", "u_task")
     )
-    joined = deps.join(
-        up,
-        (deps.up_pipeline_id == up.up_pipeline_id)
-        & (deps.up_run_ts == up.up_run_ts)
-        & (deps.up_task_id.eqNullSafe(up._up_task)),
+    exists = F.when(F.col("up_task_id").isNull(), F.col("_has_pipeline").isNotNull()).otherwise(F.col("_has_task").isNotNull())
+    deps = deps.withColumn("_missing", F.col("check_existence") & ~exists).drop("_has_pipeline", "_has_task")
+    waits = runs.select("pipeline_id", "run_ts").join(deps, "pipeline_id").withColumn(
+        "_up_ts", F.col("run_ts") - F.make_dt_interval(mins=F.col("execution_delta_min"))
+    )
+    # One row per upstream run or task: when it first succeeded.
+    done = up.filter(F.col("state") == "success").groupBy("u_pipeline", "u_ts", "u_task").agg(F.min("finished_ts").alias("_done_ts"))
+    joined = waits.join(
+        done,
+        (F.col("up_pipeline_id") == F.col("u_pipeline")) & (F.col("_up_ts") == F.col("u_ts")) & F.col("up_task_id").eqNullSafe(F.col("u_task")),
         "left",
-    ).drop(up.up_pipeline_id).drop(up.up_run_ts)
+    )
     deadline = F.col("run_ts") + F.make_dt_interval(mins=F.col("timeout_min"))
-    found = F.col("up_state").isNotNull()
     outcome = (
-        F.when(~found & F.col("check_existence"), F.lit("missing"))
-        .when(found & (F.col("up_state") == "success") & (F.col("finished_ts") <= deadline), F.lit("ready"))
+        F.when(F.col("_missing"), F.lit("missing"))
+        .when(F.col("_done_ts") <= deadline, F.lit("ready"))
         .when(deadline < as_of, F.lit("timed_out"))
         .otherwise(F.lit("waiting"))
     )

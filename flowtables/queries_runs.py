@@ -51,6 +51,34 @@ def a4_trigger_gate(spark, sf_dir):
     return runs.trigger_gate(runs.latest_attempts(B.task_states(spark, sf_dir)))
 
 
+@register(
+    "a4_task_gates",
+    "WITH " + _LATEST_TASKS_SQL + """,
+edges AS (SELECT DISTINCT a.l_linenumber AS parent, b.l_linenumber AS child FROM
+  (SELECT DISTINCT l_linenumber FROM lineitem) a, (SELECT DISTINCT l_linenumber FROM lineitem) b
+  WHERE b.l_linenumber = a.l_linenumber + 1 OR (a.l_linenumber = 1 AND b.l_linenumber > 1))
+SELECT o_orderkey AS run_id, e.child AS task_id,
+  CASE WHEN e.child % 3 = 0 THEN 'all_done' ELSE 'all_success' END AS rule,
+  CASE WHEN e.child % 3 = 0 THEN bool_and(coalesce(t.state IN ('success', 'failed', 'skipped', 'upstream_failed'), false))
+       ELSE bool_and(coalesce(t.state = 'success', false)) END AS eligible,
+  count(*) AS n_parents
+FROM orders JOIN edges e ON true LEFT JOIN tasks t ON t.run_id = o_orderkey AND t.task_id = e.parent
+GROUP BY o_orderkey, e.child
+""",
+)
+def a4_task_gates(spark, sf_dir):
+    """Every task waits for the one before it and for the first; every third one cleans up (``all_done``)."""
+    lines = B.table(spark, sf_dir, "lineitem").select("l_linenumber").distinct()
+    pipe = F.lit("orders").alias("pipeline")
+    number = F.col("l_linenumber")
+    before = F.array_distinct(F.array(number - 1, F.lit(1).cast(lines.schema[0].dataType)))
+    e = lines.filter(number > 1).select(pipe, F.explode(before).alias("parent"), number.alias("child"))
+    rules = lines.filter(number % 3 == 0).select(pipe, number.alias("task_id"), F.lit("all_done").alias("rule"))
+    return runs.task_gates(
+        B.runs(spark, sf_dir).select("run_id", pipe), runs.latest_attempts(B.task_states(spark, sf_dir)), e, rules
+    )
+
+
 @register(
     "u4_dedupe_by_name",
     """
@@ -68,12 +96,12 @@ def u4_dedupe_by_name(spark, sf_dir):
 @register(
     "w1_latest_value",
     """
-SELECT user_id AS run_id, event_type AS key, arg_max(props, ts) AS value, max(ts) AS ts
-FROM events GROUP BY user_id, event_type
+SELECT user_id AS run_id, event_type AS key, props AS value, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
 """,
 )
 def w1_latest_value(spark, sf_dir):
-    return runs.latest_value(B.kv(spark, sf_dir))
+    return runs.latest_value(B.kv(spark, sf_dir), tie="event_id")
 
 
 @register(
@@ -96,13 +124,13 @@ def _poll_starts(obs):
     "w4_poll_outcome",
     """
 WITH obs AS (
-  SELECT user_id AS run_id, ts,
+  SELECT user_id AS run_id, ts, event_id,
     CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'success' WHEN 'signup' THEN 'skipped'
                     ELSE 'running' END AS state
   FROM events),
 s AS (SELECT run_id, date_trunc('day', min(ts)) + INTERVAL 1 DAY AS start_ts FROM obs GROUP BY run_id),
 seen AS (
-  SELECT s.run_id, arg_min(o.state, o.ts) FILTER (WHERE o.state <> 'running') AS decided, count(*) AS n_seen
+  SELECT s.run_id, first(o.state ORDER BY o.ts, o.event_id) FILTER (WHERE o.state <> 'running') AS decided, count(*) AS n_seen
   FROM s JOIN obs o ON o.run_id = s.run_id
   WHERE o.ts >= s.start_ts AND o.ts < s.start_ts + INTERVAL 360 MINUTE
   GROUP BY s.run_id)
@@ -115,7 +143,7 @@ FROM s LEFT JOIN seen ON seen.run_id = s.run_id
 )
 def w4_poll_outcome(spark, sf_dir):
     obs = B.observations(spark, sf_dir)
-    return runs.poll_outcome(obs, _poll_starts(obs), 360)
+    return runs.poll_outcome(obs, _poll_starts(obs), 360, tie="event_id")
 
 
 _AS_OF_J5 = "2001-08-01 00:00:00"
@@ -124,29 +152,38 @@ _AS_OF_J5 = "2001-08-01 00:00:00"
 @register(
     "j5_upstream_ready",
     f"""
-WITH nr AS (
-  SELECT c_nationkey AS pipeline_id, o_orderdate AS run_ts,
-    CASE WHEN bool_or(o_orderstatus = 'F') THEN 'failed' WHEN bool_or(o_orderstatus = 'P') THEN 'running'
-         ELSE 'success' END AS state,
-    o_orderdate + to_hours(CAST(count(*) * 12 AS BIGINT)) AS finished_ts
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, o_orderdate),
-dep AS (SELECT n_nationkey AS pipeline_id, CAST((n_nationkey + 1) % 25 AS INTEGER) AS up_pipeline_id,
-               n_nationkey % 5 <> 0 AS check_existence FROM nation)
-SELECT r.pipeline_id, r.run_ts, d.up_pipeline_id, CAST(NULL AS VARCHAR) AS up_task_id,
-  CASE WHEN u.state IS NULL AND d.check_existence THEN 'missing'
-       WHEN u.state = 'success' AND u.finished_ts <= r.run_ts + INTERVAL 1440 MINUTE THEN 'ready'
-       WHEN r.run_ts + INTERVAL 1440 MINUTE < TIMESTAMP '{_AS_OF_J5}' THEN 'timed_out'
-       ELSE 'waiting' END AS outcome
-FROM nr r JOIN dep d ON d.pipeline_id = r.pipeline_id
-LEFT JOIN nr u ON u.pipeline_id = d.up_pipeline_id AND u.run_ts = r.run_ts - INTERVAL 1440 MINUTE
+WITH oc AS (SELECT c_nationkey AS nation, o_orderdate AS run_ts, o_orderpriority AS task, o_orderstatus
+            FROM orders JOIN customer ON o_custkey = c_custkey),
+nr AS (
+  SELECT nation, run_ts, CAST(NULL AS VARCHAR) AS task,
+    NOT bool_or(o_orderstatus = 'F') AND NOT bool_or(o_orderstatus = 'P') AS succeeded,
+    run_ts + to_hours(CAST(count(*) * 12 AS BIGINT)) AS finished_ts
+  FROM oc GROUP BY nation, run_ts),
+tasks AS (SELECT nation, run_ts, task, bool_or(o_orderstatus = 'F') AS failed FROM oc GROUP BY nation, run_ts, task),
+up AS (
+  SELECT * FROM nr
+  UNION ALL SELECT nation, run_ts, task, NOT failed, run_ts + INTERVAL 6 HOUR FROM tasks
+  UNION ALL SELECT nation, run_ts, task, true, run_ts + INTERVAL 30 HOUR FROM tasks WHERE failed),
+dep AS (
+  SELECT n_nationkey AS pipeline_id, (n_nationkey + 1) % 25 AS up_id, CAST(NULL AS VARCHAR) AS up_task, n_nationkey % 5 <> 0 AS must FROM nation
+  UNION ALL SELECT n_nationkey, (n_nationkey + 1) % 25, '1-URGENT', n_nationkey % 5 <> 0 FROM nation
+  UNION ALL SELECT n_nationkey, n_nationkey + 1000, NULL, n_nationkey % 5 <> 0 FROM nation WHERE n_nationkey % 3 = 0
+  UNION ALL SELECT n_nationkey, (n_nationkey + 1) % 25, 'no-such-task', n_nationkey % 5 <> 0 FROM nation WHERE n_nationkey % 3 = 0)
+SELECT nr.nation AS pipeline_id, nr.run_ts, CAST(d.up_id AS INTEGER) AS up_pipeline_id, d.up_task AS up_task_id,
+  CASE
+    WHEN d.must AND NOT EXISTS (SELECT 1 FROM up u WHERE u.nation = d.up_id AND (d.up_task IS NULL OR u.task = d.up_task)) THEN 'missing'
+    WHEN EXISTS (SELECT 1 FROM up u WHERE u.nation = d.up_id AND u.run_ts = nr.run_ts - INTERVAL 1 DAY
+                 AND u.task IS NOT DISTINCT FROM d.up_task AND u.succeeded AND u.finished_ts <= nr.run_ts + INTERVAL 1 DAY) THEN 'ready'
+    WHEN nr.run_ts + INTERVAL 1 DAY < TIMESTAMP '{_AS_OF_J5}' THEN 'timed_out'
+    ELSE 'waiting' END AS outcome
+FROM nr JOIN dep d ON d.pipeline_id = nr.nation
 """,
 )
 def j5_upstream_ready(spark, sf_dir):
-    nr = B.nation_runs(spark, sf_dir)
     return runs.upstream_ready(
-        nr.select("pipeline_id", "run_ts"),
+        B.nation_runs(spark, sf_dir).select("pipeline_id", "run_ts"),
         B.nation_dependencies(spark, sf_dir),
-        nr,
+        B.nation_upstream(spark, sf_dir),
         F.lit(_AS_OF_J5).cast("timestamp_ntz"),
     )
 
