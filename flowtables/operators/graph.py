@@ -29,7 +29,6 @@ def _symmetric(edges: DataFrame) -> DataFrame:
 def connected_groups(
     vertices: DataFrame,
     edges: DataFrame,
-    max_rounds: int = 200,
     jumps: int = 2,
 ) -> DataFrame:
     """G1: ``(pipeline, node, group_id)``, group id = smallest node name in
@@ -60,14 +59,12 @@ def connected_groups(
         n=F.count(F.lit(1)),
     )
     hooks: list[DataFrame] = []
-    rounds = 0
-    while seen["n"]:
-        rounds += 1
-        if rounds > max_rounds:  # pragma: no cover - only with absurd graphs
-            raise RuntimeError(f"connected_groups did not converge in {max_rounds} rounds")
+    while seen["n"]:  # each round leaves at most half of the labels that have edges
         hook = links.groupBy("pipeline", F.col("src").alias("label")).agg(F.min("dst").alias("_m")).select(
             "pipeline", "label", F.least("label", "_m").alias("to")
         )
+        # Stored before it is joined with itself.
+        hook = cut_lineage(hook, "cc-hooks")
         # Shorten hook chains by pointer jumping until every label points at
         # a root; a chain of length d needs about log2(d) jumps.
         while True:
@@ -101,7 +98,8 @@ def connected_groups(
         )
         if i % 8 == 7 and i + 1 < len(hooks):
             labels = cut_lineage(labels, "cc-labels")
-    return labels
+    # Stored: callers read the labels several times.
+    return cut_lineage(labels, "cc-labels") if hooks else labels
 
 
 def _jump(hook: DataFrame) -> DataFrame:
@@ -126,9 +124,9 @@ def absorb_sandwiched(
     are re-tested.
     """
     e = edges.select("pipeline", "parent", "child")
-    members = spark_groups.select(*K, "group_id")
-    pending = default_nodes.select(*K).distinct()
-    absorbed_parts: list[DataFrame] = []
+    members = cut_lineage(spark_groups.select(*K, "group_id"), "absorb-members")
+    pending = cut_lineage(default_nodes.select(*K).distinct(), "absorb-pending")
+    absorbed: DataFrame | None = None
     candidates = pending
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
@@ -155,9 +153,10 @@ def absorb_sandwiched(
         new, seen = cut_lineage_counting(chosen, "absorb-new", n=F.count(F.lit(1)))
         if not seen["n"]:
             break
-        absorbed_parts.append(new)
-        members = members.unionByName(new)
-        pending = pending.join(new, K, "left_anti")
+        # Stored each round, so that a round's plan does not grow with their number.
+        absorbed = new if absorbed is None else cut_lineage(absorbed.unionByName(new), "absorb-all")
+        members = cut_lineage(members.unionByName(new), "absorb-members")
+        pending = cut_lineage(pending.join(new, K, "left_anti"), "absorb-pending")
         # Only nodes next to a newly absorbed node can change their answer.
         near = (
             e.join(new.select("pipeline", F.col("node").alias("parent")), ["pipeline", "parent"], "left_semi")
@@ -167,15 +166,8 @@ def absorb_sandwiched(
                 .select("pipeline", F.col("parent").alias("node"))
             )
         )
-        candidates = pending.join(near, K, "left_semi")
-    if not absorbed_parts:
-        return spark_groups.sparkSession.createDataFrame(
-            [], "pipeline string, node string, group_id string"
-        )
-    out = absorbed_parts[0]
-    for part in absorbed_parts[1:]:
-        out = out.unionByName(part)
-    return out
+        candidates = cut_lineage(pending.join(near, K, "left_semi"), "absorb-near")
+    return members.limit(0) if absorbed is None else absorbed
 
 
 def renumber_groups(spark_groups: DataFrame, group_col: str = "group_id") -> DataFrame:
@@ -200,51 +192,121 @@ def singleton_groups(marked_nodes: DataFrame) -> DataFrame:
     )
 
 
-def dag_levels(group_edges: DataFrame, groups: DataFrame | None = None, max_rounds: int = 10000) -> DataFrame:
-    """``(pipeline, group, level)``, level = longest path from a group
-    with no parent; groups on or below a cycle get ``level`` null and
+def dag_levels(group_edges: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """``(pipeline, group, level, cyclic)``, level = longest path from a
+    group with no parent; groups on or below a cycle get ``level`` null and
     ``cyclic`` true.
 
-    Peels all groups without a remaining parent per round (a left anti join)
-    and drops their outgoing edges; what remains when nothing can be peeled
-    lies on or below a cycle.  One round per level.
+    Rounds go on until nothing changes, each on what the last one left:
+
+    * groups without a parent get their level, which goes to their children
+      as a lower bound, and leave with their edges;
+    * a group with a single parent has level ``max(bound, parent + steps)``.
+      Such groups follow their parents by pointer jumping to the first
+      ancestor that has none or several parents, and leave; their edges start
+      at that ancestor, longer by the path.  A chain or tree of any depth is
+      one round.  Followers that never reach such an ancestor are on or below
+      a cycle, and with them what they lead to.
+
+    What remains lies on or below a cycle.  Followers take their levels at
+    the end, last round first.
     """
-    e = group_edges.select(
-        "pipeline", F.col("parent_group").alias("parent"), F.col("child_group").alias("child")
-    )
-    nodes = e.select("pipeline", F.col("parent").alias("group")).unionByName(
-        e.select("pipeline", F.col("child").alias("group"))
-    )
+    e = group_edges.select("pipeline", F.col("parent_group").alias("u"), F.col("child_group").alias("v"))
+    nodes = e.select("pipeline", F.col("u").alias("group")).unionByName(e.select("pipeline", F.col("v").alias("group")))
     if groups is not None:
         nodes = nodes.unionByName(groups.select("pipeline", "group"))
-    # The first round reads the node list straight from the (stored) inputs;
-    # later rounds read the previous round's stored output.
-    remaining = nodes.distinct()
-    e = cut_lineage(e.distinct(), "levels-edges")
+    nodes = nodes.distinct().withColumn("bound", F.lit(0).cast("long"))
+    nodes, left = cut_lineage_counting(nodes, "levels-nodes", n=F.count(F.lit(1)))
+    e = cut_lineage(e.distinct().withColumn("w", F.lit(1).cast("long")), "levels-edges")
+    key = ["pipeline", "group"]
     levelled: list[DataFrame] = []
-    for level in range(max_rounds):
-        live_parent = remaining.select("pipeline", F.col("group").alias("parent"))
-        has_parent = (
-            e.join(live_parent, ["pipeline", "parent"], "left_semi")
-            .select("pipeline", F.col("child").alias("group"))
-            .distinct()
-            .withColumn("_has_parent", F.lit(True))
-        )
-        flagged = remaining.join(has_parent, ["pipeline", "group"], "left").select(
-            "pipeline", "group", F.col("_has_parent").isNull().alias("peel")
+    cyclic: list[DataFrame] = []
+    followers: list[DataFrame] = []
+    while left["n"]:
+        # Parents of each group: how many, and the one if it is one.
+        into = e.groupBy("pipeline", F.col("v").alias("group")).agg(
+            F.count(F.lit(1)).alias("parents"), F.min("u").alias("to"), F.max("w").alias("steps")
         )
-        flagged, seen = cut_lineage_counting(
-            flagged, "levels", peeled=F.count_if("peel"), left=F.count_if(~F.col("peel"))
+        state, seen = cut_lineage_counting(
+            nodes.join(into, key, "left").withColumn("parents", F.coalesce("parents", F.lit(0))),
+            "levels-state",
+            roots=F.count_if(F.col("parents") == 0),
+            single=F.count_if((F.col("parents") == 1) & (F.col("to") != F.col("group"))),
         )
-        if not seen["peeled"]:
+        if not seen["roots"] and not seen["single"]:
             break
-        levelled.append(flagged.filter("peel").select("pipeline", "group", F.lit(level).alias("level")))
-        remaining = flagged.filter(~F.col("peel")).select("pipeline", "group")
-        if not seen["left"]:
-            break
-    spark = group_edges.sparkSession
-    out = spark.createDataFrame([], "pipeline string, group string, level int")
+        roots = state.filter("parents = 0").select(*key, F.col("bound").alias("level"))
+        levelled.append(roots)
+        # Pointers (to, bound, steps): level = max(bound, level of to + steps).
+        hop = cut_lineage(state.filter("parents = 1 AND `to` <> `group`").select(*key, "to", "bound", "steps"), "levels-hops")
+        reach = 1
+        while reach <= 2 * seen["single"]:
+            nxt = hop.select("pipeline", F.col("group").alias("to"), F.col("to").alias("to2"), F.col("bound").alias("bound2"), F.col("steps").alias("steps2"))
+            hop, moved = cut_lineage_counting(
+                hop.join(nxt, ["pipeline", "to"], "left").select(
+                    *key,
+                    F.coalesce("to2", "to").alias("to"),
+                    F.greatest("bound", F.col("bound2") + F.col("steps")).alias("bound"),
+                    (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
+                    F.col("to2").isNotNull().alias("moved"),
+                ),
+                "levels-hops",
+                n=F.count_if("moved"),
+            )
+            hop = hop.drop("moved")
+            if not moved["n"]:
+                break
+            reach *= 2
+        # Pointers that still end in a follower go round in circles.
+        ends = hop.select("pipeline", F.col("group").alias("to")).distinct()
+        circling = cut_lineage(hop.join(ends, ["pipeline", "to"], "left_semi").select(*key), "levels-cyclic")
+        cyclic.append(circling)
+        follow = cut_lineage(hop.join(ends, ["pipeline", "to"], "left_anti"), "levels-followers")
+        followers.append(follow)
+        # Edges of what has left: bounds for their ends, or edges from the ancestor.
+        stay = cut_lineage(
+            state.filter("parents > 1 OR (parents = 1 AND `to` = `group`)").select(*key, "bound"), "levels-stay"
+        )
+        open_edges = e.join(stay.select("pipeline", F.col("group").alias("v")), ["pipeline", "v"], "left_semi")
+        src = (
+            roots.select("pipeline", F.col("group").alias("u"), F.lit(None).cast(hop.schema["to"].dataType).alias("to"), F.col("level").alias("b"), F.lit(None).cast("long").alias("s"), F.lit(False).alias("circles"))
+            .unionByName(follow.select("pipeline", F.col("group").alias("u"), "to", F.col("bound").alias("b"), F.col("steps").alias("s"), F.lit(False).alias("circles")))
+            .unionByName(circling.select("pipeline", F.col("group").alias("u"), F.lit(None).alias("to"), F.lit(None).cast("long").alias("b"), F.lit(None).cast("long").alias("s"), F.lit(True).alias("circles")))
+        )
+        met = cut_lineage(open_edges.join(src, ["pipeline", "u"], "left"), "levels-met")
+        bounds = met.groupBy("pipeline", F.col("v").alias("group")).agg(F.max(F.col("b") + F.col("w")).alias("more"))
+        new_from = F.when(F.col("circles"), F.col("v")).when(F.col("circles").isNull(), F.col("u")).otherwise(F.col("to"))
+        e = (
+            met.withColumn("from", new_from)
+            .filter("`from` IS NOT NULL")
+            .groupBy("pipeline", F.col("from").alias("u"), "v")
+            .agg(F.max(F.col("w") + F.coalesce("s", F.lit(0))).alias("w"))
+        )
+        # An ancestor that has its level by now is no parent any more: its edges become bounds.
+        at_root = e.join(roots.select("pipeline", F.col("group").alias("u"), "level"), ["pipeline", "u"], "left")
+        at_root = cut_lineage(at_root, "levels-edges")
+        late = at_root.filter("level IS NOT NULL").groupBy("pipeline", F.col("v").alias("group")).agg(F.max(F.col("level") + F.col("w")).alias("late"))
+        e = at_root.filter("level IS NULL").drop("level")
+        nodes, left = cut_lineage_counting(
+            stay.join(bounds, key, "left").join(late, key, "left").select(*key, F.greatest("bound", "more", "late").alias("bound")),
+            "levels-nodes",
+            n=F.count(F.lit(1)),
+        )
+    cyclic.append(nodes.select(*key))
+    out = None
     for part in levelled:
-        out = out.unionByName(part)
-    cyclic = remaining.withColumn("level", F.lit(None).cast("int"))
-    return out.unionByName(cyclic).withColumn("cyclic", F.col("level").isNull())
+        out = part if out is None else out.unionByName(part)
+    lost = cyclic[0]
+    for part in cyclic[1:]:
+        lost = lost.unionByName(part)
+    found = lost.select(*key, F.lit(None).cast("long").alias("level"))
+    out = found if out is None else out.unionByName(found)
+    for i, follow in enumerate(reversed(followers)):
+        known = out.select("pipeline", F.col("group").alias("to"), F.col("level").alias("base"))
+        took = follow.join(known, ["pipeline", "to"], "left").select(
+            *key, F.when(F.col("base").isNotNull(), F.greatest("bound", F.col("base") + F.col("steps"))).alias("level")
+        )
+        out = out.unionByName(took)
+        if i % 2 == 1:
+            out = cut_lineage(out, "levels-out")
+    return out.select(*key, F.col("level").cast("int").alias("level"), F.col("level").isNull().alias("cyclic"))

@@ -1,8 +1,7 @@
 """Registered queries: one per operator of the inventory, each reading the
 driver tables of ``sf_dir`` (through ``bindings``) and returning a
 DataFrame.  Next to each query is the DuckDB SQL that computes the same
-rows independently from the same tables (the correctness oracle); queries
-without SQL are checked against brute force in the tests.
+rows independently from the same tables (the correctness oracle).
 """
 
 from __future__ import annotations
@@ -34,6 +33,33 @@ def register(name: str, sql: str | None = None):
 # --------------------------------------------------------------------------
 # SQL building blocks for the layered DAG (FIXTURES.md §3).
 
+#: Rounds of absorption written out in SQL; more than the data need, the last ones add nothing.
+ABSORB_ROUNDS = 10
+
+
+def _absorb_sql(rounds: int) -> str:
+    """Absorption, round by round: a default node joins the smallest group
+    that both writes one of its inputs and reads one of its outputs."""
+    parts = ["m0 AS MATERIALIZED (SELECT node, group_id FROM comp)"]
+    for i in range(rounds):
+        parts.append(
+            f"""m{i + 1} AS MATERIALIZED (
+  SELECT node, group_id FROM m{i}
+  UNION ALL
+  SELECT n.node, min(pg.group_id) FROM nodes n
+  JOIN (SELECT e.child AS node, m.group_id FROM edges e JOIN m{i} m ON e.parent = m.node) pg ON pg.node = n.node
+  JOIN (SELECT e.parent AS node, m.group_id FROM edges e JOIN m{i} m ON e.child = m.node) cg
+    ON cg.node = n.node AND cg.group_id = pg.group_id
+  WHERE NOT n.is_spark AND n.node NOT IN (SELECT node FROM m{i}) GROUP BY n.node
+)"""
+        )
+    parts.append(f"members AS (SELECT node, group_id FROM m{rounds})")
+    parts.append("absorbed AS (SELECT node, group_id FROM members WHERE node NOT IN (SELECT node FROM sn))")
+    # 0 if the last written round added nothing.
+    parts.append(f"unfinished AS (SELECT (SELECT count(*) FROM m{rounds}) - (SELECT count(*) FROM m{rounds - 1}) AS n)")
+    return ",\n".join(parts)
+
+
 def _layered_sql(dense: bool) -> str:
     nation_mark = "true" if dense else "false"
     return f"""
@@ -57,15 +83,7 @@ reach(node, lbl) AS (
   UNION SELECT u.b, r.lbl FROM reach r JOIN und u ON r.node = u.a
 ),
 comp AS (SELECT node, min(lbl) AS group_id FROM reach GROUP BY node),
-pg AS (SELECT e.child AS node, c.group_id FROM edges e JOIN comp c ON e.parent = c.node),
-cg AS (SELECT e.parent AS node, c.group_id FROM edges e JOIN comp c ON e.child = c.node),
-absorbed AS (
-  SELECT n.node, min(pg.group_id) AS group_id
-  FROM nodes n JOIN pg ON pg.node = n.node
-  JOIN cg ON cg.node = n.node AND cg.group_id = pg.group_id
-  WHERE NOT n.is_spark GROUP BY n.node
-),
-members AS (SELECT node, group_id FROM comp UNION ALL SELECT node, group_id FROM absorbed),
+{_absorb_sql(ABSORB_ROUNDS)},
 allg AS (
   SELECT node, group_id, 'pyspark_' || CAST(dense_rank() OVER (ORDER BY group_id) - 1 AS VARCHAR) AS group_name,
          'pyspark' AS group_type FROM members
@@ -160,8 +178,9 @@ def j1_dataset_edges(spark, sf_dir):
     "g1_connected_groups",
     """
 WITH RECURSIVE e AS (
-  SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem
-  WHERE l_quantity = 50 AND l_returnflag = 'R'
+  SELECT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey
+    ORDER BY l_quantity DESC, l_extendedprice DESC, l_linenumber DESC, l_partkey DESC) = 1
 ),
 v AS (SELECT a AS node FROM e UNION SELECT b FROM e),
 und AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
@@ -177,7 +196,7 @@ def g1_connected_groups(spark, sf_dir):
 
 @register(
     "g1_connected_groups_layered",
-    "WITH RECURSIVE " + _layered_sql(False).split("pg AS")[0].rstrip().rstrip(",") + """
+    "WITH RECURSIVE " + _layered_sql(False).split("m0 AS")[0].rstrip().rstrip(",") + """
 SELECT 'layered' AS pipeline, node, group_id FROM comp
 """,
 )
@@ -193,31 +212,37 @@ def _dense_components(spark, sf_dir):
     return marked, e, comp
 
 
-@register(
-    "j3_absorb_sandwiched",
-    "WITH RECURSIVE " + _layered_sql(True).split("members AS")[0].rstrip().rstrip(",") + """
+_ABSORB_SQL = (
+    "WITH RECURSIVE "
+    + _layered_sql(True).split("allg AS")[0].rstrip().rstrip(",")
+    + """
 SELECT 'layered' AS pipeline, node, group_id FROM absorbed
-""",
+-- Proof that the rounds suffice: a row that no result has if the last one added nodes.
+UNION ALL SELECT 'more rounds needed', CAST(n AS VARCHAR), NULL FROM unfinished WHERE n > 0
+"""
 )
+
+
+@register("j3_absorb_sandwiched", _ABSORB_SQL)
 def j3_absorb_sandwiched(spark, sf_dir):
-    """One pass of absorption on the dense-marked DAG."""
+    """Absorption on the dense-marked DAG, repeated until nothing changes."""
     marked, e, comp = _dense_components(spark, sf_dir)
     defaults = marked.filter(~F.col("is_spark")).select("pipeline", "node")
-    return graph.absorb_sandwiched(e, comp, defaults, max_rounds=1)
+    return graph.absorb_sandwiched(e, comp, defaults)
 
 
-@register("j3_absorb_fixpoint")
+@register("j3_absorb_fixpoint", _ABSORB_SQL)
 def j3_absorb_fixpoint(spark, sf_dir):
-    """Absorption repeated until nothing changes (dense marks).  No SQL: the
-    fixpoint is checked against a brute-force loop in the tests."""
-    marked, e, comp = _dense_components(spark, sf_dir)
-    defaults = marked.filter(~F.col("is_spark")).select("pipeline", "node")
-    return graph.absorb_sandwiched(e, comp, defaults)
+    """The same, as the grouping plan finds it: what its groups hold beyond the marked nodes."""
+    nodes, io, cat = _layered(spark, sf_dir, "dense", store_io=True)
+    marked = classify.mark_spark_nodes(nodes, io, cat).filter("is_spark").select("pipeline", "node")
+    g = group_pipeline(nodes, io, cat, grouped=True).groups.filter(F.col("group_type") == "pyspark")
+    return g.join(marked, ["pipeline", "node"], "left_anti").select("pipeline", "node", "group_id")
 
 
 @register(
     "w2_renumber_groups",
-    "WITH RECURSIVE " + _layered_sql(False).split("pg AS")[0].rstrip().rstrip(",") + """
+    "WITH RECURSIVE " + _layered_sql(False).split("m0 AS")[0].rstrip().rstrip(",") + """
 SELECT DISTINCT 'layered' AS pipeline, group_id,
        'pyspark_' || CAST(dense_rank() OVER (ORDER BY group_id) - 1 AS VARCHAR) AS group_name
 FROM comp
@@ -265,9 +290,10 @@ def j7_boundary_datasets(spark, sf_dir):
 @register(
     "a1_children_of",
     "WITH " + _layered_sql(False).split("sn AS")[0].rstrip().rstrip(",") + """
-SELECT 'layered' AS pipeline, parent, CAST(0 AS BIGINT) AS chunk,
-       string_agg(child, ',' ORDER BY child) AS children, count(*) AS n_children
-FROM edges GROUP BY parent
+SELECT 'layered' AS pipeline, parent, chunk, string_agg(child, ',' ORDER BY child) AS children, any_value(n) AS n_children
+FROM (SELECT parent, child, count(*) OVER (PARTITION BY parent) AS n,
+        (row_number() OVER (PARTITION BY parent ORDER BY child) - 1) // 10000 AS chunk FROM edges)
+GROUP BY parent, chunk
 """,
 )
 def a1_children_of(spark, sf_dir):
@@ -279,9 +305,10 @@ def a1_children_of(spark, sf_dir):
 @register(
     "a2_group_members",
     "WITH RECURSIVE " + _layered_sql(False) + """
-SELECT 'layered' AS pipeline, group_name, CAST(0 AS BIGINT) AS chunk,
-       string_agg(node, ',' ORDER BY node) AS member_list, count(*) AS n_members
-FROM allg GROUP BY group_name
+SELECT 'layered' AS pipeline, group_name, chunk, string_agg(node, ',' ORDER BY node) AS member_list, any_value(n) AS n_members
+FROM (SELECT group_name, node, count(*) OVER (PARTITION BY group_name) AS n,
+        (row_number() OVER (PARTITION BY group_name ORDER BY node) - 1) // 10000 AS chunk FROM allg)
+GROUP BY group_name, chunk
 """,
 )
 def a2_group_members(spark, sf_dir):
@@ -290,18 +317,33 @@ def a2_group_members(spark, sf_dir):
     return out.select("pipeline", "group_name", "chunk", "member_list", "n_members")
 
 
+@register(
+    "a2_type_members",
+    "WITH RECURSIVE " + _layered_sql(False) + """
+SELECT 'layered' AS pipeline, group_type, chunk, string_agg(node, ',' ORDER BY node) AS member_list, any_value(n) AS n_members
+FROM (SELECT group_type, node, count(*) OVER (PARTITION BY group_type) AS n,
+        (row_number() OVER (PARTITION BY group_type ORDER BY node) - 1) // 1000 AS chunk FROM allg)
+GROUP BY group_type, chunk
+""",
+)
+def a2_type_members(spark, sf_dir):
+    """Node set and count of each group type, in lists of at most 1,000."""
+    _, g = _sparse_grouping(spark, sf_dir)
+    return edges.type_members(g.groups, max_per_row=1000).select("pipeline", "group_type", "chunk", "member_list", "n_members")
+
+
 @register(
     "f9_split_list",
     "WITH RECURSIVE " + _layered_sql(False) + """
-SELECT 'layered' AS pipeline, group_name, node FROM allg WHERE group_type = 'pyspark'
+SELECT 'layered' AS pipeline, group_name, node FROM allg
 """,
 )
 def f9_split_list(spark, sf_dir):
-    """Round trip of the comma member list of Spark groups back to rows."""
+    """Round trip of the comma member list of every group back to rows."""
     from .functions.text import split_list
 
     _, g = _sparse_grouping(spark, sf_dir)
-    lists = edges.group_members(g.groups.filter(F.col("group_type") == "pyspark"), "group_name")
+    lists = edges.group_members(g.groups, "group_name")
     return lists.select("pipeline", "group_name", F.explode(split_list("member_list")).alias("node"))
 
 
@@ -323,7 +365,37 @@ def g2_singleton_groups(spark, sf_dir):
     return group_summary(group_pipeline(nodes, io, cat, grouped=False))
 
 
-@register("g4_dag_levels")
+@register(
+    "g3_group_pipeline_dense",
+    "WITH RECURSIVE " + _layered_sql(True) + """
+SELECT 'layered' AS pipeline, group_name, group_type, count(*) AS n_nodes, min(node) AS first_node
+FROM allg GROUP BY group_name, group_type
+""",
+)
+def g3_group_pipeline_dense(spark, sf_dir):
+    """Grouping of the dense-marked DAG, where absorption takes several rounds."""
+    nodes, io, cat = _layered(spark, sf_dir, "dense", store_io=True)
+    summary = group_summary(group_pipeline(nodes, io, cat, grouped=True))
+    return summary.select("pipeline", "group_name", "group_type", "n_nodes", "first_node")
+
+
+@register(
+    "g4_dag_levels",
+    "WITH RECURSIVE " + _layered_sql(True) + """,
+down(a, b) AS (
+  SELECT parent_group, child_group FROM gedges WHERE parent_group IN (SELECT child_group FROM gedges)
+  UNION SELECT d.a, g.child_group FROM down d JOIN gedges g ON g.parent_group = d.b),
+looped AS (SELECT DISTINCT a AS g FROM down WHERE a = b),
+lost AS (SELECT g FROM looped UNION SELECT d.b FROM down d JOIN looped l ON l.g = d.a),
+ok AS (SELECT parent_group, child_group FROM gedges
+       WHERE parent_group NOT IN (SELECT g FROM lost) AND child_group NOT IN (SELECT g FROM lost)),
+depth(g, n) AS (
+  SELECT group_name, 0 FROM allg WHERE group_name NOT IN (SELECT g FROM lost)
+  UNION SELECT ok.child_group, d.n + 1 FROM depth d JOIN ok ON ok.parent_group = d.g)
+SELECT 'layered' AS pipeline, g AS "group", CAST(max(n) AS INTEGER) AS level, false AS cyclic FROM depth GROUP BY g
+UNION ALL SELECT DISTINCT 'layered', g, CAST(NULL AS INTEGER), true FROM lost
+""",
+)
 def g4_dag_levels(spark, sf_dir):
     """Levels of the grouped dense-marked DAG (contraction makes cycles there)."""
     nodes, io, cat = _layered(spark, sf_dir, "dense", store_io=True)
