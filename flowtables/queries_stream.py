@@ -1,9 +1,9 @@
-"""Registered queries: streaming (T1–T4).  Each copies ``events`` into a
-fresh folder as time-ordered files, runs the stream with
-``Trigger.AvailableNow`` and returns what the sink holds.  The oracle SQL
-is the batch twin, cut where event time stops: results that wait for a
-deadline appear only once the last watermark (newest event − 1 hour) has
-passed it."""
+"""Registered queries: streaming (T1–T4).  Each brings ``events`` into a
+fresh folder in steps of event time, runs the stream with
+``Trigger.AvailableNow`` after each step over one checkpoint, and returns
+what the sink holds.  The oracle SQL is the batch twin, cut where event time
+stops: results that wait appear only once the last watermark (newest event −
+1 hour) leaves no other answer."""
 
 from __future__ import annotations
 
@@ -12,18 +12,28 @@ from pyspark.sql import functions as F
 from . import bindings as B
 from .queries import register
 from .queries_runs import _poll_starts
-from .session import cut_lineage, scratch_path
+from .session import scratch_path
 from .streaming import sources as SS
 from .streaming import stateful as ST
 
-SLICES = 6
+SLICES = 3
 WATERMARK = "1 hour"
 
 
-def _event_stream(spark, sf_dir):
+def _events(spark, sf_dir):
+    """``(table, folder, stream over the folder)``."""
     ev = B.table(spark, sf_dir, "events")
-    folder = SS.replay_in_slices(ev, "ts", SLICES)
-    return SS.event_stream(spark, folder, ev.schema)
+    folder = scratch_path(spark, "replay")
+    ev.limit(0).write.parquet(folder)
+    return ev, folder, SS.event_stream(spark, folder, ev.schema)
+
+
+def _run_slices(spark, ev, folder, out, name, schema=None):
+    """Run the stream ``out`` into a Parquet sink after each step of the replay."""
+    sink, checkpoint = scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-ckpt")
+    for _ in SS.replay(ev, "ts", folder, SLICES):
+        SS.run_available_now(spark, out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(sink)
 
 
 def _state(col: str):
@@ -40,13 +50,14 @@ _CUTOFF_SQL = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
     "t1_stream_poll_outcome",
     """
 WITH obs AS (
-  SELECT user_id AS run_id, ts,
+  SELECT user_id AS run_id, ts, event_id,
     CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'success' WHEN 'signup' THEN 'skipped'
                     ELSE 'running' END AS state
   FROM events),
-s AS (SELECT run_id, date_trunc('day', min(ts)) + INTERVAL 1 DAY AS start_ts FROM obs GROUP BY run_id),
+s AS (SELECT run_id, date_trunc('day', min(ts)) + INTERVAL 1 DAY AS start_ts FROM obs GROUP BY run_id
+      UNION ALL SELECT 1000000 + c_custkey, TIMESTAMP '2024-01-01' + to_hours(CAST(c_custkey % 96 AS INTEGER)) FROM customer),
 seen AS (
-  SELECT s.run_id, arg_min(o.state, o.ts) FILTER (WHERE o.state <> 'running') AS decided, count(*) AS n_seen
+  SELECT s.run_id, first(o.state ORDER BY o.ts, o.event_id) FILTER (WHERE o.state <> 'running') AS decided, count(*) AS n_seen
   FROM s JOIN obs o ON o.run_id = s.run_id
   WHERE o.ts >= s.start_ts AND o.ts < s.start_ts + INTERVAL 360 MINUTE
   GROUP BY s.run_id)
@@ -59,16 +70,19 @@ WHERE s.start_ts + INTERVAL 360 MINUTE < """
     + _CUTOFF_SQL,
 )
 def t1_stream_poll_outcome(spark, sf_dir):
-    stream = _event_stream(spark, sf_dir)
-    obs = stream.select(F.col("user_id").alias("run_id"), "ts", _state("event_type").alias("state"))
-    # The run table is joined to every micro-batch: store it once.
-    starts = cut_lineage(_poll_starts(B.observations(spark, sf_dir)), "t1-starts")
-    out = ST.stream_poll_outcome(obs, starts, 360, WATERMARK)
-    sink = scratch_path(spark, "t1-sink")
-    SS.run_available_now(
-        spark, out.writeStream.format("parquet").option("path", sink).outputMode("append"), scratch_path(spark, "t1-ckpt")
+    """Runs of users, and of customers that no event is about (``unknown``)."""
+    ev, folder, stream = _events(spark, sf_dir)
+    obs = stream.select(F.col("user_id").alias("run_id"), "ts", _state("event_type").alias("state"), "event_id")
+    users = _poll_starts(B.observations(spark, sf_dir)).select(F.col("run_id").cast("long").alias("run_id"), "start_ts")
+    never = B.table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") + 1000000).cast("long").alias("run_id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("c_custkey") % 96).cast("int"))).alias("start_ts"),
     )
-    return spark.read.schema(ST.POLL_OUTPUT).parquet(sink)
+    begun = scratch_path(spark, "t1-starts")
+    users.unionByName(never).write.parquet(begun)
+    starts = SS.event_stream(spark, begun, spark.read.parquet(begun).schema, "start_ts")
+    out = ST.stream_poll_outcome(obs, starts, 360, WATERMARK, tie="event_id")
+    return _run_slices(spark, ev, folder, out, "t1", ST.POLL_OUTPUT)
 
 
 @register(
@@ -76,19 +90,18 @@ def t1_stream_poll_outcome(spark, sf_dir):
     """
 WITH c AS (SELECT event_id AS run_event_id, user_id AS key, ts AS run_ts FROM events WHERE event_type = 'click'),
 p AS (SELECT event_id AS up_event_id, user_id AS up_key, ts AS up_ts FROM events WHERE event_type = 'purchase'),
-j AS (SELECT c.run_event_id, c.key, c.run_ts, arg_min(p.up_event_id, p.up_ts) AS up_event_id FROM c LEFT JOIN p
-      ON p.up_key = c.key AND p.up_ts >= c.run_ts AND p.up_ts <= c.run_ts + INTERVAL 1440 MINUTE
-      GROUP BY c.run_event_id, c.key, c.run_ts)
+j AS (SELECT c.run_event_id, c.key, c.run_ts, first(p.up_event_id ORDER BY p.up_ts, p.up_event_id) AS up_event_id, min(p.up_ts) AS up_ts
+      FROM c LEFT JOIN p ON p.up_key = c.key AND p.up_ts >= c.run_ts AND p.up_ts <= c.run_ts + INTERVAL 1440 MINUTE
+      GROUP BY c.run_event_id, c.key, c.run_ts),
+w AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events WHERE event_type IN ('click', 'purchase'))
 SELECT run_event_id, key, run_ts, up_event_id,
   CASE WHEN up_event_id IS NOT NULL THEN 'ready' ELSE 'timed_out' END AS outcome
-FROM j
-WHERE up_event_id IS NOT NULL
-   OR run_ts + INTERVAL 1440 MINUTE
-      < (SELECT max(ts) FROM events WHERE event_type IN ('click', 'purchase')) - INTERVAL 1 HOUR
+FROM j, w
+WHERE CASE WHEN up_event_id IS NOT NULL THEN up_ts < wm ELSE run_ts + INTERVAL 1440 MINUTE < wm END
 """,
 )
 def t2_stream_upstream_ready(spark, sf_dir):
-    stream = _event_stream(spark, sf_dir)
+    ev, folder, stream = _events(spark, sf_dir)
     clicks = stream.filter(F.col("event_type") == "click").select(
         F.col("event_id").alias("run_event_id"), F.col("user_id").alias("key"), F.col("ts").alias("run_ts")
     )
@@ -96,11 +109,7 @@ def t2_stream_upstream_ready(spark, sf_dir):
         F.col("event_id").alias("up_event_id"), F.col("user_id").alias("key"), F.col("ts").alias("up_ts")
     )
     out = ST.stream_upstream_ready(clicks, purchases, 1440, WATERMARK)
-    sink = scratch_path(spark, "t2-sink")
-    SS.run_available_now(
-        spark, out.writeStream.format("parquet").option("path", sink).outputMode("append"), scratch_path(spark, "t2-ckpt")
-    )
-    return spark.read.parquet(sink).select(
+    return _run_slices(spark, ev, folder, out, "t2").select(
         "run_event_id", "key", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"), "up_event_id", "outcome"
     )
 
@@ -114,26 +123,32 @@ FROM events WHERE event_type = 'error'
 """,
 )
 def t3_stream_failure_alerts(spark, sf_dir):
-    stream = _event_stream(spark, sf_dir)
+    """The first step is delivered again at the end: late, and every alert twice."""
+    ev, folder, stream = _events(spark, sf_dir)
     tasks = stream.select("event_id", "user_id", "ts", _state("event_type").alias("state"))
     fields = {
         "task": F.concat(F.lit("task-"), F.col("event_id").cast("string")),
         "dag": F.concat(F.lit("user-"), F.col("user_id").cast("string")),
         "execution_time": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
     }
-    sink = scratch_path(spark, "t3-sink")
-    ST.stream_failure_alerts(tasks, fields, "Task {task} in {dag} failed at {execution_time}", sink, scratch_path(spark, "t3-ckpt"))
+    sink, checkpoint = scratch_path(spark, "t3-sink"), scratch_path(spark, "t3-ckpt")
+    run = lambda: ST.stream_failure_alerts(tasks, fields, "Task {task} in {dag} failed at {execution_time}", sink, checkpoint)
+    for _ in SS.replay(ev, "ts", folder, SLICES):
+        run()
+    middle = ev.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5).alias("m")).first()["m"]
+    ev.filter(F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(middle)).write.mode("append").parquet(folder)
+    run()
     return spark.read.parquet(sink).select("event_id", "message")
 
 
-def _daily(stream):
-    """Daily counts per event type; the watermark lets a day's state go once
-    the day is an hour in the past."""
-    return (
-        stream.withWatermark("ts", WATERMARK)
-        .groupBy(F.window("ts", "1 day"), "event_type")
-        .agg(F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(12,2)")).alias("total_value"))
-        .select(F.date_format("window.start", "yyyy-MM-dd").alias("ds"), "event_type", "n_events", "total_value")
+def _by_day(rows):
+    return rows.withColumn("ds", F.date_format("ts", "yyyy-MM-dd"))
+
+
+def _daily(rows):
+    """Daily counts per event type."""
+    return rows.groupBy("ds", "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(12,2)")).alias("total_value")
     )
 
 
@@ -146,19 +161,17 @@ FROM events GROUP BY 1, 2
 """,
 )
 def t4_incremental_run(spark, sf_dir):
-    """Three scheduled runs over one checkpoint: the first half of the
-    files, then the rest, then nothing new."""
-    ev = B.table(spark, sf_dir, "events")
-    folder = scratch_path(spark, "t4-input")
-    sink = scratch_path(spark, "t4-sink")
-    ckpt = scratch_path(spark, "t4-ckpt")
-    mid = ev.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5).alias("m")).first()["m"]
-    first = ev.filter(F.unix_micros(F.col("ts").cast("timestamp")) < F.lit(mid))
-    rest = ev.filter(F.unix_micros(F.col("ts").cast("timestamp")) >= F.lit(mid))
-    for part in (first, rest, None):
+    """Scheduled runs over one checkpoint: the later two thirds of the events,
+    then the first third (late), then nothing new."""
+    ev, folder, stream = _events(spark, sf_dir)
+    sink, checkpoint = scratch_path(spark, "t4-sink"), scratch_path(spark, "t4-ckpt")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    third = ev.agg(F.percentile_approx(at, 0.33).alias("m")).first()["m"]
+    for part in (ev.filter(at > F.lit(third)), ev.filter(at <= F.lit(third)), None):
         if part is not None:
-            SS.replay_in_slices(part, "ts", SLICES // 2, folder)
-        ST.incremental_run(SS.event_stream(spark, folder, ev.schema), _daily, sink, ckpt, ["ds", "event_type"])
+            part.write.mode("append").parquet(folder)
+        source = spark.read.schema(ev.schema).parquet(folder)
+        ST.incremental_run(stream, source, _by_day, _daily, sink, checkpoint, ["ds", "event_type"])
     return spark.read.parquet(sink).select(
         F.col("ds").cast("string").alias("ds"), "event_type", "n_events", F.col("total_value").cast("double").alias("total_value")
     )

@@ -1,49 +1,45 @@
 """File streams for the streaming operators, and the replay used to feed them.
 
-A stream reads a folder of Parquet files, one file per micro-batch, with
-the schema given (no inference).  Event times arrive as ``timestamp_ntz``;
-watermarks need ``timestamp``, so ``ts`` is cast (session time zone UTC).
+A stream reads a folder of Parquet files with the schema given (no
+inference).  Event times arrive as ``timestamp_ntz``; watermarks need
+``timestamp``, so ``ts`` is cast (session time zone UTC).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import scratch_path
-
 
-def replay_in_slices(df: DataFrame, ts_col: str, slices: int, folder: str | None = None) -> str:
-    """Write ``df`` into a fresh folder as ``slices`` files in event-time
-    order (each slice written after the previous one, so file times follow
-    event times).  Returns the folder."""
-    spark = df.sparkSession
-    folder = folder or scratch_path(spark, "replay")
+def replay(df: DataFrame, ts_col: str, folder: str, slices: int) -> Iterator[int]:
+    """Append ``df`` to ``folder`` in ``slices`` steps of equal event time, one
+    step each time the iterator is asked, so that a stream over the folder can
+    be run after each.  Rows without an event time come with the first step."""
+    ts = F.col(ts_col)
     bounds = df.select(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
-        df.limit(0).write.mode("append").parquet(folder)
-        return folder
-    step = (hi - lo) / slices
+    step = None if lo is None else (hi - lo) / slices
     for i in range(slices):
-        start = lo + step * i
-        cond = F.col(ts_col) >= F.lit(start)
-        if i < slices - 1:
-            cond = cond & (F.col(ts_col) < F.lit(lo + step * (i + 1)))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(folder)
-    return folder
+        if lo is None:
+            part = df if i == 0 else df.limit(0)
+        else:
+            begins = (ts >= F.lit(lo + step * i)) if i else F.lit(True)
+            ends = (ts < F.lit(lo + step * (i + 1))) if i < slices - 1 else F.lit(True)
+            part = df.filter(begins & ends | ts.isNull() if i == 0 else begins & ends)
+        part.write.mode("append").parquet(folder)
+        yield i
 
 
-def event_stream(spark: SparkSession, folder: str, schema: StructType, ts_col: str = "ts") -> DataFrame:
-    """``readStream`` over ``folder``, one file per micro-batch, ``ts_col``
-    as ``timestamp``."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(folder)
-        .withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    )
+def event_stream(spark: SparkSession, folder: str, schema: StructType, ts_col: str = "ts", max_files: int | None = None) -> DataFrame:
+    """``readStream`` over ``folder`` with ``ts_col`` as ``timestamp``;
+    ``max_files`` bounds the files of a micro-batch (default: no bound)."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(folder).withColumn(ts_col, F.col(ts_col).cast("timestamp"))
 
 
 def run_available_now(

@@ -7,11 +7,13 @@ watermark has passed the deadline.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..constants import DEFAULT_FAILURE_MESSAGE
@@ -21,64 +23,50 @@ from .sources import run_available_now
 
 POLL_OUTPUT = "run_id long, outcome string, n_seen long"
 POLL_STATE = (
-    "run_ids array<long>, decided_us array<long>, decided array<string>, "
-    "n_seen array<long>, deadline_ms array<long>"
+    "deadline_us long, start_us long, decided_us long, decided_tie long, decided string, n_seen long, "
+    "held_us array<long>, held_tie array<long>, held array<string>"
 )
 
 
-def _poll_step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One state group holds the runs hashed to it.  Per run: the earliest
-    deciding observation inside the window and the count seen.  A run is
-    answered once, when the watermark has passed its deadline."""
-    cols = {"run_id": "int64", "decided_us": "Int64", "decided": "object", "n_seen": "int64", "deadline_ms": "int64"}
+def _poll_step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """State of one run: its window, the earliest deciding observation in it
+    and the count seen.  Observations that come before the run's start is
+    known are held until it is, or until it can no longer come."""
+    deadline, start, at, tie, decided, n_seen, held = None, None, None, None, None, 0, []
     if state.exists:
-        ids, dus, dst, seen, dl = state.get
-        held = pd.DataFrame({"run_id": ids, "decided_us": dus, "decided": dst, "n_seen": seen, "deadline_ms": dl})
-    else:
-        held = pd.DataFrame({c: pd.Series(dtype=t) for c, t in cols.items()})
-    parts = [held.astype(cols)]
+        deadline, start, at, tie, decided, n_seen, us, ties, states = state.get
+        held = list(zip(us, ties, states, strict=True))
     if not state.hasTimedOut:
         for pdf in batches:
-            inside = pdf["inside"].astype(bool)
-            deciding = inside & (pdf["state"] != "running")
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "run_id": pdf["run_id"].astype("int64"),
-                        "decided_us": pdf["ts_us"].where(deciding).astype("Int64"),
-                        "decided": pdf["state"].where(deciding),
-                        "n_seen": inside.astype("int64"),
-                        "deadline_ms": pdf["deadline_ms"].astype("int64"),
-                    }
-                )
-            )
-    rows = pd.concat(parts, ignore_index=True)
-    first = rows.dropna(subset=["decided_us"]).sort_values("decided_us", kind="stable").drop_duplicates("run_id")
-    runs = rows.groupby("run_id", as_index=False).agg(n_seen=("n_seen", "sum"), deadline_ms=("deadline_ms", "max"))
-    runs = runs.merge(first[["run_id", "decided_us", "decided"]], on="run_id", how="left")
-    wm = state.getCurrentWatermarkMs()
-    due = runs["deadline_ms"] < wm
-    waiting = runs[~due]
-    if len(waiting):
-        state.update((
-            waiting["run_id"].tolist(),
-            [None if pd.isna(x) else int(x) for x in waiting["decided_us"]],
-            [None if pd.isna(x) else x for x in waiting["decided"]],
-            waiting["n_seen"].astype("int64").tolist(),
-            waiting["deadline_ms"].astype("int64").tolist(),
-        ))
-        state.setTimeoutTimestamp(max(int(waiting["deadline_ms"].min()), wm + 1))
-    elif state.exists:
-        state.remove()
-    done = runs[due]
-    if len(done):
-        outcome = [
-            d if isinstance(d, str) else (None if n > 0 else "unknown")
-            for d, n in zip(done["decided"], done["n_seen"])
-        ]
-        yield pd.DataFrame(
-            {"run_id": done["run_id"].astype("int64"), "outcome": outcome, "n_seen": done["n_seen"].astype("int64")}
-        )
+            for kind, us, t, s, until in zip(pdf["kind"], pdf["ts_us"], pdf["tie"], pdf["state"], pdf["deadline_us"], strict=True):
+                if kind == "start":
+                    start, deadline = int(us), int(until)
+                else:
+                    held.append((int(us), int(t), s))
+    wm = state.getCurrentWatermarkMs() * 1000
+    if deadline is not None:
+        for us, t, s in held:
+            if start <= us < deadline:
+                n_seen += 1
+                if s != "running" and (at is None or (us, t) < (at, tie)):
+                    at, tie, decided = us, t, s
+        held = []
+        if deadline < wm:
+            if state.exists:
+                state.remove()
+            outcome = decided if decided is not None else (None if n_seen else "unknown")
+            yield pd.DataFrame({"run_id": [int(key[0])], "outcome": [outcome], "n_seen": [n_seen]})
+            return
+    else:
+        held = [h for h in held if h[0] >= wm]  # the start of an older one would be late
+    if deadline is None and not held:
+        if state.exists:
+            state.remove()
+        return
+    us, ties, states = ([h[i] for h in held] for i in range(3))
+    state.update((deadline, start, at, tie, decided, n_seen, us, ties, states))
+    wake = deadline if deadline is not None else max(us)
+    state.setTimeoutTimestamp(max(wake // 1000 + 1, wm // 1000 + 1))
 
 
 def stream_poll_outcome(
@@ -86,99 +74,80 @@ def stream_poll_outcome(
     starts: DataFrame,
     timeout_min: int,
     watermark: str = "1 hour",
-    state_groups: int | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
-    """Streaming W4.  ``observations(run_id, ts, state)`` is a stream,
-    ``starts(run_id, start_ts)`` a table of runs.  One row per run once the
-    watermark passes ``start + timeout``; runs still open at the end of the
-    input are not answered yet (their deadline has not passed in event
-    time).  Runs are hashed into ``state_groups`` state groups (default four
-    per shuffle partition): one vectorised call per group and micro-batch,
-    four values of state per run."""
-    spark = observations.sparkSession
-    ship_package(spark)
-    groups = state_groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = starts.select("run_id", F.col("start_ts").cast("timestamp").alias("start_ts"))
-    deadline = F.col("start_ts") + F.make_dt_interval(mins=F.lit(timeout_min))
-    # Rows at or after the deadline cannot change the answer; dropping them
-    # also means no row can bring an answered run back once the watermark
-    # has passed its deadline (anything older than the watermark is late).
-    # The watermark is taken on the whole stream, before that filter: event
-    # time must keep moving even when no row of a batch is kept.
-    rows = (
-        observations.withWatermark("ts", watermark)
-        .join(s, "run_id")
-        .filter(F.col("ts") < deadline)
-        .withColumn("inside", (F.col("ts") >= F.col("start_ts")) & F.lit(timeout_min > 0))
-        .withColumn("deadline_ms", F.unix_millis(deadline))
-        .withColumn("ts_us", F.unix_micros("ts"))
-        .withColumn("group", F.pmod(F.xxhash64("run_id"), F.lit(groups)))
-        .select("group", "run_id", "ts", "ts_us", "state", "inside", "deadline_ms")
-    )
-    return rows.groupBy("group").applyInPandasWithState(
+    """Streaming W4.  ``observations(run_id, ts, state[, tie])`` and
+    ``starts(run_id, start_ts)`` are streams.  One row per started run once
+    the watermark of the observations passes ``start + timeout``, also for
+    runs that were never seen (``unknown``); runs still open at the end of the
+    input are not answered yet.
+
+    The state is one row per open run, whatever the number of partitions.  A
+    start counts in event time by its deadline, so it is late only when its
+    run can no longer be answered; it does not move the watermark."""
+    ship_package(observations.sparkSession)
+    minutes = F.make_dt_interval(mins=F.lit(max(timeout_min, 0)))
+    seen = observations.withWatermark("ts", watermark).select(
+        "ts", "run_id", F.lit("seen").alias("kind"), F.unix_micros("ts").alias("ts_us"),
+        (F.col(tie).cast("long") if tie else F.lit(0).cast("long")).alias("tie"), "state", F.lit(0).cast("long").alias("deadline_us"),
+    )
+    begun = starts.withColumn("start_ts", F.col("start_ts").cast("timestamp")).withColumn("ts", F.col("start_ts") + minutes)
+    begun = begun.select(
+        "ts", "run_id", F.lit("start").alias("kind"), F.unix_micros("start_ts").alias("ts_us"),
+        F.lit(0).cast("long").alias("tie"), F.lit(None).cast("string").alias("state"), F.unix_micros("ts").alias("deadline_us"),
+    )
+    return seen.unionByName(begun).groupBy("run_id").applyInPandasWithState(
         _poll_step, POLL_OUTPUT, POLL_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
 READY_OUTPUT = "run_event_id long, key long, run_ts_us long, up_event_id long, outcome string"
-READY_STATE = (
-    "run_keys array<long>, run_ids array<long>, run_us array<long>, "
-    "up_keys array<long>, up_ids array<long>, up_us array<long>"
-)
+READY_STATE = "run_ids array<long>, run_us array<long>, up_ids array<long>, up_us array<long>"
 
 
 def _ready_step(timeout_us: int):
-    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """One state group holds the keys hashed to it: runs still waiting
-        and upstream events a future run can still use (not older than the
-        watermark).  Runs are matched with ``merge_asof`` by key, forward,
-        within the timeout: the earliest upstream event of the window
-        answers ``ready``; a run whose window ended before the watermark
-        answers ``timed_out``; the rest wait."""
-        cols = ["key", "event_id", "ts_us"]
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """State of one key: its runs without an answer, and the upstream
+        events that those or a later run can use.  A run is answered ``ready``
+        when the watermark has passed the earliest upstream event of its
+        window (no earlier one can come any more), ``timed_out`` when it has
+        passed the whole window."""
+        runs, ups = ([], [])
         if state.exists:
-            rk, ri, rt, uk, ui, ut = state.get
-            runs = pd.DataFrame({"key": rk, "event_id": ri, "ts_us": rt}, dtype="int64")
-            ups = pd.DataFrame({"key": uk, "event_id": ui, "ts_us": ut}, dtype="int64")
-        else:
-            runs = pd.DataFrame({c: pd.Series(dtype="int64") for c in cols})
-            ups = pd.DataFrame({c: pd.Series(dtype="int64") for c in cols})
+            ri, rt, ui, ut = state.get
+            runs, ups = list(zip(rt, ri, strict=True)), list(zip(ut, ui, strict=True))
         if not state.hasTimedOut:
-            parts_r, parts_u = [runs], [ups]
             for pdf in batches:
-                parts_r.append(pdf.loc[pdf["kind"] == "run", cols].astype("int64"))
-                parts_u.append(pdf.loc[pdf["kind"] == "up", cols].astype("int64"))
-            runs, ups = pd.concat(parts_r, ignore_index=True), pd.concat(parts_u, ignore_index=True)
+                for kind, event, us in zip(pdf["kind"], pdf["event_id"], pdf["ts_us"], strict=True):
+                    (runs if kind == "run" else ups).append((int(us), int(event)))
         wm = state.getCurrentWatermarkMs() * 1000
-        runs = runs.sort_values("ts_us", kind="stable")
-        ups = ups.sort_values("ts_us", kind="stable").rename(columns={"event_id": "up_event_id", "ts_us": "up_us"})
-        matched = pd.merge_asof(
-            runs, ups, left_on="ts_us", right_on="up_us", by="key",
-            direction="forward", tolerance=timeout_us, allow_exact_matches=True,
-        )
-        found = matched["up_event_id"].notna()
-        expired = ~found & (matched["ts_us"] + timeout_us < wm)
-        waiting = matched[~found & ~expired]
-        live = ups[ups["up_us"] >= wm]
-        if len(waiting) or len(live):
-            state.update((
-                waiting["key"].tolist(), waiting["event_id"].tolist(), waiting["ts_us"].tolist(),
-                live["key"].tolist(), live["up_event_id"].tolist(), live["up_us"].tolist(),
-            ))
-            if len(waiting):
-                deadline_ms = (int(waiting["ts_us"].min()) + timeout_us) // 1000 + 1
-                state.setTimeoutTimestamp(max(deadline_ms, wm // 1000 + 1))
+        ups.sort()
+        times = [u for u, _ in ups]
+        answers, waiting, wake = [], [], []
+        for us, event in sorted(runs):
+            i = bisect_left(times, us)
+            found = i < len(ups) and ups[i][0] <= us + timeout_us
+            if found and ups[i][0] < wm:
+                answers.append((event, us, ups[i][1], "ready"))
+            elif not found and us + timeout_us < wm:
+                answers.append((event, us, None, "timed_out"))
+            else:
+                waiting.append((us, event))
+                wake.append(ups[i][0] if found else us + timeout_us)
+        since = min([wm, *(us for us, _ in waiting)])
+        ups = [u for u in ups if u[0] >= since]
+        if waiting or ups:
+            state.update(([e for _, e in waiting], [u for u, _ in waiting], [e for _, e in ups], [u for u, _ in ups]))
+            # Without a waiting run, wake up when the last upstream event is of no use any more.
+            state.setTimeoutTimestamp(max((min(wake) if wake else ups[-1][0]) // 1000 + 1, wm // 1000 + 1))
         elif state.exists:
             state.remove()
-        answered = matched[found | expired]
-        if len(answered):
+        if answers:
+            events, at, found_ids, outcome = zip(*answers, strict=True)
             yield pd.DataFrame({
-                "run_event_id": answered["event_id"].astype("int64"),
-                "key": answered["key"].astype("int64"),
-                "run_ts_us": answered["ts_us"].astype("int64"),
-                "up_event_id": answered["up_event_id"].astype("Int64"),
-                "outcome": ["ready" if f else "timed_out" for f in found[found | expired]],
-            })
+                "run_event_id": list(events), "key": int(key[0]), "run_ts_us": list(at),
+                "up_event_id": pd.array(found_ids, dtype="Int64"), "outcome": list(outcome),
+            })
 
     return step
 
@@ -188,43 +157,43 @@ def stream_upstream_ready(
     upstream: DataFrame,
     timeout_min: int,
     watermark: str = "1 hour",
-    state_groups: int | None = None,
 ) -> DataFrame:
     """A run at ``run_ts`` waits for an upstream event of the same key in
     ``[run_ts, run_ts + timeout]``.  One row per run: ``ready`` with the
-    earliest upstream event of the window, or ``timed_out`` once the
-    watermark has passed the end of the window.
+    earliest upstream event of the window (of equal times the smallest id),
+    or ``timed_out``; both once the watermark leaves no other answer.
 
     Keyed state (``applyInPandasWithState``, event-time timeout) instead of a
     stream–stream join, which would emit every (run, upstream) pair of a key
-    inside the window.  Keys are hashed into ``state_groups`` groups (default
-    four per shuffle partition) so each micro-batch makes one vectorised
-    call per group, not one per key.  State holds only runs still waiting
-    (at most one timeout window of them) and upstream times not older than
-    the watermark."""
-    spark = runs.sparkSession
-    ship_package(spark)
-    groups = state_groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    timeout_us = int(timeout_min) * 60_000_000
+    inside the window.  The state is one row per key, whatever the number of
+    partitions: its runs of at most one timeout window, and upstream events
+    since the first of them or the watermark."""
+    ship_package(runs.sparkSession)
     rows = (
         runs.select(F.lit("run").alias("kind"), F.col("run_event_id").alias("event_id"), "key", F.col("run_ts").alias("ts"))
         .unionByName(
             upstream.select(F.lit("up").alias("kind"), F.col("up_event_id").alias("event_id"), "key", F.col("up_ts").alias("ts"))
         )
         .withColumn("ts_us", F.unix_micros("ts"))
-        .withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)))
         .withWatermark("ts", watermark)
     )
     return (
-        rows.groupBy("group")
+        rows.groupBy("key")
         .applyInPandasWithState(
-            _ready_step(timeout_us), READY_OUTPUT, READY_STATE, "append", GroupStateTimeout.EventTimeTimeout
+            _ready_step(int(timeout_min) * 60_000_000), READY_OUTPUT, READY_STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
         .withColumn("run_ts", F.timestamp_micros("run_ts_us"))
         .drop("run_ts_us")
     )
 
 
+def _written(spark, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing has been written yet
+        return None
+
+
 def stream_failure_alerts(
     tasks: DataFrame,
     fields: dict,
@@ -232,29 +201,39 @@ def stream_failure_alerts(
     sink: str,
     checkpoint: str,
     id_col: str = "event_id",
-    watermark: str = "1 hour",
 ) -> None:
     """One alert row per failed task, written by ``foreachBatch``.
 
-    Duplicated deliveries of the same event id inside the watermark are
-    dropped.  Each micro-batch overwrites its own folder ``batch=<id>``, so
+    A delivery whose id has an alert already is dropped, however late it
+    comes: a micro-batch is compared with the alerts written for the days
+    that it holds (the event's own day, so repeats are found there).  No state
+    is kept.  Each micro-batch overwrites its own folder ``batch=<id>``, so
     a batch re-run after a failure replaces, not repeats, its output.
     """
-    alerts = (
-        tasks.filter(F.col("state") == "failed")
-        .withWatermark("ts", watermark)
-        .dropDuplicatesWithinWatermark([id_col])
-        .select(id_col, "ts", render_message(F.lit(template) if template else None, fields, DEFAULT_FAILURE_MESSAGE).alias("message"))
+    root = sink.rstrip("/")
+    alerts = tasks.filter(F.col("state") == "failed").select(
+        id_col,
+        "ts",
+        render_message(F.lit(template) if template else None, fields, DEFAULT_FAILURE_MESSAGE).alias("message"),
+        F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("none")).alias("day"),
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
+        new = batch.dropDuplicates([id_col])
+        before = _written(batch.sparkSession, root)
+        if before is not None:
+            old = before.filter(F.col("batch") != batch_id).select(id_col, F.col("day").cast("string").alias("day"))
+            old = old.join(batch.select("day").distinct(), "day", "left_semi").select(id_col)
+            new = new.join(old, id_col, "left_anti")
+        new.write.mode("overwrite").partitionBy("day").parquet(f"{root}/batch={batch_id}")
 
     run_available_now(tasks.sparkSession, alerts.writeStream.foreachBatch(write_batch), checkpoint)
 
 
 def incremental_run(
     stream: DataFrame,
+    source: DataFrame,
+    partition: Callable[[DataFrame], DataFrame],
     transform: Callable[[DataFrame], DataFrame],
     sink: str,
     checkpoint: str,
@@ -262,21 +241,25 @@ def incremental_run(
 ) -> None:
     """T4: pick up files that arrived since the last run.
 
-    ``transform`` is a streaming aggregation run in update mode; each
-    micro-batch's updated rows replace their partitions of ``sink``
-    (dynamic partition overwrite), so the sink always holds the current
-    totals and a run with no new files changes nothing.  The checkpoint
-    remembers which files were read.
+    The stream tells which partitions have new rows (``partition`` adds
+    ``partition_cols``); those are computed anew by ``transform`` from all
+    their rows in ``source``, the same files as a table, and replaced in
+    ``sink`` (dynamic partition overwrite).  So the sink holds the totals of
+    all rows read, however late a file comes, no state is kept, and a run
+    without new files changes nothing.  The checkpoint remembers which files were read.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        touched = partition(batch).select(*partition_cols).distinct()
+        rows = partition(source)
+        same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_cols]
+        rows = rows.join(touched.select(*[F.col(c).alias(f"_t_{c}") for c in partition_cols]), same, "left_semi")
         (
-            batch.write.mode("overwrite")
+            transform(rows)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_cols)
             .parquet(sink)
         )
 
-    run_available_now(
-        stream.sparkSession, transform(stream).writeStream.outputMode("update").foreachBatch(write_batch), checkpoint
-    )
+    run_available_now(stream.sparkSession, stream.writeStream.foreachBatch(write_batch), checkpoint)
