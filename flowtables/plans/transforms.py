@@ -82,22 +82,18 @@ def run_for_date(
 ) -> DataFrame:
     """Run scheduled dates.  ``ds`` = one date (``yyyy-MM-dd``): only
     that date's rows are read (the filter reaches the scan) and only
-    partition ``ds=<date>`` of ``sink`` is replaced (dynamic partition
-    overwrite), so a re-run of a date replaces that date alone.
-    ``ds=None`` runs every date of ``source`` in one job, one partition per
-    date.  ``transform`` gets the rows with a ``ds`` column and must keep it.
+    partition ``ds=<date>`` of ``sink`` is replaced, also when the date has
+    no rows (any more).  ``ds=None`` runs every date of ``source`` in one job
+    and replaces the whole sink, one partition per date.  ``transform`` gets
+    the rows with a ``ds`` column and must keep it.
     """
     day = F.date_format(F.col(ts_col), "yyyy-MM-dd")
     rows = source.withColumn("ds", day)
-    if ds is not None:
-        rows = rows.filter(F.col(ts_col) >= F.lit(ds).cast("timestamp_ntz")).filter(
+    if ds is None:
+        transform(rows).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ds").parquet(sink)
+    else:
+        one = rows.filter(F.col(ts_col) >= F.lit(ds).cast("timestamp_ntz")).filter(
             F.col(ts_col) < F.date_add(F.lit(ds).cast("date"), 1).cast("timestamp_ntz")
         )
-    (
-        transform(rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ds")
-        .parquet(sink)
-    )
+        transform(one).drop("ds").write.mode("overwrite").parquet(f"{sink.rstrip('/')}/ds={ds}")
     return source.sparkSession.read.parquet(sink)

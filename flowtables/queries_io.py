@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from . import bindings as B
 from .plans import transforms as TR
 from .queries import register
-from .session import scratch_path
+from .functions.text import run_scoped_name
+from .session import cut_lineage, scratch_path
 from .sources import catalog_tables, files, staging
 
 
@@ -25,18 +26,25 @@ def s1_file_table_io(spark, sf_dir):
 
 @register("s2_metastore_table_io", "SELECT * FROM nation")
 def s2_metastore_table_io(spark, sf_dir):
+    """Half of the table is saved, the other half inserted; the table goes
+    again, what was read from it stays."""
     name = f"ft_nation_{uuid.uuid4().hex[:12]}"
     nation = B.table(spark, sf_dir, "nation")
-    nation.write.mode("overwrite").option("path", scratch_path(spark, name)).saveAsTable(name)
-    return catalog_tables.metastore_table_io(spark, name)
+    odd = F.col("n_nationkey") % 2 == 1
+    catalog_tables.write_metastore_table(nation.filter(odd), name, path=scratch_path(spark, name))
+    catalog_tables.write_metastore_table(nation.filter(~odd), name, mode="append", insert=True)
+    out = cut_lineage(catalog_tables.metastore_table_io(spark, name), "s2-nation")
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
-@register("s4_csv_table_io", "SELECT * FROM part")
+@register("s4_csv_table_io", "SELECT * FROM documents")
 def s4_csv_table_io(spark, sf_dir):
-    part = B.table(spark, sf_dir, "part")
-    path = scratch_path(spark, "s4-part")
-    files.write_csv_table(part, path)
-    return files.csv_table_io(spark, path, part.schema)
+    """Whole documents: quotes, separators, line breaks and empty texts come back as they were."""
+    docs = B.table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "s4-documents")
+    files.write_csv_table(docs, path)
+    return files.csv_table_io(spark, path, docs.schema)
 
 
 STAGED = (
@@ -50,7 +58,9 @@ STAGED = (
     " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in STAGED),
 )
 def s5_stage_run_inputs(spark, sf_dir):
-    area = scratch_path(spark, "run-area")
+    when = F.lit("2024-01-02 03:04:05").cast("timestamp_ntz")
+    name = spark.range(1).select(run_scoped_name(F.lit("Driver tables"), when)).first()[0]
+    area = f"{scratch_path(spark, 'areas')}/{name}"
     return staging.stage_run_inputs(spark, sf_dir, area, STAGED).select("table", "n_rows")
 
 
@@ -134,11 +144,13 @@ FROM events GROUP BY 1, 2
 """,
 )
 def x3_run_for_date(spark, sf_dir):
-    """All dates in one job, then the first date again: the re-run replaces
-    that date's partition and leaves the others alone."""
+    """All dates in one job, then the first date again, first without rows
+    (its partition is emptied) and then with them: a re-run replaces that
+    date's partition and leaves the others alone."""
     events = B.table(spark, sf_dir, "events")
     sink = scratch_path(spark, "x3-daily")
     TR.run_for_date(_daily_counts, events, "ts", None, sink)
     first_day = "2024-01-01"
+    TR.run_for_date(_daily_counts, events.filter(F.col("value") < 0), "ts", first_day, sink)
     out = TR.run_for_date(_daily_counts, events, "ts", first_day, sink)
     return out.select(F.col("ds").cast("string").alias("ds"), "event_type", "n_events", "total_value")

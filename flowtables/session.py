@@ -63,25 +63,21 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for lineage cuts: the folder given to
+    ``setCheckpointDir`` if there is one, else the cluster's
+    ``spark.checkpoint.dir``.
 
     Only when the session names none (local tests) a private folder is made;
     on a cluster a missing setting is an error, since a machine-local folder
     is not visible to other executors.
     """
-    for key in ("spark.checkpoint.dir", _OWN_KEY):
-        try:
-            value = spark.conf.get(key, None)
-        except Exception:
-            value = None
+    try:
+        explicit = spark.sparkContext.getCheckpointDir()
+    except Exception:  # pragma: no cover - Connect sessions
+        explicit = None
+    for value in (explicit, spark.conf.get("spark.checkpoint.dir", None), spark.conf.get(_OWN_KEY, None)):
         if value:
             return value
-    try:
-        value = spark.sparkContext.getCheckpointDir()
-    except Exception:
-        value = None
-    if value:
-        return value
     if not _is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative operators need a "
@@ -90,7 +86,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     value = tempfile.mkdtemp(prefix="flowtables-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(value)
-    except Exception:
+    except Exception:  # pragma: no cover - Connect sessions
         pass
     spark.conf.set(_OWN_KEY, value)
     return value

@@ -10,13 +10,14 @@ def metastore_table_io(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def write_metastore_table(df: DataFrame, table: str, mode: str = "overwrite", insert: bool = False) -> None:
+def write_metastore_table(df: DataFrame, table: str, mode: str = "overwrite", insert: bool = False, path: str | None = None) -> None:
     """Store as a catalog table (``insertInto`` appends/overwrites an
-    existing table by position)."""
+    existing table by position); ``path`` makes it an external one."""
     if insert:
         df.write.insertInto(table, overwrite=(mode == "overwrite"))
     else:
-        df.write.mode(mode).saveAsTable(table)
+        writer = df.write.mode(mode)
+        (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def jdbc_table_io(

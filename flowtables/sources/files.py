@@ -38,16 +38,23 @@ def write_file_table(
     writer.save(path)
 
 
-def csv_table_io(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header and an explicit schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", "true").csv(path)
+#: How a null is written in CSV, to tell it from an empty text (which is written as two quotes).
+CSV_NULL = "\\N"
+_CSV = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; timestamps written in ISO form."""
+def csv_table_io(spark: SparkSession, path: str, schema: StructType | str, null: str = CSV_NULL) -> DataFrame:
+    """CSV with a header and an explicit schema (no inference pass).
+    Fields may hold quotes, separators and line breaks."""
+    return spark.read.schema(schema).options(**_CSV, multiLine="true", nullValue=null, emptyValue="").csv(path)
+
+
+def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite", null: str = CSV_NULL) -> None:
+    """CSV with a header; timestamps written in ISO form, nulls as
+    ``null`` (a text that equals it is read back as null)."""
     (
         df.write.mode(mode)
-        .option("header", "true")
+        .options(**_CSV, nullValue=null, emptyValue='""')
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .csv(path)
     )

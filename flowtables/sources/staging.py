@@ -14,25 +14,28 @@ def stage_run_inputs(
     run_area: str,
     tables: Iterable[str],
     fmt: str = "parquet",
+    skip: bool = False,
 ) -> DataFrame:
     """Copy every raw table into a fresh run-scoped area before the first
-    step; later steps read only from there.
+    step; later steps read only from there.  ``skip``: no copies, the steps
+    read the raw tables.  An area that holds a table already is an error: it
+    belongs to another run (name areas with ``run_scoped_name``).
 
     Each table is a distributed read + write (no bytes pass the driver).
-    Returns ``(table, n_rows, path)``, counts taken from the staged copies.
+    Returns ``(table, n_rows, path)``, counts taken from where the steps read.
     """
-    rows = []
+    out = None
     for name in tables:
-        target = f"{run_area.rstrip('/')}/{name}"
-        spark.read.format(fmt).load(f"{src_dir.rstrip('/')}/{name}.{fmt}").write.mode("overwrite").parquet(target)
-        rows.append(
-            spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(name).alias("table"), "n_rows", F.lit(target).alias("path")
-            )
-        )
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+        raw = f"{src_dir.rstrip('/')}/{name}.{fmt}"
+        source = spark.read.format(fmt).load(raw)
+        if skip:
+            staged, target = source, raw
+        else:
+            target = f"{run_area.rstrip('/')}/{name}"
+            source.write.mode("errorifexists").parquet(target)
+            staged = spark.read.parquet(target)
+        row = staged.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows", F.lit(target).alias("path"))
+        out = row if out is None else out.unionByName(row)
     return out
 
 
