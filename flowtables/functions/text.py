@@ -37,7 +37,7 @@ def _accent_table() -> tuple[str, str]:
     src, dst = [], []
     for cp in range(0x00C0, 0x110000):
         ch = chr(cp)
-        if ch in SLUG_ALPHABETS or unicodedata.category(ch) in ("Cs", "Co", "Cn"):
+        if ch.lower() in SLUG_ALPHABETS or unicodedata.category(ch) in ("Cs", "Co", "Cn"):
             continue
         d = unicodedata.normalize("NFD", ch)
         if len(d) < 2 or not all(unicodedata.combining(x) for x in d[1:]):

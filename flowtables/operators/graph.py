@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import GROUP_DEFAULT, GROUP_SPARK, SPARK_GROUP_NAME_PREFIX
-from ..session import cut_lineage, cut_lineage_counting
+from ..session import cut_lineage, cut_lineage_counting, stored_rounds
 from .ranking import dense_number_within
 
 K = ["pipeline", "node"]
@@ -48,6 +48,11 @@ def connected_groups(
     table.  Labels only fall and never leave the component, so the last
     label is the component's smallest node.
     """
+    with stored_rounds(vertices.sparkSession) as keep:
+        return _contract(vertices, edges, jumps, keep)
+
+
+def _contract(vertices: DataFrame, edges: DataFrame, jumps: int, keep) -> DataFrame:
     # Callers pass stored frames (the grouping plan stores its marks), so the
     # two reads of the vertices below cost a scan each, not a recomputation.
     v = vertices.select(*K).distinct()
@@ -99,7 +104,7 @@ def connected_groups(
         if i % 8 == 7 and i + 1 < len(hooks):
             labels = cut_lineage(labels, "cc-labels")
     # Stored: callers read the labels several times.
-    return cut_lineage(labels, "cc-labels") if hooks else labels
+    return keep(cut_lineage(labels, "cc-labels")) if hooks else labels
 
 
 def _jump(hook: DataFrame) -> DataFrame:
@@ -123,6 +128,11 @@ def absorb_sandwiched(
     group id.  After the first round only neighbours of newly absorbed nodes
     are re-tested.
     """
+    with stored_rounds(edges.sparkSession) as keep:
+        return _absorb(edges, spark_groups, default_nodes, max_rounds, keep)
+
+
+def _absorb(edges: DataFrame, spark_groups: DataFrame, default_nodes: DataFrame, max_rounds: int | None, keep) -> DataFrame:
     e = edges.select("pipeline", "parent", "child")
     members = cut_lineage(spark_groups.select(*K, "group_id"), "absorb-members")
     pending = cut_lineage(default_nodes.select(*K).distinct(), "absorb-pending")
@@ -167,7 +177,7 @@ def absorb_sandwiched(
             )
         )
         candidates = cut_lineage(pending.join(near, K, "left_semi"), "absorb-near")
-    return members.limit(0) if absorbed is None else absorbed
+    return spark_groups.select(*K, "group_id").limit(0) if absorbed is None else keep(absorbed)
 
 
 def renumber_groups(spark_groups: DataFrame, group_col: str = "group_id") -> DataFrame:
@@ -211,6 +221,11 @@ def dag_levels(group_edges: DataFrame, groups: DataFrame | None = None) -> DataF
     What remains lies on or below a cycle.  Followers take their levels at
     the end, last round first.
     """
+    with stored_rounds(group_edges.sparkSession) as keep:
+        return _peel(group_edges, groups, keep)
+
+
+def _peel(group_edges: DataFrame, groups: DataFrame | None, keep) -> DataFrame:
     e = group_edges.select("pipeline", F.col("parent_group").alias("u"), F.col("child_group").alias("v"))
     nodes = e.select("pipeline", F.col("u").alias("group")).unionByName(e.select("pipeline", F.col("v").alias("group")))
     if groups is not None:
@@ -309,4 +324,5 @@ def dag_levels(group_edges: DataFrame, groups: DataFrame | None = None) -> DataF
         out = out.unionByName(took)
         if i % 2 == 1:
             out = cut_lineage(out, "levels-out")
-    return out.select(*key, F.col("level").cast("int").alias("level"), F.col("level").isNull().alias("cyclic"))
+    out = out.select(*key, F.col("level").cast("int").alias("level"), F.col("level").isNull().alias("cyclic"))
+    return keep(cut_lineage(out, "levels"))

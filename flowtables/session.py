@@ -4,7 +4,8 @@ Iterative operators (connected groups, absorption, levelling) loop on the
 driver and run one distributed round per iteration.  After each round the
 round's result is written as Parquet below the shared checkpoint folder and
 read back, so the plan of the next round starts from stored files: lineage
-stays one round deep and a lost executor only costs the current round.
+stays one round deep and a lost executor only costs the current round.  What
+the rounds stored is deleted when the loop is over (``stored_rounds``).
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,6 +99,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+def _store(df: DataFrame, writer: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    writer.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
 def cut_lineage(df: DataFrame, name: str = "round") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -103,10 +119,7 @@ def cut_lineage(df: DataFrame, name: str = "round") -> DataFrame:
     it twice), columnar, and the read-back carries file-size statistics that
     AQE and the broadcast threshold can use in the next round.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _store(df, df, name)
 
 
 def cut_lineage_counting(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, dict]:
@@ -116,11 +129,46 @@ def cut_lineage_counting(df: DataFrame, name: str, **metrics) -> tuple[DataFrame
 
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, *[col.alias(key) for key, col in metrics.items()])
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    observed.write.mode("overwrite").parquet(path)
+    out = _store(df, observed, name)
     values = obs.get
-    return spark.read.schema(df.schema).parquet(path), {k: values.get(k) for k in metrics}
+    return out, {k: values.get(k) for k in metrics}
+
+
+@contextmanager
+def stored_rounds(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete what the rounds of a loop stored when the loop is over.
+
+    Yields ``keep``: the frames it is given (made by ``cut_lineage``) stay and
+    pass to the enclosing scope; all others stored inside go, so nothing that
+    is returned may still read them.  After an error everything stays.
+    """
+    mine: list[str] = []
+    kept: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df._stored_at)
+        return df
+
+    _SCOPES.append(mine)
+    try:
+        yield keep
+    finally:
+        _SCOPES.pop()
+    for path in mine:
+        if path in kept:
+            if _SCOPES:
+                _SCOPES[-1].append(path)
+        else:
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file system layer."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:  # pragma: no cover - Connect sessions leave it
+        return
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 _SHIPPED_KEY = "flowtables.package.shipped"

@@ -1,5 +1,4 @@
-"""The ten grouping cases of the reference, as small pipeline tables, plus
-our own quirk cases (SURVEY §7 hard points 2 and 3)."""
+"""Grouping cases as small pipeline tables, plus quirk cases."""
 
 from flowtables.constants import SPARK_FRAME_CLASS, SPARK_GROUP_TAG
 from flowtables.model import pipeline_tables

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from flowtables import queries as Q
 from conftest import SF_SMALL
 
 TABLES = (
@@ -41,7 +42,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
@@ -65,6 +66,7 @@ def explain(df) -> str:
 def test_every_query_has_a_callable():
     qs = E.queries()
     assert set(E.oracle_sql()) <= set(qs)
+    assert set(Q.ORACLES) == set(Q.QUERIES)  # every query of the library itself has SQL
     assert len(qs) >= 60
 
 
