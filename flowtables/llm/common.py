@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import base64
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,12 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, cut_lineage, scratch_path, ship_package
+from ..session import cut_lineage, scratch_path, ship_package
 
 __all__ = [
-    "arrow_map", "checkpoint_root", "cut_lineage", "drop_path", "fresh", "held_out",
-    "read_table", "scratch_path", "ship_package", "sum_vectors", "vector_rows",
-]
+    "arrow_map", "cut_lineage", "held_out", "read_table", "scratch_path", "ship_package", "sum_vectors", "vector_rows",
+]
 
 #: Rows of whole texts handed to Python at once.  Bounds a worker's memory: a
 #: batch of average texts is a few MB, and a batch of the longest ones fits too.
@@ -27,11 +24,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fresh(prefix: str) -> str:
-    """A column name that no caller's column has."""
-    return f"__{prefix}_{uuid.uuid4().hex[:8]}"
-
-
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the rows whose labels a classifier never sees:
     crc32 of the id as text, modulo ``folds``, is 0 (a null id: false)."""
@@ -80,14 +72,3 @@ def sum_vectors(df: DataFrame, length: int, slices: int = 16) -> np.ndarray:
     got = {r["slice"]: np.frombuffer(bytes(r["v"]), "<i8") for r in rows}
     sizes = [len(p) for p in np.array_split(np.empty(length), slices)]
     return np.concatenate([got.get(i, np.zeros(n, "<i8")) for i, n in enumerate(sizes)])
-
-
-def b32_sha1(digest: bytes) -> str:
-    return base64.b32encode(digest).decode()
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a written intermediate through Spark's own file system layer."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

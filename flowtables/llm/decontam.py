@@ -17,7 +17,7 @@ each; results named like a column of the input replace that column.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,11 +131,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         F.array().cast("array<string>").alias("r_items"),
         F.array().cast("array<struct<first_word:long,last_word:long,start:long,end:long>>").alias("r_spans"),
     )
+    name = uuid.uuid4().hex  # of this benchmark in the workers, which outlive a query
     for number, items in enumerate(_blocks(benchmark, block_bytes)):
         shipped = spark.sparkContext.broadcast(items)  # at most about block_bytes of text
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped, number=number) -> Iterator[pa.RecordBatch]:
-            a, any_pattern = _automaton((number, id(shipped.value), window), shipped.value, window)
+            a, any_pattern = _automaton((name, number, window), shipped.value, window)
             for b in batches:
                 cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
                 texts = cols[f"c{text_at}"].to_pylist()

@@ -87,7 +87,7 @@ class _Powers:
             return np.multiply.accumulate(out)
 
 
-_POWERS = _Powers()
+POWERS = _Powers()
 
 
 @dataclass
@@ -154,7 +154,7 @@ def scan(data: np.ndarray, offs: np.ndarray, word_bytes: np.ndarray, lower: bool
     start, end = np.flatnonzero(begin), np.flatnonzero(stop)
     if hashed:
         with np.errstate(over="ignore"):
-            up, down = _POWERS.upto(n + 1)
+            up, down = POWERS.upto(n + 1)
             total = np.zeros(n + 1, dtype=U)
             np.cumsum(BYTE_VALUE[data] * up[:n], out=total[1:])
             h = mix64((total[end] - total[start]) * down[start] + (end - start).astype(U))
