@@ -17,13 +17,18 @@ Signatures leave a task as packed blocks by hash bucket.  A bucket finds
 
 * the smallest set of a run is its hub, and only (hub, member) pairs are
   compared; linked sets become components;
-* then members of a run in different components remain, new hubs are chosen
-  among them (four times as many in each round), until nothing is left;
+* then members of a run in different components remain, and more hubs are
+  chosen among them, eight times as many in each round, until nothing is left;
 * runs of more than ``HOT`` sets are mostly shared passages.  A set that keeps
   more signatures outside such runs than can be touched needs none of them
   (its similar sets share one of the others), so it leaves all large runs.
+  Sets that need them leave them too, and meet in runs of their rarest
+  shingles instead: two similar sets share one of the rarest quarter of each.
 
-Sets that are equal are one entity from the start, and comparisons are exact.
+Sets that are equal are one entity from the start.  A pair is compared in two
+steps: the parities of both sets' shingles in hash cells (a bit each) give a
+lower bound of how far they are apart, and pairs beyond (x + y) / 7 go; for
+those left the whole sets are compared, exactly.
 
 Defined cases: a null text has no words; a text without words has no shingles
 and links with nothing; one with 1 to 4 words has one shingle; a null id
@@ -38,22 +43,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_groups
-from ..session import cut_lineage_counting
+from ..session import cut_lineage_counting, stored_rounds
 from . import textvec as V
 from .common import arrow_map, cut_lineage, read_table, ship_package
 
 SHINGLE = 5
 #: Sets in a run from which it counts as large.
-HOT = 48
+HOT = 16
 #: Packed bytes of a bucket, about.
 BUCKET_BYTES = 24 << 20
 #: Signatures a task gathers before it hands its blocks on.
 FLUSH = 3 << 20
 TAGS = 40
+#: Ids of documents whose sets are needed, up to which they are broadcast (8 bytes each) and beyond which shuffled.
+BROADCAST_IDS = 1 << 18
+#: Rows of runs that one task handles together.
+GROUP_ROWS = 100_000
 _U = np.uint64
 _WORD = V.space_separated()
 
@@ -85,6 +94,32 @@ def sets_of(arr: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield (np.concatenate(found) if found else h), np.concatenate([[0], np.cumsum(size)])
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Parity of the shingles per hash cell, four to eight cells (bits) a shingle."""
+    if not len(found):
+        return b""
+    cells = 8 << (len(found).bit_length() - 1)
+    with np.errstate(over="ignore"):
+        cell = V.mix64(found + _U(0xC2B2AE3D27D4EB4F)) & _U(cells - 1)
+    return np.packbits((np.bincount(cell.astype(np.int64), minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def _halved(m: np.ndarray) -> np.ndarray:
+    """Sketches (in rows) with half of the cells: cell numbers modulo fewer cells, parities added."""
+    half = m.shape[-1] // 2
+    return m[..., :half] ^ m[..., half:]
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """At least so many shingles are in only one of two sets with these sketches."""
+    x, y = (np.frombuffer(z, np.uint8) for z in (a, b))
+    while len(x) > len(y):
+        x = _halved(x)
+    while len(y) > len(x):
+        y = _halved(y)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def entities(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     """One int64 per set, equal for equal sets."""
     n = np.diff(at)
@@ -142,11 +177,11 @@ def signatures(flat: np.ndarray, at: np.ndarray, buckets: int):
 
 
 def shingle_table(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, entity, slack, next_slack)`` per row; no entity without shingles."""
+    """``(doc_id, n_shingles, entity, slack, next_slack, sketch)`` per row; no entity without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, ent, near, far = [], [], [], []
+            n, ent, near, far, cells = [], [], [], [], []
             for flat, at in sets_of(b.column(1)):
                 size = np.diff(at)
                 _, (which, tag, slack) = signatures(flat, at, 1)
@@ -157,10 +192,11 @@ def shingle_table(docs: DataFrame) -> DataFrame:
                 ent.append(np.ma.masked_array(entities(flat, at), size == 0))
                 near.append(s[0])
                 far.append(s[1])
-            cols = [b.column(0), pa.array(np.concatenate(n)), pa.array(np.ma.concatenate(ent).filled(0), mask=np.concatenate(n) == 0), pa.array(np.concatenate(near)), pa.array(np.concatenate(far))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "entity", "slack", "next_slack"])
+                cells += [sketch(flat[at[i] : at[i + 1]]) for i in range(len(size))]
+            cols = [b.column(0), pa.array(np.concatenate(n)), pa.array(np.ma.concatenate(ent).filled(0), mask=np.concatenate(n) == 0), pa.array(np.concatenate(near)), pa.array(np.concatenate(far)), pa.array(cells, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "entity", "slack", "next_slack", "sketch"])
 
-    return arrow_map(docs, run, "doc_id long, n_shingles long, entity long, slack long, next_slack long")
+    return arrow_map(docs, run, "doc_id long, n_shingles long, entity long, slack long, next_slack long, sketch binary")
 
 
 def _pack(ents: np.ndarray, tag: np.ndarray, sig: np.ndarray, who: np.ndarray) -> bytes:
@@ -261,10 +297,12 @@ def find_runs(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("bucket").applyInPandas(bucket, RUNS)
 
 
-def _entity_sets(docs: DataFrame, table: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(entity, shingles)`` of the entities ``wanted``: sorted u64 hashes, as bytes, from one document each."""
-    reps = table.join(wanted, "entity", "left_semi").groupBy("entity").agg(F.min("doc_id").alias("rep"))
+def _entity_sets(docs: DataFrame, reps: DataFrame, n_wanted: int) -> DataFrame:
+    """``(entity, shingles)`` of the entities ``reps(entity, rep)``: sorted u64
+    hashes, as bytes, from the document with the id ``rep`` or any without an id."""
     ids = reps.filter("rep IS NOT NULL").select(F.col("rep").alias("r_id"))
+    if n_wanted <= BROADCAST_IDS:  # one id each, so at most a few MB
+        ids = F.broadcast(ids)
     texts = docs.join(ids, F.col("doc_id") == F.col("r_id"), "left_semi").select("text").unionByName(docs.filter("doc_id IS NULL").select("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,12 +318,49 @@ def _entity_sets(docs: DataFrame, table: DataFrame, wanted: DataFrame) -> DataFr
     return made.groupBy("entity").agg(F.first("shingles").alias("shingles"))
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def prefix_runs(sets: DataFrame) -> DataFrame:
+    """``(run, entity)``: runs of sets ``(entity, shingles)`` that share one of
+    their rarest shingles.  Of similar sets, each has three quarters of its
+    shingles in common with the other, so the rarest ``size - ceil(3/4 size) + 1``
+    of both, in one order for all, share one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(1)]
+            size = np.array([len(x) for x in sets], np.int64)
+            keep = size - -(-3 * size // 4) + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets)), pa.array(np.repeat(b.column(0).to_numpy(), size)), pa.array(np.repeat(keep, size))], ["run", "entity", "keep"]
+            )
+
+    grams = arrow_map(sets.select("entity", "shingles"), run, "run long, entity long, keep long")
+    ranked = grams.join(grams.groupBy("run").agg(F.count(F.lit(1)).alias("n")), "run")
+    place = F.row_number().over(Window.partitionBy("entity").orderBy("n", "run"))  # a set's own shingles
+    return ranked.withColumn("place", place).filter("place <= keep AND n > 1").select("run", "entity")
+
+
+def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose sketches ``(entity, n_shingles, sketch)`` allow a similarity of 3/4."""
+    left = sketches.select(F.col("entity").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"))
+    right = sketches.select(F.col("entity").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"))
+    near = (4 * F.col("na") >= 3 * F.col("nb")) & (4 * F.col("nb") >= 3 * F.col("na"))
+    joined = pairs.join(left, "a").join(right, "b").filter(near)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            most = (x.column(2).to_numpy() + x.column(3).to_numpy()) // 7
+            gap = [apart(a, b) for a, b in zip(x.column(4).to_pylist(), x.column(5).to_pylist(), strict=True)]
+            ok = np.array(gap, np.int64) <= most
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return arrow_map(joined.select("a", "b", "na", "nb", "ka", "kb"), run, "a long, b long")
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` with 100 * intersection >= 75 * union."""
     left = sets.select(F.col("entity").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("entity").alias("b"), F.col("shingles").alias("sb"))
-    size = F.octet_length
-    joined = pairs.join(left, "a").join(right, "b").filter((4 * size("sa") >= 3 * size("sb")) & (4 * size("sb") >= 3 * size("sa")))
+    joined = pairs.join(left, "a").join(right, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,95 +374,195 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return arrow_map(joined.select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
+class _Verifier:
+    """Compares pairs; whole sets are made once for each entity that needs them."""
+
+    def __init__(self, docs: DataFrame, table: DataFrame) -> None:
+        self.docs, self.table = docs, table
+        known = table.filter("entity IS NOT NULL").groupBy("entity")
+        self.sketches = cut_lineage(known.agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "join-sketches")
+        self.sets: DataFrame | None = None
+        self.links: DataFrame | None = None
+
+    def need(self, wanted: DataFrame) -> None:
+        """Make the sets of ``wanted(entity)`` that are not there yet."""
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("entity"), "entity", "left_anti")
+        reps = self.table.join(wanted, "entity", "left_semi").groupBy("entity").agg(F.min("doc_id").alias("rep"))
+        reps, seen = cut_lineage_counting(reps, "join-wanted", n=F.count(F.lit(1)))
+        if seen["n"]:
+            made = cut_lineage(_entity_sets(self.docs, reps, seen["n"]), "join-shingles")
+            self.sets = made if self.sets is None else self.sets.unionByName(made)
+
+    def __call__(self, close: DataFrame) -> bool:
+        """Add the linked ones of the stored pairs ``close(a, b)`` to ``links``; whether there are any."""
+        self.need(close.select(F.col("a").alias("entity")).unionByName(close.select(F.col("b").alias("entity"))).distinct())
+        if self.sets is None:
+            return False
+        found, seen = cut_lineage_counting(similar(close, self.sets), "join-links", n=F.count(F.lit(1)))
+        if seen["n"]:
+            self.links = found if self.links is None else self.links.unionByName(found)
+        return bool(seen["n"])
+
+
 def _components(links: DataFrame) -> DataFrame:
     """``(entity, component)`` of the linked entities."""
     edges = links.select(F.lit(0).alias("pipeline"), F.col("a").alias("parent"), F.col("b").alias("child"))
     nodes = edges.select("pipeline", F.col("parent").alias("node")).unionByName(edges.select("pipeline", F.col("child").alias("node"))).distinct()
     nodes = cut_lineage(nodes, "join-linked")
-    return cut_lineage(connected_groups(nodes, edges).select(F.col("node").alias("entity"), F.col("group_id").alias("component")), "join-components")
+    return connected_groups(nodes, edges, jumps=1).select(F.col("node").alias("entity"), F.col("group_id").alias("component"))
 
 
-def _labelled(rows: DataFrame, comps: DataFrame, col: str, out: str) -> DataFrame:
+def _labelled(rows: DataFrame, comps: DataFrame | None, col: str, out: str) -> DataFrame:
+    """Add the component of entity ``col`` (itself if it has no link)."""
+    if comps is None:
+        return rows.withColumn(out, F.col(col))
     c = comps.select(F.col("entity").alias("c_e"), F.col("component").alias("c_c"))
     return rows.join(c, F.col(col) == F.col("c_e"), "left").withColumn(out, F.coalesce("c_c", col)).drop("c_e", "c_c")
 
 
-def _unsettled(members: DataFrame, comps: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Members of runs that still hold more than one component, stored."""
-    labelled = _labelled(members.select("run", "entity"), comps, "entity", "component")
+def _unsettled(members: DataFrame, comps: DataFrame | None) -> tuple[DataFrame, int]:
+    """``(run, entity, component)`` of runs that still hold more than one component, stored, and their number."""
+    labelled = _labelled(members, comps, "entity", "component")
     mixed = labelled.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("run")
-    rows, seen = cut_lineage_counting(labelled.join(mixed, "run", "left_semi"), name, n=F.count(F.lit(1)))
+    rows, seen = cut_lineage_counting(labelled.join(mixed, "run", "left_semi"), "join-left", n=F.count(F.lit(1)))
     return rows, seen["n"] or 0
 
 
+class _Sketches:
+    """Sketches of the entities of one task, for many pairs at once."""
+
+    def __init__(self, size: np.ndarray, cells: list[bytes]) -> None:
+        self.size, self.width = size, np.array([len(c) for c in cells], np.int64)
+        self.place = np.zeros(len(cells), np.int64)
+        self.own, self.folded = {}, {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.place[rows] = np.arange(len(rows))
+            m = np.frombuffer(b"".join([cells[i] for i in rows]), np.uint8).reshape(len(rows), w)
+            self.own[w], self.folded[w] = m, _halved(m)
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs may have a similarity of 3/4."""
+        x, y = self.size[a], self.size[b]
+        ok = (4 * x >= 3 * y) & (4 * y >= 3 * x)
+        wa, wb = self.width[a], self.width[b]
+        for u in self.own:
+            for v in self.own:
+                rows = np.flatnonzero(ok & (wa == u) & (wb == v))
+                if v > 2 * u or u > 2 * v:
+                    continue  # sizes within a ratio of 4/3 have as many cells or twice as many
+                left, right = (self.folded if u > v else self.own)[u], (self.folded if v > u else self.own)[v]
+                for i in range(0, len(rows), 1 << 15):
+                    r = rows[i : i + (1 << 15)]
+                    gap = np.bitwise_count(left[self.place[a[r]]] ^ right[self.place[b[r]]]).sum(axis=1, dtype=np.int64)
+                    ok[r] = gap <= (x[r] + y[r]) // 7
+        return ok
+
+
+def _next_pairs(left: DataFrame, sketches: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame, int]:
+    """One round over runs ``left(run, entity, component)``: of the pairs
+    ``(a, b)`` of each run's ``hubs`` smallest members and the members after
+    them, where their components differ, those that may be similar by their
+    sketches; and the runs ``(run, entity)`` without those hubs, with their number of rows.
+
+    Runs with the same smallest member mostly have the same other members, so
+    they are handled together and a pair leaves once and not once a run; a
+    member that heads very many rows is split over tasks by run.
+    """
+    heads = left.groupBy("run").agg(F.min("entity").alias("head"), F.count(F.lit(1)).alias("n"))
+    shares = heads.groupBy("head").agg(F.ceil(F.sum("n") / GROUP_ROWS).alias("shares"))
+    placed = heads.join(shares, "head").select("run", "head", F.pmod("run", "shares").alias("share"))
+
+    def step(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values(["run", "entity"], kind="stable")
+        run, ent, comp = (pdf[c].to_numpy() for c in ("run", "entity", "component"))
+        first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        size = np.diff(np.append(first, len(run)))
+        start = np.repeat(first, size)
+        rank = np.arange(len(run)) - start
+        names, one, code = np.unique(ent, return_index=True, return_inverse=True)
+        known = _Sketches(pdf["n_shingles"].to_numpy()[one], [pdf["sketch"].iat[i] for i in one])
+        found = [np.zeros(0, np.int64)]
+        for i in range(min(hubs, int(size.max()) - 1)):
+            rows = np.flatnonzero(rank > i)
+            hub = start[rows] + i
+            differ = comp[hub] != comp[rows]
+            pair = np.unique(code[hub[differ]] * len(names) + code[rows[differ]])
+            found.append(pair[known.near(pair // len(names), pair % len(names))])
+        found = np.unique(np.concatenate(found))
+        after = np.flatnonzero((rank >= hubs) & (np.repeat(size, size) > hubs + 1))
+        pairs = pd.DataFrame({"pair": True, "run": 0, "a": names[found // len(names)], "b": names[found % len(names)]})
+        rest = pd.DataFrame({"pair": False, "run": run[after], "a": ent[after], "b": ent[after]})
+        return pd.concat([pairs, rest], ignore_index=True).astype({"pair": bool, "run": "int64", "a": "int64", "b": "int64"})
+
+    rows = left.join(placed, "run").join(sketches, "entity")
+    made = rows.groupBy("head", "share").applyInPandas(step, "pair boolean, run long, a long, b long")
+    made, seen = cut_lineage_counting(made, "join-round", rest=F.count_if(~F.col("pair")))
+    return made.filter("pair").select("a", "b").distinct(), made.filter("NOT pair").select("run", F.col("a").alias("entity")), seen["rest"]
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs(doc_id, text)``."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    with stored_rounds(docs.sparkSession) as keep:
+        table, labels = _join(docs)
+        return _result(keep(table), labels, keep)
+
+
+def _join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The table of sets, and ``(entity, rep, component)``."""
     table = cut_lineage(shingle_table(docs), "join-sets")
     total = table.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(32, int(total * 6 // BUCKET_BYTES))
     runs, seen = cut_lineage_counting(find_runs(signature_blocks(docs, buckets)), "join-runs", n=F.count(F.lit(1)), hot=F.count_if("hot"))
     labels = table.filter("entity IS NOT NULL").groupBy("entity").agg(F.min("doc_id").alias("rep"))
     if not seen["n"]:
-        return _result(table, labels.withColumn("component", F.col("entity")))
-    cold = runs.filter("NOT hot").select("run", "entity", "hub")
-    members = cold
+        return table, labels.withColumn("component", F.col("entity"))
+    verify, comps = _Verifier(docs, table), None
+    cold = runs.filter("NOT hot")
+    pairs = likely(cold.select(F.col("hub").alias("a"), F.col("entity").alias("b")).distinct(), verify.sketches)
+    members = cold.select("run", "entity")  # all but the hubs, which meet everyone
     if seen["hot"]:
-        members = members.unionByName(cut_lineage(_needed(runs.filter("hot"), table), "join-hot"))
-    wanted = members.select("entity").unionByName(members.select(F.col("hub").alias("entity"))).distinct()
-    sets = cut_lineage(_entity_sets(docs, table, wanted), "join-shingles")
-    shared = members.groupBy("entity", "hub").agg(F.count(F.lit(1)).alias("n"))
-    shared = cut_lineage(shared.filter("entity <> hub").select(F.col("hub").alias("a"), F.col("entity").alias("b"), "n"), "join-pairs")
-    # First each set's likeliest hub; of the other pairs those that it left in different components.
-    best = shared.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
-    links = cut_lineage(verify(best, sets), "join-links")
-    comps = _components(links)
-    tested = shared.select("a", "b")
-    rest = tested.join(best, ["a", "b"], "left_anti")
-    rest = _labelled(_labelled(rest, comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b")
-    more, found = cut_lineage_counting(verify(rest, sets), "join-links", n=F.count(F.lit(1)))
-    if found["n"]:
-        links = links.unionByName(more)
-        comps = _components(links)
-    left, n = _unsettled(members.filter("entity <> hub"), comps, "join-left")
-    fan = 4
+        needed, n = cut_lineage_counting(_needed(runs.filter("hot"), table), "join-needed", n=F.count(F.lit(1)))
+        if n["n"]:
+            verify.need(needed)
+            rare = prefix_runs(verify.sets.join(needed, "entity", "left_semi"))
+            rare = cut_lineage(rare.withColumn("component", F.col("entity")), "join-rare")
+            more, rest, _ = _next_pairs(rare, verify.sketches, 2)
+            pairs, members = pairs.unionByName(more).distinct(), members.unionByName(rest)
+    tested = [cut_lineage(pairs, "join-pairs")]
+    if verify(tested[0]):
+        comps = _components(verify.links)
+    hubs = HOT  # all that a small run holds
+    left, n = _unsettled(members, comps)
     while n:
-        salt = F.pmod(F.xxhash64("entity"), F.lit(fan))
-        hubs = cut_lineage(left.groupBy("run", salt.alias("salt")).agg(F.min("entity").alias("hub")).select("run", "hub"), "join-hubs")
-        pairs = left.join(hubs, "run").join(
-            _labelled(hubs.select("hub").distinct(), comps, "hub", "hub_component"), "hub"
-        ).filter("component <> hub_component")
-        pairs = pairs.select(F.least("hub", "entity").alias("a"), F.greatest("hub", "entity").alias("b")).distinct()
-        done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"), "join-pairs")
-        more, found = cut_lineage_counting(verify(pairs, sets), "join-links", n=F.count(F.lit(1)))
-        tested = tested.unionByName(pairs)
-        if found["n"]:
-            links = links.unionByName(more)
-            comps = _components(links)
-        rest = left.join(hubs.withColumnRenamed("hub", "entity"), ["run", "entity"], "left_anti")
-        left, n = _unsettled(rest, comps, "join-left")
-        fan *= 4
-    return _result(table, _labelled(labels, comps, "entity", "component"))
+        pairs, rest, n_rest = _next_pairs(left, verify.sketches, hubs)
+        for t in tested:
+            pairs = pairs.join(t, ["a", "b"], "left_anti")
+        tested.append(cut_lineage(pairs, "join-pairs"))
+        if verify(tested[-1]):
+            comps = _components(verify.links)
+        left, n = _unsettled(rest, comps) if n_rest else (rest, 0)
+        hubs *= 8
+    return table, _labelled(labels, comps, "entity", "component")
 
 
 def _needed(hot: DataFrame, table: DataFrame) -> DataFrame:
-    """``(run, entity, hub)`` of the sets that cannot do without large runs, with the smallest as hub."""
+    """``(entity)`` of the sets that cannot do without large runs."""
     met = hot.groupBy("entity", "tag").agg(F.count(F.lit(1)).alias("met"))
     one = table.filter("entity IS NOT NULL").groupBy("entity").agg(F.first("n_shingles").alias("size"), F.first("slack").alias("slack"), F.first("next_slack").alias("next_slack"))
     own = F.floor(F.log2("size")) == F.col("tag")
     spare = F.when(own, F.col("slack")).otherwise(F.col("next_slack"))
-    needs = met.join(one, "entity").filter(F.col("met") >= spare).select("entity", "tag")
-    stay = cut_lineage(hot.select("run", "entity", "tag").join(needs, ["entity", "tag"], "left_semi").select("run", "entity"), "join-hot-members")
-    heads = stay.groupBy("run").agg(F.min("entity").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("run", "hub")
-    return stay.join(heads, "run").filter("entity <> hub").select("run", "entity", "hub")
+    return met.join(one, "entity").filter(F.col("met") >= spare).select("entity").distinct()
 
 
-def _result(table: DataFrame, labels: DataFrame) -> DataFrame:
+def _result(table: DataFrame, labels: DataFrame, keep) -> DataFrame:
     """``labels(entity, rep, component)`` to documents; a component's id is its smallest document id."""
     ids = labels.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = cut_lineage(labels.join(ids, "component").select(F.col("entity").alias("e"), "component_id"), "join-labels")
+    named = keep(cut_lineage(labels.join(ids, "component").select(F.col("entity").alias("e"), "component_id"), "join-labels"))
     out = table.join(named, F.col("entity") == F.col("e"), "left")
     return out.select(
         "doc_id", "n_shingles", F.when(F.col("entity").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
@@ -396,18 +571,17 @@ def _result(table: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates (the one whose id names
-    the group; of rows that repeat it, one), and all without shingles or id."""
+    the group) and all without shingles or without an id; rows that repeat an
+    id stay or go together."""
     cols = [f"k{i}" for i in range(len(docs.columns))]
     by = {c.lower(): k for c, k in zip(docs.columns, cols, strict=True)}
     inner = docs.toDF(*cols)
-    pair = inner.select(F.col(by["doc_id"]).cast("long").alias("doc_id"), F.col(by["text"]).alias("text"))
-    groups = jaccard_components(pair)
-    heads = groups.filter("n_shingles > 0 AND doc_id = component_id").select(F.col("doc_id").alias("h_id")).distinct()
-    stay = inner.join(heads, F.col(by["doc_id"]) == F.col("h_id"), "left_semi")
-    with_words = F.regexp_instr(F.col(by["text"]), F.lit(r"[^\x20\x09-\x0D]")) > 0
-    plain = inner.filter(~F.coalesce(with_words, F.lit(False)))
-    stay = stay.filter(F.coalesce(with_words, F.lit(False)))
-    return stay.unionByName(plain).toDF(*docs.columns)
+    groups = jaccard_components(inner.select(F.col(by["doc_id"]).cast("long").alias("doc_id"), F.col(by["text"]).alias("text")))
+    stays = F.bool_or((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
+    # What goes is the smaller side; its ids are all that meets the texts.
+    gone = groups.groupBy("doc_id").agg(stays.alias("stays")).filter("NOT stays").select(F.col("doc_id").alias("g_id"))
+    gone = cut_lineage(gone, "join-gone")
+    return inner.join(gone, F.col(by["doc_id"]).cast("long") == F.col("g_id"), "left_anti").toDF(*docs.columns)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
