@@ -13,8 +13,9 @@ Entropies of all windows come from one cumulative sum: moving a window by a
 byte changes two byte counts, and those counts come from 63 comparisons of the
 text with itself, moved by 1 to 63 bytes.
 
-A text of less than ``SHORT`` bytes has too few windows for that; it is read
-the same way in windows of 16 bytes, with ranks counted over short texts.
+A short text has too few windows for that; below 1,024 bytes it is read the
+same way in windows of 16 bytes, with ranks counted over short texts, and
+below 256 bytes in those only.
 
 Defined cases: a null text is empty; an empty text has the digest ``0:``;
 a text of less than one window has itself as its only feature, and one with
@@ -40,8 +41,8 @@ from .common import arrow_map, read_table, sum_vectors, vector_rows
 
 WINDOW = 64
 CLASSES = 1000
-#: Texts below so many bytes are read in windows of ``SHORT_WINDOW`` bytes.
-SHORT, SHORT_WINDOW = 512, 16
+#: Texts below ``SHORT`` bytes are read in windows of ``SHORT_WINDOW`` bytes, those from ``LONG`` on in windows of ``WINDOW``.
+SHORT, LONG, SHORT_WINDOW = 1024, 256, 16
 FILTER_BITS = 2048
 BITS_EACH = 5
 FILTER_FEATURES = 160
@@ -92,8 +93,8 @@ def _by_size(arr: pa.Array) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
     """``(window, numbers, texts)`` of the long and of the short texts."""
     if arr.null_count:
         arr = arr.fill_null("")
-    short = np.diff(V.text_buffer(arr)[1]) < SHORT
-    for window, these in ((WINDOW, np.flatnonzero(~short)), (SHORT_WINDOW, np.flatnonzero(short))):
+    size = np.diff(V.text_buffer(arr)[1])
+    for window, these in ((WINDOW, np.flatnonzero(size >= LONG)), (SHORT_WINDOW, np.flatnonzero(size < SHORT))):
         if len(these):
             yield window, these, arr.take(pa.array(these))
 
@@ -165,19 +166,20 @@ def _digest(hashes: np.ndarray) -> str:
 
 def digests(arr: pa.Array, ranks: dict[int, np.ndarray]) -> list[str]:
     """Digest of each text."""
-    out = [""] * len(arr)
+    out: list[list[np.ndarray]] = [[] for _ in range(len(arr))]
     for window, these, texts in _by_size(arr):
-        for i, d in zip(these.tolist(), _digests(texts, ranks[window], window), strict=True):
-            out[i] = d
-    return out
+        for i, h in zip(these.tolist(), _features(texts, ranks[window], window), strict=True):
+            out[i].append(h)
+    return [_digest(h[0] if len(h) == 1 else np.concatenate(h)) for h in out]
 
 
-def _digests(arr: pa.Array, ranks: np.ndarray, window: int) -> Iterator[str]:
+def _features(arr: pa.Array, ranks: np.ndarray, window: int) -> Iterator[np.ndarray]:
+    """Feature hashes of each text, in order."""
     for _, _, raw, offs in V.chunks(arr, CHUNK):
         at, wins = _winners(ranks, raw, offs, window)
         strong = at[wins >= window // 4]
         size = np.diff(offs)
-        up, down = V._POWERS.upto(len(raw) + 1)
+        up, down = V.POWERS.upto(len(raw) + 1)
         with np.errstate(over="ignore"):
             total = np.zeros(len(raw) + 1, _U)
             np.cumsum(V.BYTE_VALUE[raw] * up[: len(raw)], out=total[1:])
@@ -192,7 +194,7 @@ def _digests(arr: pa.Array, ranks: np.ndarray, window: int) -> Iterator[str]:
                     a, b = np.searchsorted(at, (offs[i], offs[i + 1]))
                     p = int(at[a + int(np.argmax(wins[a:b]))])
                     found = V.mix64((total[p + window : p + window + 1] - total[p : p + 1]) * down[p : p + 1])
-                yield _digest(found)
+                yield found
 
 
 def _filters(digest: str) -> tuple[int, np.ndarray]:
@@ -240,7 +242,7 @@ def with_next(docs: DataFrame, parts: int | None = None) -> tuple[DataFrame, boo
     Part borders are ids of the table, from approximate percentiles.
     """
     spark = docs.sparkSession
-    n = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(2, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = F.array(*[F.lit(i / n) for i in range(1, n)])
     got = docs.agg(F.min("doc_id").alias("first"), F.percentile_approx("doc_id", shares, 10000).alias("cuts")).first()
     cuts = sorted({c for c in (got["cuts"] or []) if c is not None and c > got["first"]})
@@ -259,7 +261,7 @@ def with_next(docs: DataFrame, parts: int | None = None) -> tuple[DataFrame, boo
             .otherwise(F.array(F.struct(part.alias("part"), F.lit(False).alias("tail"))))
         )
         placed = base.select(F.explode(places).alias("p"), "doc_id", "text").select("p.part", "p.tail", "doc_id", "text")
-    dealt = placed.repartition(max(1, n // 2), "part").withColumn("none", F.col("doc_id").isNull())
+    dealt = placed.repartitionById(len(cuts) + 1, F.col("part")).withColumn("none", F.col("doc_id").isNull())
     return dealt.sortWithinPartitions("part", "tail", "none", "doc_id", "text").select("part", "tail", "doc_id", "text"), bool(cuts)
 
 

@@ -12,12 +12,14 @@ from llm_cases import documents, no_documents, sentence
 RANKS = {w: np.random.default_rng(w).permutation(P.CLASSES).astype(np.uint32) for w in (P.WINDOW, P.SHORT_WINDOW)}
 
 
-def _digest_brute(text):
-    """Features by a loop over windows and runs, with the module's hashing and filters."""
+def _features_brute(text):
+    """How many features, by a loop over windows and runs."""
     raw = text.encode()
-    window = P.SHORT_WINDOW if len(raw) < P.SHORT else P.WINDOW
-    if len(raw) < window:
-        return None
+    windows = [w for w, ok in ((P.WINDOW, len(raw) >= P.LONG), (P.SHORT_WINDOW, len(raw) < P.SHORT)) if ok]
+    return None if len(raw) < P.SHORT_WINDOW else sum(_one_size(raw, w) for w in windows)
+
+
+def _one_size(raw, window):
     classes = []
     for i in range(len(raw) - window + 1):
         c = Counter(raw[i : i + window])
@@ -42,7 +44,7 @@ def test_features_against_brute_force(n):
     got = P.digests(pa.array([*texts, None, ""]), RANKS)
     assert got[-2:] == ["0:", "0:"]
     for t, d in zip(texts, got, strict=False):
-        want = _digest_brute(t)
+        want = _features_brute(t)
         assert want is None or int(d.split(":")[0]) == want
 
 
