@@ -54,29 +54,29 @@ def a4_trigger_gate(spark, sf_dir):
 @register(
     "a4_task_gates",
     "WITH " + _LATEST_TASKS_SQL + """,
-edges AS (SELECT DISTINCT a.l_linenumber AS parent, b.l_linenumber AS child FROM
-  (SELECT DISTINCT l_linenumber FROM lineitem) a, (SELECT DISTINCT l_linenumber FROM lineitem) b
-  WHERE b.l_linenumber = a.l_linenumber + 1 OR (a.l_linenumber = 1 AND b.l_linenumber > 1))
+lines AS (SELECT DISTINCT o_orderstatus AS p, l_linenumber AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+edges AS (SELECT p, n - 1 AS parent, n AS child FROM lines WHERE n > 1 UNION SELECT p, 1, n FROM lines WHERE n > 1)
 SELECT o_orderkey AS run_id, e.child AS task_id,
   CASE WHEN e.child % 3 = 0 THEN 'all_done' ELSE 'all_success' END AS rule,
   CASE WHEN e.child % 3 = 0 THEN bool_and(coalesce(t.state IN ('success', 'failed', 'skipped', 'upstream_failed'), false))
        ELSE bool_and(coalesce(t.state = 'success', false)) END AS eligible,
   count(*) AS n_parents
-FROM orders JOIN edges e ON true LEFT JOIN tasks t ON t.run_id = o_orderkey AND t.task_id = e.parent
+FROM orders JOIN edges e ON e.p = o_orderstatus LEFT JOIN tasks t ON t.run_id = o_orderkey AND t.task_id = e.parent
 GROUP BY o_orderkey, e.child
 """,
 )
 def a4_task_gates(spark, sf_dir):
-    """Every task waits for the one before it and for the first; every third one cleans up (``all_done``)."""
-    lines = B.table(spark, sf_dir, "lineitem").select("l_linenumber").distinct()
-    pipe = F.lit("orders").alias("pipeline")
+    """A pipeline per order status.  Every task waits for the one before it
+    and for the first; every third one cleans up (``all_done``)."""
+    orders = B.table(spark, sf_dir, "orders")
+    lines = B.table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.select(F.col("o_orderstatus").alias("pipeline"), "l_linenumber").distinct()
     number = F.col("l_linenumber")
-    before = F.array_distinct(F.array(number - 1, F.lit(1).cast(lines.schema[0].dataType)))
-    e = lines.filter(number > 1).select(pipe, F.explode(before).alias("parent"), number.alias("child"))
-    rules = lines.filter(number % 3 == 0).select(pipe, number.alias("task_id"), F.lit("all_done").alias("rule"))
-    return runs.task_gates(
-        B.runs(spark, sf_dir).select("run_id", pipe), runs.latest_attempts(B.task_states(spark, sf_dir)), e, rules
-    )
+    before = F.array_distinct(F.array(number - 1, F.lit(1).cast(lines.schema["l_linenumber"].dataType)))
+    e = lines.filter(number > 1).select("pipeline", F.explode(before).alias("parent"), number.alias("child"))
+    rules = lines.filter(number % 3 == 0).select("pipeline", number.alias("task_id"), F.lit("all_done").alias("rule"))
+    of_run = orders.select(F.col("o_orderkey").alias("run_id"), F.col("o_orderstatus").alias("pipeline"))
+    return runs.task_gates(of_run, runs.latest_attempts(B.task_states(spark, sf_dir)), e, rules)
 
 
 @register(
