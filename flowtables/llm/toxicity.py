@@ -7,8 +7,8 @@ Two gated recurrent layers run over the window in both directions, attention
 weighs their outputs, and a logistic unit scores the window.  A text scores as
 its worst window: all windows of the whole text are scored.
 
-The network is trained here, in numpy, on a bounded sample of labelled rows
-that are not held out (``MAX_TOXIC`` and ``MAX_CLEAN`` texts, chosen by a hash
+The network is trained here, in numpy and in one task, on a bounded sample of
+labelled rows that are not held out (``MAX_TOXIC`` and ``MAX_CLEAN`` texts, chosen by a hash
 of their id).  A label belongs to a text and not to a window; training starts
 from the windows that hold the words most telling for toxic texts and then
 goes on with the windows that the network itself scores highest.
@@ -21,6 +21,7 @@ that repeat an id are scored each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,7 +39,7 @@ HIDDEN = 8
 WORD_DIM, CHAR_DIM = 8, 12
 CHAR_BITS = 12
 MAX_WORDS = 1 << 14
-MAX_TOXIC, MAX_CLEAN = 2000, 3500
+MAX_TOXIC, MAX_CLEAN = 1500, 2500
 #: Windows scored together: bounds a worker's memory.
 SCORE_WINDOWS = 4096
 _WORD = V.alphanumeric()
@@ -373,10 +374,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Net:
         labelled_sample(known.filter(F.col("toxic") <= 0), "toxic", MAX_CLEAN),
     ]
     sample = by_class[0].unionByName(by_class[1]).groupBy("doc_id").agg(F.min("label").alias("label"))
-    # A broadcast of at most MAX_TOXIC + MAX_CLEAN ids; no text is shuffled.
+    # A broadcast of at most MAX_TOXIC + MAX_CLEAN ids; no text is shuffled but the sample's.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
-    got = rows.toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    return fit(got["text"].combine_chunks(), got["label"].to_numpy())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(list(batches), schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("label", pa.int32())]))
+        got = got.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        net = fit(got["text"].combine_chunks(), got["label"].to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
+
+    # The sample is bounded, so one task can hold it; the driver only gets the network.
+    typed = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("int"))
+    made = arrow_map(typed.repartition(1), run, "net binary").collect()
+    return pickle.loads(bytes(made[0]["net"])) if made else fit(pa.array([], pa.string()), np.zeros(0))
 
 
 def score_toxicity(docs: DataFrame, net: Net) -> DataFrame:
