@@ -41,7 +41,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the token ids and read them back: ``(doc_id, start, n_tokens, ids_crc32)``."""
     path = scratch_path(spark, "corpus")
-    huffman.write_token_files(docs, path)
+    # The workers of the earlier stages are used again, so the chunk cache is kept small.
+    huffman.write_token_files(docs, path, keep_chunks=150_000)
     return huffman.read_ids(spark, path)
 
 

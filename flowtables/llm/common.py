@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, scratch_path, ship_package
 
 __all__ = [
-    "arrow_map", "cut_lineage", "held_out", "read_table", "scratch_path", "ship_package", "sum_vectors", "vector_rows",
+    "WORKER_CACHES", "arrow_map", "cut_lineage", "give_back_memory", "held_out", "read_table", "scratch_path", "ship_package", "sum_vectors", "vector_rows",
 ]
 
 #: Rows of whole texts handed to Python at once.  Bounds a worker's memory: a
@@ -20,6 +21,10 @@ __all__ = [
 BATCH_ROWS = 256
 
 
+#: Per module, what empties its cache in a worker: a worker that goes on with another operator starts without it.
+WORKER_CACHES: dict[str, Callable[[], None]] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,7 +44,24 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     spark = df.sparkSession
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for owner, clear in WORKER_CACHES.items():
+            if owner != fn.__module__:
+                clear()
+        yield from fn(batches)
+        give_back_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system at the end of a task.  Workers are
+    used again, and what one operator has freed would count against the next."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own rules
+        pass
 
 
 def vector_rows(vec: np.ndarray, slices: int = 16) -> pa.RecordBatch:

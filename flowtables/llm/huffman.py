@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import arrow_map, read_table, scratch_path, ship_package, sum_vectors, vector_rows
+from .common import WORKER_CACHES, arrow_map, read_table, scratch_path, ship_package, sum_vectors, vector_rows
 
 END_ID = 2
 VOCABULARY = 49408
@@ -54,6 +54,7 @@ CACHE_BYTES = 64
 # --- tokenizing ---------------------------------------------------------
 
 _STATE: dict = {}
+WORKER_CACHES[__name__] = _STATE.clear
 
 
 def _byte_letters() -> dict[int, int]:
@@ -81,9 +82,11 @@ class ChunkTokenizer:
     #: Signs after an ASCII letter or digit, or after a letter of U+00C0 to U+00FF.
     _SIGNS = re.compile(rb"[!-&(-/:-@\[-`{-~](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, keep: int = CACHE_CHUNKS) -> None:
         from tokenizers import Tokenizer
 
+        self.keep = keep
+
         self.tok = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
@@ -101,7 +104,7 @@ class ChunkTokenizer:
             found = self._encode(list(dict.fromkeys([chunks[i] for i in holes])))
             for i in holes:
                 out[i] = found[chunks[i]]
-            if len(known) > CACHE_CHUNKS:
+            if len(known) > self.keep:
                 known.clear()
             known.update((c, x) for c, x in found.items() if len(c) <= CACHE_BYTES)
         return b"".join(out)
@@ -138,13 +141,16 @@ def _tokenizer(path: str | None) -> ChunkTokenizer:
     return _STATE[path]
 
 
-def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, vocabulary: int = VOCABULARY) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, vocabulary: int = VOCABULARY, keep_chunks: int = CACHE_CHUNKS
+) -> DataFrame:
     """``(doc_id, n, ids, slice, v)``: per document the ids of its whole text and
     the end id, as zstandard-packed bytes; and per task, in rows of their own
     (``slice`` not null), how often it met each id.
 
     ``tokenizer`` is the file on the executors (None: ``word_bpe_49k.json`` of
-    the installed public tokenizers); all ids are below ``vocabulary``.
+    the installed public tokenizers); all ids are below ``vocabulary``;
+    ``keep_chunks`` known chunks take about 0.3 KB each in a worker.
     """
     end = struct.pack("<I", end_id)
     schema = "doc_id long, n long, ids binary, slice int, v binary"
@@ -153,6 +159,7 @@ def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int
         import zstandard
 
         tok, pack = _tokenizer(tokenizer), zstandard.ZstdCompressor(level=1).compress
+        tok.keep = keep_chunks
         total = np.zeros(vocabulary, np.int64)
         names = ["doc_id", "n", "ids", "slice", "v"]
         for b in batches:
@@ -421,12 +428,12 @@ def _rows(rows: list[list], keep_ids: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, keep_chunks: int = CACHE_CHUNKS) -> None:
     """Tokenize ``docs(doc_id, text)`` and write the id files below ``path``."""
     spark = docs.sparkSession
     ship_package(spark)
     stored = scratch_path(spark, "ids")
-    encode_documents(docs, tokenizer).write.option("compression", "uncompressed").parquet(stored)
+    encode_documents(docs, tokenizer, keep_chunks=keep_chunks).write.option("compression", "uncompressed").parquet(stored)
     write_ids(spark.read.parquet(stored), path)
 
 

@@ -49,20 +49,20 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_groups
 from ..session import cut_lineage_counting, stored_rounds
 from . import textvec as V
-from .common import arrow_map, cut_lineage, read_table, ship_package
+from .common import arrow_map, cut_lineage, give_back_memory, read_table, ship_package
 
 SHINGLE = 5
 #: Sets in a run from which it counts as large.
 HOT = 16
 #: Packed bytes of a bucket, about.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
 #: Signatures a task gathers before it hands its blocks on.
-FLUSH = 3 << 20
+FLUSH = 1 << 20
 TAGS = 40
 #: Ids of documents whose sets are needed, up to which they are broadcast (8 bytes each) and beyond which shuffled.
 BROADCAST_IDS = 1 << 18
 #: Rows of runs that one task handles together.
-GROUP_ROWS = 100_000
+GROUP_ROWS = 20_000
 _U = np.uint64
 _WORD = V.space_separated()
 
@@ -292,6 +292,7 @@ def find_runs(blocks: DataFrame) -> DataFrame:
         head[first] = True
         rows = np.flatnonzero((cold[run] & ~head) | hot[run])
         r = run[rows]
+        give_back_memory()
         return pd.DataFrame({"run": name[r], "entity": known[ent[rows]], "hub": known[ent[first[r]]], "tag": tag[rows].astype(np.int32), "hot": hot[r]})
 
     return blocks.groupBy("bucket").applyInPandas(bucket, RUNS)
@@ -460,19 +461,22 @@ class _Sketches:
         return ok
 
 
-def _next_pairs(left: DataFrame, sketches: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame, int]:
-    """One round over runs ``left(run, entity, component)``: of the pairs
+def _next_pairs(left: DataFrame, n_rows: int, sketches: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame, int]:
+    """One round over the ``n_rows`` rows of runs ``left(run, entity, component)``: of the pairs
     ``(a, b)`` of each run's ``hubs`` smallest members and the members after
     them, where their components differ, those that may be similar by their
     sketches; and the runs ``(run, entity)`` without those hubs, with their number of rows.
 
     Runs with the same smallest member mostly have the same other members, so
-    they are handled together and a pair leaves once and not once a run; a
-    member that heads very many rows is split over tasks by run.
+    they are handled together (with other such runs, up to about
+    ``GROUP_ROWS`` rows) and a pair leaves once and not once a run; a member
+    that heads more rows than that is split over groups by run.
     """
     heads = left.groupBy("run").agg(F.min("entity").alias("head"), F.count(F.lit(1)).alias("n"))
     shares = heads.groupBy("head").agg(F.ceil(F.sum("n") / GROUP_ROWS).alias("shares"))
-    placed = heads.join(shares, "head").select("run", "head", F.pmod("run", "shares").alias("share"))
+    groups = max(16, n_rows // GROUP_ROWS)
+    group = F.pmod(F.xxhash64("head", F.pmod("run", "shares")), F.lit(groups)).cast("int")
+    placed = heads.join(shares, "head").select("run", group.alias("group"))
 
     def step(pdf):
         import pandas as pd
@@ -499,7 +503,7 @@ def _next_pairs(left: DataFrame, sketches: DataFrame, hubs: int) -> tuple[DataFr
         return pd.concat([pairs, rest], ignore_index=True).astype({"pair": bool, "run": "int64", "a": "int64", "b": "int64"})
 
     rows = left.join(placed, "run").join(sketches, "entity")
-    made = rows.groupBy("head", "share").applyInPandas(step, "pair boolean, run long, a long, b long")
+    made = rows.groupBy("group").applyInPandas(step, "pair boolean, run long, a long, b long")
     made, seen = cut_lineage_counting(made, "join-round", rest=F.count_if(~F.col("pair")))
     return made.filter("pair").select("a", "b").distinct(), made.filter("NOT pair").select("run", F.col("a").alias("entity")), seen["rest"]
 
@@ -530,8 +534,8 @@ def _join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if n["n"]:
             verify.need(needed)
             rare = prefix_runs(verify.sets.join(needed, "entity", "left_semi"))
-            rare = cut_lineage(rare.withColumn("component", F.col("entity")), "join-rare")
-            more, rest, _ = _next_pairs(rare, verify.sketches, 2)
+            rare, n = cut_lineage_counting(rare.withColumn("component", F.col("entity")), "join-rare", n=F.count(F.lit(1)))
+            more, rest, _ = _next_pairs(rare, n["n"], verify.sketches, 2)
             pairs, members = pairs.unionByName(more).distinct(), members.unionByName(rest)
     tested = [cut_lineage(pairs, "join-pairs")]
     if verify(tested[0]):
@@ -539,7 +543,7 @@ def _join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     hubs = HOT  # all that a small run holds
     left, n = _unsettled(members, comps)
     while n:
-        pairs, rest, n_rest = _next_pairs(left, verify.sketches, hubs)
+        pairs, rest, n_rest = _next_pairs(left, n, verify.sketches, hubs)
         for t in tested:
             pairs = pairs.join(t, ["a", "b"], "left_anti")
         tested.append(cut_lineage(pairs, "join-pairs"))
