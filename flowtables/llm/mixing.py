@@ -31,10 +31,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_within
+from ..session import cut_lineage_counting
 from .common import cut_lineage, read_table
 
 #: Documents or carried documents that meet in one group.
 FAN = 64
+#: Rows of a mixing plan up to which it is broadcast to the texts.
+BROADCAST_ROWS = 1 << 18
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -183,7 +186,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     inner = docs.toDF(*cols)
     own = inner.withColumn("m_size", word_count(F.col(by["text"])))
     plan = mix_plan(inner.select(*[F.col(by[c]).alias(c) for c in ("doc_id", "text", "source")]), **options)
-    plan = cut_lineage(plan.filter("copies > 0").select("source", "doc_id", "size", "copies"), "mix-plan")
+    plan = plan.filter("copies > 0").select("source", "doc_id", "size", "copies")
+    plan, seen = cut_lineage_counting(plan, "mix-plan", n=F.count(F.lit(1)))
+    if seen["n"] <= BROADCAST_ROWS:  # a few dozen bytes each; beyond it both sides are shuffled
+        plan = F.broadcast(plan)
     same = (
         F.col(by["doc_id"]).eqNullSafe(F.col("doc_id"))
         & F.col(by["source"]).eqNullSafe(F.col("source"))
