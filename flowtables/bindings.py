@@ -133,6 +133,15 @@ def bipartite_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_part_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole order–part graph ``(pipeline, parent, child)``: every distinct pair of lineitem."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .select(F.lit(BIPARTITE).alias("pipeline"), _name("o", "l_orderkey").alias("parent"), _name("p", "l_partkey").alias("child"))
+        .distinct()
+    )
+
+
 # --------------------------------------------------------------------------
 # Run-state tables.
 

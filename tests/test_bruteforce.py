@@ -42,6 +42,16 @@ def test_connected_groups_match_union_find(spark):
     assert got == union_find(nodes, pairs)
 
 
+def test_connected_groups_of_all_links(spark):
+    """Every distinct pair of lineitem is in the graph, also those of orders with several parts."""
+    got = {r.node: r.group_id for r in E.queries()["g1_connected_groups_links"](spark, SF_SMALL).collect()}
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_partkey").collect()
+    pairs = {(f"o{r.l_orderkey}", f"p{r.l_partkey}") for r in lines}
+    assert len(pairs) > len({a for a, _ in pairs})  # orders with several parts
+    assert {(r.parent, r.child) for r in B.order_part_links(spark, SF_SMALL).collect()} == pairs
+    assert got == union_find({x for p in pairs for x in p}, pairs)
+
+
 def test_connected_groups_with_hub_and_long_chain(spark):
     """One hub holding a third of the edges, plus a long chain (many rounds
     for plain propagation)."""
