@@ -5,7 +5,8 @@ its own vector (words that the training sample knows) next to the sum of the
 vectors of its byte trigrams, so that unknown words are read by their letters.
 Two gated recurrent layers run over the window in both directions, attention
 weighs their outputs, and a logistic unit scores the window.  A text scores as
-its worst window: all windows of the whole text are scored.
+its worst window: a window starts at every word of the whole text.  Training
+looks at windows that start ``STRIDE`` words apart.
 
 The network is trained here, in numpy and in one task, on a bounded sample of
 labelled rows that are not held out (``MAX_TOXIC`` and ``MAX_CLEAN`` texts, chosen by a hash
@@ -192,13 +193,13 @@ def backward(net: Net, x: np.ndarray, idx: np.ndarray, mask: np.ndarray, made, d
 # --- windows ------------------------------------------------------------
 
 
-def windows(counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, first word, words)`` of every window of texts with ``counts``
+def windows(counts: np.ndarray, at: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, first word, words)`` of windows that start ``stride`` words apart in texts with ``counts``
     words; the last window of a text ends with it, a text without words has one empty window."""
-    per = np.where(counts <= WINDOW, 1, 1 + -(-(counts - WINDOW) // STRIDE))
+    per = np.where(counts <= WINDOW, 1, 1 + -(-(counts - WINDOW) // stride))
     text = np.repeat(np.arange(len(counts)), per)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
-    first = np.minimum(nth * STRIDE, np.maximum(counts[text] - WINDOW, 0))
+    first = np.minimum(nth * stride, np.maximum(counts[text] - WINDOW, 0))
     return text, first + at[text], np.minimum(counts[text] - first, WINDOW)
 
 
@@ -221,7 +222,7 @@ def score_texts(net: Net, arr: pa.Array) -> np.ndarray:
         hashes, first_at, word = np.unique(w.hash, return_index=True, return_inverse=True)
         slots, at = char_slots(w, first_at)
         x, _ = net.inputs(hashes, slots, at) if len(hashes) else (np.zeros((1, WORD_DIM + CHAR_DIM), np.float32), None)
-        text, first, n = windows(w.counts(), w.at)
+        text, first, n = windows(w.counts(), w.at, 1)
         gates = project(net, x)
         best = np.full(w.n, -np.inf)
         for i in range(0, len(text), SCORE_WINDOWS):

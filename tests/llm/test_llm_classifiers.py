@@ -77,6 +77,17 @@ def test_windows_hold_every_word():
             assert (np.diff(starts) < toxicity.WINDOW).all() and (n[mine] == toxicity.WINDOW).all()
 
 
+def test_score_does_not_depend_on_where_a_passage_stands():
+    """A passage of one window scores in a longer text at least what it scores alone, at every offset."""
+    net = toxicity.Net.begin(np.zeros(0, np.uint64), seed=3)
+    words = [f"w{i * 7919 % 1000}" for i in range(2000)]
+    passages = [" ".join(words[i : i + toxicity.WINDOW]) for i in range(0, 1600, toxicity.WINDOW)]
+    alone = toxicity.score_texts(net, pa.array(passages))
+    worst = passages[int(alone.argmax())]
+    moved = [" ".join(["quiet"] * k + [worst] + ["quiet"] * (50 - k)) for k in range(24)]
+    assert (toxicity.score_texts(net, pa.array(moved)) >= alone.max() - 1e-5).all()
+
+
 def test_gradients(monkeypatch):
     rng = np.random.default_rng(0)
     net = toxicity.Net.begin(np.arange(5, dtype=np.uint64))
