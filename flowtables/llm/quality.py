@@ -170,18 +170,27 @@ def labelled_sample(labels: DataFrame, column: str, limit: int) -> DataFrame:
     )
 
 
+def sampled_rows(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """``(doc_id, text, label)``, one row per sampled id: of a repeated id the
+    text with the smallest hash.  Reduced where the rows are, before any shuffle."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # At most the sample's ids: a broadcast of fixed size.
+    rows = rows.join(F.broadcast(sample), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("r")
+    return rows.groupBy("doc_id").agg(one).select("doc_id", "r.text", "r.label")
+
+
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int = MAX_SAMPLE) -> Model:
     sample = labelled_sample(labels, column, limit)
-    # At most ``limit`` ids: a broadcast of fixed size, so no text is shuffled.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = sampled_rows(docs, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [f.tobytes() for f in features(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.binary())], ["doc_id", "label", "slots"])
 
-    got = arrow_map(rows.select("doc_id", "text", "label"), run, "doc_id long, label int, slots binary").toPandas()
-    got = got.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    got = arrow_map(rows, run, "doc_id long, label int, slots binary").toPandas()
+    got = got.sort_values("doc_id", kind="stable")
     return fit([np.frombuffer(s, np.uint32) for s in got["slots"]], got["label"].to_numpy())
 
 

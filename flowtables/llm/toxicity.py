@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as V
 from .common import arrow_map, held_out, read_table
-from .quality import labelled_sample
+from .quality import labelled_sample, sampled_rows
 
 WINDOW, STRIDE = 16, 12
 HIDDEN = 8
@@ -375,8 +375,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Net:
         labelled_sample(known.filter(F.col("toxic") <= 0), "toxic", MAX_CLEAN),
     ]
     sample = by_class[0].unionByName(by_class[1]).groupBy("doc_id").agg(F.min("label").alias("label"))
-    # A broadcast of at most MAX_TOXIC + MAX_CLEAN ids; no text is shuffled but the sample's.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
+    # One row for each of at most MAX_TOXIC + MAX_CLEAN ids; no text is shuffled but the sample's.
+    rows = sampled_rows(docs, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = pa.Table.from_batches(list(batches), schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("label", pa.int32())]))

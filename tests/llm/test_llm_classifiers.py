@@ -56,6 +56,21 @@ def test_one_class_scores_its_share(spark):
         assert all(r.score > 0.99 for r in ones)
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    """An id that fills most of the table trains like any other, with the same row in every run."""
+    kinds = ("calm plain words of the day", "vile nasty words of hate")
+    once = [(i, f"{kinds[i % 2]} n{i} m{i // 2}") for i in range(40)]
+    labels = _labels(spark, [(i, i % 2, i % 2) for i in range(40)])
+    plain = spark.createDataFrame(once, "doc_id long, text string")
+    flood = spark.createDataFrame(once + [once[9]] * 300, "doc_id long, text string").repartition(7)
+    a, b = (toxicity.train(d, labels) for d in (plain, flood))
+    assert all(np.array_equal(a.p[k], b.p[k]) for k in a.p)
+    mixed = once + [(9, f"other text {i} of the same id") for i in range(300)]
+    sample = quality.labelled_sample(labels, "quality", 100)
+    taken = [sorted(map(tuple, quality.sampled_rows(spark.createDataFrame(m, "doc_id long, text string"), sample).collect())) for m in (mixed, mixed[::-1])]
+    assert taken[0] == taken[1] and len(taken[0]) == len({r[0] for r in taken[0]}) == sample.count()
+
+
 def test_dropping_keeps_columns(spark):
     docs = documents(spark)
     net = toxicity.train(docs, _labels(spark, []))
