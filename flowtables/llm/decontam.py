@@ -8,7 +8,8 @@ original text.
 
 The benchmark is a query set: it is read in blocks of bounded size
 (``block_bytes`` of item text), so one automaton never grows with the
-benchmark, and every document passes all blocks within one task.
+benchmark.  Blocks are scanned one after the other, and the hits so far are
+stored in between: the driver holds at most two blocks, a task one automaton.
 
 Defined cases: a null text or item has no words; an empty benchmark hits
 nothing; repeated item ids share their windows; rows that repeat are scanned
@@ -25,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import _remove
 from . import textvec as V
-from .common import arrow_map, read_table
+from .common import arrow_map, cut_lineage, read_table
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -50,13 +52,14 @@ def windows_of(text: str | None, size: int = WINDOW) -> set[bytes]:
     return {b" " + b" ".join(w[i : i + size]) + b" " for i in range(max(1, len(w) - size + 1))}
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """Items in blocks of bounded size; each block is fetched on its own."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """Items in blocks of bounded size; each block is fetched when it is asked for."""
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), "text").filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // block_bytes))
     key = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    return [[(r["id"], r["text"]) for r in items.filter(key == b).collect()] for b in range(n)]
+    for b in range(n):
+        yield [(r["id"], r["text"]) for r in items.filter(key == b).collect()]
 
 
 _AUTOMATA: dict[tuple, tuple] = {}
@@ -119,7 +122,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     ``spans`` are runs of hit words: word numbers (0-based, last included) and
     character offsets of the original text (end excluded).
     """
-    spark = docs.sparkSession
     new = [x.split()[0] for x in RESULT.replace("array<struct<first_word:long,last_word:long,start:long,end:long>>", "s").split(", ")]
     kept = [i for i, c in enumerate(docs.columns) if c.lower() not in new]
     text_at = next(i for i, c in enumerate(docs.columns) if c.lower() == "text")
@@ -132,7 +134,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         F.array().cast("array<struct<first_word:long,last_word:long,start:long,end:long>>").alias("r_spans"),
     )
     name = uuid.uuid4().hex  # of this benchmark in the workers, which outlive a query
-    for number, items in enumerate(_blocks(benchmark, block_bytes)):
+    df = _scan_blocks(df, _blocks(benchmark, block_bytes), name, window, text_at)
+    names = [docs.columns[i] for i in kept]
+    return df.toDF(*names, *new)
+
+
+def _scan_blocks(df: DataFrame, blocks: Iterator[list[tuple[str, str]]], name: str, window: int, text_at: int) -> DataFrame:
+    """``df`` with the hits of all blocks; the last one is scanned when the result is read."""
+    spark, stored = df.sparkSession, None
+    for number, items in enumerate(blocks):
+        if number:
+            # The hits so far; what was stored before and the last block's broadcast go.
+            df, old = cut_lineage(df, "decontam-hits"), stored
+            shipped.unpersist()
+            if old:
+                _remove(spark, old)
+            stored = df._stored_at
         shipped = spark.sparkContext.broadcast(items)  # at most about block_bytes of text
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped, number=number) -> Iterator[pa.RecordBatch]:
@@ -159,8 +176,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                 )
 
         df = arrow_map(df, run, df.schema)
-    names = [docs.columns[i] for i in kept]
-    return df.toDF(*names, *new)
+    return df
 
 
 def _merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:

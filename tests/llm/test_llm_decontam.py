@@ -62,6 +62,16 @@ def test_blocks_give_what_one_automaton_gives(spark):
     assert one == many
 
 
+def test_one_block_at_a_time(spark):
+    """Blocks are fetched when asked for, and no plan chains the automata of several blocks."""
+    bench = _bench(spark, _items())
+    blocks = decontam._blocks(bench, 150)
+    assert iter(blocks) is blocks
+    assert sorted(i for b in blocks for i, _ in b) == sorted(str(i) for i, t in _items() if t is not None)
+    found = decontam.find_contamination(documents(spark), bench, block_bytes=150)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_spans_point_into_the_original(spark):
     docs = spark.createDataFrame([(1, "Ünder —  ONE two, three! four five six seven eight nine ten. Rest")], "doc_id long, text string")
     r = decontam.find_contamination(docs, _bench(spark, [(1, "one two three four five six seven eight nine ten")])).first()
