@@ -38,6 +38,19 @@ def s2_metastore_table_io(spark, sf_dir):
     return out
 
 
+@register("s2_metastore_table_io_orders", "SELECT * FROM orders")
+def s2_metastore_table_io_orders(spark, sf_dir):
+    """The same on a table that grows with the data."""
+    name = f"ft_orders_{uuid.uuid4().hex[:12]}"
+    orders = B.table(spark, sf_dir, "orders")
+    odd = F.coalesce(F.col("o_orderkey") % 2 == 1, F.lit(False))
+    catalog_tables.write_metastore_table(orders.filter(odd), name, path=scratch_path(spark, name))
+    catalog_tables.write_metastore_table(orders.filter(~odd), name, mode="append", insert=True)
+    out = cut_lineage(catalog_tables.metastore_table_io(spark, name), "s2-orders")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @register("s4_csv_table_io", "SELECT * FROM documents")
 def s4_csv_table_io(spark, sf_dir):
     """Whole documents: quotes, separators, line breaks and empty texts come back as they were."""
