@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroids, decontam, fingerprint, huffman, langid, lm_score, mixing, ngram_join, quality, toxicity, warc
+from . import centroids, decontam, fingerprint, huffman, langid, lm_score, mixing, ngram_join, quality, resample, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
+    "op12_resample": resample.op12_resample,
     "op13_centroids": centroids.op13_centroids,
 }
 ORACLES = {
