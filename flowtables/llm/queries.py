@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroids, decontam, fingerprint, huffman, langid, lm_score, mixing, ngram_join, quality, resample, toxicity, warc
+from . import centroids, decontam, fingerprint, huffman, langid, lm_score, minmax, mixing, ngram_join, quality, resample, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
+    "op11_minhash": minmax.op11_minhash,
     "op12_resample": resample.op12_resample,
     "op13_centroids": centroids.op13_centroids,
 }
@@ -22,5 +23,6 @@ ORACLES = {
     "op6_warc": warc.ORACLE,
     "op7_decontam": decontam.ORACLE,
     "op8_ngram_join": ngram_join.ORACLE,
+    "op11_minhash": minmax.ORACLE,
     "op13_centroids": centroids.ORACLE,
 }
