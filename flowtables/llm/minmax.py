@@ -17,14 +17,17 @@ Similar sets miss each other in all bands with a probability below
 * the smallest entity of a bucket is its hub, and only (hub, member) pairs are
   compared; linked entities become components;
 * buckets whose members are then in different components go on in rounds.  In
-  a round, about ``HUBS`` members of each bucket, drawn by a hash, meet all
-  other members in other components, and leave; the next round draws eight
-  times as many.  A bucket with at most that many members is settled by it.
-  Members of a large bucket are dealt over many tasks, hubs go to each of them.
-
-Candidates are compared by one byte of each signature value first: a pair of
-which fewer than ``AGREE`` agree goes (a linked pair does so with a probability
-below 1e-9).  For those left the whole sets are compared, exactly.
+  a round, about ``HUBS`` members of each bucket meet all other members in
+  other components, and leave; the next round draws eight times as many.  They
+  are drawn by a hash of the entity alone, so buckets with the same members
+  mostly draw the same ones and give the same pairs.  A bucket with at most that
+  many members is settled by it.  Members of a large bucket are dealt over many
+  tasks, its hubs go to each of them.
+
+Candidates are compared by the parities of both sets' shingles in hash cells (a
+bit each) first: they give a lower bound of how many shingles are in only one of
+the sets, and pairs with more than a ninth of both sizes go.  For those left the
+whole sets are compared, exactly.
 
 Defined cases: a null text has no words; a text without words has no shingles
 and links with nothing; one with 1 to 3 words has one shingle; a null id never
@@ -53,10 +56,10 @@ PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Smaller sets are similar to equal ones only: four shared of five.
 SMALLEST = 4
-#: Signature values, of 2 * PERMUTATIONS, that agree at least in a candidate pair.
-AGREE = 72
+#: Bits of a sketch at most; a set has four to eight a shingle up to there.
+MOST_CELLS = 1 << 15
 #: Members of a bucket that meet all others in the first round.
-HUBS = 32
+HUBS = 8
 #: Shingles that one task compares together, or rows of buckets: at most, and at least.
 MOST_LOAD, LEAST_LOAD = 1 << 20, 1 << 12
 #: Ids of documents whose sets are needed, up to which they are broadcast (8 bytes each) and beyond which shuffled.
@@ -120,9 +123,53 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def cells_of(sig: np.ndarray) -> np.ndarray:
-    """One byte of each signature value."""
-    return (sig & np.uint32(255)).astype(np.uint8)
+def sketch(found: np.ndarray) -> bytes:
+    """Parity of the shingles of a set in each hash cell."""
+    cells = min(8 << (len(found).bit_length() - 1), MOST_CELLS)
+    with np.errstate(over="ignore"):
+        cell = V.mix64(found + _U(0x2545F4914F6CDD1D)) & _U(cells - 1)
+    return np.packbits((np.bincount(cell.astype(np.int64), minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+class Sketches:
+    """Sketches of sets, for many pairs at once."""
+
+    def __init__(self, size: np.ndarray, cells: list[bytes]) -> None:
+        self.size, self.width = size, np.array([len(c) for c in cells], np.int64)
+        self.place = np.zeros(len(cells), np.int64)
+        self.by_width: dict[int, np.ndarray] = {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.place[rows] = np.arange(len(rows))
+            self.by_width[w] = np.frombuffer(b"".join([cells[i] for i in rows]), np.uint8).reshape(len(rows), w)
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """At least so many shingles are in only one of the sets of each pair."""
+        out = np.zeros(len(a), np.int64)
+        widths = self.width[a] * (1 << 32) + self.width[b]
+        for both in np.unique(widths).tolist():
+            u, v = both >> 32, both & 0xFFFFFFFF
+            left, right = self.by_width[u], self.by_width[v]
+            rows = np.flatnonzero(widths == both)
+            step = max(1, (1 << 22) // max(u, v))
+            for i in range(0, len(rows), step):
+                r = rows[i : i + step]
+                x, y = left[self.place[a[r]]], right[self.place[b[r]]]
+                while x.shape[1] > y.shape[1]:  # half as many cells: numbers modulo fewer, parities added
+                    x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+                while y.shape[1] > x.shape[1]:
+                    y = y[:, : y.shape[1] // 2] ^ y[:, y.shape[1] // 2 :]
+                out[r] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        return out
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs may be similar."""
+        x, y = self.size[a], self.size[b]
+        ok = (100 * x >= SIMILAR * y) & (100 * y >= SIMILAR * x)
+        rows = np.flatnonzero(ok)
+        # intersection >= s * union, so what is in one set only is at most (1 - s) / (1 + s) of both sizes
+        ok[rows] = (100 + SIMILAR) * self.apart(a[rows], b[rows]) <= (100 - SIMILAR) * (x[rows] + y[rows])
+        return ok
 
 
 def set_table(docs: DataFrame) -> DataFrame:
@@ -139,9 +186,9 @@ def set_table(docs: DataFrame) -> DataFrame:
                 ents.append(ent)
                 new = np.array([e not in seen and not seen.add(e) for e in ent.tolist()], bool) & (n >= SMALLEST)
                 sig = signatures(flat[np.repeat(new, n)], np.concatenate([[0], np.cumsum(n[new])]))
-                keys, cell = iter(band_keys(sig)), iter(cells_of(sig))
+                keys = iter(band_keys(sig))
                 bands += [next(keys) if x else None for x in new]
-                cells += [next(cell).tobytes() if x else None for x in new]
+                cells += [sketch(flat[at[i] : at[i + 1]]) if x else None for i, x in enumerate(new)]
             n = np.concatenate(sizes)
             cols = [b.column(0), pa.array(n), pa.array(np.concatenate(ents), mask=n == 0), pa.array(bands, pa.list_(pa.int64())), pa.array(cells, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "entity", "bands", "cells"])
@@ -155,29 +202,17 @@ def _load(spark: SparkSession, total: int) -> int:
     return min(max(total // tasks, LEAST_LOAD), MOST_LOAD)
 
 
-def near(na: np.ndarray, nb: np.ndarray, ca: np.ndarray, cb: np.ndarray) -> np.ndarray:
-    """Which pairs of sets (sizes and cells) may be similar."""
-    ok = (100 * na >= SIMILAR * nb) & (100 * nb >= SIMILAR * na)
-    rows = np.flatnonzero(ok)
-    for i in range(0, len(rows), 1 << 14):
-        r = rows[i : i + (1 << 14)]
-        ok[r] = (ca[r] == cb[r]).sum(axis=1) >= AGREE
-    return ok
-
-
-def _cell_rows(col) -> np.ndarray:
-    return np.frombuffer(b"".join(col), np.uint8).reshape(-1, 2 * PERMUTATIONS)
-
-
 def likely(pairs: DataFrame, entities: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` that may be similar by their cells."""
+    """The pairs ``(a, b)`` that may be similar by their sketches."""
 
     def side(x: str) -> DataFrame:
         return entities.select(F.col("entity").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("cells").alias(f"c{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = near(b.column(2).to_numpy(), b.column(3).to_numpy(), _cell_rows(b.column(4).to_pylist()), _cell_rows(b.column(5).to_pylist()))
+            n = b.num_rows
+            known = Sketches(np.concatenate([b.column(2).to_numpy(), b.column(3).to_numpy()]), b.column(4).to_pylist() + b.column(5).to_pylist())
+            ok = known.near(np.arange(n), np.arange(n) + n)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok))
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a")
@@ -282,7 +317,7 @@ def _unsettled(members: DataFrame, comps: DataFrame | None) -> tuple[DataFrame,
 
 def _drawn(hubs: int, turn: int) -> Column:
     """Whether a row ``(key, entity, n)`` is a hub of its bucket in this round."""
-    u = F.pmod(F.xxhash64(F.lit(turn), "key", "entity"), F.lit(1 << 30).cast("long"))
+    u = F.pmod(F.xxhash64(F.lit(turn), "entity"), F.lit(1 << 30).cast("long"))
     return (F.col("n") <= hubs) | (u * F.col("n") < F.lit(hubs << 30).cast("long"))
 
 
@@ -296,33 +331,34 @@ def _meet(left: DataFrame, n_rows: int, entities: DataFrame, hubs: int, turn: in
     # A hub goes to every share of its bucket, another member to one.
     spread = marked.withColumn("share", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).otherwise(F.array(own))))
     placed = spread.select(F.pmod(F.xxhash64("key", "share"), F.lit(groups)).cast("int").alias("group"), "key", "share", "entity", "component", "hub")
-    known = entities.select("entity", "n_shingles", "cells")
+    sketches = entities.select("entity", "n_shingles", "cells")
 
     def step(pdf):
         import pandas as pd
 
         pdf = pdf.sort_values(["key", "share", "hub", "entity"], ascending=[True, True, False, True], kind="stable")
-        key, share, ent, comp, hub, size = (pdf[c].to_numpy() for c in ("key", "share", "entity", "component", "hub", "n_shingles"))
-        cells = _cell_rows(pdf["cells"])
+        key, share, ent, comp, hub = (pdf[c].to_numpy() for c in ("key", "share", "entity", "component", "hub"))
+        names, one, code = np.unique(ent, return_index=True, return_inverse=True)
+        known = Sketches(pdf["n_shingles"].to_numpy()[one], [pdf["cells"].iat[i] for i in one])
         begins = np.ones(len(key), bool)
         begins[1:] = (key[1:] != key[:-1]) | (share[1:] != share[:-1])
         first = np.flatnonzero(begins)
         size_of = np.diff(np.append(first, len(key)))
         start, n_hubs = np.repeat(first, size_of), np.repeat(np.add.reduceat(hub.astype(np.int64), first), size_of)
         place = np.arange(len(key)) - start
-        found = [np.zeros((0, 2), np.int64)]
+        found = [np.zeros(0, np.int64)]
         for i in range(int(n_hubs.max())):
             rows = np.flatnonzero((place > i) & (n_hubs > i))
             at = start[rows] + i
             other = comp[at] != comp[rows]
-            rows, at = rows[other], at[other]
-            ok = near(size[at], size[rows], cells[at], cells[rows])
-            found.append(np.stack([ent[at[ok]], ent[rows[ok]]], axis=1))
-        pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            x, y = code[at[other]], code[rows[other]]
+            pair = np.unique(np.minimum(x, y) * len(names) + np.maximum(x, y))
+            found.append(pair[known.near(pair // len(names), pair % len(names))])
+        pairs = np.unique(np.concatenate(found))
         give_back_memory()
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        return pd.DataFrame({"a": names[pairs // len(names)], "b": names[pairs % len(names)]})
 
-    return placed.join(known, "entity").groupBy("group").applyInPandas(step, "a long, b long").distinct()
+    return placed.join(sketches, "entity").groupBy("group").applyInPandas(step, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
