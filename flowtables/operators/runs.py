@@ -162,6 +162,40 @@ def poll_outcome(
     )
 
 
+def poll_rolled_outcome(
+    observations: DataFrame,
+    task_states: DataFrame,
+    starts: DataFrame,
+    timeout_min: int | Column,
+    tie: str | None = None,
+    task_tie: str | None = None,
+) -> DataFrame:
+    """W4 of a run whose state is rolled up from its tasks (A3).
+
+    ``observations(run_id, ts, state)`` are the run's own states and
+    ``task_states(run_id, task_id, ts, state)`` those of its tasks.  The first
+    observation that is not ``running`` decides; a ``success`` counts as
+    ``failed`` if the newest attempt of any task, as of that time, failed.
+    Output ``(run_id, outcome, n_seen)``.
+    """
+    polled = poll_outcome(observations, starts, timeout_min, tie=tie)
+    timeout = timeout_min if isinstance(timeout_min, Column) else F.lit(timeout_min)
+    # The decision's time: one row per run, so its tasks meet one time each.
+    window = starts.select("run_id", "start_ts", (F.col("start_ts") + F.make_dt_interval(mins=timeout)).alias("_until"))
+    decided = (
+        observations.filter(F.col("state") != "running")
+        .join(window, "run_id")
+        .filter((F.col("ts") >= F.col("start_ts")) & (F.col("ts") < F.col("_until")))
+        .groupBy("run_id")
+        .agg(F.min("ts").alias("_at"))
+    )
+    asof = task_states.join(decided, "run_id").filter(F.col("ts") <= F.col("_at"))
+    newest = asof.groupBy("run_id", "task_id").agg(F.max_by("state", _newest("ts", task_tie)).alias("state"))
+    failed = newest.filter(F.col("state") == "failed").select("run_id").distinct().withColumn("_failed", F.lit(True))
+    outcome = F.when((F.col("outcome") == "success") & F.col("_failed"), F.lit("failed")).otherwise(F.col("outcome"))
+    return polled.join(failed, "run_id", "left").select("run_id", outcome.alias("outcome"), "n_seen")
+
+
 def upstream_ready(
     runs: DataFrame,
     dependencies: DataFrame,

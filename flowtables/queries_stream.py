@@ -93,7 +93,7 @@ p AS (SELECT event_id AS up_event_id, user_id AS up_key, ts AS up_ts FROM events
 j AS (SELECT c.run_event_id, c.key, c.run_ts, first(p.up_event_id ORDER BY p.up_ts, p.up_event_id) AS up_event_id, min(p.up_ts) AS up_ts
       FROM c LEFT JOIN p ON p.up_key = c.key AND p.up_ts >= c.run_ts AND p.up_ts <= c.run_ts + INTERVAL 1440 MINUTE
       GROUP BY c.run_event_id, c.key, c.run_ts),
-w AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events WHERE event_type IN ('click', 'purchase'))
+w AS (SELECT least(max(ts) FILTER (WHERE event_type = 'click'), max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 1 HOUR AS wm FROM events)
 SELECT run_event_id, key, run_ts, up_event_id,
   CASE WHEN up_event_id IS NOT NULL THEN 'ready' ELSE 'timed_out' END AS outcome
 FROM j, w
@@ -141,6 +141,49 @@ def t3_stream_failure_alerts(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id", "message")
 
 
+@register(
+    "t1_stream_rolled_outcome",
+    """
+WITH runs AS (SELECT user_id AS run_id, ts, event_id, CASE event_type WHEN 'purchase' THEN 'success' WHEN 'signup' THEN 'skipped' ELSE 'running' END AS state
+              FROM events WHERE event_type IN ('purchase', 'signup', 'view')),
+tasks AS (SELECT user_id AS run_id, event_id % 5 AS task_id, ts, event_id, CASE event_type WHEN 'error' THEN 'failed' ELSE 'success' END AS state
+          FROM events WHERE event_type IN ('error', 'click')),
+s AS (SELECT user_id AS run_id, date_trunc('day', min(ts)) + INTERVAL 1 DAY AS start_ts FROM events GROUP BY user_id),
+seen AS (SELECT s.run_id, count(*) AS n_seen, first(r.state ORDER BY r.ts, r.event_id) FILTER (WHERE r.state <> 'running') AS state,
+                min(r.ts) FILTER (WHERE r.state <> 'running') AS at
+         FROM s JOIN runs r ON r.run_id = s.run_id AND r.ts >= s.start_ts AND r.ts < s.start_ts + INTERVAL 1440 MINUTE GROUP BY s.run_id),
+newest AS (SELECT seen.run_id, t.task_id, last(t.state ORDER BY t.ts, t.event_id) AS state
+           FROM seen JOIN tasks t ON t.run_id = seen.run_id AND t.ts <= seen.at GROUP BY seen.run_id, t.task_id),
+bad AS (SELECT DISTINCT run_id FROM newest WHERE state = 'failed'),
+w AS (SELECT least(max(ts) FILTER (WHERE event_type IN ('purchase', 'signup', 'view')),
+                   max(ts) FILTER (WHERE event_type IN ('error', 'click'))) - INTERVAL 1 HOUR AS wm FROM events)
+SELECT s.run_id, CASE WHEN seen.state = 'success' AND bad.run_id IS NOT NULL THEN 'failed' WHEN seen.state IS NOT NULL THEN seen.state
+                      WHEN coalesce(n_seen, 0) > 0 THEN NULL ELSE 'unknown' END AS outcome, coalesce(n_seen, 0) AS n_seen
+FROM w, s LEFT JOIN seen ON seen.run_id = s.run_id LEFT JOIN bad ON bad.run_id = s.run_id
+WHERE s.start_ts + INTERVAL 1440 MINUTE < w.wm
+""",
+)
+def t1_stream_rolled_outcome(spark, sf_dir):
+    """Waiting for runs whose state is rolled up from their tasks in the stream (A3, then W4):
+    purchases, signups and views are the run's states, errors and clicks are attempts of its tasks."""
+    ev, folder, stream = _events(spark, sf_dir)
+    kind = F.col("event_type")
+    obs = stream.filter(kind.isin("purchase", "signup", "view")).select(
+        F.col("user_id").alias("run_id"), "ts", "event_id",
+        F.when(kind == "purchase", "success").when(kind == "signup", "skipped").otherwise("running").alias("state"),
+    )
+    tasks = stream.filter(kind.isin("error", "click")).select(
+        F.col("user_id").alias("run_id"), (F.col("event_id") % 5).alias("task_id"), "ts", "event_id",
+        F.when(kind == "error", "failed").otherwise("success").alias("state"),
+    )
+    begun = scratch_path(spark, "t1-starts")
+    users = _poll_starts(ev.select(F.col("user_id").alias("run_id"), "ts"))
+    users.select(F.col("run_id").cast("long").alias("run_id"), "start_ts").write.parquet(begun)
+    starts = SS.event_stream(spark, begun, spark.read.parquet(begun).schema, "start_ts")
+    out = ST.stream_poll_outcome(obs, starts, 1440, WATERMARK, tie="event_id", task_states=tasks, task_tie="event_id")
+    return _run_slices(spark, ev, folder, out, "t1r", ST.POLL_OUTPUT)
+
+
 def _by_day(rows):
     return rows.withColumn("ds", F.date_format("ts", "yyyy-MM-dd"))
 

@@ -8,13 +8,13 @@ watermark has passed the deadline.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..constants import DEFAULT_FAILURE_MESSAGE
 from ..functions.text import render_message
@@ -22,51 +22,82 @@ from ..session import ship_package
 from .sources import run_available_now
 
 POLL_OUTPUT = "run_id long, outcome string, n_seen long"
-POLL_STATE = (
-    "deadline_us long, start_us long, decided_us long, decided_tie long, decided string, n_seen long, "
-    "held_us array<long>, held_tie array<long>, held array<string>"
-)
-
-
-def _poll_step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State of one run: its window, the earliest deciding observation in it
-    and the count seen.  Observations that come before the run's start is
-    known are held until it is, or until it can no longer come."""
-    deadline, start, at, tie, decided, n_seen, held = None, None, None, None, None, 0, []
-    if state.exists:
-        deadline, start, at, tie, decided, n_seen, us, ties, states = state.get
-        held = list(zip(us, ties, states, strict=True))
-    if not state.hasTimedOut:
-        for pdf in batches:
-            for kind, us, t, s, until in zip(pdf["kind"], pdf["ts_us"], pdf["tie"], pdf["state"], pdf["deadline_us"], strict=True):
+
+
+class _Poll(StatefulProcessor):
+    """One run: its window, the earliest deciding observation in it, how many
+    were seen, and a timer at its deadline.
+
+    What comes before the run's start is known is appended to a list, until
+    the start comes or can no longer come; task states are appended to it as
+    well, since which of them count is known only with the decision.
+    """
+
+    def __init__(self, timeout_us: int) -> None:
+        self.timeout_us = timeout_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "start_us long, deadline_us long, n_seen long, at_us long, tie long, decided string")
+        self.held = handle.getListState("held", "kind string, us long, tie long, task string, state string")
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        came, start = [], None
+        for pdf in rows:
+            for kind, us, tie, task, state in zip(pdf["kind"], pdf["ts_us"], pdf["tie"], pdf["task"], pdf["state"], strict=True):
                 if kind == "start":
-                    start, deadline = int(us), int(until)
+                    start = int(us)
                 else:
-                    held.append((int(us), int(t), s))
-    wm = state.getCurrentWatermarkMs() * 1000
-    if deadline is not None:
-        for us, t, s in held:
-            if start <= us < deadline:
+                    came.append((kind, int(us), int(tie), task, state))
+        known = self.run.get() if self.run.exists() else None
+        if known is None and start is not None:
+            known = (start, start + self.timeout_us, 0, None, None, None)
+            self.handle.registerTimer(known[1] // 1000 + 1)
+            if self.held.exists():  # once in a run
+                came = [tuple(r) for r in self.held.get()] + came
+                self.held.clear()
+        if known is None:
+            if came:
+                self.held.appendList(came)
+                # After this time, only a start that is late itself could ask for them.
+                self.handle.registerTimer((max(r[1] for r in came) + self.timeout_us) // 1000 + 1)
+            return iter([])
+        begin, deadline, n_seen, at, tie, decided = known
+        for kind, us, t, _, state in came:
+            if kind == "seen" and begin <= us < deadline:
                 n_seen += 1
-                if s != "running" and (at is None or (us, t) < (at, tie)):
-                    at, tie, decided = us, t, s
-        held = []
-        if deadline < wm:
-            if state.exists:
-                state.remove()
-            outcome = decided if decided is not None else (None if n_seen else "unknown")
-            yield pd.DataFrame({"run_id": [int(key[0])], "outcome": [outcome], "n_seen": [n_seen]})
-            return
-    else:
-        held = [h for h in held if h[0] >= wm]  # the start of an older one would be late
-    if deadline is None and not held:
-        if state.exists:
-            state.remove()
-        return
-    us, ties, states = ([h[i] for h in held] for i in range(3))
-    state.update((deadline, start, at, tie, decided, n_seen, us, ties, states))
-    wake = deadline if deadline is not None else max(us)
-    state.setTimeoutTimestamp(max(wake // 1000 + 1, wm // 1000 + 1))
+                if state != "running" and (at is None or (us, t) < (at, tie)):
+                    at, tie, decided = us, t, state
+        self.run.update((begin, deadline, n_seen, at, tie, decided))
+        tasks = [r for r in came if r[0] == "task" and r[1] < deadline]
+        if tasks:
+            self.held.appendList(tasks)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        if not self.run.exists():
+            if self.held.exists():
+                keep = [r for r in (tuple(r) for r in self.held.get()) if r[1] + self.timeout_us >= wm]
+                self.held.put(keep) if keep else self.held.clear()
+            return iter([])
+        _, deadline, n_seen, at, _, decided = self.run.get()
+        if deadline >= wm:
+            return iter([])
+        if decided == "success" and self.held.exists():
+            newest: dict = {}
+            for _, us, tie, task, state in self.held.get():
+                if us <= at and (us, tie) >= newest.get(task, (us, tie))[:2]:
+                    newest[task] = (us, tie, state)
+            if any(state == "failed" for _, _, state in newest.values()):
+                decided = "failed"
+        self.run.clear()
+        self.held.clear()
+        outcome = decided if at is not None and decided is not None else (None if n_seen and at is None else "unknown")
+        return iter([pd.DataFrame({"run_id": [int(key[0])], "outcome": [outcome], "n_seen": [n_seen]})])
 
 
 def stream_poll_outcome(
@@ -75,6 +106,8 @@ def stream_poll_outcome(
     timeout_min: int,
     watermark: str = "1 hour",
     tie: str | None = None,
+    task_states: DataFrame | None = None,
+    task_tie: str | None = None,
 ) -> DataFrame:
     """Streaming W4.  ``observations(run_id, ts, state[, tie])`` and
     ``starts(run_id, start_ts)`` are streams.  One row per started run once
@@ -82,74 +115,132 @@ def stream_poll_outcome(
     runs that were never seen (``unknown``); runs still open at the end of the
     input are not answered yet.
 
-    The state is one row per open run, whatever the number of partitions.  A
-    start counts in event time by its deadline, so it is late only when its
-    run can no longer be answered; it does not move the watermark."""
+    With a stream ``task_states(run_id, task_id, ts, state[, task_tie])`` the
+    run's state is rolled up first (A3): a run that would be a ``success`` is
+    ``failed`` if the newest attempt of any of its tasks was, as of then.  Both
+    inputs have a watermark, and the slower one counts.
+
+    The state is entries of a run and a timer at its deadline, whatever the
+    number of partitions.  A start counts in event time by its deadline, so it
+    is late only when its run can no longer be answered; it does not move the
+    watermark."""
     ship_package(observations.sparkSession)
-    minutes = F.make_dt_interval(mins=F.lit(max(timeout_min, 0)))
-    seen = observations.withWatermark("ts", watermark).select(
-        "ts", "run_id", F.lit("seen").alias("kind"), F.unix_micros("ts").alias("ts_us"),
-        (F.col(tie).cast("long") if tie else F.lit(0).cast("long")).alias("tie"), "state", F.lit(0).cast("long").alias("deadline_us"),
-    )
-    begun = starts.withColumn("start_ts", F.col("start_ts").cast("timestamp")).withColumn("ts", F.col("start_ts") + minutes)
+    timeout = max(timeout_min, 0)
+    none = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, kind: str, tie_col: str | None, task) -> DataFrame:
+        t = F.coalesce(F.col(tie_col).cast("long"), F.lit(0)) if tie_col else F.lit(0).cast("long")
+        return df.select("ts", "run_id", F.lit(kind).alias("kind"), F.unix_micros("ts").alias("ts_us"), t.alias("tie"), task.alias("task"), "state")
+
+    all_rows = rows(observations.withWatermark("ts", watermark), "seen", tie, none)
+    if task_states is not None:
+        all_rows = all_rows.unionByName(rows(task_states.withWatermark("ts", watermark), "task", task_tie, F.col("task_id").cast("string")))
+    begun = starts.withColumn("start_ts", F.col("start_ts").cast("timestamp")).withColumn("ts", F.col("start_ts") + F.make_dt_interval(mins=F.lit(timeout)))
     begun = begun.select(
         "ts", "run_id", F.lit("start").alias("kind"), F.unix_micros("start_ts").alias("ts_us"),
-        F.lit(0).cast("long").alias("tie"), F.lit(None).cast("string").alias("state"), F.unix_micros("ts").alias("deadline_us"),
+        F.lit(0).cast("long").alias("tie"), none.alias("task"), none.alias("state"),
     )
-    return seen.unionByName(begun).groupBy("run_id").applyInPandasWithState(
-        _poll_step, POLL_OUTPUT, POLL_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    return all_rows.unionByName(begun).groupBy("run_id").transformWithStateInPandas(
+        _Poll(timeout * 60_000_000), POLL_OUTPUT, "Append", "EventTime"
     )
 
 
 READY_OUTPUT = "run_event_id long, key long, run_ts_us long, up_event_id long, outcome string"
-READY_STATE = "run_ids array<long>, run_us array<long>, up_ids array<long>, up_us array<long>"
-
-
-def _ready_step(timeout_us: int):
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """State of one key: its runs without an answer, and the upstream
-        events that those or a later run can use.  A run is answered ``ready``
-        when the watermark has passed the earliest upstream event of its
-        window (no earlier one can come any more), ``timed_out`` when it has
-        passed the whole window."""
-        runs, ups = ([], [])
-        if state.exists:
-            ri, rt, ui, ut = state.get
-            runs, ups = list(zip(rt, ri, strict=True)), list(zip(ut, ui, strict=True))
-        if not state.hasTimedOut:
-            for pdf in batches:
-                for kind, event, us in zip(pdf["kind"], pdf["event_id"], pdf["ts_us"], strict=True):
-                    (runs if kind == "run" else ups).append((int(us), int(event)))
-        wm = state.getCurrentWatermarkMs() * 1000
-        ups.sort()
+#: State entries of a group hold so many slices of its time.
+READY_SLICES = 64
+
+
+class _Ready(StatefulProcessor):
+    """One key in one window of time: runs without an answer, and the upstream
+    events that they can use, as entries by slice of time.
+
+    A run is answered ``ready`` when the watermark has passed the earliest
+    upstream event of its window (no earlier one can come any more),
+    ``timed_out`` when it has passed the whole window.  Only slices that gain
+    or lose rows are written; a timer stands at the next time at which a
+    waiting run can be answered, and one at the end of the group.
+    """
+
+    def __init__(self, timeout_us: int, width_us: int) -> None:
+        self.timeout_us, self.width_us = timeout_us, width_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = {k: handle.getMapState(k, "slice long", "us array<bigint>, ids array<bigint>") for k in ("run", "up")}
+        self.next = handle.getValueState("next", "ms long")
+
+    def close(self) -> None:
+        pass
+
+    def _entries(self, kind: str) -> dict:
+        return {k[0]: (list(v[0]), list(v[1])) for k, v in self.kept[kind].iterator()}
+
+    def _answer(self, key, wm: int, came: dict):
+        """Add the rows that came, answer what can be answered, drop what is of no use."""
+        held = {k: self._entries(k) for k in self.kept}
+        changed = {k: set() for k in self.kept}
+        for kind, rows in came.items():
+            for us, event in rows:
+                at = us * READY_SLICES // self.width_us
+                entry = held[kind].setdefault(at, ([], []))
+                entry[0].append(us)
+                entry[1].append(event)
+                changed[kind].add(at)
+        ups = sorted((u, i) for us, ids in held["up"].values() for u, i in zip(us, ids, strict=True))
         times = [u for u, _ in ups]
-        answers, waiting, wake = [], [], []
-        for us, event in sorted(runs):
-            i = bisect_left(times, us)
-            found = i < len(ups) and ups[i][0] <= us + timeout_us
-            if found and ups[i][0] < wm:
-                answers.append((event, us, ups[i][1], "ready"))
-            elif not found and us + timeout_us < wm:
-                answers.append((event, us, None, "timed_out"))
-            else:
-                waiting.append((us, event))
-                wake.append(ups[i][0] if found else us + timeout_us)
-        since = min([wm, *(us for us, _ in waiting)])
-        ups = [u for u in ups if u[0] >= since]
-        if waiting or ups:
-            state.update(([e for _, e in waiting], [u for u, _ in waiting], [e for _, e in ups], [u for u, _ in ups]))
-            # Without a waiting run, wake up when the last upstream event is of no use any more.
-            state.setTimeoutTimestamp(max((min(wake) if wake else ups[-1][0]) // 1000 + 1, wm // 1000 + 1))
-        elif state.exists:
-            state.remove()
-        if answers:
-            events, at, found_ids, outcome = zip(*answers, strict=True)
-            yield pd.DataFrame({
-                "run_event_id": list(events), "key": int(key[0]), "run_ts_us": list(at),
-                "up_event_id": pd.array(found_ids, dtype="Int64"), "outcome": list(outcome),
-            })
-
-    return step
+        answers, wake, oldest = [], None, wm
+        for at, (us, ids) in held["run"].items():
+            wait = []
+            for t, event in zip(us, ids, strict=True):
+                i = bisect_left(times, t)
+                found = i < len(ups) and times[i] <= t + self.timeout_us
+                due = times[i] if found else t + self.timeout_us
+                if due < wm:
+                    answers.append((event, t, ups[i][1] if found else None, "ready" if found else "timed_out"))
+                    continue
+                wait.append((t, event))
+                wake, oldest = due if wake is None else min(wake, due), min(oldest, t)
+            if len(wait) != len(us):
+                held["run"][at] = ([t for t, _ in wait], [e for _, e in wait])
+                changed["run"].add(at)
+        last = (int(key[1]) + 1) * self.width_us + self.timeout_us  # no run of the group waits longer
+        for at, (us, ids) in held["up"].items():
+            use = [(u, i) for u, i in zip(us, ids, strict=True) if u >= oldest and last >= wm]
+            if len(use) != len(us):
+                held["up"][at] = ([u for u, _ in use], [i for _, i in use])
+                changed["up"].add(at)
+        for kind, slices in changed.items():
+            for at in slices:
+                if held[kind][at][0]:
+                    self.kept[kind].updateValue((at,), held[kind][at])
+                else:
+                    self.kept[kind].removeKey((at,))
+        if any(us for entries in held.values() for us, _ in entries.values()):
+            ms = max((wake if wake is not None else last) // 1000 + 1, wm // 1000 + 1)
+            if not self.next.exists() or self.next.get()[0] != ms:
+                self.handle.registerTimer(ms)
+                self.next.update((ms,))
+        elif self.next.exists():
+            self.next.clear()
+        if not answers:
+            return iter([])
+        events, at, found_ids, outcome = zip(*answers, strict=True)
+        return iter([pd.DataFrame({
+            "run_event_id": list(events), "key": int(key[0]), "run_ts_us": list(at),
+            "up_event_id": pd.array(found_ids, dtype="Int64"), "outcome": list(outcome),
+        })])
+
+    def handleInputRows(self, key, rows, timerValues):
+        came: dict = {"run": [], "up": []}
+        for pdf in rows:
+            for kind, event, us in zip(pdf["kind"], pdf["event_id"], pdf["ts_us"], strict=True):
+                came[kind].append((int(us), int(event)))
+        return self._answer(key, timerValues.getCurrentWatermarkInMs() * 1000, came)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not self.next.exists() or self.next.get()[0] > expiredTimerInfo.getExpiryTimeInMs():
+            return iter([])  # a later one has taken its place
+        return self._answer(key, timerValues.getCurrentWatermarkInMs() * 1000, {})
 
 
 def stream_upstream_ready(
@@ -157,31 +248,50 @@ def stream_upstream_ready(
     upstream: DataFrame,
     timeout_min: int,
     watermark: str = "1 hour",
+    upstream_watermark: str | None = None,
+    idle_after: str | None = None,
 ) -> DataFrame:
     """A run at ``run_ts`` waits for an upstream event of the same key in
     ``[run_ts, run_ts + timeout]``.  One row per run: ``ready`` with the
     earliest upstream event of the window (of equal times the smallest id),
     or ``timed_out``; both once the watermark leaves no other answer.
 
-    Keyed state (``applyInPandasWithState``, event-time timeout) instead of a
-    stream–stream join, which would emit every (run, upstream) pair of a key
-    inside the window.  The state is one row per key, whatever the number of
-    partitions: its runs of at most one timeout window, and upstream events
-    since the first of them or the watermark."""
+    Each input has a watermark of its own (``upstream_watermark`` defaults to
+    ``watermark``), and the slower one counts: an upstream feed that lags
+    behind delays answers instead of making them wrong.  A feed that has gone
+    silent would delay them for ever; with ``idle_after`` (an interval) it is taken
+    to have come as far as the other feed, less that interval.  (A query that is
+    started again from its checkpoint knows how far both have come together; it
+    goes on from there once each feed, or its stand-in, has brought rows.)
+
+    Keyed state instead of a stream–stream join, which would emit every (run,
+    upstream) pair of a key inside the window.  A key is cut into windows of
+    time as long as the timeout, so a run needs the upstream events of its own
+    and the next window: those go to two groups, and a hot key is many groups.
+    The state is entries with a timer, whatever the number of partitions."""
     ship_package(runs.sparkSession)
-    rows = (
-        runs.select(F.lit("run").alias("kind"), F.col("run_event_id").alias("event_id"), "key", F.col("run_ts").alias("ts"))
-        .unionByName(
-            upstream.select(F.lit("up").alias("kind"), F.col("up_event_id").alias("event_id"), "key", F.col("up_ts").alias("ts"))
-        )
-        .withColumn("ts_us", F.unix_micros("ts"))
-        .withWatermark("ts", watermark)
-    )
+    timeout_us = int(timeout_min) * 60_000_000
+    width_us = max(timeout_us, 60_000_000)
+    sides = {
+        "run": runs.select(F.lit("run").alias("kind"), F.col("run_event_id").alias("event_id"), "key", F.col("run_ts").alias("ts")),
+        "up": upstream.select(F.lit("up").alias("kind"), F.col("up_event_id").alias("event_id"), "key", F.col("up_ts").alias("ts")),
+    }
+    marked = []
+    for kind, other, delay in (("run", "up", watermark), ("up", "run", upstream_watermark or watermark)):
+        rows = sides[kind]
+        if idle_after is not None:
+            beat = sides[other].withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {idle_after}")).withColumn("kind", F.lit("beat"))
+            rows = rows.unionByName(beat)
+        marked.append(rows.withWatermark("ts", delay))
+    first = F.lit(0) if timeout_us == 0 else F.when(F.col("kind") == "up", F.lit(timeout_us)).otherwise(F.lit(0))
+    windows = F.sequence(F.floor((F.col("ts_us") - first) / width_us), F.floor(F.col("ts_us") / width_us))
+    rows = marked[0].unionByName(marked[1]).withColumn("ts_us", F.unix_micros("ts"))
+    # Naming the event time keeps this filter above the watermarks, which the beats are there to move.
+    rows = rows.filter((F.col("kind") != "beat") & F.col("ts").isNotNull() | F.col("ts").isNull())
     return (
-        rows.groupBy("key")
-        .applyInPandasWithState(
-            _ready_step(int(timeout_min) * 60_000_000), READY_OUTPUT, READY_STATE, "append", GroupStateTimeout.EventTimeTimeout
-        )
+        rows.withColumn("window", F.explode(windows))
+        .groupBy("key", "window")
+        .transformWithStateInPandas(_Ready(timeout_us, width_us), READY_OUTPUT, "Append", "EventTime")
         .withColumn("run_ts", F.timestamp_micros("run_ts_us"))
         .drop("run_ts_us")
     )

@@ -288,7 +288,7 @@ def test_upstream_waits_for_the_watermark(spark):
         [("run", 1, 7, at(0)), ("up", 10, 7, at(40))],
         [("up", 11, 7, at(20)), ("run", 2, 7, at(30))],  # earlier than the first, inside the watermark
         [("run", 3, 8, at(35)), ("up", 12, 9, at(45))],
-        [("up", 13, 9, at(400))],
+        [("up", 13, 9, at(400)), ("run", 4, 9, at(401))],  # both feeds go on
     ]
     folder, sink, checkpoint = (scratch_path(spark, x) for x in ("up", "up-sink", "up-ckpt"))
     _feed(spark, folder, [], schema)
@@ -303,6 +303,91 @@ def test_upstream_waits_for_the_watermark(spark):
     assert got == [(1, 11, "ready"), (2, 10, "ready"), (3, None, "timed_out")]
 
 
+def _ready(spark, steps, timeout=60, watermark="30 minutes", partitions=(2,) * 9, **options):
+    """Feed ``(runs, upstream)`` steps to two feeds; returns the answers after each step."""
+    schemas = {"run": "run_event_id long, key long, run_ts timestamp_ntz", "up": "up_event_id long, key long, up_ts timestamp_ntz"}
+    folders = {k: scratch_path(spark, f"feed-{k}") for k in schemas}
+    sink, checkpoint = scratch_path(spark, "ready-sink"), scratch_path(spark, "ready-ckpt")
+    for k, schema in schemas.items():
+        _feed(spark, folders[k], [], schema)
+    seen = []
+    for i, step in enumerate(steps):
+        for (k, schema), rows in zip(schemas.items(), step, strict=True):
+            if rows:
+                _feed(spark, folders[k], rows, schema)
+        r, u = (SS.event_stream(spark, folders[k], spark.read.parquet(folders[k]).schema, f"{k}_ts") for k in schemas)
+        out = ST.stream_upstream_ready(r, u, timeout, watermark, **options)
+        SS.run_available_now(spark, out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint, state_partitions=partitions[i])
+        got = spark.read.schema("run_event_id long, key long, up_event_id long, outcome string, run_ts timestamp").parquet(sink)
+        seen.append(sorted((x.run_event_id, x.up_event_id, x.outcome) for x in got.collect()))
+    return seen
+
+
+def test_a_lagging_upstream_feed_delays_answers(spark):
+    steps = [
+        ([(1, 7, at(0)), (2, 7, at(400))], [(90, 7, at(-5))]),
+        ([], [(91, 7, at(30)), (93, 7, at(30)), (92, 7, at(50))]),
+        ([(3, 8, at(500))], [(94, 7, at(470))]),
+        ([(4, 8, at(900))], [(95, 8, at(901))]),
+    ]
+    seen = _ready(spark, steps, timeout=120, partitions=[1, 2, 3, 2])
+    assert seen[0] == seen[1] == [] and seen[2] == [(1, 91, "ready")]
+    assert seen[3] == [(1, 91, "ready"), (2, 94, "ready"), (3, None, "timed_out")]
+    r = spark.createDataFrame([x for s in steps for x in s[0]], "run_event_id long, key long, run_ts timestamp_ntz")
+    u = spark.createDataFrame([x for s in steps for x in s[1]], "up_event_id long, up_key long, up_ts timestamp_ntz")
+    meets = (F.col("key") == F.col("up_key")) & (F.col("up_ts") >= F.col("run_ts")) & (F.col("up_ts") <= F.col("run_ts") + F.expr("INTERVAL 120 MINUTES"))
+    batch = r.join(u, meets, "left").groupBy("run_event_id").agg(F.min_by("up_event_id", F.struct("up_ts", "up_event_id")).alias("up")).collect()
+    assert [(i, up) for i, up, _ in seen[3]] == sorted((x.run_event_id, x.up) for x in batch if x.run_event_id < 4)
+
+
+def test_a_silent_upstream_feed_counts_as_idle(spark):
+    steps = [([(1, 7, at(0))], [(90, 7, at(-5))]), ([(2, 7, at(400))], []), ([(3, 7, at(800))], [])]
+    assert _ready(spark, steps)[-1] == []
+    assert _ready(spark, steps, idle_after="60 minutes")[-1] == [(1, None, "timed_out"), (2, None, "timed_out")]
+
+
+def test_many_open_runs_of_a_key(spark):
+    """Runs over several windows of a key; answers at the border of the timeout; one answer per run."""
+    runs_ = [(i, 5, at(i)) for i in range(400)]
+    ups = [(1000 + i, 5, at(i)) for i in range(0, 400, 97)]
+    seen = _ready(spark, [(runs_[::2], ups[:2]), (runs_[1::2], ups[2:]), ([(9999, 6, at(2000))], [(9998, 6, at(2000))])], partitions=[2, 1, 3], watermark="500 minutes")
+    want = []
+    for i, _, _ in runs_:
+        found = [u - 1000 for u, _, _ in ups if i <= u - 1000 <= i + 60]
+        want.append((i, 1000 + found[0] if found else None, "ready" if found else "timed_out"))
+    assert seen[-1] == want
+
+
+def test_rolled_up_runs(spark):
+    """T1 over task states equals A3 as of the deciding observation, after W4."""
+    obs = [(i, at(20 + i), s, i) for i, s in enumerate(["success"] * 6 + ["failed", "running"])] + [(0, at(5), "running", 50), (3, at(40), "failed", 51)]
+    tasks = [
+        (0, "a", at(10), "success", 1),
+        (1, "a", at(10), "failed", 2),  # a failed task
+        (2, "a", at(10), "failed", 3), (2, "a", at(15), "success", 4),  # a second attempt
+        (3, "a", at(24), "failed", 5),  # after the decision
+        (4, "a", at(10), "success", 6), (4, "b", at(24), "failed", 7),  # at its very time
+        (5, "a", at(12), "success", 9), (5, "a", at(12), "failed", 8),  # of equal times the larger id
+        (7, "a", at(1), "failed", 10),
+    ]
+    schema, end = "run_id long, task_id string, ts timestamp_ntz, state string, attempt long", at(500)
+    folders = {k: scratch_path(spark, f"rolled-{k}") for k in ("obs", "tasks", "starts", "sink", "ckpt")}
+    starts = [(i, T0) for i in range(9)]
+    _feed(spark, folders["starts"], starts, "run_id long, start_ts timestamp_ntz")
+    for o, t in ((obs[::2], []), (obs[1::2], tasks), ([(99, end, "running", 0)], [(99, "a", end, "running", 0)])):
+        _feed(spark, folders["obs"], o, OBS)
+        _feed(spark, folders["tasks"], t, schema)
+        s, ts, st = (SS.event_stream(spark, folders[k], spark.read.parquet(folders[k]).schema, c) for k, c in (("obs", "ts"), ("tasks", "ts"), ("starts", "start_ts")))
+        out = ST.stream_poll_outcome(s, st, 60, "30 minutes", tie="event_id", task_states=ts, task_tie="attempt")
+        SS.run_available_now(spark, out.writeStream.format("parquet").option("path", folders["sink"]).outputMode("append"), folders["ckpt"], state_partitions=2)
+    got = sorted((r.run_id, r.outcome, r.n_seen) for r in spark.read.schema(ST.POLL_OUTPUT).parquet(folders["sink"]).collect())
+    batch = runs.poll_rolled_outcome(
+        spark.createDataFrame(obs, OBS), spark.createDataFrame(tasks, schema), spark.createDataFrame(starts, "run_id long, start_ts timestamp_ntz"), 60, tie="event_id", task_tie="attempt"
+    )
+    assert got == sorted((r.run_id, r.outcome, r.n_seen) for r in batch.collect())
+    assert [o for _, o, _ in got] == ["success", "failed", "success", "success", "failed", "success", "failed", None, "unknown"]
+
+
 def test_late_alerts_and_late_files_count(spark):
     folder, sink, checkpoint = (scratch_path(spark, x) for x in ("late", "late-sink", "late-ckpt"))
     schema = "event_id long, ts timestamp_ntz, state string, value double"
