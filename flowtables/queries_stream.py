@@ -188,11 +188,7 @@ def _by_day(rows):
     return rows.withColumn("ds", F.date_format("ts", "yyyy-MM-dd"))
 
 
-def _daily(rows):
-    """Daily counts per event type."""
-    return rows.groupBy("ds", "event_type").agg(
-        F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(12,2)")).alias("total_value")
-    )
+_DAILY = {"n_events": ("count", "1"), "total_value": ("sum", "CAST(value AS DECIMAL(12,2))")}
 
 
 @register(
@@ -204,17 +200,16 @@ FROM events GROUP BY 1, 2
 """,
 )
 def t4_incremental_run(spark, sf_dir):
-    """Scheduled runs over one checkpoint: the later two thirds of the events,
-    then the first third (late), then nothing new."""
+    """Scheduled runs over one checkpoint: the later two thirds of the events, then
+    the first third (late), then nothing new; the ledger is compacted after the second."""
     ev, folder, stream = _events(spark, sf_dir)
-    sink, checkpoint = scratch_path(spark, "t4-sink"), scratch_path(spark, "t4-ckpt")
+    ledger, checkpoint, keys = scratch_path(spark, "t4-ledger"), scratch_path(spark, "t4-ckpt"), ["ds", "event_type"]
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     third = ev.agg(F.percentile_approx(at, 0.33).alias("m")).first()["m"]
     for part in (ev.filter(at > F.lit(third)), ev.filter(at <= F.lit(third)), None):
         if part is not None:
             part.write.mode("append").parquet(folder)
-        source = spark.read.schema(ev.schema).parquet(folder)
-        ST.incremental_run(stream, source, _by_day, _daily, sink, checkpoint, ["ds", "event_type"])
-    return spark.read.parquet(sink).select(
-        F.col("ds").cast("string").alias("ds"), "event_type", "n_events", F.col("total_value").cast("double").alias("total_value")
-    )
+        ST.incremental_run(_by_day(stream), keys, _DAILY, ledger, checkpoint)
+        if part is not None:
+            ST.compact_ledger(spark, ledger, keys, _DAILY)
+    return ST.ledger_totals(spark, ledger, keys, _DAILY).withColumn("total_value", F.col("total_value").cast("double"))

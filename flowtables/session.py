@@ -159,10 +159,10 @@ def stored_rounds(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFra
             if _SCOPES:
                 _SCOPES[-1].append(path)
         else:
-            _remove(spark, path)
+            remove_folder(spark, path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder through Spark's own file system layer."""
     jvm = getattr(spark, "_jvm", None)
     if jvm is None:  # pragma: no cover - Connect sessions leave it
@@ -171,6 +171,15 @@ def _remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_remove = remove_folder
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, through Spark's own file system layer."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [x.getPath().getName() for x in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+
+
 _SHIPPED_KEY = "flowtables.package.shipped"
 
 

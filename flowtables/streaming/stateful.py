@@ -8,17 +8,17 @@ watermark has passed the deadline.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..constants import DEFAULT_FAILURE_MESSAGE
 from ..functions.text import render_message
-from ..session import ship_package
+from ..session import list_folder, remove_folder, ship_package
 from .sources import run_available_now
 
 POLL_OUTPUT = "run_id long, outcome string, n_seen long"
@@ -340,36 +340,83 @@ def stream_failure_alerts(
     run_available_now(tasks.sparkSession, alerts.writeStream.foreachBatch(write_batch), checkpoint)
 
 
-def incremental_run(
-    stream: DataFrame,
-    source: DataFrame,
-    partition: Callable[[DataFrame], DataFrame],
-    transform: Callable[[DataFrame], DataFrame],
-    sink: str,
-    checkpoint: str,
-    partition_cols: list[str],
-) -> None:
-    """T4: pick up files that arrived since the last run.
-
-    The stream tells which partitions have new rows (``partition`` adds
-    ``partition_cols``); those are computed anew by ``transform`` from all
-    their rows in ``source``, the same files as a table, and replaced in
-    ``sink`` (dynamic partition overwrite).  So the sink holds the totals of
-    all rows read, however late a file comes, no state is kept, and a run
-    without new files changes nothing.  The checkpoint remembers which files were read.
+#: How the partial value of a measure is merged with others of its kind.
+MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+Measures = dict[str, tuple[str, Column | str]]
+
+
+def _partial(rows: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
+    first = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    return rows.groupBy(*keys).agg(*[first[kind](F.expr(col) if isinstance(col, str) else col).alias(name) for name, (kind, col) in measures.items()])
+
+
+def _merged(parts: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
+    return parts.groupBy(*keys).agg(*[MERGES[kind](name).alias(name) for name, (kind, _) in measures.items()])
+
+
+def _compacted_upto(spark, ledger: str) -> int | None:
+    marks = _written(spark, f"{ledger}/marks")
+    return None if marks is None else marks.agg(F.max("upto")).first()[0]
+
+
+def incremental_run(stream: DataFrame, keys: Sequence[str], measures: Measures, ledger: str, checkpoint: str) -> None:
+    """T4: pick up files that arrived since the last run, and nothing else.
+
+    ``measures`` are ``name -> (kind, column or SQL expression)`` with a kind of ``MERGES``.  A
+    micro-batch is aggregated to partial values per ``keys``, which become its
+    entry in the ledger: a folder of its own, named by the batch id.  A batch
+    that is run again after a failure replaces its entry.  A run reads the new
+    files only; late files are entries like any other, and a run without new
+    files adds none.  ``ledger_totals`` merges the entries, ``compact_ledger``
+    folds old ones into one.
     """
+    spark, root = stream.sparkSession, ledger.rstrip("/")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        touched = partition(batch).select(*partition_cols).distinct()
-        rows = partition(source)
-        same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_cols]
-        rows = rows.join(touched.select(*[F.col(c).alias(f"_t_{c}") for c in partition_cols]), same, "left_semi")
-        (
-            transform(rows)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_cols)
-            .parquet(sink)
-        )
-
-    run_available_now(stream.sparkSession, stream.writeStream.foreachBatch(write_batch), checkpoint)
+    def entry(rows: DataFrame, batch_id: int) -> None:
+        _partial(rows, keys, measures).write.mode("overwrite").parquet(f"{root}/batches/batch={batch_id}")
+
+    if _written(spark, f"{root}/batches") is None:
+        entry(spark.createDataFrame([], stream.schema), -1)  # the columns, for a reader before the first file
+    run_available_now(spark, stream.writeStream.foreachBatch(entry), checkpoint)
+
+
+def ledger_totals(spark: SparkSession, ledger: str, keys: Sequence[str], measures: Measures) -> DataFrame:
+    """The totals of all files read by ``incremental_run``: one row per ``keys``."""
+    root = ledger.rstrip("/")
+    parts, upto = _written(spark, f"{root}/batches"), _compacted_upto(spark, root)
+    if upto is not None:
+        base = spark.read.parquet(f"{root}/base/upto={upto}")
+        parts = parts.filter(F.col("batch") > upto).select(*base.columns).unionByName(base)
+    return _merged(parts, keys, measures)
+
+
+def compact_ledger(spark: SparkSession, ledger: str, keys: Sequence[str], measures: Measures) -> int | None:
+    """Fold all entries but the newest (which may still be run again) into one base.
+
+    Returns the newest batch folded, None if there was nothing to fold.  The
+    base counts from the moment its mark is written; a compaction that fails
+    before leaves everything as it was, and is simply run again.
+    """
+    root = ledger.rstrip("/")
+    entries, upto = _written(spark, f"{root}/batches"), _compacted_upto(spark, root)
+    if entries is None:
+        return None
+    # Batch ids from the folder names, one small row each; an entry without rows counts as well.
+    ids = sorted(int(name.rpartition("=")[2]) for name in list_folder(spark, f"{root}/batches") if name.startswith("batch="))
+    old = [i for i in ids[:-1] if upto is None or i > upto]
+    if not old:
+        return None
+    parts = entries.filter((F.col("batch") <= old[-1]) & (F.lit(True) if upto is None else F.col("batch") > upto)).drop("batch")
+    if upto is not None:
+        parts = parts.unionByName(spark.read.parquet(f"{root}/base/upto={upto}"))
+    types = dict(parts.dtypes)
+    folded = _merged(parts, keys, measures).select(*[F.col(c).cast(types[c]).alias(c) for c in parts.columns])
+    folded.write.mode("overwrite").parquet(f"{root}/base/upto={old[-1]}")
+    spark.range(1).select(F.lit(old[-1]).cast("long").alias("upto")).write.mode("append").parquet(f"{root}/marks")
+    # Only the entry that holds the columns and those not folded stay.
+    for i in old:
+        if i >= 0:
+            remove_folder(spark, f"{root}/batches/batch={i}")
+    if upto is not None:
+        remove_folder(spark, f"{root}/base/upto={upto}")
+    return old[-1]

@@ -4,6 +4,7 @@ import contextlib
 import datetime as dt
 import io
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -388,18 +389,49 @@ def test_rolled_up_runs(spark):
     assert [o for _, o, _ in got] == ["success", "failed", "success", "success", "failed", "success", "failed", None, "unknown"]
 
 
-def test_late_alerts_and_late_files_count(spark):
+def test_late_alerts(spark):
     folder, sink, checkpoint = (scratch_path(spark, x) for x in ("late", "late-sink", "late-ckpt"))
     schema = "event_id long, ts timestamp_ntz, state string, value double"
     _feed(spark, folder, [], schema)
     stream = SS.event_stream(spark, folder, spark.read.parquet(folder).schema)
     steps = [[(1, at(3 * 1440), "failed", 1.0)], [(2, T0, "failed", 2.0)], [(1, at(3 * 1440), "failed", 1.0), (3, at(5), "ok", 4.0)]]
-    by_day = lambda rows: rows.withColumn("ds", F.date_format("ts", "yyyy-MM-dd"))
     for rows in steps:
         _feed(spark, folder, rows, schema)
         ST.stream_failure_alerts(stream, {"task": F.col("event_id")}, "{task}", f"{sink}-alerts", f"{checkpoint}-alerts")
-        source = spark.read.parquet(folder)
-        totals = lambda rows: rows.groupBy("ds").agg(F.count(F.lit(1)).alias("n"))
-        ST.incremental_run(stream, source, by_day, totals, f"{sink}-days", f"{checkpoint}-days", ["ds"])
     assert sorted(r.event_id for r in spark.read.parquet(f"{sink}-alerts").collect()) == [1, 2]
-    assert sorted((str(r.ds), r.n) for r in spark.read.parquet(f"{sink}-days").collect()) == [("2024-01-01", 2), ("2024-01-04", 2)]
+
+
+def test_ledger_of_partial_totals(spark):
+    """Each run reads new files only, late files count, a batch that is run again
+    replaces its entry, and compaction changes nothing but the number of entries."""
+    folder, ledger, checkpoint = (scratch_path(spark, x) for x in ("led", "led-ger", "led-ckpt"))
+    schema, keys = "k string, v decimal(12,2), at long", ["k"]
+    measures = {"n": ("count", F.lit(1)), "total": ("sum", F.col("v")), "least": ("min", F.col("at")), "most": ("max", F.col("at"))}
+    steps = [[("a", Decimal("1.50"), 5), ("b", Decimal("2.00"), 6), (None, None, None)], [("a", Decimal("0.25"), 1)], [], [("c", Decimal("9.00"), 9), ("b", None, 8)], [("a", Decimal("-1.00"), 7)]]
+    _feed(spark, folder, [], schema)
+    def totals():
+        got = ST.ledger_totals(spark, ledger, keys, measures).collect()
+        return sorted(((r.k, r.n, r.total, r.least, r.most) for r in got), key=str)
+
+    def batch(rows):
+        df = spark.createDataFrame(rows, schema).groupBy("k").agg(F.count(F.lit(1)), F.sum("v"), F.min("at"), F.max("at"))
+        return sorted((tuple(r) for r in df.collect()), key=str)
+
+    whole = []
+    for i, rows in enumerate(steps):
+        if rows:
+            _feed(spark, folder, rows, schema)
+        whole += rows
+        stream = spark.readStream.schema(schema).parquet(folder)
+        ST.incremental_run(stream, keys, measures, ledger, checkpoint)
+        assert totals() == batch(whole)
+        if i in (1, 3, 4):
+            ST.compact_ledger(spark, ledger, keys, measures)
+            assert totals() == batch(whole)
+    names = session.list_folder(spark, f"{ledger}/batches")
+    assert len([n for n in names if n.startswith("batch=")]) == 2  # the columns, and the newest entry
+    newest = max(int(n.rpartition("=")[2]) for n in names if n.startswith("batch="))
+    again = spark.createDataFrame(steps[-1], schema)
+    ST._partial(again, keys, measures).write.mode("overwrite").parquet(f"{ledger}/batches/batch={newest}")
+    assert totals() == batch(whole)
+    assert ST.compact_ledger(spark, ledger, keys, measures) is None
