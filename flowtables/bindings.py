@@ -119,25 +119,11 @@ def layered_dag(spark: SparkSession, sf_dir: str, marks: str = "sparse", store_i
     return nodes, node_io, catalog
 
 
-def bipartite_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order–part graph ``(pipeline, parent, child)``: of each order the part
-    of its largest line (quantity, then price and line number), so that the graph
-    has many components and every order and line is looked at."""
-    li = table(spark, sf_dir, "lineitem")
-    largest = F.max_by("l_partkey", F.struct("l_quantity", "l_extendedprice", "l_linenumber", "l_partkey"))
-    return (
-        li.groupBy("l_orderkey")
-        .agg(largest.alias("l_partkey"))
-        .select(F.lit(BIPARTITE).alias("pipeline"), _name("o", "l_orderkey").alias("parent"), _name("p", "l_partkey").alias("child"))
-        .distinct()
-    )
-
-
-def order_part_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole order–part graph ``(pipeline, parent, child)``: every distinct pair of lineitem."""
+def order_part_links(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """Whole order–part graph ``(pipeline, parent, child)``: every distinct pair of lineitem (and of ``more``)."""
     return (
         table(spark, sf_dir, "lineitem")
-        .select(F.lit(BIPARTITE).alias("pipeline"), _name("o", "l_orderkey").alias("parent"), _name("p", "l_partkey").alias("child"))
+        .select(F.lit(BIPARTITE).alias("pipeline"), _name("o", "l_orderkey").alias("parent"), _name("p", "l_partkey").alias("child"), *more)
         .distinct()
     )
 

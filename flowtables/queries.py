@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bindings as B
-from .operators import classify, edges, graph
+from .operators import classify, edges, graph, group_store
 from .plans.grouping import group_pipeline, group_summary
-from .session import cut_lineage
+from .session import cut_lineage, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -174,26 +174,6 @@ def j1_dataset_edges(spark, sf_dir):
     return edges.dataset_edges(io)
 
 
-@register(
-    "g1_connected_groups",
-    """
-WITH RECURSIVE e AS (
-  SELECT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem
-  QUALIFY row_number() OVER (PARTITION BY l_orderkey
-    ORDER BY l_quantity DESC, l_extendedprice DESC, l_linenumber DESC, l_partkey DESC) = 1
-),
-v AS (SELECT a AS node FROM e UNION SELECT b FROM e),
-und AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-reach(node, lbl) AS (SELECT node, node FROM v UNION SELECT u.b, r.lbl FROM reach r JOIN und u ON r.node = u.a)
-SELECT 'bipartite' AS pipeline, node, min(lbl) AS group_id FROM reach GROUP BY node
-""",
-)
-def g1_connected_groups(spark, sf_dir):
-    e = B.bipartite_edges(spark, sf_dir)
-    v = e.select("pipeline", F.col("parent").alias("node")).unionByName(e.select("pipeline", F.col("child").alias("node")))
-    return graph.connected_groups(v, e)
-
-
 #: Rounds of smallest labels written out in SQL; more than the data need, the last ones change nothing.
 LABEL_ROUNDS = 12
 
@@ -209,9 +189,7 @@ def _label_sql(rounds: int) -> str:
     )
 
 
-@register(
-    "g1_connected_groups_links",
-    f"""
+_LINK_GROUPS_SQL = f"""
 WITH e AS MATERIALIZED (SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem),
 und AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 l0 AS MATERIALIZED (SELECT DISTINCT a AS node, a AS group_id FROM und),
@@ -220,15 +198,33 @@ SELECT 'bipartite' AS pipeline, node, group_id FROM l{LABEL_ROUNDS}
 -- Proof that the rounds suffice: rows that no result has if the last one changed labels.
 UNION ALL SELECT 'more rounds needed', x.node, NULL FROM l{LABEL_ROUNDS} x JOIN l{LABEL_ROUNDS - 1} y ON y.node = x.node
 WHERE x.group_id <> y.group_id
-""",
-)
-def g1_connected_groups_links(spark, sf_dir):
+"""
+
+
+@register("g1_connected_groups", _LINK_GROUPS_SQL)
+def g1_connected_groups(spark, sf_dir):
     """Groups of the whole order–part graph, every distinct link of lineitem."""
     e = cut_lineage(B.order_part_links(spark, sf_dir), "links")
     v = e.select("pipeline", F.col("parent").alias("node")).unionByName(e.select("pipeline", F.col("child").alias("node")))
     return graph.connected_groups(v, e)
 
 
+@register("g1_connected_groups_links", _LINK_GROUPS_SQL)
+def g1_connected_groups_links(spark, sf_dir):
+    """The same graph, kept up to date: its links arrive in three increments (by line
+    number), orders with their first lines, parts only in the second increment."""
+    li = B.table(spark, sf_dir, "lineitem")
+    area, at = scratch_path(spark, "group-store"), F.least(F.floor((F.col("l_linenumber") - 1) / 2), F.lit(2)).cast("int")
+    links = cut_lineage(B.order_part_links(spark, sf_dir, at.alias("at")), "links")
+    for i in range(3):
+        e = links.filter(F.col("at") == i).drop("at")
+        v = e.select("pipeline", F.col("parent").alias("node"))
+        if i:
+            v = v.unionByName(links.filter(F.col("at") <= i).select("pipeline", F.col("child").alias("node")))
+        group_store.add_to_groups(area, i, v, e)
+    return group_store.stored_groups(spark, area)
+
+
 @register(
     "g1_connected_groups_layered",
     "WITH RECURSIVE " + _layered_sql(False).split("m0 AS")[0].rstrip().rstrip(",") + """

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from flowtables import bindings as B
-from flowtables.operators import classify, edges, graph
+from flowtables import session
+from flowtables.operators import classify, edges, graph, group_store
 from flowtables.operators.ranking import number_within, previous_within
 from flowtables.plans.grouping import group_pipeline
 
@@ -37,7 +38,7 @@ def union_find(nodes, pairs):
 
 def test_connected_groups_match_union_find(spark):
     got = {r.node: r.group_id for r in E.queries()["g1_connected_groups"](spark, SF_SMALL).collect()}
-    pairs = [(r.parent, r.child) for r in B.bipartite_edges(spark, SF_SMALL).collect()]
+    pairs = [(r.parent, r.child) for r in B.order_part_links(spark, SF_SMALL).collect()]
     nodes = {x for p in pairs for x in p}
     assert got == union_find(nodes, pairs)
 
@@ -52,6 +53,34 @@ def test_connected_groups_of_all_links(spark):
     assert got == union_find({x for p in pairs for x in p}, pairs)
 
 
+def test_stored_groups_equal_a_full_run(spark):
+    """Increments of nodes and edges, edges before their nodes, a smaller name that
+    joins late, an increment that is run again, and one that brings nothing."""
+    rng = random.Random(8)
+    nodes = [f"n{i:02d}" for i in range(60)]
+    pairs = [tuple(rng.sample(nodes[5:], 2)) for _ in range(40)] + [("n00", "n59"), ("n00", "n30"), ("n07", "n07")]
+    late = {"n00", "n20", "n21"}
+    steps = [([n for n in nodes[5:] if n not in late][:30], pairs[:20]), (nodes[5:20], pairs[10:30]), (nodes, pairs[30:]), ([], []), (["zz"], [("zz", "n01"), ("a", "zz")])]
+    area = session.scratch_path(spark, "groups")
+    frames = lambda v, e: (spark.createDataFrame([("p", n) for n in v], "pipeline string, node string"), spark.createDataFrame([("p", a, b) for a, b in e], "pipeline string, parent string, child string"))
+    seen, edges_ = set(), []
+    for i, (v, e) in enumerate(steps):
+        for _ in range(2 if i in (1, 4) else 1):
+            group_store.add_to_groups(area, i, *frames(v, e))
+        seen |= set(v)
+        edges_ += e
+        got = [(r.node, r.group_id) for r in group_store.stored_groups(spark, area).collect()]
+        assert len(got) == len(seen)
+        assert dict(got) == union_find(seen, [p for p in edges_ if set(p) <= seen])
+    at_first = {r.node: r.group_id for r in group_store.stored_groups(spark, area, upto=0).collect()}
+    assert at_first == union_find(set(steps[0][0]), [p for p in steps[0][1] if set(p) <= set(steps[0][0])])
+    # What an increment wrote holds what it touched and nothing else.
+    renames = [(r.label, r.to, r.increment) for r in spark.read.parquet(f"{area}/renames").collect()]
+    assert [r for r in renames if r[2] == 4] == [("zz", "n01", 4)] and not [r for r in renames if r[2] == 3]
+    stored = [r.node for r in spark.read.parquet(f"{area}/nodes").collect()]
+    assert len(stored) == len(set(stored)) == 61
+
+
 def test_connected_groups_with_hub_and_long_chain(spark):
     """One hub holding a third of the edges, plus a long chain (many rounds
     for plain propagation)."""
