@@ -12,7 +12,8 @@ benchmark.  Blocks are scanned one after the other, and the hits so far are
 stored in between: the driver holds at most two blocks, a task one automaton.
 
 Defined cases: a null text or item has no words; an empty benchmark hits
-nothing; repeated item ids share their windows; rows that repeat are scanned
+nothing; repeated item ids share their windows; a null item id is the empty
+text, one item however many rows have it; rows that repeat are scanned
 each; results named like a column of the input replace that column.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import _remove
+from ..session import remove_folder
 from . import textvec as V
 from .common import arrow_map, cut_lineage, read_table
 
@@ -54,7 +55,7 @@ def windows_of(text: str | None, size: int = WINDOW) -> set[bytes]:
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
     """Items in blocks of bounded size; each block is fetched when it is asked for."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("id"), "text").filter("text IS NOT NULL").distinct()
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text").filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // block_bytes))
     key = F.pmod(F.xxhash64("id", "text"), F.lit(n))
@@ -77,7 +78,7 @@ def _automaton(key, items: list[tuple[str, str]], size: int):
         a = ahocorasick.Automaton()
         for p, who in owners.items():
             # The byte string as one character per byte, so that offsets are byte offsets.
-            a.add_word(p.decode("latin-1"), (p.count(b" ") - 1, sorted(who, key=lambda x: (x is None, x))))
+            a.add_word(p.decode("latin-1"), (p.count(b" ") - 1, sorted(who)))
         if owners:
             a.make_automaton()
         _AUTOMATA[key] = a, bool(owners)
@@ -148,7 +149,7 @@ def _scan_blocks(df: DataFrame, blocks: Iterator[list[tuple[str, str]]], name: s
             df, old = cut_lineage(df, "decontam-hits"), stored
             shipped.unpersist()
             if old:
-                _remove(spark, old)
+                remove_folder(spark, old)
             stored = df._stored_at
         shipped = spark.sparkContext.broadcast(items)  # at most about block_bytes of text
 

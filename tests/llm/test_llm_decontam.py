@@ -91,3 +91,13 @@ def test_empty_tables(spark):
     assert rows(decontam.find_contamination(no_documents(spark), _bench(spark, [(1, "a b")])), "doc_id") == []
     none = decontam.find_contamination(documents(spark), _bench(spark, []))
     assert {r.n_hit for r in none.collect()} == {0}
+
+
+def test_null_item_ids(spark):
+    """All rows with a null id are one item, whose id is the empty text."""
+    docs = spark.createDataFrame([(1, "x a b c y"), (2, "d e f"), (3, "a b c d e f")], "doc_id long, text string")
+    items = [(None, "a b c"), ("x", "a b c"), (None, "d e f"), (None, None)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for size in (4 << 20, 4):
+        found = decontam.find_contamination(docs, bench, block_bytes=size).select("doc_id", "n_hit", "items").collect()
+        assert sorted((r.doc_id, r.n_hit, list(r["items"])) for r in found) == [(1, 3, ["", "x"]), (2, 3, [""]), (3, 6, ["", "x"])]
