@@ -59,6 +59,16 @@ def _before(slot: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _pack_counts(slot: np.ndarray, n: np.ndarray) -> bytes:
+    """Slots in 32 bits, their counts in 64: a frequent word of a large corpus passes 2**32."""
+    return slot.astype("<u4").tobytes() + n.astype("<i8").tobytes()
+
+
+def _unpack_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(raw) // 12
+    return np.frombuffer(raw, "<u4", n).astype(np.int64), np.frombuffer(raw, "<i8", n, 4 * n)
+
+
 def slot_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """How often each slot occurs in ``texts(text)`` (at 0: texts with words), and words in all."""
 
@@ -73,8 +83,7 @@ def slot_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
         cut = np.searchsorted(used, np.arange(SLICES + 1) * (VOCABULARY // SLICES))
         for i in range(SLICES):
             here = used[cut[i] : cut[i + 1]]
-            packed = here.astype("<u4").tobytes() + total[here].astype("<u4").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed], pa.binary())], ["slice", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_pack_counts(here, total[here])], pa.binary())], ["slice", "v"])
 
     step = VOCABULARY // SLICES
 
@@ -82,17 +91,17 @@ def slot_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
         i = int(pdf["slice"].iloc[0])
         acc = np.zeros(step, np.int64)
         for x in pdf["v"]:
-            n = len(x) // 8
-            acc[np.frombuffer(x, "<u4", n).astype(np.int64) - i * step] += np.frombuffer(x, "<u4", n, 4 * n)
+            slot, n = _unpack_counts(x)
+            acc[slot - i * step] += n
         used = np.flatnonzero(acc)
-        return pd.DataFrame({"slice": [i], "v": [(used + i * step).astype("<u4").tobytes() + acc[used].astype("<u4").tobytes()]})
+        return pd.DataFrame({"slice": [i], "v": [_pack_counts(used + i * step, acc[used])]})
 
     parts = arrow_map(texts.select("text"), run, "slice int, v binary").withColumn("s", F.spark_partition_id() % 32)
     partial = parts.groupBy("slice", "s").applyInPandas(lambda p: add(p), "slice int, v binary")
     out = np.zeros(VOCABULARY, np.int64)
     for r in partial.groupBy("slice").applyInPandas(add, "slice int, v binary").collect():
-        n = len(r["v"]) // 8
-        out[np.frombuffer(r["v"], "<u4", n)] = np.frombuffer(r["v"], "<u4", n, 4 * n)
+        slot, n = _unpack_counts(r["v"])
+        out[slot] = n
     return out, int(out[1:].sum())
 
 

@@ -76,3 +76,8 @@ def test_empty_tables(spark):
     assert L.cross_entropy_difference(no_documents(spark), target).count() == 0
     none = L.cross_entropy_difference(documents(spark), target.limit(0))
     assert none.count() == documents(spark).count()
+
+
+def test_counts_beyond_32_bits():
+    slot, n = L._unpack_counts(L._pack_counts(np.array([3, (1 << 20) - 1]), np.array([6_000_000_000, 1])))
+    assert slot.tolist() == [3, (1 << 20) - 1] and (n + n).tolist() == [12_000_000_000, 2]
