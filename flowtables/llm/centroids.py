@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut_lineage, read_table, ship_package
@@ -221,8 +221,7 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = spark.createDataFrame(named, "c int, centroid_sha256 string")
     # One row per centroid in all of these.
     own = found.groupBy(F.col("cluster").alias("c")).agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own"))
-    whole = own.agg(F.sum("own").alias("whole"))
-    per = own.join(F.broadcast(named), "c").join(F.broadcast(whole))
+    per = own.join(F.broadcast(named), "c").withColumn("whole", F.sum("own").over(Window.partitionBy(F.lit(0))))
     as_long = lambda x: F.least(F.col(x), F.lit(LARGEST).cast("decimal(38,0)")).cast("long")
     per = per.select("c", as_long("own").alias("cluster_inertia"), as_long("whole").alias("inertia"), "centroid_sha256")
     return found.join(F.broadcast(per), F.col("cluster") == F.col("c")).drop("c")
