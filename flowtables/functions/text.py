@@ -73,9 +73,10 @@ def slugify(col: Column | str) -> Column:
     digits goes, before the text is lowered and cut down to ``[a-z0-9-]``.
     Letters of other alphabets count as other characters.  The whole text is processed.
     """
-    c = F.translate(_c(col), _ACCENTED, _PLAIN)
-    c = F.lower(_spelled(c, SLUG_LETTERS))
-    c = _spelled(c, SLUG_ALPHABETS)
+    whole = _c(col)
+    spelled = _spelled(F.lower(_spelled(F.translate(whole, _ACCENTED, _PLAIN), SLUG_LETTERS)), SLUG_ALPHABETS)
+    # A text of ASCII alone has nothing to spell.
+    c = F.when(whole.rlike(r"[^\x00-\x7F]"), spelled).otherwise(F.lower(whole))
     c = F.regexp_replace(c, r"(?<=[0-9]),(?=[0-9])", "")
     c = F.regexp_replace(c, r"[^a-z0-9]+", "-")
     return F.btrim(c, F.lit("-"))

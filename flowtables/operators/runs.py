@@ -201,6 +201,7 @@ def upstream_ready(
     dependencies: DataFrame,
     upstream: DataFrame,
     as_of: Column | str,
+    ad_hoc: Column | str | None = None,
 ) -> DataFrame:
     """Outcome of waiting for an upstream pipeline, per run and dependency.
 
@@ -209,7 +210,9 @@ def upstream_ready(
     timeout_min)``; ``upstream(pipeline_id, run_ts, task_id, state,
     finished_ts)`` with ``task_id`` null for a whole run; a run may have
     several rows (attempts).  The run at ``t`` waits for the upstream run, or
-    its task, at ``t - delta``, at most ``timeout`` minutes.
+    its task, at ``t - delta``, at most ``timeout`` minutes.  Runs for which
+    the boolean ``ad_hoc`` (a column of ``runs``) is true wait for nothing and
+    have no rows.
 
     Outcome: ``missing`` (existence is checked, and the upstream pipeline, or
     its task, does not occur in ``upstream`` at all), ``ready`` (an attempt
@@ -231,6 +234,8 @@ def upstream_ready(
     )
     exists = F.when(F.col("up_task_id").isNull(), F.col("_has_pipeline").isNotNull()).otherwise(F.col("_has_task").isNotNull())
     deps = deps.withColumn("_missing", F.col("check_existence") & ~exists).drop("_has_pipeline", "_has_task")
+    if ad_hoc is not None:
+        runs = runs.filter(~F.coalesce(_c(ad_hoc), F.lit(False)))
     waits = runs.select("pipeline_id", "run_ts").join(deps, "pipeline_id").withColumn(
         "_up_ts", F.col("run_ts") - F.make_dt_interval(mins=F.col("execution_delta_min"))
     )
@@ -251,6 +256,23 @@ def upstream_ready(
     return joined.select("pipeline_id", "run_ts", "up_pipeline_id", "up_task_id", outcome.alias("outcome"))
 
 
+def start_gate(
+    runs: DataFrame, dependencies: DataFrame, upstream: DataFrame, as_of: Column | str, ad_hoc: Column | str | None = None
+) -> DataFrame:
+    """J5 per run: ``(pipeline_id, run_ts, n_waits, n_ready, gate)`` of all distinct ``runs``.
+
+    ``gate`` is ``open`` when every wait is ready (also without any: runs without
+    dependencies, and ad-hoc runs), ``failed`` when one is missing or timed
+    out, else ``waiting``.
+    """
+    waits = upstream_ready(runs, dependencies, upstream, as_of, ad_hoc)
+    n_ready, lost = F.count_if(F.col("outcome") == "ready"), F.count_if(F.col("outcome").isin("missing", "timed_out"))
+    per = waits.groupBy("pipeline_id", "run_ts").agg(F.count(F.lit(1)).alias("n_waits"), n_ready.alias("n_ready"), lost.alias("_lost"))
+    gate = F.when(F.col("_lost") > 0, "failed").when(F.col("n_ready") == F.col("n_waits"), "open").otherwise("waiting")
+    out = runs.select("pipeline_id", "run_ts").distinct().join(per, ["pipeline_id", "run_ts"], "left").fillna(0, ["n_waits", "n_ready", "_lost"])
+    return out.select("pipeline_id", "run_ts", "n_waits", "n_ready", gate.alias("gate"))
+
+
 def get_or_create(requested: DataFrame, existing: DataFrame, new_id_prefix: str = "new:") -> DataFrame:
     """``(name, experiment_id, action)`` for each requested name.
 

@@ -10,12 +10,14 @@ the same rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources.staging import materialise
 
 
@@ -55,12 +57,58 @@ def _apply(s: Step, data: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return dict(zip(s.outputs, result))
 
 
-def run_fused(steps: Sequence[Step], inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Run the chain lazily; returns every dataset by name."""
+def needed_steps(steps: Sequence[Step], given: set[str], outputs: Sequence[str]) -> list[Step]:
+    """The steps that the datasets ``outputs`` come from, in their own order; ``given`` are not made."""
+    made_by: dict[str, Step] = {}
+    for s in steps:
+        for name in s.outputs:
+            if name in made_by:
+                raise ValueError(f"dataset {name} is made by {made_by[name].name} and {s.name}")
+            made_by[name] = s
+    missing = sorted(set(outputs) - set(made_by) - given)
+    if missing:
+        raise ValueError(f"no step makes {missing}")
+    reached: set[str] = set()
+    todo = [name for name in outputs if name not in given]
+    while todo:
+        s = made_by.get(todo.pop())
+        if s is not None and s.name not in reached:
+            reached.add(s.name)
+            todo.extend(i for i in s.inputs if i not in given)
+    return [s for s in steps if s.name in reached]
+
+
+def shared_datasets(steps: Sequence[Step], outputs: Sequence[str] = ()) -> set[str]:
+    """Datasets made by a step that two or more consumers read: steps, or a step and the caller."""
+    readers = Counter(i for s in steps for i in set(s.inputs))
+    readers.update(set(outputs))
+    made = {name for s in steps for name in s.outputs}
+    return {name for name, n in readers.items() if n > 1 and name in made}
+
+
+def run_fused(
+    steps: Sequence[Step], inputs: Mapping[str, DataFrame], outputs: Sequence[str] | None = None, area: str | None = None
+) -> dict[str, DataFrame]:
+    """Run the chain lazily; returns every dataset by name.
+
+    With ``outputs``, only the steps that these come from run, and only these
+    datasets are returned.  A dataset with two or more consumers is then made
+    once: stored below ``area`` (default: the checkpoint folder) and read by all of them.
+    Everything else stays one lazy plan per output.
+    """
     data = dict(inputs)
+    if outputs is None:
+        for s in _ordered(steps, set(data)):
+            data.update(_apply(s, data))
+        return data
+    steps = needed_steps(steps, set(data), outputs)
+    shared = shared_datasets(steps, outputs)
     for s in _ordered(steps, set(data)):
-        data.update(_apply(s, data))
-    return data
+        for name, df in _apply(s, data).items():
+            if name in shared:
+                df = materialise(df, name, area) if area else cut_lineage(df, f"shared-{name}")
+            data[name] = df
+    return {name: data[name] for name in outputs}
 
 
 def run_materialised(steps: Sequence[Step], inputs: Mapping[str, DataFrame], area: str) -> dict[str, DataFrame]:

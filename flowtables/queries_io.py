@@ -141,6 +141,43 @@ def x2_run_materialised(spark, sf_dir):
     return TR.run_materialised(REVENUE_STEPS, _revenue_inputs(spark, sf_dir), area)["nation_revenue"]
 
 
+def _top_customers(order_revenue: DataFrame, customer: DataFrame) -> DataFrame:
+    """The best customer of each nation, of equal revenues the smallest key."""
+    best = F.max_by(F.struct("c_custkey", "revenue"), F.struct("revenue", -F.col("c_custkey")))
+    named = order_revenue.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return named.groupBy("c_nationkey").agg(best.alias("b")).select(
+        "c_nationkey", "b.c_custkey", F.col("b.revenue").cast("double").alias("top_revenue")
+    )
+
+
+def _nation_report(nation_revenue: DataFrame, top_customers: DataFrame) -> DataFrame:
+    return nation_revenue.join(top_customers, F.col("n_nationkey") == F.col("c_nationkey")).drop("c_nationkey")
+
+
+def _unused(lineitem: DataFrame) -> DataFrame:
+    raise ValueError("nobody asked for this dataset")
+
+
+@register(
+    "x1_run_fused_outputs",
+    _REVENUE_SQL.split("SELECT n_nationkey")[0].rstrip() + """,
+best AS (SELECT c_nationkey, c_custkey, CAST(cr.revenue AS DOUBLE) AS top_revenue FROM cr JOIN customer ON c_custkey = o_custkey
+         QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY cr.revenue DESC, c_custkey) = 1)
+SELECT n_nationkey, n_name, CAST(revenue AS DOUBLE) AS revenue, n_customers, c_custkey, top_revenue
+FROM nr JOIN nation ON n_nationkey = c_nationkey JOIN best ON best.c_nationkey = n_nationkey
+""",
+)
+def x1_run_fused_outputs(spark, sf_dir):
+    """One requested output of a forked chain: what both branches read is made once, a step nobody asked for does not run."""
+    steps = (
+        *REVENUE_STEPS,
+        TR.step("top_customers", _top_customers, ["order_revenue", "customer"], ["top_customers"]),
+        TR.step("nation_report", _nation_report, ["nation_revenue", "top_customers"], ["nation_report"]),
+        TR.step("unused", _unused, ["lineitem"], ["unused"]),
+    )
+    return TR.run_fused(steps, _revenue_inputs(spark, sf_dir), outputs=["nation_report"])["nation_report"]
+
+
 def _daily_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("ds", "event_type").agg(
         F.count(F.lit(1)).alias("n_events"),

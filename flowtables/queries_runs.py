@@ -149,9 +149,7 @@ def w4_poll_outcome(spark, sf_dir):
 _AS_OF_J5 = "2001-08-01 00:00:00"
 
 
-@register(
-    "j5_upstream_ready",
-    f"""
+_WAITS_SQL = f"""
 WITH oc AS (SELECT c_nationkey AS nation, o_orderdate AS run_ts, o_orderpriority AS task, o_orderstatus
             FROM orders JOIN customer ON o_custkey = c_custkey),
 nr AS (
@@ -177,8 +175,10 @@ SELECT nr.nation AS pipeline_id, nr.run_ts, CAST(d.up_id AS INTEGER) AS up_pipel
     WHEN nr.run_ts + INTERVAL 1 DAY < TIMESTAMP '{_AS_OF_J5}' THEN 'timed_out'
     ELSE 'waiting' END AS outcome
 FROM nr JOIN dep d ON d.pipeline_id = nr.nation
-""",
-)
+"""
+
+
+@register("j5_upstream_ready", _WAITS_SQL)
 def j5_upstream_ready(spark, sf_dir):
     return runs.upstream_ready(
         B.nation_runs(spark, sf_dir).select("pipeline_id", "run_ts"),
@@ -188,6 +188,25 @@ def j5_upstream_ready(spark, sf_dir):
     )
 
 
+@register(
+    "j5_start_gate",
+    f"""
+WITH r AS (SELECT DISTINCT c_nationkey AS pipeline_id, o_orderdate AS run_ts FROM orders JOIN customer ON o_custkey = c_custkey),
+w AS (SELECT pipeline_id, run_ts, count(*) AS n_waits, count(*) FILTER (WHERE outcome = 'ready') AS n_ready,
+             count(*) FILTER (WHERE outcome IN ('missing', 'timed_out')) AS lost
+      FROM ({_WAITS_SQL}) WHERE dayofweek(run_ts) NOT IN (0, 6) GROUP BY 1, 2)
+SELECT r.pipeline_id, r.run_ts, coalesce(n_waits, 0) AS n_waits, coalesce(n_ready, 0) AS n_ready,
+       CASE WHEN coalesce(lost, 0) > 0 THEN 'failed' WHEN coalesce(n_ready, 0) = coalesce(n_waits, 0) THEN 'open' ELSE 'waiting' END AS gate
+FROM r LEFT JOIN w ON w.pipeline_id = r.pipeline_id AND w.run_ts = r.run_ts
+""",
+)
+def j5_start_gate(spark, sf_dir):
+    """May each run start?  Runs on Saturdays and Sundays are ad-hoc ones."""
+    r = B.nation_runs(spark, sf_dir).select("pipeline_id", "run_ts").withColumn("by_hand", F.dayofweek("run_ts").isin(1, 7))
+    deps, up = B.nation_dependencies(spark, sf_dir), B.nation_upstream(spark, sf_dir)
+    return runs.start_gate(r, deps, up, F.lit(_AS_OF_J5).cast("timestamp_ntz"), ad_hoc="by_hand")
+
+
 @register(
     "j6_get_or_create",
     """

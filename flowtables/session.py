@@ -171,9 +171,6 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-_remove = remove_folder
-
-
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, through Spark's own file system layer."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -121,6 +121,14 @@ def test_upstream_outcomes(spark):
         (10, "gone", "", "missing"), (10, "gone", "", "waiting"), (10, "late", "", "waiting"), (10, "u", "", "waiting"),
         (10, "u", "no", "missing"), (10, "u", "t", "waiting"),
     ]
+    marked = r.withColumn("by_hand", F.when(F.dayofmonth("run_ts") == 2, True))  # null elsewhere: not ad hoc
+    as_of = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    by_hand = runs.upstream_ready(marked, deps, up, as_of, ad_hoc="by_hand").collect()
+    assert {x.run_ts.day for x in by_hand} == {10} and len(by_hand) == 6
+    gates = {(x.run_ts.day, x.n_waits, x.gate) for x in runs.start_gate(marked, deps, up, as_of, ad_hoc="by_hand").collect()}
+    assert gates == {(2, 0, "open"), (10, 6, "failed")}
+    one = deps.filter("up_pipeline_id = 'u' AND up_task_id IS NULL")
+    assert {(x.run_ts.day, x.gate) for x in runs.start_gate(r, one, up, as_of).collect()} == {(2, "open"), (10, "waiting")}
     outcomes = {x.outcome for x in E.queries()["j5_upstream_ready"](spark, SF_SMALL).collect()}
     assert outcomes == {"missing", "ready", "timed_out", "waiting"}
 
@@ -435,3 +443,47 @@ def test_ledger_of_partial_totals(spark):
     ST._partial(again, keys, measures).write.mode("overwrite").parquet(f"{ledger}/batches/batch={newest}")
     assert totals() == batch(whole)
     assert ST.compact_ledger(spark, ledger, keys, measures) is None
+
+
+# --- chains of steps ------------------------------------------------------
+
+
+def test_fused_outputs_run_what_they_need_once(spark):
+    ran = []
+
+    def add(name):
+        def run(*frames):
+            ran.append(name)
+            out = frames[0]
+            for f in frames[1:]:
+                out = out.unionByName(f)
+            return out.withColumn("x", F.col("x") + 1)
+
+        return run
+
+    def fail(_):
+        raise AssertionError("not asked for")
+
+    steps = [
+        TR.step("last", add("last"), ["left", "right"], ["out"]),
+        TR.step("base", add("base"), ["raw"], ["shared"]),
+        TR.step("left", add("left"), ["shared"], ["left"]),
+        TR.step("right", add("right"), ["shared"], ["right"]),
+        TR.step("other", fail, ["shared"], ["other"]),
+    ]
+    raw = spark.range(5).select(F.col("id").alias("x"))
+    got = TR.run_fused(steps, {"raw": raw}, outputs=["out"])
+    assert list(got) == ["out"] and sorted(ran) == ["base", "last", "left", "right"]
+    assert sorted(r.x for r in got["out"].collect()) == sorted([i + 3 for i in range(5)] * 2)
+    # Both branches read the stored dataset, nothing else is stored, and the range is not in the plan any more.
+    plan = got["out"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "Range" not in plan
+    single = TR.run_fused(steps, {"raw": raw}, outputs=["left"])["left"]
+    assert "Range" in single._jdf.queryExecution().optimizedPlan().toString()
+    assert TR.shared_datasets(steps[1:3], ["shared"]) == {"shared"}  # read by a step and by the caller
+    given = TR.run_fused(steps, {"raw": raw, "left": raw, "right": raw}, outputs=["out", "raw"])
+    assert given["raw"] is raw and given["out"].count() == 10
+    with pytest.raises(ValueError, match="no step makes"):
+        TR.run_fused(steps, {"raw": raw}, outputs=["nothing"])
+    with pytest.raises(ValueError, match="is made by"):
+        TR.run_fused([*steps, TR.step("again", add("again"), ["raw"], ["out"])], {"raw": raw}, outputs=["out"])
