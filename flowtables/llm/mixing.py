@@ -17,9 +17,10 @@ bounded array folded by a SQL higher-order function; a source with a third of
 all rows is just more groups.  Everything is DataFrame expressions.
 
 Defined cases: a null or blank text has size 0; a null source is a source of
-its own, ordered last; rows that repeat a source, id and size get the same
-number of copies; documents of size 0 in a source without words are kept
-once, and others of size 0 are rounded by themselves; an empty table gives an
+its own, ordered last; of rows that repeat a source, id and size (also those
+without an id) as many as the fraction asks for get one copy more, those
+with the smallest text hashes first, and only the last of them is rounded;
+documents of size 0 in a source without words are kept once, and others of size 0 are rounded by themselves; an empty table gives an
 empty mix; extra columns are carried along.
 """
 
@@ -135,9 +136,9 @@ def mix_plan(
     most: float = 2.0,
     seed: int = 20,
 ) -> DataFrame:
-    """``(source, doc_id, size, rows, source_size, target, copies)`` of
-    ``docs(doc_id, text, source)``, one row per distinct source, id and size
-    (``rows``: how many rows repeat it)."""
+    """``(source, doc_id, size, rows, source_size, target, base, up)`` of
+    ``docs(doc_id, text, source)``, one row per distinct source, id and size:
+    ``rows`` rows repeat it, all get ``base`` copies and ``up`` of them one more."""
     items = cut_lineage(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
         .groupBy("source", "doc_id", "size")
@@ -150,12 +151,14 @@ def mix_plan(
     shares = items.join(src, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     p = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     shares = shares.withColumn("base", F.floor(p).cast("int")).withColumn("f", p - F.floor(p))
+    # Of repeated rows all but one are decided at once; the one has what is left of their fractions.
+    shares = shares.withColumn("whole", F.floor(F.col("rows") * F.col("f"))).withColumn("f", F.col("rows") * F.col("f") - F.col("whole"))
     shares = shares.withColumn("tree", (F.col("f") > 0) & (F.col("size") > 0))
     alone = shares.filter(~F.col("tree")).withColumn(
-        "take", (_uniform(F.lit(seed - 1), F.col("doc_id"), F.col("source")) < F.col("f")).cast("int")
+        "up", F.col("whole") + (_uniform(F.lit(seed - 1), F.col("doc_id"), F.col("source")) < F.col("f")).cast("int")
     )
     n_blocks = F.ceil(F.col("n_docs") / FAN)
-    item = F.struct("doc_id", "size", "rows", (F.col("size") * F.col("rows")).cast("double").alias("w"), "f").cast(_ITEM)
+    item = F.struct("doc_id", "size", "rows", F.col("size").cast("double").alias("w"), "f").cast(_ITEM)
     live = shares.filter("tree").select(
         "source", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), n_blocks).cast("long").alias("block"), item.alias("item")
     )
@@ -173,9 +176,9 @@ def mix_plan(
     rounded = decided[0]
     for d in decided[1:]:
         rounded = rounded.unionByName(d)
-    named = src.withColumn("base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1).cast("int"))
-    rounded = rounded.join(named, F.col("source").eqNullSafe(F.col("s")), "left")
-    cols = ["source", "doc_id", "size", "rows", "source_size", "target", (F.col("base") + F.col("take")).alias("copies")]
+    rounded = rounded.join(src, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("base", F.floor(p).cast("int"))
+    rounded = rounded.withColumn("up", F.floor(F.col("rows") * (p - F.floor(p))) + F.col("take"))
+    cols = ["source", "doc_id", "size", "rows", "source_size", "target", "base", F.col("up").cast("long").alias("up")]
     return rounded.select(*cols).unionByName(alone.select(*cols))
 
 
@@ -186,8 +189,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     inner = docs.toDF(*cols)
     own = inner.withColumn("m_size", word_count(F.col(by["text"])))
     plan = mix_plan(inner.select(*[F.col(by[c]).alias(c) for c in ("doc_id", "text", "source")]), **options)
-    plan = plan.filter("copies > 0").select("source", "doc_id", "size", "copies")
-    plan, seen = cut_lineage_counting(plan, "mix-plan", n=F.count(F.lit(1)))
+    plan = plan.filter("base > 0 OR up > 0").select("source", "doc_id", "size", "base", "up", (F.col("up") % F.col("rows") != 0).alias("split"))
+    plan, seen = cut_lineage_counting(plan, "mix-plan", n=F.count(F.lit(1)), split=F.count_if("split"))
     if seen["n"] <= BROADCAST_ROWS:  # a few dozen bytes each; beyond it both sides are shuffled
         plan = F.broadcast(plan)
     same = (
@@ -195,11 +198,21 @@ def mix(docs: DataFrame, **options) -> DataFrame:
         & F.col(by["source"]).eqNullSafe(F.col("source"))
         & (F.col("m_size") == F.col("size"))
     )
-    taken = own.join(plan, same).select(*cols, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("m_copy"))
+    met = own.join(plan, same)
+    taken = met.filter("NOT split").withColumn("m_n", F.col("base") + (F.col("up") > 0).cast("int"))
+    if seen["split"]:  # repeated rows of which some get one copy more than others
+        key = [by["doc_id"], by["source"], "m_size"]
+        some = met.filter("split").drop("source", "doc_id", "size").withColumn("m_text", F.xxhash64(by["text"]))
+        some = number_within(some, key, ["m_text"], out="m_at")
+        some = some.withColumn("m_n", F.col("base") + (F.col("m_at") < F.col("up")).cast("int"))
+        taken = taken.select(*cols, "m_n").unionByName(some.select(*cols, "m_n"))
+    taken = taken.filter("m_n > 0").select(*cols, F.explode(F.sequence(F.lit(1), F.col("m_n"))).alias("m_copy"))
     return taken.select(*cols).toDF(*docs.columns)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     rows = plan.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+    copies = (F.col("base") + (F.col("i") <= F.col("up")).cast("int")).alias("copies")
+    rows = rows.select("doc_id", "size", "source_size", "target", "source", copies)
+    return rows.withColumn("taken", F.col("size") * F.col("copies"))
