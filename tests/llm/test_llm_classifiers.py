@@ -103,6 +103,50 @@ def test_score_does_not_depend_on_where_a_passage_stands():
     assert (toxicity.score_texts(net, pa.array(moved)) >= alone.max() - 1e-5).all()
 
 
+def _plain_score(net, text):
+    """The network written out for one text: every window, word by word, in Python floats."""
+    words = toxicity.V.scan(*_bytes(text), toxicity._WORD)
+    slots, at = toxicity.char_slots(words, np.arange(len(words.hash)))
+    x = net.inputs(words.hash, slots, at)[0].astype(np.float64) if len(words.hash) else np.zeros((0, toxicity.WORD_DIM + toxicity.CHAR_DIM))
+    p, k, best = {n: v.astype(np.float64) for n, v in net.p.items()}, toxicity.HIDDEN, -np.inf
+    logistic = lambda y: 1 / (1 + np.exp(-y))
+    for i in range(max(1, len(x) - toxicity.WINDOW + 1)):
+        window = x[i : i + toxicity.WINDOW]
+        both = []
+        for s in "fb":
+            h, states = np.zeros(k), []
+            for word in window if s == "f" else window[::-1]:
+                gate = word @ p[f"W{s}"] + p[f"c{s}"]
+                z, r = np.split(logistic(gate[: 2 * k] + h @ p[f"U{s}"][:, : 2 * k]), 2)
+                h = (1 - z) * h + z * np.tanh(gate[2 * k :] + (r * h) @ p[f"U{s}"][:, 2 * k :])
+                states.append(h)
+            both.append(states if s == "f" else states[::-1])
+        states = [np.concatenate(pair) for pair in zip(*both, strict=True)]
+        weights = np.exp([np.tanh(h @ p["A"] + p["a"]) @ p["v"] for h in states])
+        context = sum((w * h for w, h in zip(weights, states, strict=True)), np.zeros(2 * k)) / max(weights.sum(), 1e-9)
+        best = max(best, context @ p["o"] + p["ob"][0])
+    return logistic(best)
+
+
+def _bytes(text):
+    return next((raw, offs) for _, _, raw, offs in toxicity.V.chunks(pa.array([text], pa.string())))
+
+
+@pytest.mark.parametrize("block", [5, 64, 4096])
+def test_scores_equal_the_network_written_out(monkeypatch, block):
+    """Short, long, repeated and empty texts, with blocks that end inside and between texts."""
+    monkeypatch.setattr(toxicity, "SCORE_WINDOWS", block)
+    rng = np.random.default_rng(4)
+    net = toxicity.Net.begin(np.zeros(0, np.uint64), seed=9)
+    net.p = {n: (v * 3 if n not in ("word", "char") else v * 20).astype(np.float32) for n, v in net.p.items()}
+    sizes = [0, 1, 2, 15, 16, 17, 18, 40, 0, 200, 16, 3, 90]
+    texts = [" ".join(f"w{j}" for j in rng.integers(0, 60, n)) for n in sizes]
+    texts += [texts[9], None]
+    got = toxicity.score_texts(net, pa.array(texts))
+    want = np.array([_plain_score(net, t) for t in texts])
+    assert np.abs(got - want).max() < 2e-4 and want.std() > 0.01
+
+
 def test_gradients(monkeypatch):
     rng = np.random.default_rng(0)
     net = toxicity.Net.begin(np.arange(5, dtype=np.uint64))
