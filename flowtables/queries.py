@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bindings as B
-from .operators import classify, edges, graph, group_store
+from .operators import classify, cycles, edges, graph, group_store
 from .plans.grouping import group_pipeline, group_summary
 from .session import cut_lineage, scratch_path
 
@@ -435,6 +435,36 @@ def g4_dag_levels(spark, sf_dir):
     return graph.dag_levels(g.group_edges, groups)
 
 
+@register(
+    "g4_condensed_levels",
+    "WITH RECURSIVE " + _layered_sql(True) + """,
+down(a, b) AS (
+  SELECT parent_group, child_group FROM gedges WHERE parent_group IN (SELECT child_group FROM gedges)
+  UNION SELECT d.a, g.child_group FROM down d JOIN gedges g ON g.parent_group = d.b),
+looped AS (SELECT x.a AS g, min(x.b) AS cycle_id FROM down x JOIN down y ON y.a = x.b AND y.b = x.a GROUP BY x.a),
+below AS (SELECT DISTINCT d.b AS g FROM down d JOIN looped l ON l.g = d.a WHERE d.b NOT IN (SELECT g FROM looped)),
+unit AS (
+  SELECT DISTINCT a.group_name AS g, l.cycle_id, coalesce(l.cycle_id, a.group_name) AS u
+  FROM allg a LEFT JOIN looped l ON l.g = a.group_name),
+cedges AS (
+  SELECT DISTINCT p.u AS pu, c.u AS cu FROM gedges e JOIN unit p ON p.g = e.parent_group JOIN unit c ON c.g = e.child_group
+  WHERE p.u <> c.u),
+depth(u, n) AS (
+  SELECT DISTINCT u, 0 FROM unit
+  UNION SELECT cedges.cu, d.n + 1 FROM depth d JOIN cedges ON cedges.pu = d.u)
+SELECT 'layered' AS pipeline, unit.g AS "group", CAST(max(d.n) AS INTEGER) AS level, unit.cycle_id,
+       unit.g IN (SELECT g FROM below) AS below_cycle
+FROM unit JOIN depth d ON d.u = unit.u GROUP BY unit.g, unit.cycle_id
+""",
+)
+def g4_condensed_levels(spark, sf_dir):
+    """Cycles of the grouped dense-marked DAG, and levels in which a cycle is one group."""
+    nodes, io, cat = _layered(spark, sf_dir, "dense", store_io=True)
+    g = group_pipeline(nodes, io, cat, grouped=True)
+    groups = g.groups.select("pipeline", F.col("group_name").alias("group")).distinct()
+    return cycles.condensed_levels(g.group_edges, groups)
+
+
 # Other families register themselves on import.
 from . import queries_runs  # noqa: E402,F401
 from . import queries_values  # noqa: E402,F401
