@@ -34,7 +34,7 @@ def cycle_groups(group_edges: DataFrame) -> DataFrame:
     """
     with stored_rounds(group_edges.sparkSession) as keep:
         e = _edges(group_edges)
-        return keep(cut_lineage(_cycles(e), "cycles"))
+        return keep(cut_lineage(_cycles(e, _lost(e)), "cycles"))
 
 
 def _edges(group_edges: DataFrame) -> DataFrame:
@@ -42,12 +42,23 @@ def _edges(group_edges: DataFrame) -> DataFrame:
     return cut_lineage(e.na.drop().distinct(), "cycles-edges")
 
 
-def _cycles(e: DataFrame) -> DataFrame:
+def _lost(e: DataFrame) -> DataFrame:
+    """Groups on or below a cycle."""
+    levels = dag_levels(e.select("pipeline", F.col("u").alias("parent_group"), F.col("v").alias("child_group")))
+    return levels.filter("cyclic").select(*KEY)
+
+
+def _cycles(e: DataFrame, lost: DataFrame) -> DataFrame:
     alone = e.filter("u = v").select("pipeline", F.col("u").alias("group"), F.col("u").alias("root"))
-    e = e.filter("u <> v")
+    e = e.filter("u <> v").join(lost.withColumnRenamed("group", "u"), ["pipeline", "u"], "left_semi").select("pipeline", "u", "v")
     rounds: list[tuple[DataFrame, DataFrame]] = []  # what each round folded and found
     while True:
-        e, left = cut_lineage_counting(_trim(e), "cycles-edges", n=F.count(F.lit(1)))
+        # The first edges have been trimmed from above by ``lost``.
+        for parent, child in (("u", "v"), ("v", "u"))[not rounds :]:
+            e, left = cut_lineage_counting(e, "cycles-edges", n=F.count(F.lit(1)))
+            if left["n"]:
+                e = _trim(e, parent, child)
+        e, left = cut_lineage_counting(e, "cycles-edges", n=F.count(F.lit(1)))
         if not left["n"]:
             break
         e, fold, found = _fold(e)
@@ -81,14 +92,11 @@ def _cycles(e: DataFrame) -> DataFrame:
     return members.join(sizes, ["pipeline", "root"]).groupBy(*KEY).agg(F.max_by("cycle_id", "size").alias("cycle_id"))
 
 
-def _trim(e: DataFrame) -> DataFrame:
-    """Edges between groups that a cycle leads to and that lead to a cycle."""
-    for parent, child in (("u", "v"), ("v", "u")):
-        e = cut_lineage(e, "cycles-trim")
-        levels = dag_levels(e.select("pipeline", F.col(parent).alias("parent_group"), F.col(child).alias("child_group")))
-        inside = levels.filter("cyclic").select(*KEY)
-        e = e.join(inside.withColumnRenamed("group", parent), ["pipeline", parent], "left_semi").select("pipeline", "u", "v")
-    return e
+def _trim(e: DataFrame, parent: str, child: str) -> DataFrame:
+    """Edges whose parent a cycle leads to; with the columns changed over, edges whose child leads to a cycle."""
+    levels = dag_levels(e.select("pipeline", F.col(parent).alias("parent_group"), F.col(child).alias("child_group")))
+    inside = levels.filter("cyclic").select("pipeline", F.col("group").alias(parent))
+    return e.join(inside, ["pipeline", parent], "left_semi").select("pipeline", "u", "v")
 
 
 def _fold(e: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -198,7 +206,8 @@ def condensed_levels(group_edges: DataFrame, groups: DataFrame | None = None) ->
     group: its members share a level, and what lies below it has a level, too."""
     with stored_rounds(group_edges.sparkSession) as keep:
         e = _edges(group_edges)
-        cycles = cut_lineage(_cycles(e), "cycles")
+        lost = _lost(e)
+        cycles = cut_lineage(_cycles(e, lost), "cycles")
         nodes = e.select("pipeline", F.col("u").alias("group")).unionByName(e.select("pipeline", F.col("v").alias("group")))
         if groups is not None:
             nodes = nodes.unionByName(groups.select(*KEY).na.drop())
@@ -216,7 +225,6 @@ def condensed_levels(group_edges: DataFrame, groups: DataFrame | None = None) ->
         )
         units = unit.select("pipeline", F.col("unit").alias("group")).distinct()
         levels = dag_levels(cut_lineage(condensed, "cycles-condensed"), units)
-        lost = dag_levels(e.select("pipeline", F.col("u").alias("parent_group"), F.col("v").alias("child_group"))).filter("cyclic")
         out = (
             whole.join(levels.select("pipeline", F.col("group").alias("unit"), "level"), ["pipeline", "unit"])
             .join(lost.select(*KEY, F.lit(True).alias("_lost")), KEY, "left")
