@@ -478,17 +478,19 @@ def _next_pairs(left: DataFrame, n_rows: int, sketches: DataFrame, hubs: int) ->
     group = F.pmod(F.xxhash64("head", F.pmod("run", "shares")), F.lit(groups)).cast("int")
     placed = heads.join(shares, "head").select("run", group.alias("group"))
 
-    def step(pdf):
+    def step(members, own):
         import pandas as pd
 
-        pdf = pdf.sort_values(["run", "entity"], kind="stable")
-        run, ent, comp = (pdf[c].to_numpy() for c in ("run", "entity", "component"))
+        members = members.sort_values(["run", "entity"], kind="stable")
+        run, ent, comp = (members[c].to_numpy() for c in ("run", "entity", "component"))
         first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         size = np.diff(np.append(first, len(run)))
         start = np.repeat(first, size)
         rank = np.arange(len(run)) - start
-        names, one, code = np.unique(ent, return_index=True, return_inverse=True)
-        known = _Sketches(pdf["n_shingles"].to_numpy()[one], [pdf["sketch"].iat[i] for i in one])
+        own = own.sort_values("own")
+        names = own["own"].to_numpy()
+        code = np.searchsorted(names, ent)
+        known = _Sketches(own["n_shingles"].to_numpy(), own["sketch"].tolist())
         found = [np.zeros(0, np.int64)]
         for i in range(min(hubs, int(size.max()) - 1)):
             rows = np.flatnonzero(rank > i)
@@ -502,8 +504,11 @@ def _next_pairs(left: DataFrame, n_rows: int, sketches: DataFrame, hubs: int) ->
         rest = pd.DataFrame({"pair": False, "run": run[after], "a": ent[after], "b": ent[after]})
         return pd.concat([pairs, rest], ignore_index=True).astype({"pair": bool, "run": "int64", "a": "int64", "b": "int64"})
 
-    rows = left.join(placed, "run").join(sketches, "entity")
-    made = rows.groupBy("group").applyInPandas(step, "pair boolean, run long, a long, b long")
+    # A sketch goes to a group once, however many of its runs the entity is in.
+    members = left.join(placed, "run").select("group", "run", "entity", "component")
+    own = members.select(F.col("group").alias("of"), F.col("entity").alias("own")).distinct()
+    own = own.join(sketches, F.col("own") == F.col("entity")).select("of", "own", "n_shingles", "sketch")
+    made = members.groupBy("group").cogroup(own.groupBy("of")).applyInPandas(step, "pair boolean, run long, a long, b long")
     made, seen = cut_lineage_counting(made, "join-round", rest=F.count_if(~F.col("pair")))
     return made.filter("pair").select("a", "b").distinct(), made.filter("NOT pair").select("run", F.col("a").alias("entity")), seen["rest"]
 
