@@ -22,8 +22,8 @@ The files are written by Spark's text writer (which passes bytes through), so
 they go to any file system Spark knows, with task commit and retries.
 
 Defined cases: a null text is empty; an empty text is the end id alone; null
-document ids come last; rows that repeat an id are all kept, in the order of
-their ids' bytes; an empty table gives no file; extra columns are not stored.
+document ids come last; rows that repeat an id are all kept, in the order of a
+hash of their token ids (a hot id may span files); an empty table gives no file; extra columns are not stored.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..session import remove_folder
 from .common import WORKER_CACHES, arrow_map, read_table, scratch_path, ship_package, sum_vectors, vector_rows
 
 END_ID = 2
@@ -47,6 +48,8 @@ MAX_BITS = 16
 BLOCK_IDS = 1 << 19
 CHECKPOINT_IDS = 256
 SEPARATOR = "\n~~\n"
+#: Code words a file holds, about: a file is read as one value, and Spark's limit for that is 2 GB.
+FILE_BYTES = 64 << 20
 #: Known chunks a worker keeps (of at most ``CACHE_BYTES`` each); beyond it the cache starts anew.
 CACHE_CHUNKS = 700_000
 CACHE_BYTES = 64
@@ -300,26 +303,43 @@ def pack_block(docs: list[tuple[int | None, bool, int]], ids: np.ndarray, length
     return _BLOCK.pack(b"BLCK", len(docs), len(ids), step, len(marks), len(payload)) + table.tobytes() + marks.tobytes() + payload
 
 
-def parse_file(raw: bytes) -> Iterator[tuple[int, list, np.ndarray]]:
-    """``(file number, documents, ids)`` of each block."""
-    magic, version, part, _, n_symbols, packed = _HEAD.unpack_from(raw, 0)
+def read_header(raw: memoryview) -> tuple[int, int, int]:
+    """``(file number, where the packed code lengths begin, where they end)``."""
+    magic, version, part, _, _, packed = _HEAD.unpack_from(raw, 0)
     if magic != b"HUFI" or version != 1:
         raise ValueError("not a Huffman id file")
-    p = _HEAD.size
-    lengths = np.frombuffer(zlib.decompress(raw[p : p + packed]), np.uint8)
-    table = decode_table(lengths)
-    p += packed + len(SEPARATOR)
+    return part, _HEAD.size, _HEAD.size + packed
+
+
+def block_places(raw: memoryview, begin: int) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """``(place, documents, ids, step, checkpoints, payload bytes)`` of each
+    block, from the block headers alone."""
+    p = begin
     while p < len(raw):
         magic, n_docs, n, step, n_marks, size = _BLOCK.unpack_from(raw, p)
         if magic != b"BLCK":
             raise ValueError("damaged Huffman id file")
+        yield p, n_docs, n, step, n_marks, size
+        p += _BLOCK.size + n_docs * _DOC.itemsize + 4 * n_marks + size + len(SEPARATOR)
+
+
+def parse_file(raw: memoryview) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(file number, documents, ids)`` of each block."""
+    part, at, end = read_header(raw)
+    table = decode_table(np.frombuffer(zlib.decompress(raw[at:end]), np.uint8))
+    for p, n_docs, n, step, n_marks, size in block_places(raw, end + len(SEPARATOR)):
         p += _BLOCK.size
         docs = np.frombuffer(raw, _DOC, n_docs, p)
         p += docs.nbytes
         marks = np.frombuffer(raw, "<u4", n_marks, p)
         p += marks.nbytes
         yield part, docs, unpack_bits(raw[p : p + size], marks, n, step, table)
-        p += size + len(SEPARATOR)
+
+
+def count_file(raw: memoryview) -> tuple[int, int]:
+    """``(file number, ids)`` of a file, without decoding it."""
+    part, _, end = read_header(raw)
+    return part, sum(n for _, _, n, _, _, _ in block_places(raw, end + len(SEPARATOR)))
 
 
 def count_ids(encoded: DataFrame, vocabulary: int) -> np.ndarray:
@@ -327,18 +347,27 @@ def count_ids(encoded: DataFrame, vocabulary: int) -> np.ndarray:
     return sum_vectors(encoded.filter("slice IS NOT NULL").select("slice", "v"), vocabulary)
 
 
+def coded_bytes(counts: np.ndarray, lengths: np.ndarray) -> int:
+    """Bytes of all ids' code words."""
+    return int((counts * lengths.astype(np.int64)).sum() + 7) // 8
+
+
 def write_ids(encoded: DataFrame, path: str, vocabulary: int = VOCABULARY, files: int | None = None, max_bits: int = MAX_BITS, block_ids: int = BLOCK_IDS, step: int = CHECKPOINT_IDS) -> None:
     """Write what ``encode_documents`` made below ``path``; ``encoded`` is read twice, so it should be stored."""
     spark = encoded.sparkSession
-    lengths = code_lengths(count_ids(encoded, vocabulary), max_bits)
+    counts = count_ids(encoded, vocabulary)
+    lengths = code_lengths(counts, max_bits)
     shipped = spark.sparkContext.broadcast(lengths)  # one byte per id of the vocabulary
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = files or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-coded_bytes(counts, lengths) // FILE_BYTES))
+    # Rows that repeat an id (or have none) are ordered by their ids' hash and split over files by it too;
+    # the stored row's place parts what is wholly equal, and is the same whenever a task runs again.
+    by = ["last", "doc_id", "hash", "place"]
     ranged = (
-        encoded.filter("slice IS NULL")
-        .select("doc_id", "ids")
-        .withColumn("last", F.col("doc_id").isNull())
-        .repartitionByRange(files, "last", "doc_id")
-        .sortWithinPartitions("last", "doc_id", "ids")
+        encoded.withColumn("place", F.monotonically_increasing_id())
+        .filter("slice IS NULL")
+        .select("doc_id", "ids", F.col("doc_id").isNull().alias("last"), F.xxhash64("ids").alias("hash"), "place")
+        .repartitionByRange(files, *by)
+        .sortWithinPartitions(*by)
         .select(F.spark_partition_id().alias("part"), "doc_id", "ids")
     )
 
@@ -388,7 +417,7 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
         for b in batches:
             for content in b.column(0):
                 place = 0
-                for part, docs, ids in parse_file(content.as_py()):
+                for part, docs, ids in parse_file(memoryview(content.as_buffer())):
                     at = 0
                     flat = ids.astype("<u4")
                     for d in docs:
@@ -408,9 +437,15 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
         if rows:
             yield _rows(rows, keep_ids)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counted = [count_file(memoryview(content.as_buffer())) for content in b.column(0)]
+            parts, n = zip(*counted, strict=True) if counted else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(n, pa.int64())], ["part", "n"])
+
     found = arrow_map(_files(spark, path), run, schema)
-    # One row per file: where its first document starts.
-    totals = found.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    # One row per file, from its block headers: where its first document starts.
+    totals = arrow_map(_files(spark, path), count, "part int, n long")
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = totals.select(F.col("part").alias("p"), F.coalesce(before, F.lit(0)).alias("begin"))
     cols = ["doc_id", (F.col("begin") + F.col("place")).alias("start"), "n_tokens", "ids_crc32"] + ["ids"] * keep_ids
@@ -435,6 +470,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     stored = scratch_path(spark, "ids")
     encode_documents(docs, tokenizer, keep_chunks=keep_chunks).write.option("compression", "uncompressed").parquet(stored)
     write_ids(spark.read.parquet(stored), path)
+    remove_folder(spark, stored)
 
 
 def op3_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:

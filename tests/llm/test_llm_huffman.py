@@ -78,3 +78,31 @@ def test_no_documents(spark):
     path = scratch_path(spark, "huffman-test")
     H.write_token_files(no_documents(spark).select("doc_id", "text"), path)
     assert H.read_ids(spark, path).count() == 0
+
+
+def test_an_id_of_many_rows_spans_files(spark):
+    pytest.importorskip("public_tokenizers")
+    docs = spark.range(900).selectExpr("IF(id < 600, 7L, id) AS doc_id", "concat('row ', id % 200, ' of many') AS text")
+    path = scratch_path(spark, "huffman-test")
+    stored = cut_lineage(H.encode_documents(docs), "ids-test")
+    H.write_ids(stored, path, files=6, block_ids=300)
+    contents = [memoryview(bytes(r.content)) for r in H._files(spark, path).collect()]
+    first = [{int(d["id"]) for _, ds, _ in H.parse_file(c) for d in ds} for c in contents]
+    assert sum(7 in ids for ids in first) > 1
+    for c in contents:
+        assert H.count_file(c) == (H.read_header(c)[0], sum(len(ids) for _, _, ids in H.parse_file(c)))
+    got = sorted(H.read_ids(spark, path, keep_ids=True).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(r.doc_id for r in docs.collect())
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(len(got))]
+    have = sorted((r.doc_id, np.frombuffer(bytes(r["ids"]), "<u4").tolist()) for r in got)
+    assert have == sorted((r.doc_id, _ids(r.text)) for r in docs.collect())
+
+
+def test_files_grow_in_number_with_the_coded_bytes(spark, monkeypatch):
+    pytest.importorskip("public_tokenizers")
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat(concat('words ', id, ' '), 20) AS text")
+    monkeypatch.setattr(H, "FILE_BYTES", 1024)
+    path = scratch_path(spark, "huffman-test")
+    H.write_token_files(docs, path)
+    assert H._files(spark, path).count() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert H.read_ids(spark, path).count() == 400
