@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bindings as B
+from .plans import group_run as GR
 from .plans import transforms as TR
-from .queries import register
+from .queries import ORACLES, register
 from .functions.text import run_scoped_name
 from .session import cut_lineage, scratch_path
 from .sources import catalog_tables, files, staging
@@ -178,6 +179,20 @@ def x1_run_fused_outputs(spark, sf_dir):
     return TR.run_fused(steps, _revenue_inputs(spark, sf_dir), outputs=["nation_report"])["nation_report"]
 
 
+@register("x1_run_by_groups", ORACLES["x1_run_fused_outputs"])
+def x1_run_by_groups(spark, sf_dir):
+    """The forked chain in three groups of two steps: fused inside a group, only what crosses groups is stored."""
+    steps = (
+        *REVENUE_STEPS,
+        TR.step("top_customers", _top_customers, ["order_revenue", "customer"], ["top_customers"]),
+        TR.step("nation_report", _nation_report, ["nation_revenue", "top_customers"], ["nation_report"]),
+    )
+    rows = [(GR.PIPELINE, s.name, g) for s, g in zip(steps, ("sales", "sales", "customers", "report", "customers", "report"), strict=True)]
+    groups = spark.createDataFrame(rows, "pipeline string, node string, group_name string")
+    area = scratch_path(spark, "x1-groups")
+    return GR.run_by_groups(spark, steps, _revenue_inputs(spark, sf_dir), groups, area)["nation_report"]
+
+
 def _daily_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("ds", "event_type").agg(
         F.count(F.lit(1)).alias("n_events"),

@@ -171,6 +171,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked through Spark's own file system layer."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, through Spark's own file system layer."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
