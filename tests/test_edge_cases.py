@@ -291,6 +291,25 @@ def test_polling_out_of_order_unseen_and_restarted(spark):
     assert _poll(spark, steps, starts, partitions=[1, 2, 3, 4]) == want  # each run answered once
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@pytest.mark.parametrize("named", [None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"])
+def test_streams_run_in_a_session_without_rocksdb(spark, named):
+    """A cluster's session names no state store, or Spark's default one; it is as before afterwards."""
+    before = spark.conf.get(PROVIDER)
+    try:
+        spark.conf.unset(PROVIDER) if named is None else spark.conf.set(PROVIDER, named)
+        found = spark.conf.get(PROVIDER, None)
+        steps = [[(1, at(20), "success", 1)], [(99, at(200), "running", 2)]]
+        assert _poll(spark, steps, [(1, T0), (2, T0)]) == [(1, "success", 1), (2, "unknown", 0)]
+        ready = _ready(spark, [([(1, 7, at(0))], [(10, 7, at(40))]), ([(2, 7, at(300))], [(11, 7, at(300))])])
+        assert ready[-1] == [(1, 10, "ready")]
+        assert spark.conf.get(PROVIDER, None) == found
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
 def test_upstream_waits_for_the_watermark(spark):
     schema = "kind string, event_id long, key long, ts timestamp_ntz"
     steps = [
