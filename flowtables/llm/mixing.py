@@ -136,9 +136,10 @@ def mix_plan(
     most: float = 2.0,
     seed: int = 20,
 ) -> DataFrame:
-    """``(source, doc_id, size, rows, source_size, target, base, up)`` of
+    """``(source, doc_id, size, rows, source_size, target, base, up, copies)`` of
     ``docs(doc_id, text, source)``, one row per distinct source, id and size:
-    ``rows`` rows repeat it, all get ``base`` copies and ``up`` of them one more."""
+    ``rows`` rows repeat it, all get ``base`` copies and ``up`` of them one more,
+    ``copies`` together."""
     items = cut_lineage(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
         .groupBy("source", "doc_id", "size")
@@ -179,7 +180,7 @@ def mix_plan(
     rounded = rounded.join(src, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("base", F.floor(p).cast("int"))
     rounded = rounded.withColumn("up", F.floor(F.col("rows") * (p - F.floor(p))) + F.col("take"))
     cols = ["source", "doc_id", "size", "rows", "source_size", "target", "base", F.col("up").cast("long").alias("up")]
-    return rounded.select(*cols).unionByName(alone.select(*cols))
+    return rounded.select(*cols).unionByName(alone.select(*cols)).withColumn("copies", F.col("rows") * F.col("base") + F.col("up"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
