@@ -223,3 +223,31 @@ def test_fused_equals_materialised(spark):
     a = E.queries()["x1_run_fused"](spark, SF_SMALL).toPandas().sort_values("n_nationkey").reset_index(drop=True)
     b = E.queries()["x2_run_materialised"](spark, SF_SMALL).toPandas().sort_values("n_nationkey").reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_rounds_store_an_edge_once_and_members_once(spark, monkeypatch):
+    """A link has one direction in the rounds of grouping, and absorption does not write all members again each round."""
+    stored: dict = {}
+
+    def count(store):
+        def run(df, name, *args, **kwargs):
+            stored.setdefault(name, []).append(df.count())
+            return store(df, name, *args, **kwargs)
+
+        return run
+
+    monkeypatch.setattr(graph, "cut_lineage", count(graph.cut_lineage))
+    monkeypatch.setattr(graph, "cut_lineage_counting", count(graph.cut_lineage_counting))
+    schema = "pipeline string, parent string, child string"
+    ring = spark.createDataFrame([("p", f"v{i}", f"v{(i + 1) % 6}") for i in range(6)], schema)
+    ends = ring.select("pipeline", F.col("parent").alias("node"))
+    for closed in (False, True):
+        stored.clear()
+        got = {r.node: r.group_id for r in graph.connected_groups(ends, ring, closed=closed).collect()}
+        assert got == {f"v{i}": "v0" for i in range(6)} and stored["cc-edges"][0] == 6
+    # d0 joins g, then d1 by d0, then d2 by d1: an edge of d(i) comes from d(i-1), one leads to g.
+    edges = [("p", "g" if i == 0 else f"d{i - 1}", f"d{i}") for i in range(3)] + [("p", f"d{i}", "g") for i in range(3)]
+    default = spark.createDataFrame([("p", f"d{i}") for i in range(4)], "pipeline string, node string")
+    groups = spark.createDataFrame([("p", "g", "g")], "pipeline string, node string, group_id string")
+    got = {r.node for r in graph.absorb_sandwiched(spark.createDataFrame(edges, schema), groups, default).collect()}
+    assert got == {"d0", "d1", "d2"} and sum(stored["absorb-members"]) == 1
