@@ -31,7 +31,9 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from codecs import charmap_decode
+from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,7 @@ CHECKPOINT_IDS = 256
 SEPARATOR = "\n~~\n"
 #: Code words a file holds, about: a file is read as one value, and Spark's limit for that is 2 GB.
 FILE_BYTES = 64 << 20
-#: Known chunks a worker keeps (of at most ``CACHE_BYTES`` each); beyond it the cache starts anew.
+#: Known chunks a worker keeps (of at most ``CACHE_BYTES`` each): half of them the newer ones, half older ones not met since.
 CACHE_CHUNKS = 700_000
 CACHE_BYTES = 64
 
@@ -60,17 +62,43 @@ _STATE: dict = {}
 WORKER_CACHES[__name__] = _STATE.clear
 
 
-def _byte_letters() -> dict[int, int]:
+def _byte_letters() -> str:
     """Byte-level models write a byte as a visible character: itself where it
     is one, and otherwise the next of the characters from U+0100 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in visible]
-    return {b: 0x100 + i for i, b in enumerate(hidden)}
+    return "".join(chr(b if b in visible else 0x100 + hidden.index(b)) for b in range(256))
 
 
 BYTE_LETTERS = _byte_letters()
 
 
+#: Packs so many ids (more are rare).
+_IDS = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
+class _Chunks(dict):
+    """Ids by chunk; a chunk that is not there is encoded when it is looked up.
+
+    ``renew`` makes the chunks so far the older half; those met again come back."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        super().__init__({"": b""})
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        if len(chunk) <= CACHE_BYTES:
+            self[chunk] = ids
+        return ids
+
+    def renew(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+
 class ChunkTokenizer:
     """The library's ids of a text, put together from those of its chunks.
 
@@ -79,11 +107,17 @@ class ChunkTokenizer:
     other (and ASCII case is lowered by it anyway).  Signs never share a piece
     with letters or digits, so a chunk may also be cut where an ASCII sign
     follows a letter or digit (but for the apostrophe, which some pieces begin
-    with).  Chunks repeat, so most are looked up.
+    with).  Chunks repeat, so most are looked up; they are held as strings of
+    their UTF-8 bytes, which dictionaries find faster than bytes.
     """
 
     #: Signs after an ASCII letter or digit, or after a letter of U+00C0 to U+00FF.
     _SIGNS = re.compile(rb"[!-&(-/:-@\[-`{-~](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
+    #: Chunks of letters up to U+00FF, some beyond ASCII: normalising does no more than lower them, and they are one piece.
+    _LETTERS = re.compile("[a-z]*(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][a-z]*)+")
+    #: White space of ASCII as blanks, without and with its letters lowered.
+    _BLANKS = bytes.maketrans(b"\t\n\v\f\r", b" " * 5)
+    _LOWER = bytes(range(256)).lower().translate(_BLANKS)
 
     def __init__(self, path: str, keep: int = CACHE_CHUNKS) -> None:
         from tokenizers import Tokenizer
@@ -91,7 +125,8 @@ class ChunkTokenizer:
         self.keep = keep
 
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.piece = self.tok.model.tokenize
+        self.known = _Chunks(self._encode)
 
     def ids(self, text: str | None) -> bytes:
         """uint32 ids, little-endian."""
@@ -99,35 +134,23 @@ class ChunkTokenizer:
             return b""
         raw = text.encode("utf-8", "surrogatepass")
         # A special token's text must stay whole, and matters by case.
-        chunks = (raw if b"<|" in raw else self._SIGNS.sub(rb" \g<0>", raw.lower())).split()
-        known = self.known
-        out = list(map(known.get, chunks))
-        if None in out:
-            holes = [i for i, x in enumerate(out) if x is None]
-            found = self._encode(list(dict.fromkeys([chunks[i] for i in holes])))
-            for i in holes:
-                out[i] = found[chunks[i]]
-            if len(known) > self.keep:
-                known.clear()
-            known.update((c, x) for c, x in found.items() if len(c) <= CACHE_BYTES)
-        return b"".join(out)
-
-    #: Chunks of lower-case letters up to U+00FF only: normalising leaves them as they are, and they are one piece.
-    _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-
-    def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        out, rest = {}, []
-        piece, letters = self.tok.model.tokenize, self._LETTERS.fullmatch
-        for c in chunks:
-            if letters(c):
-                out[c] = np.array([t.id for t in piece(c.decode("latin-1").translate(BYTE_LETTERS))], "<u4").tobytes()
-            else:
-                rest.append(c)
-        encoded = self.tok.encode_batch_fast([c.decode("utf-8", "replace") for c in rest], add_special_tokens=False)
-        for c, e in zip(rest, encoded, strict=True):
-            out[c] = np.array(e.ids, "<u4").tobytes()
+        raw = raw.translate(self._BLANKS) if b"<|" in raw else self._SIGNS.sub(rb" \g<0>", raw.translate(self._LOWER))
+        chunks = raw.decode("latin-1").split(" ")
+        out = b"".join(itemgetter("", *chunks)(self.known))
+        if len(self.known) > self.keep // 2:
+            self.known.renew()
         return out
 
+    def _encode(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha() and chunk.islower():
+            ids = [t.id for t in self.piece(chunk)]
+        elif self._LETTERS.fullmatch(chunk):
+            low = chunk.encode("latin-1").decode().lower().encode()
+            ids = [t.id for t in self.piece(charmap_decode(low, "strict", BYTE_LETTERS)[0])]
+        else:
+            ids = self.tok.encode(chunk.encode("latin-1").decode("utf-8", "replace"), add_special_tokens=False).ids
+        return _IDS[len(ids)](*ids) if len(ids) < len(_IDS) else struct.pack(f"<{len(ids)}I", *ids)
+
 
 def _tokenizer(path: str | None) -> ChunkTokenizer:
     if path not in _STATE:

@@ -57,6 +57,19 @@ def _ids(text):
     return [*tok.encode(text or "", add_special_tokens=False).ids, 2]
 
 
+def test_known_chunks_outlive_a_full_cache(monkeypatch):
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    met, encode = [], H.ChunkTokenizer._encode
+    monkeypatch.setattr(H.ChunkTokenizer, "_encode", lambda self, c: (met.append(c), encode(self, c))[1])
+    tok = H.ChunkTokenizer(path, keep=20)
+    texts = ["ofte n", "b c d", "e f g h i j", "k often l", "often É <|endoftext|> É,É ÉTÉ", "m\x85n o\tp q\x1cr often", "s t u v w often x"]
+    for text in texts * 2 + [f"often {a}{b}" for a in "xyz" for b in "abcdefghi"]:
+        assert np.frombuffer(tok.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(tok.known) + len(tok.known.older) <= 20 + len(text.split())
+    assert met.count("often") == 1
+
+
 def test_files_hold_the_ids_of_the_library(spark):
     pytest.importorskip("public_tokenizers")
     docs = documents(spark)
