@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, cut_lineage_counting, stored_rounds
-from .graph import dag_levels
+from ..session import cut_lineage, cut_lineage_counting, stored_once, stored_rounds
+from .graph import dag_levels, levels_of_stored
 
 KEY = ["pipeline", "group"]
 
@@ -205,29 +205,33 @@ def condensed_levels(group_edges: DataFrame, groups: DataFrame | None = None) ->
     leads to it.  ``level`` is the longest path over the condensation, in which a cycle is one
     group: its members share a level, and what lies below it has a level, too."""
     with stored_rounds(group_edges.sparkSession) as keep:
-        e = _edges(group_edges)
-        lost = _lost(e)
-        cycles = cut_lineage(_cycles(e, lost), "cycles")
-        nodes = e.select("pipeline", F.col("u").alias("group")).unionByName(e.select("pipeline", F.col("v").alias("group")))
-        if groups is not None:
-            nodes = nodes.unionByName(groups.select(*KEY).na.drop())
+        e = stored_once(group_edges, "cycles-edges").select("pipeline", F.col("parent_group").alias("u"), F.col("child_group").alias("v")).na.drop()
+        levels = levels_of_stored(
+            e.select("pipeline", F.col("u").alias("parent_group"), F.col("v").alias("child_group")),
+            None if groups is None else groups.select(*KEY).na.drop(),
+        )
+        # Above the cycles and beside them, levels over the condensation are those of the graph itself.
+        lost = cut_lineage(levels.filter("cyclic").select(*KEY), "cycles-lost")
+        into = e.join(lost.withColumnRenamed("group", "v"), ["v", "pipeline"], "left_semi").select("pipeline", "u", "v").distinct()
+        into = cut_lineage(into, "cycles-into")
+        cycles = cut_lineage(_cycles(into, lost), "cycles")
         whole = cut_lineage(
-            nodes.distinct().join(cycles, KEY, "left").select(*KEY, "cycle_id", F.coalesce("cycle_id", "group").alias("unit")),
-            "cycles-units",
+            lost.join(cycles, KEY, "left").select(*KEY, "cycle_id", F.coalesce("cycle_id", "group").alias("unit")), "cycles-units"
         )
-        unit = whole.select("pipeline", "group", "unit")
+        # Below, they start from the levels of the parents that have one.
+        above = levels.filter("NOT cyclic").select("pipeline", F.col("group").alias("u"), "level")
+        child = whole.select("pipeline", F.col("group").alias("v"), F.col("unit").alias("group"))
+        parent = whole.select("pipeline", F.col("group").alias("u"), F.col("unit").alias("parent_group"))
+        bound = into.join(above, ["u", "pipeline"]).join(child, ["v", "pipeline"]).select("pipeline", "group", (F.col("level") + 1).cast("long").alias("bound"))
+        units = whole.select("pipeline", F.col("unit").alias("group"), F.lit(0).cast("long").alias("bound")).unionByName(bound)
         condensed = (
-            e.join(unit.select("pipeline", F.col("group").alias("u"), F.col("unit").alias("parent_group")), ["pipeline", "u"])
-            .join(unit.select("pipeline", F.col("group").alias("v"), F.col("unit").alias("child_group")), ["pipeline", "v"])
+            into.join(parent, ["u", "pipeline"]).join(child.withColumnRenamed("group", "child_group"), ["v", "pipeline"])
             .filter("parent_group <> child_group")
             .select("pipeline", "parent_group", "child_group")
-            .distinct()
         )
-        units = unit.select("pipeline", F.col("unit").alias("group")).distinct()
-        levels = dag_levels(cut_lineage(condensed, "cycles-condensed"), units)
-        out = (
-            whole.join(levels.select("pipeline", F.col("group").alias("unit"), "level"), ["pipeline", "unit"])
-            .join(lost.select(*KEY, F.lit(True).alias("_lost")), KEY, "left")
-            .select(*KEY, "level", "cycle_id", (F.col("_lost").isNotNull() & F.col("cycle_id").isNull()).alias("below_cycle"))
+        below = dag_levels(cut_lineage(condensed, "cycles-condensed"), units)
+        out = whole.join(below.select("pipeline", F.col("group").alias("unit"), "level"), ["unit", "pipeline"]).select(
+            *KEY, "level", "cycle_id", F.col("cycle_id").isNull().alias("below_cycle")
         )
-        return keep(cut_lineage(out, "cycles-levels"))
+        known = levels.filter("NOT cyclic").select(*KEY, "level", F.lit(None).cast(out.schema["cycle_id"].dataType).alias("cycle_id"), F.lit(False).alias("below_cycle"))
+        return keep(cut_lineage(known.unionByName(out), "cycles-levels"))
